@@ -1,0 +1,5 @@
+"""No stream operators: every source this library covers is a set of complete files.
+
+The projections in ``herdframe.functions`` are plain column expressions, so they also apply to a
+streaming DataFrame without change.
+"""
