@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from herdframe.catalog.base import query
 from herdframe.functions.base import r6, row_sum
+from herdframe.functions.stats import corr_or_null
 from herdframe.operators import aggregates as A
 
 
@@ -153,7 +154,7 @@ def _(t):
     return (
         t.records.filter("age is not null")
         .groupBy("farm_id")
-        .agg(r6(F.corr("score", "age")).alias("r"), r6(F.covar_samp("score", "age")).alias("cov"))
+        .agg(r6(corr_or_null("score", "age")).alias("r"), r6(F.covar_samp("score", "age")).alias("cov"))
     )
 
 

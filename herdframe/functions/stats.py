@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from herdframe.functions.base import ColumnLike, col
@@ -55,41 +55,76 @@ CODY_LARGE = (
 CHI2_1_MEDIAN = 0.45493642311957283
 
 
-def _poly(coefs, x: Column) -> Column:
-    out = F.lit(float(coefs[0]))
-    for c in coefs[1:]:
-        out = out * x + F.lit(float(c))
-    return out
+def _let(value: Column, fn) -> Column:
+    """Compute a value once and use it many times: a transform over an array of one element.
 
+    Long polynomials written out in full make generated methods too large to be compiled by the JVM; with bound
+    values and coefficient arrays the expression stays small.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _coefs(values) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def _poly(coefs: Column, x: Column) -> Column:
+    return F.aggregate(coefs, F.lit(0.0), lambda acc, c: acc * x + c)
 
-def _ratio(pair, x: Column) -> Column:
-    return _poly(pair[0], x) / _poly(pair[1], x)
+
+def _pick(conds: list[Column], pairs: list, x: Column) -> Column:
+    """Ratio of two polynomials, the pair chosen by the first condition that holds."""
+    top, low = F.when(conds[0], _coefs(pairs[0][0])), F.when(conds[0], _coefs(pairs[0][1]))
+    for cond, pair in zip(conds[1:], pairs[1:-1], strict=True):
+        top, low = top.when(cond, _coefs(pair[0])), low.when(cond, _coefs(pair[1]))
+    return _poly(top.otherwise(_coefs(pairs[-1][0])), x) / _poly(low.otherwise(_coefs(pairs[-1][1])), x)
 
 
 def norm_ppf(p: ColumnLike) -> Column:
     """Standard normal quantile; null outside (0, 1)."""
-    prob = col(p).cast("double")
-    q = prob - 0.5
-    tail = F.when(q < 0, prob).otherwise(1 - prob)
-    r = F.sqrt(-F.log(tail))
-    far = F.when(r <= 5, _ratio(AS241_MIDDLE, r - 1.6)).otherwise(_ratio(AS241_TAIL, r - 5))
-    inner = q * _ratio(AS241_CENTRE, 0.180625 - q * q)
-    value = F.when(F.abs(q) <= 0.425, inner).when(q < 0, -far).otherwise(far)
-    return F.when((prob > 0) & (prob < 1), value)
+    pairs = [AS241_CENTRE, AS241_MIDDLE, AS241_TAIL]
+
+    def quantile(prob: Column) -> Column:
+        q = prob - 0.5
+
+        def by_tail(r: Column) -> Column:
+            conds = [F.abs(q) <= 0.425, r <= 5]
+            arg = F.when(conds[0], 0.180625 - q * q).when(conds[1], r - 1.6).otherwise(r - 5)
+            return _let(arg, lambda x: _pick(conds, pairs, x))
+
+        ratio = _let(F.sqrt(-F.log(F.least(prob, 1 - prob))), by_tail)
+        return ratio * F.when(F.abs(q) <= 0.425, q).otherwise(F.signum(q))
+
+    inside = F.when((col(p) > 0) & (col(p) < 1), col(p).cast("double"))
+    return F.when(inside.isNotNull(), _let(inside, quantile))
 
 
 def erfcx(x: ColumnLike) -> Column:
     """exp(x^2) erfc(x) for x >= 0; does not underflow."""
-    y = col(x).cast("double")
-    small = F.exp(y * y) * (1 - y * _ratio(CODY_SMALL, y * y))
-    inv = 1 / (y * y)
-    large = (F.lit(1 / math.sqrt(math.pi)) - inv * _ratio(CODY_LARGE, inv)) / y
-    return F.when(y <= 0.46875, small).when(y <= 4, _ratio(CODY_MEDIUM, y)).otherwise(large)
+    pairs = [CODY_SMALL, CODY_MEDIUM, CODY_LARGE]
+
+    def scaled(y: Column) -> Column:
+        conds = [y <= 0.46875, y <= 4]
+        arg = F.when(conds[0], y * y).when(conds[1], y).otherwise(F.try_divide(F.lit(1.0), y * y))
+        ratio = _let(arg, lambda v: _pick(conds, pairs, v))
+        return _let(
+            ratio,
+            lambda r: F.when(conds[0], F.exp(y * y) * (1 - y * r))
+            .when(conds[1], r)
+            .otherwise((F.lit(1 / math.sqrt(math.pi)) - r / (y * y)) / y),
+        )
+
+    value = col(x).cast("double")
+    return F.when(value >= 0, _let(value, scaled))
 
 
 def erfc(x: ColumnLike) -> Column:
-    y = col(x).cast("double")
-    return F.when(y >= 0, F.exp(-y * y) * erfcx(y)).otherwise(2 - F.exp(-y * y) * erfcx(-y))
+
+    def tail(y: Column) -> Column:
+        upper = F.exp(-y * y) * erfcx(F.abs(y))
+        return F.when(y >= 0, upper).otherwise(2 - upper)
+
+    return _let(col(x).cast("double"), tail)
 
 
 def chi2_1_sf(x: ColumnLike) -> Column:
@@ -101,7 +136,7 @@ def chi2_1_isf(p: ColumnLike) -> Column:
     """Value with upper tail p; p = 1 gives 0, p = 0 gives infinity, outside gives null."""
     prob = col(p).cast("double")
     z = norm_ppf(prob / 2)
-    return F.when(prob == 1, F.lit(0.0)).when(prob == 0, F.lit(float("inf"))).when(prob < 1, z * z)
+    return F.when(prob == 1, F.lit(0.0)).when(prob == 0, F.lit(float("inf"))).when(prob < 1, F.pow(z, F.lit(2.0)))
 
 
 def chi2_1_neglog10_sf(x: ColumnLike) -> Column:
@@ -176,39 +211,57 @@ def deregress(
 
 def log_factorial(n: ColumnLike) -> Column:
     """ln n! : exact table below 10, Stirling series above (error under 1e-13)."""
-    x = col(n).cast("double")
     table = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(10)])
-    inv = 1 / x
-    stirling = (
-        x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x)
-        + inv * (1 / 12 - inv * inv * (1 / 360 - inv * inv * (1 / 1260 - inv * inv / 1680)))
-    )
-    return F.when(x < 10, F.try_element_at(table, (x + 1).cast("int"))).otherwise(stirling)
+
+    def value(x: Column) -> Column:
+        series = lambda inv: inv * (1 / 12 - inv * inv * (1 / 360 - inv * inv * (1 / 1260 - inv * inv / 1680)))
+        stirling = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + _let(1 / x, series)
+        return F.when(x < 10, F.try_element_at(table, (x + 1).cast("int"))).otherwise(stirling)
+
+    return _let(col(n).cast("double"), value)
 
 
 def log_choose(n: ColumnLike, k: ColumnLike) -> Column:
     return log_factorial(n) - log_factorial(k) - log_factorial(col(n) - col(k))
 
 
-def hypergeom_sf(hits: ColumnLike, drawn: ColumnLike, marked: ColumnLike, total: ColumnLike) -> Column:
-    """P(X >= hits) when ``drawn`` of ``total`` are taken and ``marked`` of them carry the term.
+def with_hypergeom_sf(df: DataFrame, hits: str, drawn: str, marked: str, total: str, out: str) -> DataFrame:
+    """Add P(X >= hits) when ``drawn`` of ``total`` are taken and ``marked`` of them carry the term.
 
-    The first term is taken in logs, the others by the ratio of neighbouring terms.
+    The first term is taken in logs, the others by the ratio of neighbouring terms. The first term is a column of
+    its own, so that the expression is built and computed once.
     """
-    k, n, m, t = (col(c).cast("double") for c in (hits, drawn, marked, total))
+    k, n, m, t = (F.col(c).cast("double") for c in (hits, drawn, marked, total))
+    # ln of C(m, k) C(t-m, n-k) / C(t, n): signed log factorials
+    plus = [m, t - m, n, t - n]
+    minus = [k, m - k, n - k, t - m - n + k, t]
+    args = F.array(*[F.greatest(a, F.lit(0.0)) for a in plus + minus])
+    signs = F.array(*[F.lit(1.0)] * len(plus), *[F.lit(-1.0)] * len(minus))
+    logs = F.aggregate(F.zip_with(args, signs, lambda a, g: g * log_factorial(a)), F.lit(0.0), lambda acc, v: acc + v)
     top = F.least(n, m)
-    first = F.exp(log_choose(m, k) + log_choose(t - m, n - k) - log_choose(t, n))
     steps = F.when(top > k, F.sequence(k.cast("int"), (top - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+    first = F.col("__first")
+    ratio = lambda i: (m - i) * (n - i) / ((i + 1) * (t - m - n + i + 1))
     tail = F.aggregate(
         steps,
         F.struct(first.alias("term"), first.alias("total")),
         lambda acc, i: F.struct(
-            (acc["term"] * (m - i) * (n - i) / ((i + 1) * (t - m - n + i + 1))).alias("term"),
-            (acc["total"] + acc["term"] * (m - i) * (n - i) / ((i + 1) * (t - m - n + i + 1))).alias("total"),
+            (acc["term"] * ratio(i)).alias("term"), (acc["total"] + acc["term"] * ratio(i)).alias("total")
         ),
         lambda acc: acc["total"],
     )
-    return F.when(k <= 0, F.lit(1.0)).otherwise(F.least(tail, F.lit(1.0)))
+    # a hit count at or below the smallest possible one is certain
+    certain = (k <= 0) | (k <= n + m - t)
+    staged = df.withColumn("__first", F.exp(logs))
+    return staged.withColumn(out, F.when(certain, F.lit(1.0)).otherwise(F.least(tail, F.lit(1.0)))).drop("__first")
+
+
+def corr_or_null(x: ColumnLike, y: ColumnLike) -> Column:
+    """Pearson correlation over pairs with both values; null when one side does not vary."""
+    both = col(x).isNotNull() & col(y).isNotNull()
+    a, b = F.when(both, col(x).cast("double")), F.when(both, col(y).cast("double"))
+    r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
 
 
 # fixed values: the lambda grid of the q-value method (Storey and Tibshirani 2003)

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdframe.functions.base import ColumnLike, all_of, col, n_distinct
+from herdframe.functions.stats import corr_or_null
 from herdframe.operators.keys import attach, null_safe_join
 from herdframe.operators.ordered import global_median
 
@@ -107,26 +108,25 @@ def share_of_total(df: DataFrame, by: list[str]) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlations of all column pairs, pairwise complete, one scan, long form."""
     pairs = list(combinations(cols, 2))
-    stats = df.agg(*[_pair_corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    stats = df.agg(*[corr_or_null(a, b).alias(f"{a}|{b}") for a, b in pairs])
     cells = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"`{a}|{b}`").alias("r")) for a, b in pairs]
     return stats.select(F.inline(F.array(*cells)))
 
 
-def _pair_corr(a: str, b: str) -> Column:
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    return F.corr(F.when(both, F.col(a)), F.when(both, F.col(b)))
-
-
 def simple_regression(df: DataFrame, by: list[str], y: str, x: str) -> DataFrame:
-    """Slope, intercept, standard error of the slope, R2 and n of y on x per group."""
+    """Slope, intercept, standard error of the slope, R2 and n of y on x per group; null where x does not vary."""
     fit = df.groupBy(*by).agg(
-        F.regr_count(y, x).alias("n"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
-        F.regr_r2(y, x).alias("r2"), F.regr_sxx(y, x).alias("__sxx"), F.regr_syy(y, x).alias("__syy"),
-        F.regr_sxy(y, x).alias("__sxy"),
+        F.regr_count(y, x).alias("n"), F.regr_avgx(y, x).alias("__mx"), F.regr_avgy(y, x).alias("__my"),
+        F.regr_sxx(y, x).alias("__sxx"), F.regr_syy(y, x).alias("__syy"), F.regr_sxy(y, x).alias("__sxy"),
+    )
+    sxx, syy, sxy = F.col("__sxx"), F.col("__syy"), F.col("__sxy")
+    fit = fit.withColumn("slope", F.try_divide(sxy, sxx))
+    sse = F.greatest(syy - F.col("slope") * sxy, F.lit(0.0))
+    return fit.select(
+        *by, "n", "slope", (F.col("__my") - F.col("slope") * F.col("__mx")).alias("intercept"),
+        F.try_divide(sxy * sxy, sxx * syy).alias("r2"),
+        F.when(F.col("n") > 2, F.sqrt(F.try_divide(F.try_divide(sse, F.col("n") - 2), sxx))).alias("se"),
     )
-    sse = F.greatest(F.col("__syy") - F.try_divide(F.col("__sxy") * F.col("__sxy"), F.col("__sxx")), F.lit(0.0))
-    se = F.when(F.col("n") > 2, F.sqrt(F.try_divide(sse / (F.col("n") - 2), F.col("__sxx"))))
-    return fit.withColumn("se", se).drop("__sxx", "__syy", "__sxy")
 
 
 def summary_of(df: DataFrame, by: list[str], value: str) -> DataFrame:

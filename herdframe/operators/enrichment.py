@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdframe.functions.stats import hypergeom_sf
+from herdframe.functions.stats import with_hypergeom_sf
 from herdframe.functions.text import marker_label
 from herdframe.operators.aggregates import joined_list
 from herdframe.operators.gwas import bh_adjust
 from herdframe.operators.keys import null_safe_join
+from herdframe.session import cut_lineage
 
 
 def term_enrichment(hits: DataFrame, terms: DataFrame, item: str, term: str, by: list[str]) -> DataFrame:
@@ -25,8 +26,9 @@ def term_enrichment(hits: DataFrame, terms: DataFrame, item: str, term: str, by:
     both = drawn.join(pairs, item).groupBy(*by, term).agg(F.count(F.lit(1)).alias("intersection_size"))
     total = universe.agg(F.count(F.lit(1)).alias("n"))
     out = null_safe_join(both.join(sizes, term), query, by).withColumn("universe_size", total.scalar())
-    out = out.withColumn("p_value", hypergeom_sf("intersection_size", "query_size", "term_size", "universe_size"))
-    return bh_adjust(out, "p_value", by, "p_adjusted")
+    out = with_hypergeom_sf(out, "intersection_size", "query_size", "term_size", "universe_size", "p_value")
+    # one row per dataset and term: stored, so that the adjustment does not compute the hits again
+    return bh_adjust(cut_lineage(out), "p_value", by, "p_adjusted")
 
 
 def intersecting_items(
@@ -49,8 +51,9 @@ def qtl_enrichment(hits: DataFrame, database: DataFrame, trait: str, record: str
     sizes = entries.groupBy(trait).agg(F.count(F.lit(1)).alias("n_trait"))
     total = entries.agg(F.count(F.lit(1)).alias("n"))
     out = null_safe_join(found.join(sizes, trait), query, by).withColumn("n_database", total.scalar())
-    out = out.withColumn("p_value", hypergeom_sf("n_annotations", "n_drawn", "n_trait", "n_database"))
-    return bh_adjust(out, "p_value", by, "p_adjusted")
+    out = with_hypergeom_sf(out, "n_annotations", "n_drawn", "n_trait", "n_database", "p_value")
+    # one row per dataset and term: stored, so that the adjustment does not compute the hits again
+    return bh_adjust(cut_lineage(out), "p_value", by, "p_adjusted")
 
 
 def enriched_trait_report(

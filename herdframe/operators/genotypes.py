@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdframe.functions.stats import chi2_1_sf
+from herdframe.functions.stats import chi2_1_sf, corr_or_null
 from herdframe.operators.keys import null_safe_join
 from herdframe.session import cut_lineage
 
@@ -295,7 +295,7 @@ def _tested_effect(df: DataFrame, by: list[str], regressors: list[str], y: str,
     se = F.when(ok, F.sqrt(sse / dof / sgg))
     out = swept.select(*by, "n", b.alias("b"), se.alias("se"), F.when(ok & (syy > 0), sgy * sgy / sgg / syy).alias("r2"))
     stat = F.when(F.col("se") > 0, F.col("b") / F.col("se"))
-    return out.withColumn("t", stat).withColumn("p", chi2_1_sf(F.col("t") * F.col("t")))
+    return out.withColumn("t", stat).withColumn("__t2", F.col("t") * F.col("t")).withColumn("p", chi2_1_sf("__t2")).drop("__t2")
 
 
 def snp_regression(
@@ -335,7 +335,7 @@ def pair_r2(pairs: DataFrame, geno: DataFrame, a: str, b: str) -> DataFrame:
     left = called.select(F.col("snp").alias(a), "animal", F.col("dosage").cast("double").alias("__x"))
     right = called.select(F.col("snp").alias(b), "animal", F.col("dosage").cast("double").alias("__y"))
     both = pairs.join(left, a).join(right, [b, "animal"])
-    r = F.corr("__x", "__y")
+    r = corr_or_null("__x", "__y")
     return both.groupBy(a, b).agg((r * r).alias("r2"))
 
 

@@ -35,12 +35,12 @@ def gc_adjust(df: DataFrame, p: str, by: list[str] | None = None, out: str = "ad
     """p-values of chi-square divided by the inflation factor."""
     by = by or []
     factors = inflation_factor(df, p, by)
-    adjusted = chi2_1_sf(chi2_1_isf(p) / F.col("__lambda"))
     if by:
         joined = null_safe_join(df, factors.withColumnRenamed("lambda", "__lambda"), by)
     else:
         joined = df.withColumn("__lambda", factors.scalar())
-    return joined.withColumn(out, adjusted).drop("__lambda")
+    staged = joined.withColumn("__chi2", chi2_1_isf(p)).withColumn("__chi2", F.col("__chi2") / F.col("__lambda"))
+    return staged.withColumn(out, chi2_1_sf("__chi2")).drop("__lambda", "__chi2")
 
 
 def pi0_table(df: DataFrame, p: str, by: list[str]) -> DataFrame:
@@ -107,17 +107,21 @@ def meta_analysis(df: DataFrame, by: list[str], beta: str = "beta", se: str = "s
     wr = 1 / (F.col(se) * F.col(se) + F.col("__tau2"))
     random = spread.groupBy(*by).agg(F.sum(wr).alias("__wr"), F.sum(wr * F.col(beta)).alias("__wbr"))
     joined = null_safe_join(fixed, random, by)
-    two_sided = lambda z: erfc(F.abs(z) / math.sqrt(2))
-    out = joined.select(
-        *by, "k",
-        beta_fe.alias("beta_fe"), F.sqrt(1 / F.col("__w")).alias("std_fe"),
-        two_sided(beta_fe * F.sqrt("__w")).alias("pvalue_fe"),
-        (F.col("__wbr") / F.col("__wr")).alias("beta_re"), F.sqrt(1 / F.col("__wr")).alias("std_re"),
-        two_sided(F.col("__wbr") / F.sqrt("__wr")).alias("pvalue_re"),
-        F.col("__q").alias("q_stat"), F.col("__tau2").alias("tau2"),
-        chi2_sf("__q", F.col("k") - 1).alias("pvalue_q"),
+    # intermediate results become columns before the long tail expressions use them
+    staged = joined.withColumns(
+        {
+            "beta_fe": beta_fe, "std_fe": F.sqrt(1 / F.col("__w")),
+            "beta_re": F.col("__wbr") / F.col("__wr"), "std_re": F.sqrt(1 / F.col("__wr")),
+            "__zf": F.abs(F.col("__wb")) / F.sqrt("__w") / math.sqrt(2),
+            "__zr": F.abs(F.col("__wbr")) / F.sqrt("__wr") / math.sqrt(2),
+        }
+    )
+    excess = F.when(F.col("__q") > 0, F.greatest(1 - (F.col("k") - 1) / F.col("__q"), F.lit(0.0))).otherwise(0.0)
+    return staged.select(
+        *by, "k", "beta_fe", "std_fe", erfc("__zf").alias("pvalue_fe"), "beta_re", "std_re",
+        erfc("__zr").alias("pvalue_re"), F.col("__q").alias("q_stat"), F.col("__tau2").alias("tau2"),
+        chi2_sf("__q", F.col("k") - 1).alias("pvalue_q"), excess.alias("i2"),
     )
-    return out.withColumn("i2", F.when(F.col("q_stat") > 0, F.greatest((F.col("q_stat") - (F.col("k") - 1)) / F.col("q_stat"), F.lit(0.0))).otherwise(0.0))
 
 
 def meta_input(df: DataFrame, snp: list[str], study: str, studies: list, beta: str = "beta", se: str = "se") -> DataFrame:

@@ -27,19 +27,24 @@ def _window(keys: list[str], order: list[str], reverse: bool, current: bool):
     return Window.partitionBy(*keys).orderBy(*cols).rowsBetween(Window.unboundedPreceding, last)
 
 
-def _carry(bins: DataFrame, by: list[str], levels: list[str], kinds: dict[str, str], reverse: bool) -> DataFrame:
+def _group_key(by: list[str]) -> dict[str, Column]:
+    """The group columns as one struct: never null itself, and structs with null fields compare equal, so plain
+    equality joins and windows can share one partitioning."""
+    return {"__by": F.struct(*by)} if by else {}
+
+
+def _carry(bins: DataFrame, outer: list[str], levels: list[str], kinds: dict[str, str], reverse: bool) -> DataFrame:
     """Value of all earlier bins for each bin, level by level."""
-    outer = by + levels[:-1]
-    w = _window(outer, levels[-1:], reverse, current=False)
-    local = bins.select(*outer, levels[-1], *[_AGG[k](F.col(o)).over(w).alias(o) for o, k in kinds.items()])
+    keys = outer + levels[:-1]
+    w = _window(keys, levels[-1:], reverse, current=False)
+    local = bins.select(*keys, levels[-1], *[_AGG[k](F.col(o)).over(w).alias(o) for o, k in kinds.items()])
     if len(levels) == 1:
         return local
-    upper = bins.groupBy(*outer).agg(*[_AGG[k](F.col(o)).alias(o) for o, k in kinds.items()])
-    above = _carry(upper, by, levels[:-1], kinds, reverse)
-    above = above.select(*outer, *[F.col(o).alias(f"__up_{o}") for o in kinds])
-    joined = null_safe_join(local, above, outer)
-    return joined.select(
-        *outer, levels[-1], *[_merge(k, F.col(f"__up_{o}"), F.col(o)).alias(o) for o, k in kinds.items()]
+    upper = bins.groupBy(*keys).agg(*[_AGG[k](F.col(o)).alias(o) for o, k in kinds.items()])
+    above = _carry(upper, outer, levels[:-1], kinds, reverse)
+    above = above.select(*keys, *[F.col(o).alias(f"__up_{o}") for o in kinds])
+    return local.join(above, keys, "left").select(
+        *keys, levels[-1], *[_merge(k, F.col(f"__up_{o}"), F.col(o)).alias(o) for o, k in kinds.items()]
     )
 
 
@@ -54,22 +59,23 @@ def running(
 ) -> DataFrame:
     """Add running sums, minima or maxima along ``order`` inside ``by``.
 
-    ``levels`` names bins from coarse to fine; each must be non-decreasing along ``order``.
+    ``levels`` names bins from coarse to fine; each must be known and non-decreasing along ``order``.
     ``values`` maps an output column to (``sum|min|max``, input). ``current=False`` leaves the row itself out.
     """
-    names = list(levels)
+    group = _group_key(by)
+    outer, names = list(group), list(levels)
     kinds = {out: kind for out, (kind, _) in values.items()}
     inputs = {f"__in_{out}": (F.col(src) if isinstance(src, str) else src) for out, (_, src) in values.items()}
-    rows = df.withColumns({**levels, **inputs})
-    bins = rows.groupBy(*by, *names).agg(*[_AGG[k](F.col(f"__in_{o}")).alias(o) for o, k in kinds.items()])
-    carried = _carry(bins, by, names, kinds, reverse)
-    carried = carried.select(*by, *names, *[F.col(o).alias(f"__up_{o}") for o in kinds])
-    joined = null_safe_join(rows, carried, by + names)
-    w = _window(by + names, order, reverse, current)
+    rows = df.withColumns({**group, **levels, **inputs})
+    bins = rows.groupBy(*outer, *names).agg(*[_AGG[k](F.col(f"__in_{o}")).alias(o) for o, k in kinds.items()])
+    carried = _carry(bins, outer, names, kinds, reverse)
+    carried = carried.select(*outer, *names, *[F.col(o).alias(f"__up_{o}") for o in kinds])
+    joined = rows.join(carried, outer + names, "left")
+    w = _window(outer + names, order, reverse, current)
     done = joined.withColumns(
         {o: _merge(k, F.col(f"__up_{o}"), _AGG[k](F.col(f"__in_{o}")).over(w)) for o, k in kinds.items()}
     )
-    return done.drop(*names, *[f"__up_{o}" for o in kinds], *[f"__in_{o}" for o in kinds])
+    return done.drop(*outer, *names, *[f"__up_{o}" for o in kinds], *[f"__in_{o}" for o in kinds])
 
 
 def position_bins(pos: str, width: int = 100_000) -> dict[str, Column]:
@@ -130,25 +136,25 @@ def global_median(df: DataFrame, by: list[str], value: str, out: str = "median",
 
 def middle_values(df: DataFrame, by: list[str], value: str, levels=value_bins) -> DataFrame:
     """The one or two middle values per group."""
+    group = _group_key(by)
+    outer = list(group)
     counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
     marks = levels(value)
     names = list(marks)
-    binned = counted.withColumns(marks)
-    bins = binned.groupBy(*by, *names).agg(F.sum("__n").alias("__n"))
-    totals = bins.groupBy(*by).agg(F.sum("__n").alias("__m"))
-    before = _carry(bins, by, names, {"__n": "sum"}, reverse=False).withColumnRenamed("__n", "__before")
+    binned = counted.withColumns({**group, **marks}).drop(*by)
+    bins = binned.groupBy(*outer, *names).agg(F.sum("__n").alias("__n"))
+    totals = bins.groupBy(*outer).agg(F.sum("__n").alias("__m"))
+    before = _carry(bins, outer, names, {"__n": "sum"}, reverse=False).withColumnRenamed("__n", "__before")
     low, high = F.floor((F.col("__m") + 1) / 2), F.floor((F.col("__m") + 2) / 2)
     start = F.coalesce(F.col("__before"), F.lit(0))
-    if by:
-        spans = null_safe_join(null_safe_join(bins, before, by + names), totals, by)
-    else:
-        spans = null_safe_join(bins, before, names).withColumn("__m", totals.scalar())
+    spans = bins.join(before, outer + names, "left")
+    spans = spans.join(totals, outer, "left") if by else spans.withColumn("__m", totals.scalar())
     wanted = spans.filter((start < high) & (start + F.col("__n") >= low)).drop("__n")
-    rows = null_safe_join(binned, wanted, by + names, "inner")
-    w = Window.partitionBy(*by, *names).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = binned.join(wanted, outer + names)
+    w = Window.partitionBy(*outer, *names).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = rows.withColumn("__to", start + F.sum("__n").over(w)).withColumn("__from", F.col("__to") - F.col("__n") + 1)
-    copies = (F.col("__from") <= low).cast("int") * (F.col("__to") >= low).cast("int") + (
-        (F.col("__from") <= high) & (F.col("__to") >= high)
-    ).cast("int")
-    picked = ranked.withColumn("__copies", copies).filter(F.col("__copies") > 0)
-    return picked.select(*by, F.explode(F.array_repeat(F.col(value), F.col("__copies"))).alias(value))
+    holds = lambda rank: ((F.col("__from") <= rank) & (F.col("__to") >= rank)).cast("int")
+    picked = ranked.withColumn("__copies", holds(low) + holds(high)).filter(F.col("__copies") > 0)
+    return picked.select(
+        *[F.col(f"__by.{c}").alias(c) for c in by], F.explode(F.array_repeat(F.col(value), F.col("__copies"))).alias(value)
+    )
