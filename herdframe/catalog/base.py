@@ -73,6 +73,29 @@ DERIVED: dict[str, str] = {
                case when c_custkey % 7 = 0 then concat('B', cast(c_custkey as string)) end as ref_id2,
                case when c_custkey % 11 = 0 then concat('R', cast(c_custkey as string)) end as ref_id3,
                case when c_custkey % 3 = 0 then 'bulk ASA' else 'direct' end as note from {customer}""",
+    "herd_files": """
+        select o_orderkey as rec, concat('F', cast(o_custkey % 20 as string)) as farm_id,
+               cast(year(o_orderdate) as bigint) as year, cast(o_orderdate as date) as score_date,
+               case when o_custkey % 3 = 0 then null else concat('r ', cast(o_custkey as string)) end
+                 as registration_number,
+               concat(' a', cast(o_custkey as string), '. ') as animal_id,
+               case when o_custkey % 5 = 0 then null else concat('b-', cast(o_custkey as string)) end as barcode
+        from {orders}""",
+    "joined_records": """
+        select o_orderkey as rec, concat('F', cast(o_custkey % 20 as string)) as farm_id, o_custkey as temp_id,
+               case when o_custkey % 2 = 1 then o_custkey end as lab_id, cast(year(o_orderdate) as bigint) as year,
+               cast(o_orderdate as date) as score_date,
+               case o_orderkey % 3 when 0 then '3 YEARS' when 1 then null else '5' end as age,
+               case when o_orderstatus = 'P' then null
+                    else concat('score ', cast(o_orderkey % 5 + 1 as string)) end as score,
+               case when o_orderkey % 4 = 0 then 'U' when o_custkey % 17 = 0 and o_orderkey % 5 = 0 then 'M'
+                    when o_custkey % 6 = 0 then 'B' else 'COW' end as sex,
+               case when o_custkey % 2 = 0 then 'ANGUS' else 'SIMAN' end as breed_code,
+               case when o_orderkey % 3 = 0 then 'blk' when o_orderkey % 3 = 1 then 'R' end as color,
+               case when o_orderkey % 2 = 0 then 'spring' else 'FALL' end as season,
+               case when o_orderkey % 5 = 0 then 'Y' when o_orderkey % 5 = 1 then 'FALSE' else 'NO' end as fescue,
+               case when o_orderkey % 29 = 0 then 'YES' end as sold
+        from {orders}""",
     "fractions": """
         select o_custkey as registration_number, substr(o_orderpriority, 1, 1) as brd,
                round(sum(o_totalprice) / max(t.tot), 6) as pct
