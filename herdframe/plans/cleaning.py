@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from herdframe.functions import records as R
 from herdframe.functions.base import if_else3, text_key
 from herdframe.functions.text import clean_numeric, extract, normalize_text, pad_left, strip_chars
-from herdframe.operators.aggregates import any_flag, conflict_to, find_dup, keep_consistent
+from herdframe.operators.aggregates import any_flag, conflict_to, find_dup
 from herdframe.operators.checks import verify
 from herdframe.operators.joins import id_cascade, resolve_multi_match
-from herdframe.operators.keys import null_safe_join
-from herdframe.operators.ordered import hash_bins, running
+from herdframe.operators.keys import attach, null_safe_join
+from herdframe.operators.ordered import dense_code, hash_bins, running
 from herdframe.operators.shape import add_missing_columns, stack_pairs
 from herdframe.operators.windows import fill_downup, impute_age
+from herdframe.session import cut_lineage
 
 IDS = ["registration_number", "animal_id", "barcode"]
 
@@ -58,7 +59,8 @@ def match_animals(keys: DataFrame, register: DataFrame, bulk: str = "RAAA|ASA|Te
         ("barcode", "ref_id3"), ("registration_number", "ref_id3"), ("registration_number", "breed_assoc_reg"),
         ("reg2", "reg"), ("reg2", "breed_assoc_reg"),
     ]
-    matched = id_cascade(keyed, [(a, register, b) for a, b in order], "lab_id")
+    # the key table is far smaller than the records and is read many times below: stored once
+    matched = cut_lineage(id_cascade(keyed, [(a, register, b) for a, b in order], "lab_id"))
     notes = register.select("lab_id", F.col("comment").rlike(bulk).alias("__bulk"))
     noted = matched.join(notes, "lab_id", "left").withColumn("__bulk", F.coalesce("__bulk", F.lit(False)))
     single = resolve_multi_match(noted, ["farm_id", *IDS], "lab_id", "__bulk").drop("__bulk", "reg2")
@@ -84,7 +86,7 @@ def attach_animals(rows: DataFrame, keys: DataFrame) -> DataFrame:
 def clean_farm_records(records: DataFrame, register: DataFrame, check: bool = True, **match) -> DataFrame:
     """Normalise, build the animal key, match it, put the ids back on the records."""
     rows = normalise_records(records)
-    keys = match_animals(animal_keys(rows), register, **match)
+    keys = cut_lineage(match_animals(animal_keys(rows), register, **match))
     out = attach_animals(rows, keys)
     return verify(out, F.col("temp_id").isNotNull(), "record without an animal") if check else out
 
@@ -118,17 +120,26 @@ def clean_joined(
     if extra is not None:
         rows = rows.unionByName(extra.withColumn("fescue", F.lit("YES")), allowMissingColumns=True)
     rows = ensure(rows, F.col("score").between(1, 5), "score")
-    rows = fill_downup(rows.withColumn("sex", R.sex_code("sex")), animal, ["year", "score_date"], ["sex"])
-    rows = ensure(keep_consistent(rows, animal, "sex"), maybe("sex", ["F", "M"]), "sex")
+    rows = rows.withColumns({"sex": R.sex_code("sex"), "color": R.color_code("color", R.breed_code("breed_code"), default_colors)})
+    rows = ensure(rows, maybe("sex", ["F", "M"]), "sex")
     rows = ensure(rows.withColumn("breed_code", R.breed_code("breed_code")), maybe("breed_code", R.BREEDS_ALLOWED), "breed")
-    rows = rows.withColumn("color", R.color_code("color", "breed_code", default_colors))
-    rows = fill_downup(ensure(rows, maybe("color", R.COLORS_ALLOWED), "color"), animal, ["year", "score_date"], ["color"])
+    rows = ensure(rows, maybe("color", R.COLORS_ALLOWED), "color")
+    rows = one_sex(rows, animal)
+    rows = fill_downup(rows, animal, ["year", "score_date"], ["color"])
     rows = ensure(rows, F.col("score_date").isNull() | (F.year("score_date") == F.col("year")), "year of score date")
     rows = rows.withColumn("season", R.season_code("season", "sex")).withColumn("fescue", R.fescue_code("fescue"))
     rows = ensure(rows, maybe("fescue", ["YES", "NO"]), "fescue").distinct()
     return impute_age(rows, animal)
 
 
+def one_sex(rows: DataFrame, animal: list[str]) -> DataFrame:
+    """Animals recorded with two sexes go; the others carry their one known sex on all rows. One aggregation does
+    what a fill followed by a consistency filter would do."""
+    facts = rows.groupBy(*animal).agg(F.min("sex").alias("__low"), F.max("sex").alias("__high"))
+    joined = attach(rows, facts, animal).filter(F.col("__low").eqNullSafe(F.col("__high")))
+    return joined.withColumn("sex", F.col("__low")).drop("__low", "__high")
+
+
 def herd_sheets(sheets: list[DataFrame], pairs: list[list[tuple[str, str]]], keep: list[str]) -> DataFrame:
     """Sheets with several (date, score) column pairs to one long table."""
     out = None
@@ -172,9 +183,8 @@ def clean_herd_sheets(
     rows = fill_downup(rows, ["registration_number"], ["score_date"], ["breed_code", "color", "lab_id"])
     rows = fill_downup(rows, ["registration_number", "score_date"], ["year"], ["age", "comment", "fescue", "season"])
     rows = rows.distinct().withColumn("breed_code", F.coalesce("breed_code", F.lit("CROS")))
-    rows = impute_age(rows, ["registration_number", "animal_id"])
+    # the filled table is read several times below
+    rows = cut_lineage(impute_age(rows, ["registration_number", "animal_id"]))
     rows = rows.withColumn("breed_code", R.breed_code("breed_code"))
     rows = conflict_to(rows, ["registration_number", "farm_id", "lab_id"], {"breed_code": "CROS"})
-    from herdframe.operators.ordered import dense_code
-
     return dense_code(rows, "registration_number", ["farm_id"], "temp_id")
