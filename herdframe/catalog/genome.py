@@ -230,7 +230,7 @@ _Z = """with m as (select snp, avg(dosage) as mu from genotypes group by snp), z
        from z a join z b on a.snp = b.snp and a.animal <= b.animal group by 1, 2 having round(abs(sum(a.c * b.c / a.v) / (select count(distinct snp) from z)), 6) > 0""",
 )
 def _(t):
-    out = Y.grm(t.genotypes, block=32, chunk=1024)
+    out = Y.grm(t.genotypes)
     return out.select("animal_i", "animal_j", r6("value").alias("value")).filter("value <> 0")
 
 

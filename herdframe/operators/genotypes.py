@@ -143,7 +143,7 @@ def standardise(geno: DataFrame, scale: bool = True) -> DataFrame:
     return called.join(stats, "snp").select("animal", "snp", ((F.col("dosage") - F.col("__mu")) / sd).alias("z"), "__v")
 
 
-def grm(geno: DataFrame, method: str = "standardised", block: int = 256, chunk: int = 65_536) -> DataFrame:
+def grm(geno: DataFrame, method: str = "standardised", block: int = 256, chunk: int = 32_768) -> DataFrame:
     """Genomic relationship as (animal_i, animal_j, value) with animal_i <= animal_j.
 
     ``standardised``: mean of products of standardised dosages. ``vanraden``: centred products over the summed

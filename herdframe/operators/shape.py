@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdframe.functions.base import all_of
+from herdframe.operators.keys import attach
 
 
 def add_missing_columns(df: DataFrame, cols: dict[str, str]) -> DataFrame:
@@ -130,12 +131,20 @@ def split_rows(df: DataFrame, source: str, out: str, sep: str = "; ") -> DataFra
     return df.withColumn(out, F.explode(F.split(F.col(source), re.escape(sep))))
 
 
-def nest(df: DataFrame, by: list[str], cols: list[str], out: str = "data") -> DataFrame:
-    return df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(out))
+def nest(df: DataFrame, by: list[str], cols: list[str], out: str = "data", max_items: int = 100_000) -> DataFrame:
+    """One row per group with its rows as a sorted list column.
+
+    A group above ``max_items`` rows becomes several rows (column ``slice``) that together hold all of it, so no
+    single cell or task has to carry a very large group.
+    """
+    sizes = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / max_items).cast("int").alias("__slices"))
+    sliced = attach(df.select(*by, *cols), sizes, by)
+    part = F.pmod(F.xxhash64(*cols), F.col("__slices")).cast("int").alias("slice")
+    return sliced.groupBy(*by, part).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(out))
 
 
 def unnest(df: DataFrame, source: str = "data") -> DataFrame:
-    return df.select(*[c for c in df.columns if c != source], F.inline(F.col(source)))
+    return df.select(*[c for c in df.columns if c not in (source, "slice")], F.inline(F.col(source)))
 
 
 def dosage_to_string(df: DataFrame, animal: str = "animal", snp: str = "snp", dosage: str = "dosage") -> DataFrame:

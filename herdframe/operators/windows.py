@@ -17,12 +17,14 @@ def fill_downup(df: DataFrame, keys: list[str], order: list[str], cols: list[str
     Windows run over one row per key and moment, so the rows of a hot key are spread over tasks.
     """
     moment, ties = order[0], order[1:]
-    known = {c: F.col(c).isNotNull() for c in cols}
-    rank = {c: F.struct(*[F.col(t) for t in ties], F.col(c)) for c in cols}
     aggs = []
     for c in cols:
-        aggs.append(F.max_by(F.col(c), F.when(known[c], rank[c])).alias(f"__last_{c}"))
-        aggs.append(F.min_by(F.col(c), F.when(known[c], rank[c])).alias(f"__first_{c}"))
+        if ties:
+            rank = F.when(F.col(c).isNotNull(), F.struct(*[F.col(t) for t in ties], F.col(c)))
+            last, first = F.max_by(F.col(c), rank), F.min_by(F.col(c), rank)
+        else:
+            last, first = F.max(c), F.min(c)
+        aggs += [last.alias(f"__last_{c}"), first.alias(f"__first_{c}")]
     days = df.groupBy(*keys, moment).agg(*aggs)
     w = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(moment))
     back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from herdframe.functions import records as R
 from herdframe.functions.base import text_key
-from herdframe.operators.aggregates import keep_group_size, keep_varying
+from herdframe.operators.aggregates import keep_group_size
 from herdframe.operators.checks import verify
 from herdframe.operators.joins import lookup_with_default, semi
-from herdframe.operators.ordered import dense_code
-from herdframe.operators.windows import fill_downup, keep_first, nearest_in_time, random_one, sample_fraction, trailing_mean
+from herdframe.operators.ordered import dense_code, hash_bins, running
+from herdframe.operators.windows import fill_downup, keep_first, nearest_in_time, random_one, trailing_mean
 
 
 @dataclass(frozen=True)
@@ -53,9 +53,14 @@ def contemporary_groups(records: DataFrame, rules: GroupRules | None = None, sco
     rules = rules or GroupRules()
     rows = prepare_females(records, rules, score_groups)
     rows = rows.withColumn("cg", text_key(*[p for p in rules.parts if p in rows.columns]))
-    if rules.min_size > 1:
-        rows = keep_group_size(rows, ["cg"], rules.min_size)
-    return keep_varying(rows, ["cg"], "score") if rules.varying else rows
+    if rules.min_size <= 1 and not rules.varying:
+        return rows
+    # size and spread of a group come from one aggregation
+    facts = rows.groupBy("cg").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
+    keep = F.col("n") >= rules.min_size
+    if rules.varying:
+        keep = keep & (F.col("low") < F.col("high"))
+    return rows.join(facts.filter(keep).select("cg"), "cg", "left_semi")
 
 
 def number_groups(df: DataFrame) -> DataFrame:
@@ -176,14 +181,15 @@ def validation_split(
 ) -> DataFrame:
     """All iterations in one table: the score of a random fraction of the animals is masked in each.
 
-    A frame of iterations times animals is never sorted as one: each iteration ranks its own digest of the animal.
+    Animals are ranked by a digest per iteration; all iterations run in the same job.
     """
-    out = None
-    for i in range(1, iterations + 1):
-        chosen = sample_fraction(data, animal, fraction, f"{seed}{i}").withColumn("__mask", F.lit(True))
-        marked = data.join(chosen, animal, "left").withColumns(
-            {score: F.when(F.col("__mask"), F.lit(mask)).otherwise(F.col(score)), "iter": F.lit(i)}
-        )
-        part = marked.drop("__mask")
-        out = part if out is None else out.unionByName(part)
-    return out
+    iters = F.explode(F.sequence(F.lit(1), F.lit(iterations))).alias("iter")
+    animals = data.select(animal).distinct()
+    size = animals.agg(F.round(F.count(F.lit(1)) * F.lit(fraction)).cast("bigint").alias("n"))
+    text = F.concat_ws("|", F.col(animal).cast("string"), F.concat(F.lit(seed), F.col("iter").cast("string")))
+    drawn = animals.select(animal, iters).withColumn("__digest", F.md5(text))
+    ranked = running(drawn, ["iter"], hash_bins("__digest"), ["__digest", animal], {"__rank": ("sum", F.lit(1))})
+    chosen = ranked.filter(F.col("__rank") <= size.scalar()).select(animal, "iter", F.lit(True).alias("__mask"))
+    copies = data.select("*", iters)
+    marked = copies.join(chosen, [animal, "iter"], "left")
+    return marked.withColumn(score, F.when(F.col("__mask"), F.lit(mask)).otherwise(F.col(score))).drop("__mask")
