@@ -20,6 +20,7 @@ from herdframe.operators.aggregates import tally
 from herdframe.operators.keys import null_safe_join
 from herdframe.operators.ordered import middle_values, running, tail_bins
 from herdframe.operators.shape import pivot_wider
+from herdframe.session import cut_lineage
 
 
 def inflation_factor(df: DataFrame, p: str, by: list[str] | None = None) -> DataFrame:
@@ -36,7 +37,8 @@ def gc_adjust(df: DataFrame, p: str, by: list[str] | None = None, out: str = "ad
     by = by or []
     factors = inflation_factor(df, p, by)
     if by:
-        joined = null_safe_join(df, factors.withColumnRenamed("lambda", "__lambda"), by)
+        # stored first: with the size of the factors known, the results need no shuffle for this join
+        joined = null_safe_join(df, cut_lineage(factors.withColumnRenamed("lambda", "__lambda")), by)
     else:
         joined = df.withColumn("__lambda", factors.scalar())
     staged = joined.withColumn("__chi2", chi2_1_isf(p)).withColumn("__chi2", F.col("__chi2") / F.col("__lambda"))
@@ -66,10 +68,11 @@ def qvalue(df: DataFrame, p: str, by: list[str] | None = None, out: str = "q", p
     counts = known.groupBy(*by, p).agg(F.count(F.lit(1)).alias("__n"))
     ranked = running(counts, by, tail_bins(p), [p], {"__rank": ("sum", "__n")})
     if by:
-        ranked = null_safe_join(ranked, stats, by)
+        ranked = null_safe_join(ranked, cut_lineage(stats), by)
     else:
         ranked = ranked.withColumns({"__m": stats.select("__m").scalar(), "__pi0": stats.select("__pi0").scalar()})
-    raw = ranked.withColumn("__raw", F.col(p) * F.col("__m") / F.col("__rank"))
+    # one row per distinct p: read twice by the second pass, so it is stored once
+    raw = cut_lineage(ranked.withColumn("__raw", F.col(p) * F.col("__m") / F.col("__rank")))
     steps = running(raw, by, tail_bins(p), [p], {"__low": ("min", "__raw")}, reverse=True)
     q = steps.select(*by, p, (F.col("__pi0") * F.least(F.col("__low"), F.lit(1.0))).alias(out))
     return null_safe_join(df, q, [*by, p])
@@ -147,7 +150,7 @@ def genome_offsets(df: DataFrame, chrom: str = "chr", pos: str = "pos") -> DataF
 
 
 def cumulative_position(df: DataFrame, chrom: str = "chr", pos: str = "pos") -> DataFrame:
-    joined = df.join(genome_offsets(df, chrom, pos).drop("length"), chrom, "left")
+    joined = df.join(cut_lineage(genome_offsets(df, chrom, pos).drop("length")), chrom, "left")
     return joined.withColumn("pos_cum", F.col(pos) + F.col("offset")).drop("offset")
 
 
@@ -183,7 +186,7 @@ def qq_points(df: DataFrame, p: str, by: list[str] | None = None) -> DataFrame:
     counts = ok.groupBy(*by, p).agg(F.count(F.lit(1)).alias("__n"))
     ranked = running(counts, by, tail_bins(p), [p], {"__to": ("sum", "__n")})
     totals = tally(ok, by, "__m")
-    ranked = null_safe_join(ranked, totals, by) if by else ranked.withColumn("__m", totals.scalar())
+    ranked = null_safe_join(ranked, cut_lineage(totals), by) if by else ranked.withColumn("__m", totals.scalar())
     rows = ranked.withColumn("rank", F.explode(F.sequence(F.col("__to") - F.col("__n") + 1, F.col("__to"))))
     a = F.when(F.col("__m") <= 10, F.lit(0.375)).otherwise(F.lit(0.5))
     expected = (F.col("rank") - a) / (F.col("__m") + 1 - 2 * a)
