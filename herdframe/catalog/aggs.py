@@ -187,7 +187,8 @@ def _(t):
 
 @query(
     "E14_summary_of_slopes",
-    """with s as (select iter, grp, regr_slope(solution_full, solution_reduced) as slope from evaluations group by iter, grp)
+    """with s as (select iter, grp, case when regr_sxx(solution_full, solution_reduced) > 0 then regr_slope(solution_full, solution_reduced) end as slope
+         from evaluations group by iter, grp)
        select grp, round(min(slope), 6) as min, round(avg(slope), 6) as mean, round(max(slope), 6) as max,
        round(stddev_samp(slope), 6) as sd from s group by grp""",
 )

@@ -70,7 +70,7 @@ def _(t):
 
 @query(
     "J19_dispersion",
-    """select iter, grp as "group", round(regr_slope(solution_full, solution_reduced), 6) as slope, regr_count(solution_full, solution_reduced) as n from evaluations group by all""",
+    """select iter, grp as "group", case when regr_sxx(solution_full, solution_reduced) > 0 then round(regr_slope(solution_full, solution_reduced), 6) end as slope, regr_count(solution_full, solution_reduced) as n from evaluations group by all""",
 )
 def _(t):
     return E.dispersion(aligned(t), ["iter", "group"]).select("iter", "group", r6("slope").alias("slope"), "n")
@@ -80,7 +80,7 @@ def _(t):
     "J20_lr_accuracy",
     """with f as (select c_custkey as k, (c_custkey % 10) / 100.0::double as f from customer), c as (select iter, covar_samp(solution_full, solution_reduced) as cov from evaluations group by iter),
        m as (select iter, avg(f) as f from evaluations join f on full_reg = k where grp = 'dropped' group by iter)
-       select c.iter, round(sqrt(cov / ((1 - f) * (10 + c.iter))), 6) as accuracy from c join m on c.iter = m.iter""",
+       select c.iter, round(sqrt(cov / ((1 - f) * (10 + c.iter))), 6) as accuracy from c left join m on c.iter = m.iter""",
 )
 def _(t):
     f = t.customer.select(F.col("c_custkey").alias("full_reg"), ((F.col("c_custkey") % 10) / 100.0).alias("f"))
