@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from herdframe.llm import sharding
+from herdframe.llm import sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -24,3 +24,17 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), shards=40)
+
+
+@query
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(table(spark, folder, "pages"))
+
+
+SQL["op10_warc"] = """
+    with p as (select page_id, coalesce(html, '') as t, sha1(coalesce(html, '')) as d, octet_length(encode(coalesce(html, ''))) as b from pages),
+    m as (select d, max(page_id) as top from p where b >= 1000 group by d)
+    select page_id, cast(b as bigint) as payload_bytes, p.d as payload_digest,
+           case when top is null or page_id is null or top = page_id then 'response' else 'revisit' end as record_type,
+           case when top <> page_id then top end as refers_to
+    from p left join m on p.d = m.d and b >= 1000"""
