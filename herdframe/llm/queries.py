@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from herdframe.llm import sharding, warc
+from herdframe.llm import embeddings, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,3 +38,22 @@ SQL["op10_warc"] = """
            case when top is null or page_id is null or top = page_id then 'response' else 'revisit' end as record_type,
            case when top <> page_id then top end as refers_to
     from p left join m on p.d = m.d and b >= 1000"""
+
+
+@query
+def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
+SQL["op9_embedding_near_dedup"] = """
+    with recursive v as (
+        select vec_id, label, cast(embedding as double[]) as v from embeddings
+        where label is not null and embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+    e as materialized (select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+          where list_cosine_similarity(a.v, b.v) >= 0.98),
+    r as (select vec_id as a, vec_id as c from embeddings union select e.a, r.c from e join r on e.b = r.a),
+    c as (select a, min(c) as c from r group by a),
+    n as (select a, count(*) as n from e group by a)
+    select vec_id, cast(coalesce(n, 0) as bigint) as n_links, c as component_id, vec_id = c as kept
+    from embeddings left join n on vec_id = n.a left join c on vec_id = c.a"""
