@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdframe.llm import chat, embeddings, mixing, sharding, warc
+from herdframe.llm import chat, embeddings, mixing, quality, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +74,8 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.copies(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
