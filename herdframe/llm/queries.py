@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdframe.llm import chat, embeddings, mixing, quality, sharding, warc
+from herdframe.llm import chat, decontaminate, embeddings, licenses, mixing, quality, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,3 +79,13 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

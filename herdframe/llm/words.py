@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,7 @@ import xxhash
 
 SHINGLE_WORDS = 5
 SLICE_BYTES = 4 << 20
+_EDGES = string.punctuation + "\u00ab\u00bb\u201c\u201d\u201e\u2018\u2019\u2013\u2014\u2026\u00bf\u00a1"
 _MULTIPLIERS = np.random.default_rng(20240).integers(1, 1 << 63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -101,3 +103,18 @@ def signatures(values: np.ndarray, starts: np.ndarray, hashes: int) -> np.ndarra
 def list_column(values: np.ndarray, starts: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column from flat values."""
     return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(values, kind))
+
+
+def bare_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-case words without punctuation at their ends, and where each text's words begin; words of punctuation alone are left out."""
+    flat, starts = split_words(texts)
+    coded = flat.dictionary_encode()
+    bare = [w.strip(_EDGES) for w in coded.dictionary.to_pylist()]
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in bare), np.uint64, len(bare))
+    full = np.fromiter((len(w) > 0 for w in bare), bool, len(bare))
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    if not len(codes):
+        return np.zeros(0, np.uint64), starts
+    kept = full[codes]
+    before = np.concatenate([[0], np.cumsum(kept)])
+    return hashes[codes[kept]], before[starts]
