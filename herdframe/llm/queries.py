@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdframe.llm import chat, decontaminate, embeddings, licenses, mixing, quality, sharding, warc
+from herdframe.llm import chat, decontaminate, embeddings, licenses, mixing, quality, sharding, similar, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,8 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar.jaccard_join(table(spark, folder, "documents"))
