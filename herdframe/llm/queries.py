@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdframe.llm import chat, decontaminate, embeddings, licenses, mixing, quality, sharding, similar, warc
+from herdframe.llm import chat, decontaminate, embeddings, licenses, mixing, quality, sharding, similar, suffix_tree, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar.jaccard_join(table(spark, folder, "documents"))
+
+
+@query
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.score_texts(table(spark, folder, "documents"))
