@@ -1,31 +1,61 @@
 """Corpus pipeline: quality classifier, near-duplicate join, decontamination, source mixing, sharding.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again for the next stage. All stages but the
-last return the columns of ``documents``.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again for the next stage. All stages but
+the last return the columns of ``documents``; ``labels`` and ``benchmark`` are read from the folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from herdframe.llm import sharding
+from herdframe.llm import decontaminate, mixing, quality, sharding, similar
 from herdframe.session import cut_lineage
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject; it learns from the labelled documents of its input."""
+    return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return similar.keep_one(docs)
+
+
+def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a test item."""
+    return decontaminate.drop_leaks(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or up to three times."""
+    return mixing.mix(docs)
+
+
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row gets its shard and its slot in it."""
     return sharding.shard_documents(docs, shards=40)
 
 
-STAGES = [("sharding", shard)]
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("benchmark decontamination", keep_unleaked),
+    ("mixing sources to target weights", mix_sources),
+    ("sharding", shard),
+]
 
-#: The learned and random stages have no SQL; tests/llm compares each with a brute-force version.
+#: Learned and random stages have no SQL; tests/llm compares the stages with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    docs = _table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
