@@ -7,14 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdframe.llm.groups import components, forest
+from herdframe.llm.groups import components, forest, whole_groups
 from herdframe.session import cut_lineage
 
 THRESHOLD = 0.98
-BITS = 14
 RECALL = 0.9999
 BLOCK_ROWS = 1024
 _STRIPE = 256
@@ -26,6 +26,11 @@ def tables_for(threshold: float, bits: int, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - same))
 
 
+def bits_for(rows: int) -> int:
+    """Bits of a sign pattern: about one bucket per vector, so that unlike vectors rarely meet however many there are."""
+    return min(30, max(8, math.ceil(math.log2(rows + 1))))
+
+
 def _planes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, bits * tables))
 
@@ -56,15 +61,12 @@ def _links(dealt: DataFrame, threshold: float) -> DataFrame:
     A pair counts in the first table in which it shares a bucket, so over all buckets it counts once.
     """
 
-    def verify(_, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.reset_index(drop=True)
-        cls, copies, keys = part["cls"].to_numpy(), part["copies"].to_numpy(), np.stack(part["keys"].to_list())
-        side, table = part["side"].to_numpy(), int(part["tbl"].iat[0])
-        sizes = part["vec"].map(len).to_numpy()
-        count, ea, eb = np.zeros(len(part), np.int64), [], []
+    def verify(vec: np.ndarray, at: np.ndarray, cls: np.ndarray, copies: np.ndarray, keys: np.ndarray, side: np.ndarray, table: int) -> list[tuple]:
+        sizes = np.diff(at)
+        count, ea, eb = np.zeros(len(cls), np.int64), [], []
         for dim in np.unique(sizes):
             rows = np.flatnonzero(sizes == dim)
-            x = np.stack(part["vec"].iloc[rows].to_list())
+            x = vec[at[rows][:, None] + np.arange(dim)]
             norms = np.sqrt((x * x).sum(1))
             for s in range(0, len(rows), _STRIPE):
                 mine = rows[s : s + _STRIPE]
@@ -73,21 +75,36 @@ def _links(dealt: DataFrame, threshold: float) -> DataFrame:
                 a, b = mine[i], rows[j]
                 use = (a < b) & ((side[a] == 2) | (side[a] != side[b]))
                 a, b = a[use], b[use]
-                if table:
-                    new = np.ones(len(a), bool)
-                    for t in range(table):
-                        new &= keys[a, t] != keys[b, t]
-                    a, b = a[new], b[new]
+                new = np.ones(len(a), bool)
+                for t in range(table if len(a) else 0):
+                    new &= keys[a, t] != keys[b, t]
+                a, b = a[new], b[new]
                 np.add.at(count, a, copies[b])
                 np.add.at(count, b, copies[a])
-                ra, rb = forest(len(part), a, b)
+                ra, rb = forest(len(cls), a, b)
                 ea.append(ra)
                 eb.append(rb)
-        a, b = forest(len(part), np.concatenate(ea), np.concatenate(eb))
+        a, b = forest(len(cls), np.concatenate(ea), np.concatenate(eb))
         got = np.flatnonzero(count)
-        return pd.DataFrame({"edge": np.repeat([0, 1], [len(got), len(a)]).astype(np.int32), "cls": np.concatenate([cls[got], cls[a]]), "n": np.concatenate([count[got], cls[b]])})
-
-    return dealt.groupBy("tbl", "bucket", "lo", "hi").applyInPandas(verify, "edge int, cls long, n long")
+        return [(0, cls[got], count[got]), (1, cls[a], cls[b])]
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_groups(batches, ["tbl", "bucket", "lo", "hi"]):
+            table, ends, flat = part["tbl"].to_numpy(), part.pop("ends"), part["vec"]
+            vec, at = flat.flatten().to_numpy(), flat.offsets.to_numpy().astype(np.int64)
+            at = at - at[0]
+            keys = part["keys"].flatten().to_numpy().reshape(len(table), -1)
+            cls, copies, side = (part[c].to_numpy() for c in ("cls", "copies", "side"))
+            out: list[tuple] = []
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                if b - a > 1:
+                    out += verify(vec, at[a : b + 1], cls[a:b], copies[a:b], keys[a:b], side[a:b], int(table[a]))
+            if out:
+                kind = np.repeat([k for k, _, _ in out], [len(x) for _, x, _ in out]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate([x for _, x, _ in out])), pa.array(np.concatenate([y for _, _, y in out]))], names=["edge", "cls", "n"])
+
+    place = ["tbl", "bucket", "lo", "hi"]
+    return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(stream, "edge int, cls long, n long")
 
 
 def _deal(hashed: DataFrame, block_rows: int) -> DataFrame:
@@ -107,12 +124,12 @@ def _deal(hashed: DataFrame, block_rows: int) -> DataFrame:
 
 
 def near_duplicates(
-    vectors: DataFrame, threshold: float = THRESHOLD, bits: int = BITS, recall: float = RECALL, seed: int = 7, block_rows: int = BLOCK_ROWS
+    vectors: DataFrame, threshold: float = THRESHOLD, bits: int | None = None, recall: float = RECALL, seed: int = 7, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Links between vectors of equal label with cosine at or above ``threshold`` (>= in double precision).
 
     Takes vec_id, embedding, label; returns vec_id, n_links, component_id, kept, one row per input row. Equal vectors of a label are
-    one class, whose copies link with each other without being paired. A pair of classes at the threshold shares a bucket with
+    one class, whose copies link with each other without being paired. ``bits`` follows the number of classes if not given. A pair of classes at the threshold shares a bucket with
     probability ``recall``; pairs in a bucket are always verified, in blocks of bounded size. Null labels and vectors that are null, empty, zero or
     hold null or non-finite components link with nothing; vectors of different length neither. Repeated vec_ids are
     rows of their own that share a component; an empty table gives an empty result.
@@ -126,6 +143,7 @@ def near_duplicates(
     known = rows.filter("digest is not null")
     classes = known.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("vec").alias("vec"))
     classes = cut_lineage(classes.withColumn("cls", F.xxhash64("digest")))
+    bits = bits or bits_for(classes.count())
     tables = tables_for(threshold, bits, recall)
     hashed = cut_lineage(_sign_keys(classes.select("cls", "label", "copies", "vec"), bits, tables, seed))
     links = cut_lineage(_links(_deal(hashed, block_rows), threshold))

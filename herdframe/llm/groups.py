@@ -1,8 +1,11 @@
-"""Groups of linked rows: connected components as joins, and block pairs of large groups."""
+"""Groups of linked rows: connected components as joins, and streams of whole groups."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,21 +55,41 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rows, low[rows]
 
 
-def deal_blocks(df: DataFrame, group: str, member: str, size: int) -> DataFrame:
-    """Cut groups into blocks of about ``size`` rows and give each pair of blocks of a group one key.
+def whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[dict]:
+    """Columns of a sorted stream of batches, cut so that no group of equal ``by`` values (integers) is split; ``ends`` are the places where groups begin,
+    and the end. At most one batch and one group are held."""
+    held: list[pa.RecordBatch] = []
 
-    Returns the rows with ``pair`` (key of the two blocks, stable) and ``side`` (0: first block, 1: second, 2: both,
-    one block with itself). Rows of a group meet every other row of it in exactly one pair; a group of one block
-    is not copied. Members are dealt by hash, so blocks are even.
-    """
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
-    joined = df.join(counts, group)
-    blocks = F.ceil(F.col("__n") / size).cast("int")
-    rows = joined.withColumns({"__k": blocks, "__b": F.pmod(F.xxhash64(member, F.lit("block")), blocks).cast("int")})
-    other = F.explode(F.sequence(F.lit(0), F.col("__k") - 1))
-    rows = rows.withColumn("__o", other)
-    return rows.select(
-        *df.columns,
-        F.xxhash64(group, F.least("__b", "__o"), F.greatest("__b", "__o"), F.lit("pair")).alias("pair"),
-        F.when(F.col("__b") == F.col("__o"), 2).when(F.col("__b") < F.col("__o"), 0).otherwise(1).alias("side"),
-    )
+    def given(parts: list[pa.RecordBatch]) -> dict:
+        table = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        out = {c: table[c] for c in table.schema.names}
+        out["ends"] = _begins(table, by)
+        return out
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = int(_begins(batch, by)[-2])
+        if held:
+            same = all(held[-1][c][-1] == batch[c][0] for c in by)
+            if not same:
+                yield given(held)
+                held = []
+            elif last == 0:
+                held.append(batch)
+                continue
+        if last:
+            yield given([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield given(held)
+
+
+def _begins(batch: pa.RecordBatch, by: list[str]) -> np.ndarray:
+    new = np.zeros(batch.num_rows, bool)
+    new[0] = True
+    for c in by:
+        v = batch[c].to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.append(np.flatnonzero(new), batch.num_rows)
