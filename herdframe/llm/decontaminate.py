@@ -14,6 +14,7 @@ from herdframe.llm.words import bare_words, shingles, slices
 
 SEED_WORDS = 3
 SCORE = 0.5
+RARE_SHARE, RARE_LEAST = 1e-6, 50
 BLOCK_BYTES = 8 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 _CELLS = 1 << 20
@@ -38,17 +39,16 @@ class Items:
         order = np.argsort(runs, kind="stable")
         return cls(ids, words, starts, runs[order], owner[order], (np.arange(len(runs)) - at[owner])[order])
 
-    def rare(self, counts: dict[int, int]) -> Items:
-        """Only the rarer half of each item's seeds by how often they stand in the corpus, ties included: never none, however
-        often an item was copied."""
+    def rare(self, counts: dict[int | None, int]) -> Items:
+        """Without the seeds that are common in the corpus: those of more than ``RARE_LEAST`` occurrences and ``RARE_SHARE`` of all runs. The rarer half of
+        each item's seeds stays in any case, ties included, so an item that was copied very often keeps seeds."""
         n = np.array([counts.get(int(r), 0) for r in self.runs.view(np.int64)], np.int64)
-        limit = np.zeros(len(self.ids), np.int64)
         order = np.lexsort((n, self.owner))
         begin = np.searchsorted(self.owner[order], np.arange(len(self.ids) + 1))
-        for i in range(len(self.ids)):
-            if begin[i + 1] > begin[i]:
-                limit[i] = n[order[begin[i] + (begin[i + 1] - begin[i] - 1) // 2]]
-        keep = n <= limit[self.owner]
+        limit = np.zeros(len(self.ids))
+        full = np.flatnonzero(np.diff(begin))
+        limit[full] = n[order[(begin[full] + begin[full + 1] - 1) // 2]]
+        keep = n <= np.maximum(limit, max(RARE_LEAST, RARE_SHARE * counts.get(None, 0)))[self.owner]
         return Items(self.ids, self.words, self.starts, self.runs[keep], self.owner[keep], self.place[keep])
 
 
@@ -158,21 +158,23 @@ def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, pa.Array]]:
 
 
 def _prepared(docs: DataFrame, benchmark: DataFrame, size: int) -> Iterator[Items]:
-    """Blocks of items with their rare seeds; how often each seed stands in all texts is counted where they are read and summed."""
+    """Blocks of items with their rare seeds. How often each seed stands in all texts is counted where they are read and summed."""
     for ids, texts in _blocks(benchmark):
         items = Items.of(ids, texts, size)
         runs = np.unique(items.runs)
         table = _filter_table(runs)
 
         def count(batches: Iterator[pa.RecordBatch], runs: np.ndarray = runs, table: np.ndarray = table) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(len(runs), np.int64)
+            total, all_runs = np.zeros(len(runs), np.int64), 0
             for batch in batches:
                 for piece in slices(batch):
                     values, _ = shingles(*bare_words(piece["text"]), size)
+                    all_runs += len(values)
                     seen = values[_seen(values, runs, table)]
                     total += np.bincount(np.searchsorted(runs, seen), minlength=len(runs))
             some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(runs[some].view(np.int64)), pa.array(total[some])], names=["run", "n"])
+            keys = pa.array([*runs[some].view(np.int64).tolist(), None], pa.int64())
+            yield pa.RecordBatch.from_arrays([keys, pa.array([*total[some], all_runs], pa.int64())], names=["run", "n"])
 
         counted = docs.select("text").mapInArrow(_plain(count), "run long, n long").groupBy("run").agg(F.sum("n").alias("n")).toArrow()
         yield items.rare(dict(zip(counted["run"].to_pylist(), counted["n"].to_pylist(), strict=True)))
@@ -187,8 +189,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, size
     """Passages of ``docs`` that copy a test item, also with edits: doc_id, item_id, score, word_from, word_to (the word after the last).
 
     The score is that of the best local alignment of words divided by that of an exact copy; one row per document row and item at or above
-    ``score``. Words are lower-case without punctuation at their ends. Every passage that shares one of the rarer half of an item's runs of
-    ``size`` words with it is aligned. Items are taken in blocks of bounded size against all texts; texts are not shuffled. An item of fewer
+    ``score``. Words are lower-case without punctuation at their ends. Every passage that shares a run of
+    ``size`` words with an item that is not common in the corpus is aligned. Items are taken in blocks of bounded size against all texts; texts are not shuffled. An item of fewer
     words than a run matches only a text of the same words. Null and empty texts and items match nothing, null ids are
     returned as they are, repeated rows are each searched, empty tables give an empty result, other columns are ignored.
     """
