@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdframe.llm.groups import components, forest
-from herdframe.llm.words import SHINGLE_WORDS, distinct_sorted, list_column, shingles, signatures, slices, split_words, word_hashes
+from herdframe.llm.words import SHINGLE_WORDS, distinct_sorted, list_column, mix, shingles, signatures, slices, split_words, word_hashes
 from herdframe.session import cut_lineage
 
 SIMILARITY = 0.8
@@ -49,9 +49,9 @@ def _digests(values: np.ndarray, starts: np.ndarray) -> list[str]:
 
 
 def _labels(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """One label per text and tree: the top bits of its hashes side by side in one number, so label order is the order of
-    the prefix trie and a shorter prefix is a shift."""
-    top = (signatures(values, starts, TREES * LABEL_HASHES) >> np.uint64(64 - HASH_BITS)).reshape(-1, TREES, LABEL_HASHES)
+    """One label per text and tree: bits of its least hashes side by side in one number, so label order is the order of the prefix trie
+    and a shorter prefix is a shift. The least hashes of long texts are all small, so their bits are mixed first."""
+    top = (mix(signatures(values, starts, TREES * LABEL_HASHES)) >> np.uint64(64 - HASH_BITS)).reshape(-1, TREES, LABEL_HASHES)
     out = np.zeros(top.shape[:2], np.uint64)
     for k in range(LABEL_HASHES):
         out = (out << np.uint64(HASH_BITS)) | top[:, :, k]
