@@ -1,5 +1,6 @@
 """Distribution tails, genetic evaluation formulas and test statistics as native expressions.
 
+Plain arithmetic only, so that Spark compiles it; pass columns, not long expressions, where a value is used many times.
 Normal quantile: Wichura's AS241 (1988). Complementary error function: Cody (1969). Both about 1e-16 relative.
 """
 
@@ -55,76 +56,51 @@ CODY_LARGE = (
 CHI2_1_MEDIAN = 0.45493642311957283
 
 
-def _let(value: Column, fn) -> Column:
-    """Compute a value once and use it many times: a transform over an array of one element.
-
-    Long polynomials written out in full make generated methods too large to be compiled by the JVM; with bound
-    values and coefficient arrays the expression stays small.
-    """
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
-
-
-def _coefs(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+def _poly(conds: list[Column], tables: list[tuple], x: Column) -> Column:
+    """Horner's scheme in plain arithmetic. The table is chosen coefficient by coefficient, so nothing of the argument stands inside a
+    branch and Spark computes it once. Shorter tables are filled with leading zeros."""
+    width = max(len(t) for t in tables)
+    filled = [(0.0,) * (width - len(t)) + tuple(t) for t in tables]
+    out = None
+    for values in zip(*filled, strict=True):
+        c = F.lit(float(values[-1]))
+        for cond, value in reversed(list(zip(conds, values[:-1], strict=True))):
+            c = F.when(cond, F.lit(float(value))).otherwise(c)
+        out = c if out is None else out * x + c
+    return out
 
 
-def _poly(coefs: Column, x: Column) -> Column:
-    return F.aggregate(coefs, F.lit(0.0), lambda acc, c: acc * x + c)
-
-
-def _pick(conds: list[Column], pairs: list, x: Column) -> Column:
-    """Ratio of two polynomials, the pair chosen by the first condition that holds."""
-    top, low = F.when(conds[0], _coefs(pairs[0][0])), F.when(conds[0], _coefs(pairs[0][1]))
-    for cond, pair in zip(conds[1:], pairs[1:-1], strict=True):
-        top, low = top.when(cond, _coefs(pair[0])), low.when(cond, _coefs(pair[1]))
-    return _poly(top.otherwise(_coefs(pairs[-1][0])), x) / _poly(low.otherwise(_coefs(pairs[-1][1])), x)
+def _ratio(conds: list[Column], pairs: list, x: Column) -> Column:
+    return _poly(conds, [p[0] for p in pairs], x) / _poly(conds, [p[1] for p in pairs], x)
 
 
 def norm_ppf(p: ColumnLike) -> Column:
     """Standard normal quantile; null outside (0, 1)."""
-    pairs = [AS241_CENTRE, AS241_MIDDLE, AS241_TAIL]
-
-    def quantile(prob: Column) -> Column:
-        q = prob - 0.5
-
-        def by_tail(r: Column) -> Column:
-            conds = [F.abs(q) <= 0.425, r <= 5]
-            arg = F.when(conds[0], 0.180625 - q * q).when(conds[1], r - 1.6).otherwise(r - 5)
-            return _let(arg, lambda x: _pick(conds, pairs, x))
-
-        ratio = _let(F.sqrt(-F.log(F.least(prob, 1 - prob))), by_tail)
-        return ratio * F.when(F.abs(q) <= 0.425, q).otherwise(F.signum(q))
-
-    inside = F.when((col(p) > 0) & (col(p) < 1), col(p).cast("double"))
-    return F.when(inside.isNotNull(), _let(inside, quantile))
+    prob = F.when((col(p) > 0) & (col(p) < 1), col(p).cast("double"))
+    q = prob - 0.5
+    r = F.sqrt(-F.log(F.least(prob, 1 - prob)))
+    conds = [F.abs(q) <= 0.425, r <= 5]
+    x = F.when(conds[0], 0.180625 - q * q).when(conds[1], r - 1.6).otherwise(r - 5)
+    return _ratio(conds, [AS241_CENTRE, AS241_MIDDLE, AS241_TAIL], x) * F.when(conds[0], q).otherwise(F.signum(q))
 
 
 def erfcx(x: ColumnLike) -> Column:
     """exp(x^2) erfc(x) for x >= 0; does not underflow."""
-    pairs = [CODY_SMALL, CODY_MEDIUM, CODY_LARGE]
-
-    def scaled(y: Column) -> Column:
-        conds = [y <= 0.46875, y <= 4]
-        arg = F.when(conds[0], y * y).when(conds[1], y).otherwise(F.try_divide(F.lit(1.0), y * y))
-        ratio = _let(arg, lambda v: _pick(conds, pairs, v))
-        return _let(
-            ratio,
-            lambda r: F.when(conds[0], F.exp(y * y) * (1 - y * r))
-            .when(conds[1], r)
-            .otherwise((F.lit(1 / math.sqrt(math.pi)) - r / (y * y)) / y),
-        )
-
-    value = col(x).cast("double")
-    return F.when(value >= 0, _let(value, scaled))
+    y = F.when(col(x).cast("double") >= 0, col(x).cast("double"))
+    square = y * y
+    conds = [y <= 0.46875, y <= 4]
+    v = F.when(conds[0], square).when(conds[1], y).otherwise(1.0 / F.greatest(square, F.lit(16.0)))
+    ratio = _ratio(conds, [CODY_SMALL, CODY_MEDIUM, CODY_LARGE], v)
+    # exp(y^2) (1 - y ratio), ratio, (1/sqrt(pi) - ratio / y^2) / y: a constant part and a factor of the ratio
+    constant = F.when(conds[0], F.exp(square)).when(conds[1], 0.0).otherwise(1 / math.sqrt(math.pi) / y)
+    factor = F.when(conds[0], -F.exp(square) * y).when(conds[1], 1.0).otherwise(-1.0 / (square * y))
+    return constant + factor * ratio
 
 
 def erfc(x: ColumnLike) -> Column:
-
-    def tail(y: Column) -> Column:
-        upper = F.exp(-y * y) * erfcx(F.abs(y))
-        return F.when(y >= 0, upper).otherwise(2 - upper)
-
-    return _let(col(x).cast("double"), tail)
+    y = col(x).cast("double")
+    side = F.when(y >= 0, 1.0).otherwise(-1.0)
+    return (1 - side) + side * (F.exp(-y * y) * erfcx(F.abs(y)))
 
 
 def chi2_1_sf(x: ColumnLike) -> Column:
@@ -135,8 +111,9 @@ def chi2_1_sf(x: ColumnLike) -> Column:
 def chi2_1_isf(p: ColumnLike) -> Column:
     """Value with upper tail p; p = 1 gives 0, p = 0 gives infinity, outside gives null."""
     prob = col(p).cast("double")
-    z = norm_ppf(prob / 2)
-    return F.when(prob == 1, F.lit(0.0)).when(prob == 0, F.lit(float("inf"))).when(prob < 1, F.pow(z, F.lit(2.0)))
+    square = F.pow(norm_ppf(prob / 2), F.lit(2.0))
+    # adding nothing or null keeps the quantile outside of branches, where Spark computes its parts once
+    return F.coalesce(square, F.when(prob == 0, F.lit(float("inf")))) + F.when(prob <= 1, F.lit(0.0))
 
 
 def chi2_1_neglog10_sf(x: ColumnLike) -> Column:
@@ -213,12 +190,10 @@ def log_factorial(n: ColumnLike) -> Column:
     """ln n! : exact table below 10, Stirling series above (error under 1e-13)."""
     table = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(10)])
 
-    def value(x: Column) -> Column:
-        series = lambda inv: inv * (1 / 12 - inv * inv * (1 / 360 - inv * inv * (1 / 1260 - inv * inv / 1680)))
-        stirling = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + _let(1 / x, series)
-        return F.when(x < 10, F.try_element_at(table, (x + 1).cast("int"))).otherwise(stirling)
-
-    return _let(col(n).cast("double"), value)
+    x = col(n).cast("double")
+    series = lambda inv: inv * (1 / 12 - inv * inv * (1 / 360 - inv * inv * (1 / 1260 - inv * inv / 1680)))
+    stirling = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + series(1 / F.greatest(x, F.lit(1.0)))
+    return F.when(x < 10, F.try_element_at(table, (x + 1).cast("int"))).otherwise(stirling)
 
 
 def log_choose(n: ColumnLike, k: ColumnLike) -> Column:
