@@ -13,14 +13,10 @@ ROW = ["rec_a", "rec_b", "temp_id", "farm_id", "score_date"]
 
 @query(
     "F1_fill_downup",
-    """with k as (select temp_id, score_date, season, row(rec_a, rec_b, farm_id) as t from records where season is not null),
-       d as (select distinct temp_id, score_date from records),
-       f as (select d.temp_id, d.score_date,
-               coalesce(arg_max(k.season, (k.score_date, k.t)) filter (where k.score_date <= d.score_date),
-                        arg_min(k.season, (k.score_date, k.t)) filter (where k.score_date >= d.score_date)) as fill
-             from d left join k on d.temp_id = k.temp_id group by d.temp_id, d.score_date)
-       select r.rec_a, r.rec_b, r.temp_id, r.farm_id, r.score_date, coalesce(r.season, f.fill) as season
-       from records r join f on r.temp_id = f.temp_id and r.score_date = f.score_date""",
+    """select rec_a, rec_b, temp_id, farm_id, score_date,
+       coalesce(last_value(season ignore nulls) over (w rows between unbounded preceding and current row),
+                first_value(season ignore nulls) over (w rows between current row and unbounded following)) as season
+       from records window w as (partition by temp_id order by score_date, rec_a, rec_b, farm_id)""",
 )
 def _(t):
     out = W.fill_downup(t.records, ["temp_id"], ["score_date", "rec_a", "rec_b", "farm_id"], ["season"])
@@ -234,9 +230,10 @@ def _(t):
     return a.unionByName(b).distinct()
 
 
-@query("G3_difference", "select c_custkey as k from customer except select o_custkey from orders")
+@query("G3_difference", "select c_custkey as k from customer except select o_custkey from orders where o_orderpriority = '1-URGENT' and o_orderstatus <> 'O'")
 def _(t):
-    return t.customer.select(F.col("c_custkey").alias("k")).join(t.orders.select(F.col("o_custkey").alias("k")), "k", "left_anti")
+    some = t.orders.filter("o_orderpriority = '1-URGENT' and o_orderstatus <> 'O'").select(F.col("o_custkey").alias("k"))
+    return t.customer.select(F.col("c_custkey").alias("k")).join(some, "k", "left_anti")
 
 
 @query("G4_intersection", "select l_partkey as k from lineitem intersect select p_partkey from part where p_size > 25")

@@ -10,37 +10,34 @@ from herdframe.operators.ordered import position_bins, row_ids, running
 
 
 def fill_downup(df: DataFrame, keys: list[str], order: list[str], cols: list[str]) -> DataFrame:
-    """Fill nulls with the last known value before, else the first known value after, inside ``keys``.
+    """Fill nulls with the last known value before the row, else the first known value after it, inside ``keys``.
 
-    ``order[0]`` is the moment (usually a day); rows of one moment share what is known at that moment, the
-    remaining order columns pick between several values of the same moment. Null moments come last.
-    Windows run over one row per key and moment, so the rows of a hot key are spread over tasks.
+    Rows follow each other by all ``order`` columns, nulls of the first (usually a day) last, of the others first. Rows that
+    are equal in all of them share what is known among them (the largest value before, the smallest after). Days are bins of a key:
+    what earlier and later days know is carried over the table of days, and each day is scanned on its own, so the rows of a
+    hot key are spread over tasks.
     """
     moment, ties = order[0], order[1:]
-    aggs = []
-    for c in cols:
-        if ties:
-            rank = F.when(F.col(c).isNotNull(), F.struct(*[F.col(t) for t in ties], F.col(c)))
-            last, first = F.max_by(F.col(c), rank), F.min_by(F.col(c), rank)
-        else:
-            last, first = F.max(c), F.min(c)
-        aggs += [last.alias(f"__last_{c}"), first.alias(f"__first_{c}")]
-    days = df.groupBy(*keys, moment).agg(*aggs)
-    w = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(moment))
-    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    filled = days.select(
-        *keys, moment,
-        *[
-            F.coalesce(
-                F.last(f"__last_{c}", ignorenulls=True).over(back), F.first(f"__first_{c}", ignorenulls=True).over(ahead)
-            ).alias(f"__fill_{c}")
-            for c in cols
-        ],
-    )
-    joined = null_safe_join(df, filled, [*keys, moment])
-    out = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"__fill_{c}")) for c in cols})
-    return out.drop(*[f"__fill_{c}" for c in cols])
+    first = F.struct(F.col(moment).isNull().alias("late"), F.col(moment).alias("at"))
+    rows = df.withColumns({"__by": F.struct(*keys), "__bin": first, "__row": F.struct(*[F.col(t) for t in ties]) if ties else F.lit(0)})
+    marks = {c: F.when(F.col(c).isNotNull(), F.struct("__bin", "__row", F.col(c).alias("v"))) for c in cols}
+    days = rows.groupBy("__by", "__bin").agg(*[x for c in cols for x in (F.max(marks[c]).alias(f"__max_{c}"), F.min(marks[c]).alias(f"__min_{c}"))])
+    w = Window.partitionBy("__by").orderBy("__bin")
+    past, future = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    carried = days.select(
+        "__by", "__bin", *[x for c in cols for x in (F.max(f"__max_{c}").over(past).alias(f"__past_{c}"), F.min(f"__min_{c}").over(future).alias(f"__next_{c}"))]
+    )
+    day = Window.partitionBy("__by", "__bin").orderBy("__row")
+    back = day.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = day.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    joined = rows.join(carried, ["__by", "__bin"], "left")
+    filled = {
+        c: F.coalesce(
+            F.col(c), F.coalesce(F.max(marks[c]).over(back), F.col(f"__past_{c}"))["v"], F.coalesce(F.min(marks[c]).over(ahead), F.col(f"__next_{c}"))["v"]
+        )
+        for c in cols
+    }
+    return joined.select(*[filled[c].alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
