@@ -175,13 +175,13 @@ def _(t):
        round(regr_slope(solution_full, solution_reduced), 6) as slope,
        round(regr_intercept(solution_full, solution_reduced), 6) as intercept,
        round(regr_r2(solution_full, solution_reduced), 6) as r2,
-       round(sqrt((regr_syy(solution_full, solution_reduced) - regr_sxy(solution_full, solution_reduced)
+       case when count(*) > 2 then round(sqrt((regr_syy(solution_full, solution_reduced) - regr_sxy(solution_full, solution_reduced)
          * regr_sxy(solution_full, solution_reduced) / regr_sxx(solution_full, solution_reduced))
-         / (count(*) - 2) / regr_sxx(solution_full, solution_reduced)), 6) as se
-       from evaluations group by iter, grp having count(*) > 2""",
+         / (count(*) - 2) / regr_sxx(solution_full, solution_reduced)), 6) end as se
+       from evaluations group by iter, grp""",
 )
 def _(t):
-    out = A.simple_regression(t.evaluations, ["iter", "grp"], "solution_full", "solution_reduced").filter("n > 2")
+    out = A.simple_regression(t.evaluations, ["iter", "grp"], "solution_full", "solution_reduced")
     return out.select("iter", "grp", "n", *[r6(c).alias(c) for c in ("slope", "intercept", "r2", "se")])
 
 

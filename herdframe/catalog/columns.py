@@ -131,11 +131,10 @@ def _(t):
 
 @query(
     "B10_normalize_text",
-    r"""select doc_id, md5(trim(regexp_replace(upper(regexp_replace(text, '[^\x00-\x7F]', '', 'g')), '[ \t\n\x0B\f\r]+', ' ', 'g'))) as text_md5 from documents""",
+    r"""select doc_id, md5(trim(regexp_replace(upper(replace(text, 'ß', 'ss')), '[ \t\n\x0B\f\r]+', ' ', 'g'))) as text_md5 from documents""",
 )
 def _(t):
-    ascii_only = F.regexp_replace("text", r"[^\x00-\x7F]", "")
-    return t.documents.select("doc_id", F.md5(X.normalize_text(ascii_only)).alias("text_md5"))
+    return t.documents.select("doc_id", F.md5(X.normalize_text("text")).alias("text_md5"))
 
 
 @query(
@@ -200,19 +199,30 @@ def _(t):
 
 @query(
     "B16_infer_prefix",
-    """with d as (select c_custkey as k, cast(c_custkey * 7 as varchar) as num, case when c_custkey % 5 = 0 then 'SIM' end as own,
-         case c_custkey % 3 when 0 then 'HER' when 1 then 'AAA' end as s, case c_custkey % 4 when 0 then 'HER' when 1 then 'AAA' end as m from customer)
-       select k, case when own is not null then own || num when s = m and s = 'HER' then s || num
-         when (coalesce(s, '') = 'HER' or coalesce(m, '') = 'HER') and num like '4%' then 'HER' || num
-         when (coalesce(s, '') = 'AAA' or coalesce(m, '') = 'AAA') and num like '1%' then 'AAA' || num else num end as reg from d""",
+    """with d as (select c_custkey as k, case c_custkey % 7 when 0 then 'F' when 1 then 'EF' when 2 then 'M' when 3 then 'EM' else '' end || (c_custkey * 7) as num,
+         case when c_custkey % 11 = 0 then 'SIM' end as own, case when c_custkey % 13 = 0 then 'SAV1' else '5' end as calf,
+         coalesce(list_extract(['HER', 'AAA', 'CHA', 'RDP'], (c_custkey % 5)::int), '') as s, coalesce(list_extract(['HER', 'AAA', 'CHA', 'RDP'], (c_custkey // 5 % 5)::int), '') as m from customer),
+       r as (select *, case when own is not null then own when s = m and s in ('HER', 'CHA', 'RDP') then s when s = 'AAA' and m = 'AAA' and num like '1%' then 'AAA'
+         when 'HER' in (s, m) and num like '4%' then 'HER' end as base from d)
+       select k, coalesce(base, '') || num as animal,
+         coalesce(base, case when calf like 'SAV%' and num like '4%' then 'HER' when calf like 'SAV%' and num like 'M%' then 'CHA' when calf like 'SAV%' and num like '1%' then 'AAA'
+           when 'AAA' in (s, m) and num like '1%' then 'AAA' when s = 'CHA' and (num like 'M%' or num like 'EM%') then 'CHA' when m = 'CHA' and num like 'M%' then 'CHA'
+           when 'RDP' in (s, m) and num not like '1%' then 'RDP' end, '') || num as sire,
+         coalesce(base, case when 'AAA' in (s, m) and num like '1%' then 'AAA' when s = 'CHA' and (num like 'F%' or num like 'EF%') then 'CHA' when m = 'CHA' and num like 'F%' then 'CHA'
+           when 'RDP' in (s, m) and num not like '1%' then 'RDP' end, '') || num as dam from r""",
 )
 def _(t):
     k = F.col("c_custkey")
+    registries = F.array(F.lit(None).cast("string"), *map(F.lit, ["HER", "AAA", "CHA", "RDP"]))
     d = t.customer.select(
-        k.alias("k"), (k * 7).cast("string").alias("num"), F.when(k % 5 == 0, "SIM").alias("own"),
-        F.when(k % 3 == 0, "HER").when(k % 3 == 1, "AAA").alias("s"), F.when(k % 4 == 0, "HER").when(k % 4 == 1, "AAA").alias("m"),
+        k.alias("k"), F.concat(F.get(F.array(*map(F.lit, ["F", "EF", "M", "EM", "", "", ""])), (k % 7).cast("int")), (k * 7).cast("string")).alias("num"),
+        F.when(k % 11 == 0, "SIM").alias("own"), F.when(k % 13 == 0, "SAV1").otherwise("5").alias("calf"),
+        F.get(registries, (k % 5).cast("int")).alias("s"), F.get(registries, (F.floor(k / 5) % 5).cast("int")).alias("m"),
+    )
+    return d.select(
+        "k", X.infer_prefix("num", "own", "s", "m").alias("animal"), X.infer_prefix("num", "own", "s", "m", "sire", "calf").alias("sire"),
+        X.infer_prefix("num", "own", "s", "m", "dam").alias("dam"),
     )
-    return d.select("k", X.infer_prefix("num", "own", "s", "m", {"HER": "4", "AAA": "1"}).alias("reg"))
 
 
 @query(

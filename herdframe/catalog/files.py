@@ -139,7 +139,7 @@ def put_logs(t, label, text):
     rows = t.supplier.select(F.concat(F.lit("m"), "s_suppkey").alias("model"), F.split(text, "\n").alias("ls"))
     lines = rows.select("model", F.posexplode("ls").alias("i", "value"))
     # all lines of one log go to one file, in order
-    lines.repartition(16, "model").sortWithinPartitions("model", "i").select("model", "value").write.partitionBy("model").text(path)
+    lines.repartition("model").sortWithinPartitions("model", "i").select("model", "value").write.partitionBy("model").text(path)
     return path
 
 

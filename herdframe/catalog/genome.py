@@ -10,6 +10,7 @@ from herdframe.operators import enrichment as N
 from herdframe.operators import genotypes as Y
 from herdframe.operators import gwas as G
 from herdframe.operators import intervals as V
+from herdframe.session import cut_lineage
 
 
 def sql_poly(coefs, x):
@@ -124,22 +125,28 @@ def _(t):
              case when w - ww / w > 0 then greatest((greatest(wbb - wb * wb / w, 0) - (k - 1)) / (w - ww / w), 0) else 0 end as tau2 from f),
        r as (select g.snp, sum(1 / (v + tau2)) as wr, sum(b / (v + tau2)) as wbr from g join h on g.snp = h.snp group by g.snp)
        select h.snp, k, round(beta_fe, 6) as beta_fe, round(std_fe, 6) as std_fe, round(wbr / wr, 6) as beta_re, round(sqrt(1 / wr), 6) as std_re,
-       round(q, 4) as q_stat, round(tau2, 6) as tau2 from h join r on h.snp = r.snp""",
+       round(q, 4) as q_stat, round(tau2, 6) as tau2, round(case when q > 0 then greatest(1 - (k - 1) / q, 0) else 0 end, 6) as i2 from h join r on h.snp = r.snp""",
 )
 def _(t):
     out = G.meta_analysis(t.gwas, ["snp"])
-    cols = ["beta_fe", "std_fe", "beta_re", "std_re", "tau2"]
+    cols = ["beta_fe", "std_fe", "beta_re", "std_re", "tau2", "i2"]
     return out.select("snp", "k", *[r6(c).alias(c) for c in cols], r6("q_stat", 4).alias("q_stat"))
 
 
 @query(
     "J5_meta_pvalues",
-    f"""with g as (select snp, beta as b, se * se as v from gwas where study <= 3), f as (select snp, sum(b / v) / sqrt(sum(1 / v)) as z from g group by snp)
-       select snp, round(case when abs(z) < 7 then {ERFC.format(x="(abs(z) / sqrt(2))")} else 0 end, 6) as pvalue_fe from f""",
+    f"""with g as (select snp, beta as b, se * se as v from gwas),
+       f as (select snp, count(*) as k, sum(1 / v) as w, sum(b / v) as wb, greatest(sum(b * b / v) - sum(b / v) * sum(b / v) / sum(1 / v), 0) as q, sum(1 / v / v) as ww from g group by snp),
+       h as (select *, case when w - ww / w > 0 then greatest((q - (k - 1)) / (w - ww / w), 0) else 0 end as tau2 from f),
+       r as (select g.snp, sum(b / (v + tau2)) / sqrt(sum(1 / (v + tau2))) as zr from g join h on g.snp = h.snp group by g.snp),
+       x as (select h.snp, abs(wb / sqrt(w)) as zf, abs(zr) as zr, q / 2 as h, k - 1 as df from h join r on h.snp = r.snp)
+       select snp, round(case when zf < 7 then {ERFC.format(x="(zf / sqrt(2))")} else 0 end, 6) as pvalue_fe, round(case when zr < 7 then {ERFC.format(x="(zr / sqrt(2))")} else 0 end, 6) as pvalue_re,
+         round(case when df < 1 then null when h = 0 then 1 when df % 2 = 0 then list_sum(list_transform(range(0, df // 2), lambda i: exp(i * ln(h) - h - lgamma(i + 1))))
+           else case when h < 25 then {ERFC.format(x="sqrt(h)")} else 0 end + coalesce(list_sum(list_transform(range(0, (df - 1) // 2), lambda i: exp((i + 0.5) * ln(h) - h - lgamma(i + 1.5)))), 0) end, 6) as pvalue_q from x""",
 )
 def _(t):
-    out = G.meta_analysis(t.gwas.filter("study <= 3"), ["snp"])
-    return out.select("snp", r6("pvalue_fe").alias("pvalue_fe"))
+    out = G.meta_analysis(t.gwas, ["snp"])
+    return out.select("snp", *[r6(c).alias(c) for c in ("pvalue_fe", "pvalue_re", "pvalue_q")])
 
 
 @query(
@@ -221,33 +228,64 @@ def _(t):
 
 
 _Z = """with m as (select snp, avg(dosage) as mu from genotypes group by snp), z as (select animal, g.snp, dosage - mu as c, mu * (1 - mu / 2) as v
-    from genotypes g join m on g.snp = m.snp where dosage is not null and mu * (1 - mu / 2) > 0)"""
+    from genotypes g join m on g.snp = m.snp where dosage is not null and mu * (1 - mu / 2) > 0),
+    links as (select full_reg as a, full_reg as b from geno_ped union all select full_reg, sire_reg from geno_ped union all select full_reg, dam_reg from geno_ped union all select sire_reg, dam_reg from geno_ped),
+    pairs as (select distinct least(a, b) as i, greatest(a, b) as j from links)"""
+
+
+def relatives(t):
+    """Pairs the relationship is wanted for: animals with themselves, their parents, and the parents with each other."""
+    p = t.geno_ped
+    links = p.select("full_reg", "full_reg").unionAll(p.select("full_reg", "sire_reg")).unionAll(p.select("full_reg", "dam_reg")).unionAll(p.select("sire_reg", "dam_reg"))
+    return links.toDF("animal_i", "animal_j")
 
 
 @query(
     "J11_grm_standardised",
     f"""{_Z} select a.animal as animal_i, b.animal as animal_j, round(sum(a.c * b.c / a.v) / (select count(distinct snp) from z), 6) as value
-       from z a join z b on a.snp = b.snp and a.animal <= b.animal group by 1, 2 having round(abs(sum(a.c * b.c / a.v) / (select count(distinct snp) from z)), 6) > 0""",
+       from pairs join z a on a.animal = i join z b on b.animal = j and a.snp = b.snp group by 1, 2""",
 )
 def _(t):
-    out = Y.grm(t.genotypes)
-    return out.select("animal_i", "animal_j", r6("value").alias("value")).filter("value <> 0")
+    out = Y.grm(t.genotypes, relatives(t))
+    return out.select("animal_i", "animal_j", r6("value").alias("value"))
 
 
 @query(
     "J11_grm_vanraden",
     f"""{_Z} select a.animal as animal_i, b.animal as animal_j, round(sum(a.c * b.c) / (select sum(v) from (select distinct snp, v from z)), 6) as value
-       from z a join z b on a.snp = b.snp and a.animal <= b.animal group by 1, 2 having round(abs(sum(a.c * b.c) / (select sum(v) from (select distinct snp, v from z))), 6) > 0""",
+       from pairs join z a on a.animal = i join z b on b.animal = j and a.snp = b.snp group by 1, 2""",
 )
 def _(t):
-    out = Y.grm(t.genotypes, "vanraden")
-    return out.select("animal_i", "animal_j", r6("value").alias("value")).filter("value <> 0")
+    out = Y.grm(t.genotypes, relatives(t), "vanraden")
+    return out.select("animal_i", "animal_j", r6("value").alias("value"))
 
 
-@query("J12_pca")
+@query(
+    "J12_pca",
+    f"""{_Z.split(", links")[0]}, d as (select animal, snp, c / sqrt(v) as z from z)
+       select pc, count(distinct animal) as animals, count(distinct snp) as markers, round(sum(z * z), 3) as total, 1.0::double as norm, 0.0::double as product, 0.0::double as residual, true as ordered
+       from d, (select unnest([1, 2]) as pc) group by pc""",
+)
 def _(t):
-    out = Y.pca(t.genotypes, 2, rounds=6)
-    return out.select("animal", "pc", r6(F.abs("score"), 3).alias("score"), r6("share", 4).alias("share"))
+    """What makes scores principal components: unit length, no common part, and Z Z' score = eigenvalue * score."""
+    out = Y.pca(t.genotypes, 2)
+    scores = cut_lineage(out)
+    z = Y.standardise(t.genotypes).select("animal", "snp", "z")
+    total = z.agg(F.count_distinct("snp").alias("markers"), F.count_distinct("animal").alias("animals"), F.sum(F.col("z") * F.col("z")).alias("total"))
+    down = z.join(scores, "animal").groupBy("pc", "snp").agg(F.sum(F.col("z") * F.col("score")).alias("u"))
+    up = z.join(down, "snp").groupBy("pc", "animal").agg(F.sum(F.col("z") * F.col("u")).alias("w"))
+    wide = scores.groupBy("animal").pivot("pc", [1, 2]).agg(F.first("score"))
+    product = wide.agg(F.sum(F.col("1") * F.col("2")).alias("x"))
+    gap = F.col("w") / (F.col("eigenvalue") * F.lit(total.select("markers").first()[0])) - F.col("score")
+    per_pc = up.join(scores, ["pc", "animal"]).groupBy("pc").agg(
+        F.sum(F.col("score") * F.col("score")).alias("norm"), F.sqrt(F.sum(gap * gap)).alias("gap"), F.first("share").alias("share")
+    )
+    first = per_pc.agg(F.max(F.when(F.col("pc") == 1, F.col("share"))) >= F.max(F.when(F.col("pc") == 2, F.col("share"))))
+    near0 = lambda c, digits: F.when(F.abs(c) < 10.0**-digits, F.lit(0.0)).otherwise(c)
+    return per_pc.select(
+        "pc", *[total.select(c).scalar().alias(c) for c in ("animals", "markers")], r6(total.select("total").scalar(), 3).alias("total"), r6("norm").alias("norm"),
+        near0(product.scalar(), 6).alias("product"), near0(F.col("gap"), 2).alias("residual"), first.scalar().alias("ordered"),
+    )
 
 
 @query("J12_vector_pca")
@@ -256,64 +294,50 @@ def _(t):
     return out.select("vec_id", r6(F.abs(F.get("scores", 0)), 4).alias("pc1"), r6(F.abs(F.get("scores", 1)), 4).alias("pc2"))
 
 
+_EFFECT = """select snp, n, round(b, 10) as b, round(se, 10) as se, round(r2, 10) as r2, round(b / nullif(se, 0), 4) as t,
+    round(case when se > 0 then case when abs(b / se) < 7 then """ + ERFC.format(x="abs(b / se) / sqrt(2)") + """ else 0 end end, 6) as p
+    from (select snp, n, case when ok then gy / gg end as b, case when ok then sqrt(greatest(yy - gy * gy / gg, 0) / (n - k) / gg) end as se,
+          case when ok and yy > 0 then gy * gy / gg / yy end as r2 from f)"""
+
+
+def effect_columns(out):
+    return out.select("snp", "n", *[r6(c, 10).alias(c) for c in ("b", "se", "r2")], r6("t", 4).alias("t"), r6("p").alias("p"))
+
+
 @query(
     "J13_snp_regression",
-    """with d as (select snp, dosage as g, y from genotypes g join pheno p on g.animal = p.animal where dosage is not null),
-       r as (select snp, count(*) as n, regr_sxx(y, g) as sxx, regr_sxy(y, g) as sxy, regr_syy(y, g) as syy from d group by snp)
-       select snp, n, round(sxy / sxx, 10) as b, round(sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx), 10) as se, round(sxy * sxy / sxx / syy, 10) as r2 from r where sxx > 1e-9 and n > 3""",
+    f"""with d as (select snp, dosage as g, y from genotypes g join pheno p on g.animal = p.animal where dosage is not null),
+       f as (select snp, count(*) as n, 2 as k, regr_sxx(y, g) as gg, regr_sxy(y, g) as gy, regr_syy(y, g) as yy, regr_sxx(y, g) > 1e-10 * sum(g * g) and count(*) > 2 as ok from d group by snp) {_EFFECT}""",
 )
 def _(t):
-    out = Y.snp_regression(t.genotypes, t.pheno.select("animal", "y"), "y").filter("b is not null and n > 3")
-    return out.select("snp", "n", *[r6(c, 10).alias(c) for c in ("b", "se", "r2")])
+    return effect_columns(Y.snp_regression(t.genotypes, t.pheno.select("animal", "y"), "y"))
 
 
 @query(
     "J13_snp_regression_weighted_covariate",
-    """with d as (select snp, dosage as g, y, env as x, wt as w from genotypes g join pheno p on g.animal = p.animal where dosage is not null),
+    f"""with d as (select snp, dosage as g, y, env as x, wt as w from genotypes g join pheno p on g.animal = p.animal where dosage is not null),
        m as (select snp, sum(w) as sw, sum(w * g) / sum(w) as mg, sum(w * y) / sum(w) as my, sum(w * x) / sum(w) as mx, count(*) as n from d group by snp),
-       c as (select d.snp, n, sum(w * (g - mg) * (g - mg)) as gg, sum(w * (g - mg) * (x - mx)) as gx, sum(w * (x - mx) * (x - mx)) as xx, sum(w * (g - mg) * (y - my)) as gy, sum(w * (x - mx) * (y - my)) as xy
-             from d join m on d.snp = m.snp group by d.snp, n)
-       select snp, n, round((gy - gx * xy / xx) / (gg - gx * gx / xx), 5) as b from c where n > 5 and gg - gx * gx / xx > 1e-3""",
+       c as (select d.snp, n, sum(w * (g - mg) * (g - mg)) as gg, sum(w * (g - mg) * (x - mx)) as gx, sum(w * (x - mx) * (x - mx)) as xx, sum(w * (g - mg) * (y - my)) as gy, sum(w * (x - mx) * (y - my)) as xy,
+             sum(w * (y - my) * (y - my)) as yy, sum(w * g * g) as rg, sum(w * x * x) as rx from d join m on d.snp = m.snp group by d.snp, n),
+       f as (select snp, n, 3 as k, gg - gx * gx / nullif(xx, 0) as gg, gy - gx * xy / nullif(xx, 0) as gy, yy - xy * xy / nullif(xx, 0) as yy,
+             coalesce(n > 3 and xx > 1e-10 * rx and gg - gx * gx / nullif(xx, 0) > 1e-10 * rg, false) as ok from c) {_EFFECT}""",
 )
 def _(t):
-    out = Y.snp_regression(t.genotypes, t.pheno, "y", ["env"], "wt")
-    # the residual variation of the marker is r2-free information: b and se are kept where it is not rounding noise
-    base = t.genotypes.filter("dosage is not null").join(t.pheno, "animal").withColumn("w", F.col("wt"))
-    spread = base.groupBy("snp").agg(
-        F.sum("w").alias("sw"), F.sum(F.col("w") * F.col("dosage")).alias("sg"), F.sum(F.col("w") * F.col("env")).alias("sx"),
-        F.sum(F.col("w") * F.col("dosage") * F.col("dosage")).alias("sgg"), F.sum(F.col("w") * F.col("env") * F.col("env")).alias("sxx"),
-        F.sum(F.col("w") * F.col("dosage") * F.col("env")).alias("sgx"),
-    )
-    gg = F.col("sgg") - F.col("sg") * F.col("sg") / F.col("sw")
-    gx = F.col("sgx") - F.col("sg") * F.col("sx") / F.col("sw")
-    xx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("sw")
-    ok = spread.filter(F.when(xx > 1e-6, gg - gx * gx / xx) > 1e-3).select("snp")
-    return out.join(ok, "snp", "left_semi").filter("n > 5").select("snp", "n", r6("b", 5).alias("b"))
+    return effect_columns(Y.snp_regression(t.genotypes, t.pheno, "y", ["env"], "wt"))
 
 
 @query(
     "J14_gxe_regression",
-    """with d as (select snp, cast(dosage as double) as g, y, env as x, dosage * env as gx from genotypes g join pheno p on g.animal = p.animal where dosage is not null),
-       s1 as (select snp, count(*) as n, avg(x) as mx, avg(g) as mg, avg(gx) as mi, avg(y) as my, regr_slope(g, x) as bg, regr_slope(gx, x) as bi, regr_slope(y, x) as by_ from d group by snp),
-       r1 as (select d.snp, n, g - mg - bg * (x - mx) as rg, gx - mi - bi * (x - mx) as ri, y - my - by_ * (x - mx) as ry from d join s1 on d.snp = s1.snp),
-       s2 as (select snp, n, sum(rg * rg) as gg, sum(rg * ri) as gi, sum(ri * ri) as ii, sum(rg * ry) as gy, sum(ri * ry) as iy from r1 group by snp, n)
-       select snp, n, round((iy - gi * gy / gg) / (ii - gi * gi / gg), 4) as b from s2 where n > 12 and gg > 0.5 and ii - gi * gi / gg > 1""",
+    f"""with d as (select snp, cast(dosage as double) as g, y, env as x, dosage * env as gx from genotypes g join pheno p on g.animal = p.animal where dosage is not null),
+       s1 as (select snp, count(*) as n, avg(x) as mx, avg(g) as mg, avg(gx) as mi, avg(y) as my, regr_sxx(y, x) > 1e-10 * sum(x * x) as okx, sum(g * g) as rg, sum(gx * gx) as ri,
+              regr_sxy(g, x) / nullif(regr_sxx(y, x), 0) as bg, regr_sxy(gx, x) / nullif(regr_sxx(y, x), 0) as bi, regr_sxy(y, x) / nullif(regr_sxx(y, x), 0) as by_ from d group by snp),
+       r1 as (select d.snp, n, okx, rg, ri, g - mg - bg * (x - mx) as eg, gx - mi - bi * (x - mx) as ei, y - my - by_ * (x - mx) as ey from d join s1 on d.snp = s1.snp),
+       s2 as (select snp, n, okx, rg, ri, sum(eg * eg) as gg, sum(eg * ei) as gi, sum(ei * ei) as ii, sum(eg * ey) as gy, sum(ei * ey) as iy, sum(ey * ey) as yy from r1 group by all),
+       f as (select snp, n, 4 as k, ii - gi * gi / nullif(gg, 0) as gg, iy - gi * gy / nullif(gg, 0) as gy, yy - gy * gy / nullif(gg, 0) as yy,
+             coalesce(n > 4 and okx and gg > 1e-10 * rg and ii - gi * gi / nullif(gg, 0) > 1e-10 * ri, false) as ok from s2) {_EFFECT}""",
 )
 def _(t):
-    out = Y.gxe_regression(t.genotypes, t.pheno, "y", "env")
-    p = t.pheno
-    d = t.genotypes.filter("dosage is not null").join(p, "animal").select(
-        "snp", F.col("dosage").cast("double").alias("g"), F.col("env").alias("x"), (F.col("dosage") * F.col("env")).alias("i")
-    )
-    s = d.groupBy("snp").agg(
-        F.regr_sxx("g", "g").alias("gg"), F.regr_sxx("x", "x").alias("xx"), F.regr_sxx("i", "i").alias("ii"),
-        F.regr_sxy("g", "x").alias("gx"), F.regr_sxy("i", "x").alias("ix"), F.regr_sxy("g", "i").alias("gi"),
-    )
-    gg = F.col("gg") - F.col("gx") * F.col("gx") / F.col("xx")
-    gi = F.col("gi") - F.col("gx") * F.col("ix") / F.col("xx")
-    ii = F.col("ii") - F.col("ix") * F.col("ix") / F.col("xx")
-    ok = s.filter(F.col("xx") > 0).filter((gg > 0.5) & (ii - gi * gi / gg > 1)).select("snp")
-    return out.join(ok, "snp", "left_semi").filter("n > 12").select("snp", "n", r6("b", 4).alias("b"))
+    return effect_columns(Y.gxe_regression(t.genotypes, t.pheno, "y", "env"))
 
 
 def clump_input(t):
@@ -321,9 +345,19 @@ def clump_input(t):
     return best.join(t.markers, "snp")
 
 
-@query("J15_ld_clump")
+@query(
+    "J15_ld_clump",
+    """with recursive c as (select m.snp, m.chr, m.pos, g.p from (select snp, min(p) as p from gwas group by snp) g join markers m on g.snp = m.snp where g.p <= 0.01),
+       near as materialized (select a.snp as a, b.snp as b from c a join c b on a.chr = b.chr and a.snp <> b.snp and abs(a.pos - b.pos) <= 20000),
+       linked as materialized (select a, b from near join genotypes x on x.snp = a join genotypes y on y.snp = b and x.animal = y.animal
+                  where x.dosage is not null and y.dosage is not null group by a, b having power(corr(x.dosage, y.dosage), 2) > 0.2003),
+       steps as (select 0 as i, snp, p, first_value(snp) over (order by p, snp) as lead from c
+                 union all
+                 select i + 1, snp, p, first_value(snp) over (order by p, snp) from (select s.* from steps s where s.snp <> s.lead and not exists (select 1 from linked where a = s.lead and b = s.snp)) q)
+       select c.snp, c.chr, c.pos, round(c.p, 6) as p from c where c.snp in (select lead from steps)""",
+)
 def _(t):
-    out = Y.ld_clump(clump_input(t), t.genotypes, window=20_000, r2=0.2, p_max=0.01)
+    out = Y.ld_clump(clump_input(t), t.genotypes, window=20_000, r2=0.2003, p_max=0.01)
     return out.select("snp", "chr", "pos", r6("p").alias("p"))
 
 

@@ -71,13 +71,13 @@ def _(t):
 
 @query(
     "C7_reduce_join",
-    """with a as (select temp_id, min(score) as s from records where year = 1995 group by 1), b as (select temp_id, min(score) as s from records where year = 1996 group by 1),
-       c as (select temp_id, max(score) as s from records where year = 1997 group by 1)
-       select temp_id, coalesce(a.s, b.s, c.s) as s from a full join b using (temp_id) full join c using (temp_id)""",
+    """with m as (select temp_id, year, min(score) as s from records group by all)
+       select temp_id, arg_min(s, year) as s from m group by temp_id""",
 )
 def _(t):
-    pick = lambda year, agg: t.records.filter(F.col("year") == year).groupBy("temp_id").agg(agg("score").alias("s"))
-    return J.reduce_join([pick(1995, F.min), pick(1996, F.min), pick(1997, F.max)], ["temp_id"])
+    years = [r.year for r in t.records.select("year").distinct().orderBy("year").collect()]  # a column per year of the data set
+    pick = lambda year: t.records.filter(F.col("year") == year).groupBy("temp_id").agg(F.min("score").alias("s"))
+    return J.reduce_join([pick(year) for year in years], ["temp_id"])
 
 
 @query(
@@ -217,7 +217,7 @@ def _(t):
     "select m.chr, pos, study, snp, gene_id from gwas m join genes g on m.chr = g.chr and pos between start_pos and end_pos",
 )
 def _(t):
-    return V.interval_join(t.gwas, t.genes, 0, hot_rows=500).select("chr", "pos", "study", "snp", "gene_id")
+    return V.interval_join(t.gwas, t.genes, 0).select("chr", "pos", "study", "snp", "gene_id")
 
 
 @query(
@@ -280,11 +280,11 @@ def _(t):
 
 @query(
     "C22_overlap",
-    """with s as (select study, chr, pos from gwas where p < 0.05)
-       select study, s.chr, s.pos, n from s join (select chr, pos, count(*) as n from s group by all having count(distinct study) > 1) k on s.chr = k.chr and s.pos = k.pos""",
+    """with s as (select study, chr, snp from gwas where p < 0.05)
+       select study, s.chr, s.snp, n from s join (select chr, snp, count(*) as n from s group by all having count(distinct study) > 1) k on s.chr = k.chr and s.snp = k.snp""",
 )
 def _(t):
-    return J.overlap(t.gwas.filter("p < 0.05").select("study", "chr", "pos"), ["chr", "pos"], "study")
+    return J.overlap(t.gwas.filter("p < 0.05").select("study", "chr", "snp"), ["chr", "snp"], "study")
 
 
 @query(
@@ -303,5 +303,5 @@ def _(t):
 )
 def _(t):
     right = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    out = salted_join(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), right, ["l_suppkey"], "inner", 100, 50)
+    out = salted_join(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), right, ["l_suppkey"])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "s_name")

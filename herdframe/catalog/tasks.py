@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from herdframe.catalog.base import query
+from herdframe.catalog.columns import ERFC
 from herdframe.functions.base import r6
 from herdframe.operators import gwas as G
 from herdframe.operators import pedigree as D
@@ -52,7 +53,10 @@ _H2 = f"""with a as (select *, case when lab_id is not null then make_date(1985
     g as (select e.* exclude (sex), coalesce(e.sex, f.fill) as sex from e join {sql_fill("e", ["farm_id", "temp_id"], "year", "sex", "k.score_date, k.sex")} f on e.farm_id = f.farm_id and e.temp_id = f.temp_id and e.year = f.year),
     h as (select * from g where (farm_id, temp_id) in (select (farm_id, temp_id) from g group by farm_id, temp_id having count(distinct coalesce(sex, '?')) = 1)),
     i as (select * exclude (color), case when color = 'blk' then 'BLACK' when color = 'R' then 'RED' end as color from h),
-    j as (select i.* exclude (color), coalesce(i.color, f.fill) as color from i join {sql_fill("i", ["farm_id", "temp_id"], "year", "color", "k.score_date, k.color")} f on i.farm_id = f.farm_id and i.temp_id = f.temp_id and i.year = f.year),
+    j as (select i.* exclude (color), coalesce(i.color, f.fill) as color from i join (select d.farm_id, d.temp_id, d.year, d.score_date,
+            coalesce(arg_max(k.color, (k.year, k.score_date, k.color)) filter (where (k.year, k.score_date) <= (d.year, d.score_date)), arg_min(k.color, (k.year, k.score_date, k.color)) filter (where (k.year, k.score_date) >= (d.year, d.score_date))) as fill
+            from (select distinct farm_id, temp_id, year, score_date from i) d left join (select * from i where color is not null) k on d.farm_id = k.farm_id and d.temp_id = k.temp_id group by all) f
+          on i.farm_id = f.farm_id and i.temp_id = f.temp_id and i.year = f.year and i.score_date = f.score_date),
     kn as (select farm_id, temp_id, year, min(age) as age from j where age is not null group by all having min(age) = max(age)),
     bi as (select farm_id, temp_id, arg_min(year - age, year) as birth from kn group by all)
     select rec, j.farm_id, j.temp_id, j.year, score_date, s as sold, coalesce(j.age, case when coalesce(kn.age, j.year - birth) > 0 then coalesce(kn.age, j.year - birth) end)::bigint as age,
@@ -188,21 +192,21 @@ def _(t):
 
 @query(
     "H5_orphans",
-    """select c_custkey as temp_id, case c_custkey % 3 when 0 then 'HER' || c_custkey when 1 then case when c_custkey::varchar like '1%' then 'AAA' else '' end || c_custkey else c_custkey::varchar end as full_reg,
+    """select c_custkey as temp_id, case c_custkey % 3 when 0 then 'HER' || c_custkey else c_custkey::varchar end as full_reg,
        case when c_custkey % 3 = 0 then 'HER' || (c_custkey + 1) when c_custkey % 3 = 1 then 'AAA' || (c_custkey + 1) end as sire_reg
-       from customer where c_custkey not in (select o_custkey from orders)""",
+       from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'P')""",
 )
 def _(t):
     k = F.col("c_custkey")
     ids = [k.alias("lab_id"), F.lit("F1").alias("farm_id"), F.concat(F.lit("A"), k).alias("animal_id"), k.alias("temp_id")]
     animals = t.customer.select(*ids, k.cast("string").alias("registration_number"))
-    known = t.orders.select(F.col("o_custkey").alias("c_custkey")).distinct().select(*ids)
+    known = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct().select(*ids)
     none = F.lit(None).cast("string")
     register = t.customer.select(
         k.alias("lab_id"), F.when(k % 3 == 0, "HER").alias("assoc"), (k + 1).cast("string").alias("sire_reg"),
         F.when(k % 3 == 0, "HER").when(k % 3 == 1, "AAN").alias("sire_assoc"), none.alias("dam_reg"), none.alias("dam_assoc"),
     )
-    out = PB.orphan_rows(animals, known, register, {"HER": "4", "AAA": "1"})
+    out = PB.orphan_rows(animals, known, register)
     return out.select("temp_id", "full_reg", "sire_reg")
 
 
@@ -215,8 +219,8 @@ def _(t):
 
 
 _GROUPS = f"""with f as (select * from records where sex = 'F'),
-    s as (select f.* exclude (season), coalesce(f.season, x.fill) as season from f join {sql_fill("f", ["farm_id", "temp_id"], "score_date", "season", "k.rec_a, k.rec_b, k.season")} x
-          on f.farm_id = x.farm_id and f.temp_id = x.temp_id and f.score_date = x.score_date),
+    s as (select * exclude (season), coalesce(last_value(season ignore nulls) over (w rows between unbounded preceding and current row), first_value(season ignore nulls) over (w rows between current row and unbounded following)) as season
+          from f window w as (partition by farm_id, temp_id order by score_date, rec_a, rec_b)),
     g as (select *, case when age = 1 then 'yearling' when age in (2, 3) then 'growing' when age between 4 and 9 then 'mature' when age >= 10 then 'old' end as age_group from s),
     c as (select *, farm_id || year || coalesce(season, 'NA') || coalesce(age_group, 'NA') || '1' as cg from g),
     k as (select * from c qualify count(*) over (partition by cg) >= 5 and var_samp(score) over (partition by cg) <> 0)"""
@@ -241,8 +245,8 @@ _ENV = """e as (select r.*, (rec_a % 40) / 2.0::double as temp, 10 + (rec_b % 7)
 
 @query(
     "H8_model_interaction",
-    f"""with {_ENV}, s as (select e.* exclude (season), coalesce(e.season, x.fill) as season from e join {sql_fill("e", ["farm_id", "temp_id"], "score_date", "season", "k.rec_a, k.rec_b, k.season")} x
-         on e.farm_id = x.farm_id and e.temp_id = x.temp_id and e.score_date = x.score_date),
+    f"""with {_ENV}, s as (select * exclude (season), coalesce(last_value(season ignore nulls) over (w rows between unbounded preceding and current row), first_value(season ignore nulls) over (w rows between current row and unbounded following)) as season
+          from e window w as (partition by farm_id, temp_id order by score_date, rec_a, rec_b)),
        g as (select *, case when age = 1 then 'yearling' when age in (2, 3) then 'twothree' when age between 4 and 7 then 'mature' when age >= 8 then 'old' end as age_group from s),
        k as (select * from g where season is not null and fescue is not null and age_group is not null qualify count(*) over (partition by age_group) >= 5)
        select year, season, fescue, age_group, count(*) as n, round(sum((temp - (select avg(temp) from k)) * (len - (select avg(len) from k))), 3) as centred, sum(score)::bigint as score from k group by all""",
@@ -260,6 +264,119 @@ def _(t):
     )
 
 
+_VALUES = {"mean_apparent_high": "((rec_a % 40) / 2.0::double)", "mean_day_length": "(10 + (rec_b % 7)::double)", "lat": "((rec_b % 5) * 1.5::double)"}
+_NO_GROUPS = _ENV + """, s as (select * exclude (season), coalesce(last_value(season ignore nulls) over (w rows between unbounded preceding and current row),
+          first_value(season ignore nulls) over (w rows between current row and unbounded following)) as season from e window w as (partition by farm_id, temp_id order by score_date, rec_a, rec_b)),
+       g as (select *, case when age = 1 then 'yearling' when age in (2, 3) then 'twothree' when age between 4 and 7 then 'mature' when age >= 8 then 'old' end as age_group from s),
+       k as (select * from g where season is not null and fescue is not null and age_group is not null qualify count(*) over (partition by age_group) >= 5)"""
+
+
+def model_query(model, spec):
+    """One environment model: counts and sums of its columns per level of its effects."""
+    effects = ["cg"] if spec.get("groups") else ["year", "season", "fescue", "age_group"]
+    values = {**{c: _VALUES[c] for c in spec.get("env", [])}, **({"PC1": "(p_size / 4.0::double)", "PC2": "p_size::double"} if "scores" in spec else {})}
+    source = "k join part on temp_id = p_partkey and p_size <= 30" if spec.get("genotyped") else "k"
+    sums = "".join(f", round(sum({text}), 3) as {c.lower()}" for c, text in values.items())
+    start = _GROUPS if spec.get("groups") else "with " + _NO_GROUPS
+    sql = f"{start} select {', '.join(effects)}, count(*) as n, sum(score)::bigint as score{sums} from {source} group by all"
+
+    def run(t):
+        fescue = {} if spec.get("groups") else {"fescue": F.when(F.col("rec_a") % 6 == 0, F.lit(None)).when(F.col("rec_a") % 2 == 0, "YES").otherwise("NO")}
+        rows = t.records.withColumns(
+            {
+                "mean_apparent_high": (F.col("rec_a") % 40) / 2.0, "mean_day_length": (10 + F.col("rec_b") % 7).cast("double"),
+                "lat": (F.col("rec_b") % 5) * 1.5, "full_reg": F.col("temp_id"), **fescue,
+            }
+        )
+        known = t.part.filter("p_size <= 30").select(F.col("p_partkey").alias("full_reg"), (F.col("p_size") / 4.0).alias("PC1"), F.col("p_size").cast("double").alias("PC2"))
+        out = M.model_dataset(rows, model, genotyped=known, scores=known)
+        return out.groupBy(*effects).agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score"), *[r6(F.sum(c), 3).alias(c.lower()) for c in values])
+
+    query(f"H8_model_{model}", sql)(run)
+
+
+for _model, _spec in M.MODELS.items():
+    if _model not in ("fixed9", "fixed13"):
+        model_query(_model, _spec)
+
+
+@query(
+    "H14_removal_ids",
+    """select c_custkey as full_reg, 'I' || c_custkey as international_id from customer where c_custkey % 4 = 0 and c_nationkey = 3""",
+)
+def _(t):
+    k = F.col("c_custkey")
+    remove = t.customer.filter("c_nationkey = 3").select(k.alias("full_reg"))
+    key = t.customer.filter(k % 4 == 0).select(k.alias("full_reg"), F.concat(F.lit("I"), k).alias("international_id"))
+    return Z.removal_ids(remove, key)
+
+
+@query("H14_population_file", """select c_custkey as family, c_nationkey as sire, 'cow' as pop from customer""")
+def _(t):
+    family = t.customer.select(F.col("c_custkey").alias("family"), F.col("c_nationkey").alias("sire"), F.col("c_acctbal").alias("phenotype"))
+    return Z.population_file(family)
+
+
+@query(
+    "H15_submission_samples",
+    """select distinct l_orderkey as iid, 'A' || temp_id as id from (select l_orderkey, l_partkey from lineitem where l_returnflag in ('A', 'R')) join (select distinct temp_id from records where score = 5) on l_partkey = temp_id""",
+)
+def _(t):
+    samples = t.lineitem.select(F.col("l_orderkey").alias("iid"), F.col("l_partkey").alias("lab_id"), F.col("l_returnflag").alias("assay"))
+    released = t.records.filter("score = 5").select(F.col("temp_id").alias("lab_id"), F.concat(F.lit("A"), "temp_id").alias("id"))
+    return Z.submission_samples(samples, released, ["A", "R"])
+
+
+@query(
+    "H1_key_duplicates",
+    """with k as (select concat('F', cast(o_custkey % 20 as string)) as farm_id, 'R' || (o_custkey % 40) as registration_number, 'A' || o_custkey as animal_id, case when o_custkey % 5 > 0 then 'B' || (o_custkey % 300) end as barcode, o_custkey as lab_id from orders group by o_custkey)
+       select 'registration_number' as id, k.* from k qualify count(*) over (partition by farm_id, registration_number) > 1
+       union all select 'animal_id', k.* from k qualify count(*) over (partition by farm_id, animal_id) > 1
+       union all select 'barcode', k.* from k where barcode is not null qualify count(*) over (partition by farm_id, barcode) > 1""",
+)
+def _(t):
+    o = F.col("o_custkey")
+    keys = t.orders.select(
+        F.concat(F.lit("F"), o % 20).alias("farm_id"), F.concat(F.lit("R"), o % 40).alias("registration_number"), F.concat(F.lit("A"), o).alias("animal_id"),
+        F.when(o % 5 > 0, F.concat(F.lit("B"), o % 300)).alias("barcode"), o.alias("lab_id"),
+    ).distinct()
+    found = C.key_duplicates(keys)
+    parts = [found[c].select(F.lit(c).alias("id"), "farm_id", "registration_number", "animal_id", "barcode", "lab_id") for c in ("registration_number", "animal_id", "barcode")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "H3_stacked_sheets",
+    """select o_custkey as animal_id, o_orderkey as k, o_orderdate::date as score_date, (o_orderkey % 5)::bigint as score from orders where o_orderkey % 5 <> 0
+       union all select o_custkey, o_orderkey, (o_orderdate + interval 1 day)::date, (o_orderkey % 3)::bigint from orders where o_orderkey % 3 <> 0
+       union all select l_partkey, l_orderkey, l_shipdate::date, l_linenumber::bigint from lineitem""",
+)
+def _(t):
+    k = F.col("o_orderkey")
+    day = F.col("o_orderdate").cast("date")
+    first = t.orders.select(
+        F.col("o_custkey").alias("animal_id"), k.alias("k"), day.alias("date_1"), F.when(k % 5 != 0, k % 5).alias("score_1"),
+        F.date_add(day, 1).alias("date_2"), F.when(k % 3 != 0, k % 3).alias("score_2"),
+    )
+    second = t.lineitem.select(
+        F.col("l_partkey").alias("animal_id"), F.col("l_orderkey").alias("k"), F.col("l_shipdate").cast("date").alias("d"), F.col("l_linenumber").cast("bigint").alias("s")
+    )
+    out = C.herd_sheets([first, second], [[("date_1", "score_1"), ("date_2", "score_2")], [("d", "s")]], ["animal_id", "k"])
+    return out.filter("score is not null").select("animal_id", "k", "score_date", "score")
+
+
+@query(
+    "H4_best_shares",
+    """with a as (select p_partkey as r, p_brand as c, p_type as s from part where p_size > 20 union select p_partkey, case when p_size > 30 then 'A' end, 'z' from part where p_size > 10)
+       select r as registration_number, c as cross_label, s as brd_source from a qualify row_number() over (partition by r order by c nulls last, s) = 1""",
+)
+def _(t):
+    r = F.col("p_partkey").alias("registration_number")
+    one = t.part.filter("p_size > 20").select(r, F.col("p_brand").alias("cross"), F.col("p_type").alias("brd_source"))
+    two = t.part.filter("p_size > 10").select(r, F.when(F.col("p_size") > 30, "A").alias("cross"), F.lit("z").alias("brd_source"))
+    return B.best_shares([one, two]).withColumnRenamed("cross", "cross_label")
+
+
 @query(
     "H8_environment",
     """with w as (select user_id % 20 as site, ts::date as day, avg(value) as hi from events group by all), p as (select site, round(avg(hi), 9) as hi from (select * from w qualify rank() over (partition by site order by day desc) <= 5) group by site)
@@ -268,7 +385,7 @@ def _(t):
 def _(t):
     day = F.col("ts").cast("date")
     w = t.events.groupBy((F.col("user_id") % 20).cast("double").alias("lat"), day.alias("value")).agg(F.avg("value").alias("apparent_high"))
-    dates = t.records.select("farm_id", "score_date").distinct().withColumn("lat", F.substring("farm_id", 2, 5).cast("double"))
+    dates = t.records.select("farm_id", "score_date").distinct().withColumn("lat", F.substr("farm_id", F.lit(2)).cast("double"))
     weather = w.join(dates.drop("farm_id"), "lat").withColumns({"long": F.lit(1.0), "day_length": F.lit(12.0)})
     places = dates.select("farm_id", "lat").distinct().withColumn("long", F.lit(1.0))
     out = M.environment(t.records, weather, places, 5)
@@ -362,7 +479,7 @@ def _(t):
 
 @query(
     "H15_anonymise",
-    """select 'A0' || substr(sha256(case when temp_id % 2 = 0 then temp_id::varchar else farm_id || '|A|' || temp_id end || 'k1'), 1, 16) as id, year, score, count(*) as n from records group by all""",
+    """select 'A0' || sha256(case when temp_id % 2 = 0 then temp_id::varchar else farm_id || '|A|' || temp_id end || 'k1') as id, year, score, count(*) as n from records group by all""",
 )
 def _(t):
     rows = t.records.withColumns({"animal_id": F.lit("A"), "lab_id": F.when(F.col("temp_id") % 2 == 0, F.col("temp_id"))})
@@ -376,24 +493,31 @@ _STUDIES = [1, 2, 3, 4, 5, 6, 7]
 @query(
     "H16_meta_input",
     "select snp, "
-    + ", ".join(f"min(round(beta, 7)) filter (where study = {i}) as b_{i}, min(round(se, 7)) filter (where study = {i}) as se_{i}" for i in _STUDIES)
+    + ", ".join(f"round(arg_min(beta, (p, beta, se)) filter (where study = {i}), 7) as b_{i}, round(arg_min(se, (p, beta, se)) filter (where study = {i}), 7) as se_{i}" for i in _STUDIES)
     + " from gwas group by snp",
 )
 def _(t):
-    return G.meta_input(t.gwas, ["snp"], "study", _STUDIES)
+    return G.meta_input(t.gwas, ["snp"], "study", _STUDIES, ["p"])
 
 
 @query(
     "H17_conditional_input",
-    """with m as (select snp, sum(beta / se / se) / sum(1 / se / se) as b from gwas group by snp), f as (select snp, sum(dosage) / (2.0 * count(dosage)) as freq, count(dosage) as n from genotypes group by snp)
-       select m.snp, round(freq, 6)::double as freq, round(n, 6)::double as n from m join f on m.snp = f.snp where freq <> 0""",
+    f"""with g as (select snp, beta as b, se * se as v from gwas),
+       h as (select snp, count(*) as k, sum(1 / v) as w, greatest(sum(b * b / v) - sum(b / v) * sum(b / v) / sum(1 / v), 0) as q, sum(1 / v / v) as ww from g group by snp),
+       t as (select snp, case when w - ww / w > 0 then greatest((q - (k - 1)) / (w - ww / w), 0) else 0 end as tau2 from h),
+       m as (select g.snp, sum(b / (v + tau2)) / sum(1 / (v + tau2)) as b, sqrt(1 / sum(1 / (v + tau2))) as se from g join t on g.snp = t.snp group by g.snp),
+       f as (select snp, sum(dosage) / (2.0 * count(dosage)) as freq, count(dosage) as n from genotypes group by snp)
+       select m.snp, 'A' as a1, 'G' || (m.snp % 3) as a2, round(freq, 6)::double as freq, round(b, 6) as b, round(se, 6) as se,
+         round(case when abs(b / se) < 7 then {ERFC.format(x="(abs(b / se) / sqrt(2))")} else 0 end, 6) as p, round(n, 6)::double as n from m join f on m.snp = f.snp where freq <> 0""",
 )
 def _(t):
     from herdframe.operators.genotypes import allele_stats
 
     meta = G.meta_analysis(t.gwas, ["snp"]).withColumn("adj_p", F.col("pvalue_re"))
-    out = G.conditional_input(meta, allele_stats(t.genotypes).select("snp", "freq", "nchrobs"), ["snp"])
-    return out.select("snp", r6("freq").alias("freq"), r6("n").alias("n"))
+    alleles = [F.lit("A").alias("a1"), F.concat(F.lit("G"), F.col("snp") % 3).alias("a2")]
+    freq = allele_stats(t.genotypes).select("snp", *alleles, "freq", "nchrobs")
+    out = G.conditional_input(meta, freq, ["snp"])
+    return out.select("snp", "a1", "a2", *[r6(c).alias(c) for c in ("freq", "b", "se", "p", "n")])
 
 
 @query(
@@ -448,9 +572,9 @@ def _(t):
 
 @query(
     "H22_missing_registrations",
-    """select distinct c_custkey::varchar as registration_number from customer where c_mktsegment = 'MACHINERY' and c_custkey not in (select o_custkey from orders)""",
+    """select distinct c_custkey::varchar as registration_number from customer where c_mktsegment = 'MACHINERY' and c_custkey not in (select o_custkey from orders where o_orderstatus = 'P')""",
 )
 def _(t):
     rows = t.customer.select(F.col("c_custkey").cast("string").alias("registration_number"), "c_mktsegment")
-    ped = t.orders.select(F.col("o_custkey").cast("string").alias("full_reg")).distinct()
+    ped = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").cast("string").alias("full_reg")).distinct()
     return Z.missing_registrations(rows, ped, F.col("c_mktsegment") == "MACHINERY")

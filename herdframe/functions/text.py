@@ -45,7 +45,7 @@ def pad_left(c: ColumnLike, width: int, fill: str = "0") -> Column:
 
 def sentence_case(c: ColumnLike) -> Column:
     text = col(c)
-    return F.concat(F.upper(F.substring(text, 1, 1)), F.lower(F.substring(text, 2, 1_000_000)))
+    return F.concat(F.upper(F.substring(text, 1, 1)), F.lower(F.substr(text, F.lit(2))))
 
 
 def padded_international_id(prefix: str, sex: ColumnLike, number: ColumnLike, width: int = 12) -> Column:
@@ -94,22 +94,35 @@ def _starts(c: Column, lead: str) -> Column:
 
 
 def infer_prefix(
-    number: ColumnLike,
-    own: ColumnLike,
-    first: ColumnLike,
-    second: ColumnLike,
-    leads: dict[str, str],
-) -> Column:
-    """Prefix for one of animal, sire, dam from its own registry or from its two relatives.
-
-    Rules by priority: own registry; both relatives agree on a registry without digit rule; either relative
-    names a registry whose numbers start with ``leads[registry]``. The number stays bare when none applies.
+    number: ColumnLike, own: ColumnLike, first: ColumnLike, second: ColumnLike, role: str = "animal", animal_number: ColumnLike | None = None
+) -> Column:
+    """Registry prefix of an animal's, a sire's or a dam's number, from its own registry or from its two relatives.
+
+    ``first`` and ``second`` are the registries of the relatives: sire and dam for an animal; the animal and the other parent for a
+    parent. The number stays bare when no rule applies. Rules by priority: own registry; both relatives agree on a registry without
+    digit rule; both AAA and a leading 1; one HER and a leading 4; for a sire of an animal numbered SAV or BAT the lead
+    alone; for parents one AAA and a leading 1, CHA with the letter of the parent's sex (with E before it only for the animal's own
+    registry), and RDP unless the number leads with 1.
     """
+    if role not in ("animal", "sire", "dam"):
+        raise ValueError(f"unknown role {role}")
     text, mine, a, b = col(number), col(own), col(first), col(second)
+    is_ = lambda side, registry: F.coalesce(side == registry, F.lit(False))
+    either = lambda registry: is_(a, registry) | is_(b, registry)
+    made = lambda registry: text_key(F.lit(registry), text)
     out = F.when(mine.isNotNull(), text_key(mine, text))
     out = out.when((a == b) & a.isin(*SHARED_PREFIXES), text_key(a, text))
-    for registry, lead in leads.items():
-        out = out.when(((a == registry) | (b == registry)) & _starts(text, lead), text_key(F.lit(registry), text))
+    out = out.when(is_(a, "AAA") & is_(b, "AAA") & _starts(text, "1"), made("AAA"))
+    out = out.when(either("HER") & _starts(text, "4"), made("HER"))
+    if role == "sire" and animal_number is not None:
+        for lead, registry in (("4", "HER"), ("M", "CHA"), ("1", "AAA")):
+            out = out.when(col(animal_number).rlike("SAV|BAT") & _starts(text, lead), made(registry))
+    if role != "animal":
+        letter = "M" if role == "sire" else "F"
+        out = out.when(either("AAA") & _starts(text, "1"), made("AAA"))
+        out = out.when(is_(a, "CHA") & _starts(text, f"{letter}|E{letter}"), made("CHA"))
+        out = out.when(is_(b, "CHA") & _starts(text, letter), made("CHA"))
+        out = out.when(either("RDP") & ~_starts(text, "1"), made("RDP"))
     return out.otherwise(text)
 
 

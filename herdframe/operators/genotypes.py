@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdframe.functions.stats import chi2_1_sf, corr_or_null
-from herdframe.operators.keys import null_safe_join
 from herdframe.session import cut_lineage
 
 
@@ -63,6 +61,10 @@ def parent_conflicts(geno: DataFrame, ped: DataFrame) -> DataFrame:
         ),
     )
     called = geno.filter(F.col("dosage").isNotNull())
+    # only pairs of genotyped animals are paired with markers
+    ids = called.select("animal").distinct()
+    for c in ("full_reg", "parent_reg"):
+        pairs = pairs.join(ids.select(F.col("animal").alias(c)), c, "left_semi")
     child = called.select(F.col("animal").alias("full_reg"), "snp", F.col("dosage").alias("__c"))
     parent = called.select(F.col("animal").alias("parent_reg"), "snp", F.col("dosage").alias("__p"))
     both = pairs.join(child, "full_reg").join(parent, ["parent_reg", "snp"])
@@ -143,15 +145,13 @@ def standardise(geno: DataFrame, scale: bool = True) -> DataFrame:
     return called.join(stats, "snp").select("animal", "snp", ((F.col("dosage") - F.col("__mu")) / sd).alias("z"), "__v")
 
 
-def grm(geno: DataFrame, method: str = "standardised", block: int = 256, chunk: int = 32_768) -> DataFrame:
-    """Genomic relationship as (animal_i, animal_j, value) with animal_i <= animal_j.
+def grm(geno: DataFrame, pairs: DataFrame, method: str = "standardised") -> DataFrame:
+    """Genomic relationship of the given pairs of animals: (animal_i, animal_j, value) with animal_i <= animal_j.
 
-    ``standardised``: mean of products of standardised dosages. ``vanraden``: centred products over the summed
-    marker variances. Missing calls count as the mean.
-
-    Blocked matrix product: animals are hashed to blocks of about ``block``, markers to chunks; a task holds two
-    animal blocks of one chunk, multiplies them, and partial products are added up over chunks. Memory per task
-    is fixed by block and chunk, whatever the number of animals and markers.
+    ``pairs``: animal_i, animal_j, such as pedigree relatives or candidates; pairs without a genotype on both sides or without a common
+    marker drop out. ``standardised``: mean of products of standardised dosages. ``vanraden``: centred products over the
+    summed marker variances. Missing calls count as the mean. Dosages are joined by animal, then by (animal, marker), so
+    the work is one row per pair and marker and sums are made before they are moved.
     """
     scaled = method == "standardised"
     if method not in ("standardised", "vanraden"):
@@ -159,47 +159,25 @@ def grm(geno: DataFrame, method: str = "standardised", block: int = 256, chunk:
     z = standardise(geno, scaled)
     per_snp = z.groupBy("snp").agg(F.first("__v").alias("v"))
     denominator = per_snp.agg((F.count(F.lit(1)).cast("double") if scaled else F.sum("v")).alias("d"))
-    n_animals = geno.agg(F.count_distinct("animal").alias("n")).first()["n"]
-    n_snps = geno.agg(F.count_distinct("snp").alias("n")).first()["n"]
-    n_blocks, n_chunks = max(1, -(-n_animals // block)), max(1, -(-n_snps // chunk))
-    kind = dict(geno.dtypes)["animal"]
-    home = F.pmod(F.xxhash64("animal"), F.lit(n_blocks)).cast("int")
-    part = F.pmod(F.xxhash64("snp"), F.lit(n_chunks)).cast("int")
-    rows = z.groupBy("animal", home.alias("home"), part.alias("chunk")).agg(
-        F.collect_list("snp").alias("snps"), F.collect_list("z").alias("zs")
-    )
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    keyed = rows.select(
-        F.least("home", "other").alias("a"), F.greatest("home", "other").alias("b"), "chunk", "home", "animal", "snps", "zs"
+    wanted = pairs.filter("animal_i is not null and animal_j is not null").select(
+        F.least("animal_i", "animal_j").alias("animal_i"), F.greatest("animal_i", "animal_j").alias("animal_j")
     )
-
-    def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf["a"].iloc[0], pdf["b"].iloc[0]
-        markers = np.unique(np.concatenate(pdf["snps"].to_numpy()))
-        dense = np.zeros((len(pdf), len(markers)))
-        for i, (snps, zs) in enumerate(zip(pdf["snps"], pdf["zs"], strict=True)):
-            dense[i, np.searchsorted(markers, snps)] = zs
-        ids, homes = pdf["animal"].to_numpy(), pdf["home"].to_numpy()
-        left, right = homes == a, homes == b
-        product = dense[left] @ dense[right].T
-        i, j = np.meshgrid(ids[left], ids[right], indexing="ij")
-        out = pd.DataFrame({"animal_i": i.ravel(), "animal_j": j.ravel(), "part": product.ravel()})
-        if a == b:
-            return out[out["animal_i"] <= out["animal_j"]]
-        swap = out["animal_i"] > out["animal_j"]
-        out.loc[swap, ["animal_i", "animal_j"]] = out.loc[swap, ["animal_j", "animal_i"]].to_numpy()
-        return out
-
-    parts = keyed.groupBy("a", "b", "chunk").applyInPandas(multiply, f"animal_i {kind}, animal_j {kind}, part double")
-    sums = parts.groupBy("animal_i", "animal_j").agg(F.sum("part").alias("s"))
+    ids = geno.select("animal").distinct()
+    for c in ("animal_i", "animal_j"):
+        wanted = wanted.join(ids.select(F.col("animal").alias(c)), c, "left_semi")
+    left = z.select(F.col("animal").alias("animal_i"), "snp", F.col("z").alias("__a"))
+    right = z.select(F.col("animal").alias("animal_j"), "snp", F.col("z").alias("__b"))
+    both = wanted.distinct().join(left, "animal_i").join(right, ["animal_j", "snp"])
+    sums = both.groupBy("animal_i", "animal_j").agg(F.sum(F.col("__a") * F.col("__b")).alias("s"))
     return sums.select("animal_i", "animal_j", (F.col("s") / denominator.scalar()).alias("value"))
 
 
-def pca(geno: DataFrame, k: int = 2, rounds: int = 12, extra: int = 6, seed: int = 1) -> DataFrame:
+def pca(geno: DataFrame, k: int = 2, tolerance: float = 1e-7, extra: int = 14, seed: int = 1) -> DataFrame:
     """Leading principal components of standardised dosages: (animal, pc, score, eigenvalue, share).
 
     Subspace iteration: a tall matrix of k + extra columns, one row per animal, is multiplied by Z and Z' through joins
     and sums; only the small k + extra square Gram matrix reaches the driver. The last Gram matrix gives the rotation.
+    Rounds go on until the k leading eigenvalues change by less than ``tolerance`` of their size.
     """
     z = cut_lineage(standardise(geno).select("animal", "snp", "z"))
     size = k + extra
@@ -225,14 +203,18 @@ def pca(geno: DataFrame, k: int = 2, rounds: int = 12, extra: int = 6, seed: int
             cols.append(cell.alias(name))
         return frame.select("animal", *cols)
 
-    for _ in range(rounds):
+    before = np.full(k, np.inf)
+    while True:
         down = z.join(basis, "animal").groupBy("snp").agg(*[F.sum(F.col("z") * F.col(n)).alias(n) for n in names])
         up = z.join(down, "snp").groupBy("animal").agg(*[F.sum(F.col("z") * F.col(n)).alias(n) for n in names])
         up = cut_lineage(up)
         values, vectors = np.linalg.eigh(gram(up))
         values, vectors = np.maximum(values[::-1], 1e-12), vectors[:, ::-1]
         basis = rotate(up, vectors / np.sqrt(values), names)
-    eigen = np.sqrt(values)
+        eigen = np.sqrt(values)
+        if np.all(np.abs(eigen[:k] - before) <= tolerance * eigen[:k]):
+            break
+        before = eigen[:k]
     n_snps = z.agg(F.count_distinct("snp").alias("n")).first()["n"]
     cells = [
         F.struct(
@@ -265,15 +247,19 @@ def _cross_products(names: list[str], weight) -> list:
 def _sweep(df: DataFrame, names: list[str], pivots: list[str], keep: list[str]) -> DataFrame:
     """Take the pivots out of a matrix of cross-products held in columns, one elimination step per pivot."""
     rest = list(names)
+    # a pivot that is rounding noise of its own unswept sum is linearly dependent: nothing can be tested then
+    df = df.withColumns({f"__raw_{p}": F.col(f"s_{p}_{p}") for p in pivots})
+    keep = [*keep, *[f"__raw_{p}" for p in pivots]]
     for pivot in pivots:
         rest = [n for n in rest if n != pivot]
+        own = F.col(f"s_{pivot}_{pivot}")
         cols = []
         for i, a in enumerate(rest):
             for b in rest[i:]:
                 pa = f"s_{pivot}_{a}"
                 pb = f"s_{pivot}_{b}"
                 cols.append(
-                    (F.col(f"s_{a}_{b}") - F.try_divide(F.col(pa) * F.col(pb), F.col(f"s_{pivot}_{pivot}"))).alias(f"s_{a}_{b}")
+                    (F.col(f"s_{a}_{b}") - F.col(pa) * F.col(pb) / F.when(own > 1e-10 * F.col(f"__raw_{pivot}"), own)).alias(f"s_{a}_{b}")
                 )
         df = df.select(*keep, *cols)
     return df
@@ -285,11 +271,12 @@ def _tested_effect(df: DataFrame, by: list[str], regressors: list[str], y: str,
     names = ["one", *regressors, y]
     tested = regressors[-1]
     sums = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *_cross_products(names, weight))
-    swept = _sweep(sums, names, ["one", *regressors[:-1]], [*by, "n"])
+    sums = sums.withColumn("__raw", F.col(f"s_{tested}_{tested}"))
+    swept = _sweep(sums, names, ["one", *regressors[:-1]], [*by, "n", "__raw"])
     sgg, sgy, syy = F.col(f"s_{tested}_{tested}"), F.col(f"s_{tested}_{y}"), F.col(f"s_{y}_{y}")
     dof = F.col("n") - len(regressors) - 1
-    # markers whose residual variation is rounding noise cannot be tested
-    ok = (sgg > 1e-9) & (dof > 0)
+    # markers whose residual variation is rounding noise of their own sum of squares cannot be tested
+    ok = (sgg > 1e-10 * F.col("__raw")) & (dof > 0)
     b = F.when(ok, sgy / sgg)
     sse = F.greatest(syy - sgy * sgy / sgg, F.lit(0.0))
     se = F.when(ok, F.sqrt(sse / dof / sgg))
@@ -341,7 +328,6 @@ def pair_r2(pairs: DataFrame, geno: DataFrame, a: str, b: str) -> DataFrame:
 
 def ld_clump(
     results: DataFrame, geno: DataFrame, window: int = 1_000_000, r2: float = 0.1, p_max: float = 1e-5,
-    max_rounds: int = 10_000,
 ) -> DataFrame:
     """Independent lead markers: best p first, markers within the window and above the r2 limit go with it.
 
@@ -353,9 +339,7 @@ def ld_clump(
     start = results.filter(F.col("p") <= p_max).select("snp", "chr", "pos", "p").withColumn("__bin", F.floor(F.col("pos") / w))
     left = cut_lineage(start)
     leads = None
-    for _ in range(max_rounds):
-        if left.isEmpty():
-            break
+    while not left.isEmpty():
         rank = F.struct("p", "snp")
         tops = left.groupBy("chr", "__bin").agg(F.min_by(F.struct("snp", "pos", "p"), rank).alias("t"))
         tops = tops.select("chr", F.col("t.snp").alias("lead"), F.col("t.pos").alias("__pos"), F.col("t.p").alias("__p"), "__bin")
@@ -374,7 +358,3 @@ def ld_clump(
         return results.select("snp", "chr", "pos", "p").limit(0)
     return results.join(leads.withColumnRenamed("lead", "snp"), "snp", "left_semi").select("snp", "chr", "pos", "p")
 
-
-def keep_order(base: DataFrame, values: DataFrame, key: list[str]) -> DataFrame:
-    """All base rows with the values that exist for them."""
-    return null_safe_join(base, values, key)

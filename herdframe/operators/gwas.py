@@ -127,18 +127,28 @@ def meta_analysis(df: DataFrame, by: list[str], beta: str = "beta", se: str = "s
     )
 
 
-def meta_input(df: DataFrame, snp: list[str], study: str, studies: list, beta: str = "beta", se: str = "se") -> DataFrame:
-    """Effects and standard errors of all studies side by side, rounded to seven digits."""
-    rounded = df.filter(F.col(beta).isNotNull()).withColumns({beta: F.round(beta, 7), se: F.round(se, 7)})
-    return pivot_wider(rounded, snp, study, {beta: "b_", se: "se_"}, studies)
+def meta_input(
+    df: DataFrame, snp: list[str], study: str, studies: list, order: list[str], beta: str = "beta", se: str = "se"
+) -> DataFrame:
+    """Effects and standard errors of all studies side by side, rounded to seven digits.
+
+    Of several rows of a marker in one study the first by ``order`` (then effect and error) is taken, effect and error from the
+    same row.
+    """
+    known = df.filter(F.col(beta).isNotNull())
+    pair = F.struct(F.round(beta, 7).alias("b"), F.round(se, 7).alias("se"))
+    rank = F.struct(*order, beta, se)
+    picks = [F.min_by(F.when(F.col(study) == F.lit(s), pair), F.when(F.col(study) == F.lit(s), rank)).alias(f"__{s}") for s in studies]
+    cells = [F.col(f"__{s}.{c}").alias(f"{c}_{s}") for s in studies for c in ("b", "se")]
+    return known.groupBy(*snp).agg(*picks).select(*snp, *cells)
 
 
 def conditional_input(meta: DataFrame, freq: DataFrame, on: list[str]) -> DataFrame:
-    """Meta-analysis rows with allele frequency and N = chromosomes / 2; markers of frequency zero go."""
+    """Meta-analysis rows with both alleles (a1, a2, if ``freq`` has them), frequency and N = chromosomes / 2; markers of frequency zero go."""
     known = meta.filter(F.col("beta_re").isNotNull() & F.col("std_re").isNotNull())
     joined = known.join(freq, on, "inner").withColumn("n", F.col("nchrobs") / 2)
     return joined.filter(F.col("freq") != 0).select(
-        *on, "freq", F.col("beta_re").alias("b"), F.col("std_re").alias("se"), F.col("adj_p").alias("p"), "n"
+        *on, *[c for c in ("a1", "a2") if c in freq.columns], "freq", F.col("beta_re").alias("b"), F.col("std_re").alias("se"), F.col("adj_p").alias("p"), "n"
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdframe.functions.base import all_of, text_key
-from herdframe.operators.keys import attach, null_safe_join, spread_left_join
+from herdframe.operators.keys import attach, left_join_known, null_safe_join, spread_left_join
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "left", null_safe: bool = True) -> DataFrame:
@@ -160,12 +160,12 @@ def choose_sample_id(
 
     ``register``: key, duplicate. ``samples``: lab_id, assay, call_rate.
     """
-    with_dup = ped.join(register.select(key, "duplicate"), key, "left")
+    with_dup = left_join_known(ped, register.select(key, "duplicate"), key)
     own = samples.select(F.col("lab_id").alias(key), F.col("assay").alias("assay_orig"), F.col("call_rate").alias("rate_orig"))
     dup = samples.select(
         F.col("lab_id").alias("duplicate"), F.col("assay").alias("assay_dup"), F.col("call_rate").alias("rate_dup")
     )
-    both = with_dup.join(own, key, "left").join(dup, "duplicate", "left")
+    both = left_join_known(left_join_known(with_dup, own, key), dup, "duplicate")
     dense = F.col("assay_dup").rlike("F250|HD") & (F.col("rate_dup") > min_rate)
     use_dup = (F.col("assay_orig").isNull() & F.col("assay_dup").isNotNull()) | F.coalesce(dense, F.lit(False))
     return both.withColumn("final_id", F.when(use_dup, F.col("duplicate")).otherwise(F.col(key)))

@@ -20,45 +20,35 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return out.drop(*[f"__r_{c}" for c in on])
 
 
-def spread_left_join(
-    left: DataFrame, right: DataFrame, left_key: Column, right_key: str, can_match: Column, spread: int = 256
-) -> DataFrame:
-    """Left join in which rows that cannot match are spread over many partitions.
+def spread_left_join(left: DataFrame, right: DataFrame, left_key: Column, right_key: str, can_match: Column) -> DataFrame:
+    """Left join in which rows that cannot match are spread over all partitions.
 
-    A null key would send every unmatched row to one task; here such rows carry a salt the right side never
-    has, so they hash apart, stay unmatched and are all kept.
+    A null key would send every unmatched row to one task; here such rows carry a hash of the row as a second key the right
+    side never has, so they fall apart, stay unmatched and are all kept.
     """
-    salt = F.when(can_match, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(spread)))
-    probe = left.withColumns({"__k": F.when(can_match, left_key), "__salt": salt.cast("int")})
-    build = right.withColumnRenamed(right_key, "__rk").withColumn("__rsalt", F.lit(0))
+    salt = F.when(can_match, F.lit(0)).otherwise(F.xxhash64(*[F.col(c) for c in left.columns], F.lit("apart")))
+    probe = left.withColumns({"__k": F.when(can_match, left_key), "__salt": salt.cast("bigint")})
+    build = right.withColumnRenamed(right_key, "__rk").withColumn("__rsalt", F.lit(0).cast("bigint"))
     cond = (F.col("__salt") == F.col("__rsalt")) & (F.col("__k") == F.col("__rk"))
     return probe.join(build, cond, "left").drop("__k", "__salt", "__rk", "__rsalt")
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", hot_rows: int = 1_000_000,
-    slice_rows: int = 250_000,
-) -> DataFrame:
-    """Equi join in which only the hot keys of the left side are salted.
+def left_join_known(left: DataFrame, right: DataFrame, key: str, unknown: tuple = ()) -> DataFrame:
+    """Left join on one key column in which null and the ``unknown`` marks match nothing and make no large group."""
+    known = F.col(key).isNotNull()
+    for mark in unknown:
+        known = known & (F.col(key).cast("string") != F.lit(str(mark)))
+    return spread_left_join(left, right, F.col(key), key, known)
 
-    Keys with more than ``hot_rows`` rows on the left are cut into slices of about ``slice_rows``; the right side
-    is repeated once per slice for these keys alone. At most rows/hot_rows keys can be hot, so the table of
-    hot keys is small by construction and Spark plans it as it sees its size.
-    """
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", slices: int = 16) -> DataFrame:
+    """Equi join in which every key of the left side is cut into ``slices`` by a hash of the row and the right side is repeated
+    once per slice: for a small right side whose keys are all crowded on the left."""
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("salting repeats the right side: inner, left, left_semi and left_anti only")
-    hot = (
-        left.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > hot_rows)
-        .select(*on, F.ceil(F.col("__n") / slice_rows).cast("int").alias("__slices"))
-    )
-    slices = F.coalesce(F.col("__slices"), F.lit(1))
-    probe = left.join(hot, on, "left").withColumn(
-        "__salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), slices).cast("int")
-    )
-    build = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), slices - 1)))
-    return probe.drop("__slices").join(build.drop("__slices"), [*on, "__salt"], how).drop("__salt")
+    probe = left.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(slices)).cast("int"))
+    build = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return probe.join(build, [*on, "__salt"], how).drop("__salt")
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:

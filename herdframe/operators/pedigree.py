@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdframe.operators.keys import null_safe_join
+from herdframe.operators.keys import left_join_known, null_safe_join
 from herdframe.session import cut_lineage
 
 ANIMAL, SIRE, DAM = "full_reg", "sire_reg", "dam_reg"
@@ -17,18 +17,18 @@ def decode_ids(renamed: DataFrame, unknown: str = "0") -> DataFrame:
     out = renamed
     for parent in ("sire", "dam"):
         lookup = names.select(F.col("id_new").alias(f"{parent}_id"), F.col("full_reg").alias(f"{parent}_reg"))
-        out = out.join(lookup, f"{parent}_id", "left")
+        out = left_join_known(out, lookup, f"{parent}_id", (unknown,))
     marked = out.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(unknown)) for c in (SIRE, DAM)})
     kept = marked.filter(F.col(ANIMAL).isNotNull() & (F.col(ANIMAL).cast("string") != unknown))
     return kept.select("id_new", ANIMAL, SIRE, DAM)
 
 
-def attach_parent_values(df: DataFrame, values: list[str]) -> DataFrame:
-    """Values of sire and dam next to those of each animal."""
+def attach_parent_values(df: DataFrame, values: list[str], unknown="0") -> DataFrame:
+    """Values of sire and dam next to those of each animal; unknown parents have none."""
     out = df
     for parent, key in (("sire", SIRE), ("dam", DAM)):
         side = df.select(F.col(ANIMAL).alias(key), *[F.col(v).alias(f"{parent}_{v}") for v in values])
-        out = out.join(side, key, "left")
+        out = left_join_known(out, side, key, (unknown,))
     return out.select(*df.columns, *[f"{p}_{v}" for p in ("sire", "dam") for v in values])
 
 
@@ -65,7 +65,7 @@ def override_parents(
     return out.drop(sire, dam)
 
 
-def rekey_parents(ped: DataFrame, registry: DataFrame, old: str, new: str) -> DataFrame:
+def rekey_parents(ped: DataFrame, registry: DataFrame, old: str, new: str, unknown="0") -> DataFrame:
     """Parents take the number of a preferred registry when the link is one to one on the preferred side."""
     links = registry.filter(F.col(old).isNotNull() & F.col(new).isNotNull()).select(old, new)
     single = links.groupBy(new).count().filter("count = 1").select(new)
@@ -73,7 +73,7 @@ def rekey_parents(ped: DataFrame, registry: DataFrame, old: str, new: str) -> Da
     out = ped
     for col in (SIRE, DAM):
         side = links.select(F.col(old).alias(col), F.col(new).alias("__new"))
-        out = out.join(side, col, "left").withColumn(col, F.coalesce(F.col("__new"), F.col(col))).drop("__new")
+        out = left_join_known(out, side, col, (unknown,)).withColumn(col, F.coalesce(F.col("__new"), F.col(col))).drop("__new")
     return out.select(*ped.columns)
 
 
@@ -89,7 +89,7 @@ def sex_from_role(ped: DataFrame, sex: str | None = "sex", default: str | None =
     return joined.withColumn(sex or "sex", F.coalesce(*known)).drop("__sire", "__dam")
 
 
-def inbreeding(ped: DataFrame, unknown="0", max_rounds: int = 1_000) -> DataFrame:
+def inbreeding(ped: DataFrame, unknown="0") -> DataFrame:
     """Inbreeding coefficient per animal: (full_reg, f).
 
     Shares of ancestors are passed down the generations: an animal has half the shares of each parent plus itself,
@@ -107,9 +107,7 @@ def inbreeding(ped: DataFrame, unknown="0", max_rounds: int = 1_000) -> DataFram
     todo = cut_lineage(rows)
     left = todo.count()
     links = None
-    for _ in range(max_rounds):
-        if left == 0:
-            break
+    while left:
         if links is None:
             ready = todo.filter(F.col(SIRE).isNull() & F.col(DAM).isNull())
             ready = ready.withColumns({"__fs": F.lit(None).cast("double"), "__fd": F.lit(None).cast("double")})
@@ -117,7 +115,7 @@ def inbreeding(ped: DataFrame, unknown="0", max_rounds: int = 1_000) -> DataFram
             done = links.filter(F.col(ANIMAL) == F.col("anc")).select(F.col(ANIMAL).alias("__p"), F.col("f").alias("__f"))
             s = done.select(F.col("__p").alias(SIRE), F.col("__f").alias("__fs"))
             d = done.select(F.col("__p").alias(DAM), F.col("__f").alias("__fd"))
-            joined = todo.join(s, SIRE, "left").join(d, DAM, "left")
+            joined = left_join_known(left_join_known(todo, s, SIRE), d, DAM)
             ready = joined.filter(
                 (F.col(SIRE).isNull() | F.col("__fs").isNotNull()) & (F.col(DAM).isNull() | F.col("__fd").isNotNull())
             )

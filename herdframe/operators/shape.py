@@ -131,16 +131,14 @@ def split_rows(df: DataFrame, source: str, out: str, sep: str = "; ") -> DataFra
     return df.withColumn(out, F.explode(F.split(F.col(source), re.escape(sep))))
 
 
-def nest(df: DataFrame, by: list[str], cols: list[str], out: str = "data", max_items: int = 100_000) -> DataFrame:
-    """One row per group with its rows as a sorted list column.
+def nest(df: DataFrame, by: list[str], cols: list[str], out: str = "data", slices: int = 16) -> DataFrame:
+    """One row per group and ``slice`` with its rows as a sorted list column.
 
-    A group above ``max_items`` rows becomes several rows (column ``slice``) that together hold all of it, so no
-    single cell or task has to carry a very large group.
+    The key of the result is the group and the slice, a hash of the row modulo ``slices``, for every group alike. Raise
+    ``slices`` with the size of the largest group so that a list fits into a cell.
     """
-    sizes = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / max_items).cast("int").alias("__slices"))
-    sliced = attach(df.select(*by, *cols), sizes, by)
-    part = F.pmod(F.xxhash64(*cols), F.col("__slices")).cast("int").alias("slice")
-    return sliced.groupBy(*by, part).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(out))
+    part = F.pmod(F.xxhash64(*cols), F.lit(slices)).cast("int").alias("slice")
+    return df.select(*by, *cols).groupBy(*by, part).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(out))
 
 
 def unnest(df: DataFrame, source: str = "data") -> DataFrame:

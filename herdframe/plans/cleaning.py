@@ -11,7 +11,7 @@ from herdframe.functions.text import clean_numeric, extract, normalize_text, pad
 from herdframe.operators.aggregates import any_flag, conflict_to, find_dup
 from herdframe.operators.checks import verify
 from herdframe.operators.joins import id_cascade, resolve_multi_match
-from herdframe.operators.keys import attach, null_safe_join
+from herdframe.operators.keys import attach, left_join_known, null_safe_join
 from herdframe.operators.ordered import dense_code, hash_bins, running
 from herdframe.operators.shape import add_missing_columns, stack_pairs
 from herdframe.operators.windows import fill_downup, impute_age
@@ -110,7 +110,7 @@ def clean_joined(
     rows = joined.withColumn("score_date", F.col("score_date").cast("date"))
     rows = any_flag(rows.withColumn("sold", R.sold_code("sold")), animal, "sold")
     born = register.select("lab_id", F.col("dob").cast("date").alias("dob")).filter("lab_id is not null")
-    rows = rows.join(born, "lab_id", "left")
+    rows = left_join_known(rows, born, "lab_id")
     rows = rows.withColumn("__days", R.age_in_days("score_date", "dob", "age", "year"))
     rows = rows.withColumn("age", R.age_in_years("age", R.age_class("__days")))
     rows = rows.filter((F.col("__days") >= 274) | F.col("__days").isNull()).drop("__days")

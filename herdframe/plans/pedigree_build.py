@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from herdframe.functions.text import infer_prefix, known_registration, padded_international_id, prefix_registration, strip_chars
 from herdframe.operators.aggregates import conflict_to, keep_group_size
 from herdframe.operators.joins import anti, id_cascade
-from herdframe.operators.keys import null_safe_join
+from herdframe.operators.keys import left_join_known, null_safe_join
 from herdframe.operators.pedigree import sex_from_role
 from herdframe.operators.shape import wide_pedigree_to_long
 from herdframe.operators.windows import keep_first
@@ -71,26 +71,39 @@ def combine(parts: list[DataFrame]) -> DataFrame:
     out = conflict_to(out, ["lab_id", "full_reg"], {"sire_reg": "0", "dam_reg": "0"}).distinct()
     out = out.withColumn("dam_reg", F.when(F.col("dam_reg") == F.col("full_reg"), "0").otherwise(F.col("dam_reg")))
     out = keep_group_size(out, ["full_reg"], 1, 1)
+    if "animal_id" in herd:
+        # an animal with numbers of two registries keeps the other one
+        who = ["lab_id", *herd]
+        several = out.groupBy(*who).agg((F.min("full_reg") < F.max("full_reg")).alias("__several"))
+        out = null_safe_join(out, several, who)
+        second = F.col("__several") & F.col("animal_id").isNotNull() & F.col("full_reg").contains("SIM")
+        out = out.withColumn("full_reg", F.when(second, "0").otherwise(F.col("full_reg"))).drop("__several")
     out = out.withColumns({c: F.when(F.col(c).endswith("NA"), "0").otherwise(F.col(c)) for c in REGS})
     return out.filter("full_reg <> '0'")
 
 
-def orphan_rows(animals: DataFrame, ped: DataFrame, register: DataFrame, leads: dict[str, str]) -> DataFrame:
+def orphan_rows(animals: DataFrame, ped: DataFrame, register: DataFrame) -> DataFrame:
     """Recorded animals the pedigree lacks, with parents from the register and prefixes inferred from relatives.
 
-    ``register``: lab_id, assoc, sire_reg, sire_assoc, dam_reg, dam_assoc.
+    ``register``: lab_id, assoc, sire_reg, sire_assoc, dam_reg, dam_assoc and, if known, breed_code (Hereford numbers lose their P).
+    Animals without a herd and without a known prefix go; animals of a herd without a number are named by their herd ids.
     """
     ids = ["lab_id", "farm_id", "animal_id", "temp_id"]
     lost = anti(animals.select(*ids, F.col("registration_number").alias("full_reg")).distinct(), ped, ids)
-    rows = lost.join(register, "lab_id", "left")
+    rows = left_join_known(lost, register, "lab_id")
     rows = rows.withColumns({c: F.regexp_replace(strip_chars(F.col(c).cast("string")), "[xX]", "") for c in REGS})
+    if "breed_code" in register.columns:
+        hereford = F.coalesce(F.col("breed_code") == "HFD", F.lit(False))
+        rows = rows.withColumns({c: F.when(hereford, F.regexp_replace(c, "[pP]", "")).otherwise(F.col(c)) for c in REGS})
     rows = rows.withColumns({c: F.regexp_replace(c, "^AAN", "AAA") for c in ("assoc", "sire_assoc", "dam_assoc")})
     made = {
-        "full_reg": infer_prefix("full_reg", "assoc", "sire_assoc", "dam_assoc", leads),
-        "sire_reg": infer_prefix("sire_reg", "sire_assoc", "assoc", "dam_assoc", leads),
-        "dam_reg": infer_prefix("dam_reg", "dam_assoc", "assoc", "sire_assoc", leads),
+        "full_reg": infer_prefix("full_reg", "assoc", "sire_assoc", "dam_assoc"),
+        "sire_reg": infer_prefix("sire_reg", "sire_assoc", "assoc", "dam_assoc", "sire", "full_reg"),
+        "dam_reg": infer_prefix("dam_reg", "dam_assoc", "assoc", "sire_assoc", "dam"),
     }
     rows = rows.withColumns(made)
     rows = rows.withColumns({c: known_registration(c) for c in ("sire_reg", "dam_reg")})
-    named = F.coalesce("full_reg", F.concat_ws("", "farm_id", "animal_id", F.col("temp_id").cast("string")))
-    return rows.withColumn("full_reg", named).select(*ids, *REGS)
+    named = F.when(F.col("farm_id").isNull(), known_registration("full_reg")).otherwise(
+        F.coalesce("full_reg", F.concat_ws("", "farm_id", "animal_id", F.col("temp_id").cast("string")))
+    )
+    return rows.withColumn("full_reg", named).filter(F.col("full_reg").isNotNull()).select(*ids, *REGS)

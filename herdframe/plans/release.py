@@ -42,7 +42,7 @@ def anonymise(records: DataFrame, keep: list[str], secret: str) -> DataFrame:
     reproduced with the secret but not turned back without it."""
     filled = fill_downup(records, ["farm_id", "temp_id"], ["score_date"], ["lab_id"])
     who = F.coalesce(F.col("lab_id").cast("string"), text_key("farm_id", "animal_id", "temp_id", sep="|"))
-    surrogate = F.concat(F.lit("A0"), F.substring(F.sha2(F.concat(who, F.lit(secret)), 256), 1, 16))
+    surrogate = F.concat(F.lit("A0"), F.sha2(F.concat(who, F.lit(secret)), 256))
     return filled.select(surrogate.alias("id"), *keep)
 
 

@@ -166,7 +166,9 @@ def test_relationship_matrix(spark, genotypes):
     g, d = genotypes
     z = standardised(g)
     want = z @ z.T / z.shape[1]
-    got = {(r.animal_i, r.animal_j): r.value for r in Y.grm(d, block=7, chunk=16).collect()}
+    ids = spark.range(60)
+    every = ids.toDF("animal_i").join(ids.toDF("animal_j"), F.col("animal_i") <= F.col("animal_j"))
+    got = {(r.animal_i, r.animal_j): r.value for r in Y.grm(d, every).collect()}
     assert len(got) == 60 * 61 // 2
     for (i, j), value in got.items():
         assert value == pytest.approx(want[i, j], abs=1e-10)
@@ -176,7 +178,7 @@ def test_principal_components(spark, genotypes):
     g, d = genotypes
     z = standardised(g)
     u, s, _ = np.linalg.svd(z, full_matrices=False)
-    out = Y.pca(d, 2, rounds=30, extra=8).collect()
+    out = Y.pca(d, 2, tolerance=1e-9, extra=8).collect()
     for pc in (1, 2):
         score = np.zeros(60)
         for r in out:

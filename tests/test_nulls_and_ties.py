@@ -150,7 +150,7 @@ def test_nest_slices_large_groups(spark):
     from herdframe.operators.shape import nest, unnest
 
     d = spark.range(100).select((F.col("id") % 3).alias("k"), "id", F.lit("x").alias("t"))
-    out = nest(d, ["k"], ["id", "t"], max_items=10)
+    out = nest(d, ["k"], ["id", "t"], slices=10)
     assert out.count() > 3 and out.agg(F.sum(F.size("data"))).first()[0] == 100
     assert rows(unnest(out), "k", "id") == rows(d, "k", "id")
     assert nest(d, ["k"], ["id", "t"]).count() == 3
@@ -160,5 +160,5 @@ def test_salted_join_equals_plain_join(spark):
     left = spark.range(2000).select(F.when(F.col("id") < 900, 0).otherwise(F.col("id") % 50).alias("k"), "id")
     right = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     for how in ("inner", "left", "left_semi", "left_anti"):
-        salted = salted_join(left, right, ["k"], how, hot_rows=100, slice_rows=40)
+        salted = salted_join(left, right, ["k"], how, slices=7)
         assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, left.join(right, "k", how).collect()))
