@@ -13,7 +13,7 @@ from herdframe.session import cut_lineage
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
-ROWS_PER_GROUP = 20_000
+ROWS_PER_GROUP = 2_000
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -99,7 +99,8 @@ def round_shares(rows: DataFrame, seed: int = 11, rows_per_group: int = ROWS_PER
     while True:
         counts = left.groupBy("source_key").agg(F.ceil(F.count(F.lit(1)) / rows_per_group).cast("int").alias("__groups"))
         grouped = left.join(counts, "source_key").withColumn("__group", F.pmod(F.xxhash64("key", F.lit(deep)), F.col("__groups")))
-        out = cut_lineage(grouped.groupBy("source_key", "__group").applyInPandas(level(deep), schema))
+        dealt = grouped.repartition("source_key", "__group")  # a large source is spread over its groups
+        out = cut_lineage(dealt.groupBy("source_key", "__group").applyInPandas(level(deep), schema))
         done.append(out.filter("share = 0 or share = 1"))
         left = out.filter("share > 0 and share < 1")
         most = left.groupBy("source_key").count().agg(F.max("count")).first()[0]
