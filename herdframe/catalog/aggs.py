@@ -210,6 +210,17 @@ def _(t):
     return A.joined_list(t.genes, ["term"], ["chr", "start_pos"], marker_label("chr", "start_pos"))
 
 
+@query(
+    "E15_ordered_items",
+    """with d as (select distinct term, chr, start_pos, chr || ':' || format('{:,}', start_pos) as item from genes)
+       select term, row_number() over (partition by term order by chr, start_pos, item)::int as place, item from d""",
+)
+def _(t):
+    from herdframe.functions.text import marker_label
+
+    return A.ordered_items(t.genes, ["term"], ["chr", "start_pos"], marker_label("chr", "start_pos"))
+
+
 @query(
     "E16_pass_fail",
     """select snp, count(*) filter (where p < 0.5) as n_pass, count(*) filter (where p >= 0.5) as n_fail,

@@ -397,6 +397,16 @@ def _(t):
     return N.intersecting_items(rows, terms, "gene_id", "term", ["study"], ["chr", "start_pos"], "label")
 
 
+@query(
+    "J22_intersecting_rows",
+    f"""with h as {_GENE_HITS} select study, term, row_number() over (partition by study, term order by chr, start_pos, 'G' || genes.gene_id)::int as place, 'G' || genes.gene_id as item
+       from h join genes on h.gene_id = genes.gene_id""",
+)
+def _(t):
+    info = t.genes.select("gene_id", "chr", "start_pos", F.concat(F.lit("G"), "gene_id").alias("label"))
+    return N.intersecting_rows(gene_hits(t).join(info, "gene_id"), t.genes.select("gene_id", "term"), "gene_id", "term", ["study"], ["chr", "start_pos"], "label")
+
+
 @query(
     "J23_qtl_enrichment",
     f"""with h as (select distinct study, m.chr, pos, gene_id, term from gwas m join genes g on m.chr = g.chr and pos between start_pos - 50 and end_pos + 50 where p < 0.02),

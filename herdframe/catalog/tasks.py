@@ -35,7 +35,7 @@ def sql_fill(src, keys, moment, column, order=None):
        a as (select i.*, r.lab_id from i left join register r on i.registration_number = r.reg),
        b as (select a.* exclude (lab_id), coalesce(a.lab_id, r.lab_id) as lab_id from a left join register r on a.lab_id is null and a.barcode = r.ref_id2),
        c as (select b.* exclude (lab_id), coalesce(b.lab_id, r.lab_id) as lab_id from b left join register r on b.lab_id is null and b.registration_number = r.ref_id3),
-       t as (select *, row_number() over (partition by farm_id order by md5(coalesce(registration_number, '') || '|' || animal_id || '|' || coalesce(barcode, '') || '|' || coalesce(lab_id::varchar, ''))) as temp_id from c)
+       t as (select *, row_number() over (partition by farm_id order by md5(coalesce(registration_number, '') || '|' || animal_id || '|' || coalesce(barcode, '') || '|' || coalesce(lab_id::varchar, '') || '|')) as temp_id from c)
        select h.rec, h.farm_id, t.temp_id, t.animal_id, t.registration_number, t.barcode, t.lab_id from herd_files h join t on t.farm_id = h.farm_id and t.animal_id = upper(replace(trim(h.animal_id), '.', ''))""",
 )
 def _(t):
@@ -379,11 +379,13 @@ def _(t):
 
 @query(
     "H8_environment",
-    """with w as (select user_id % 20 as site, ts::date as day, avg(value) as hi from events group by all), p as (select site, round(avg(hi), 9) as hi from (select * from w qualify rank() over (partition by site order by day desc) <= 5) group by site)
-       select rec_a, rec_b, temp_id, farm_id, score_date, hi from records join p on farm_id = 'F' || site""",
+    """with w as (select user_id % 20 as site, ts::date - 10227 as day, avg(value) as hi from events group by all), d as (select distinct farm_id, score_date from records),
+       j as (select d.farm_id, d.score_date, hi from d join w on farm_id = 'F' || site and day <= score_date qualify rank() over (partition by d.farm_id, d.score_date order by day desc) <= 5),
+       p as (select farm_id, score_date, round(avg(hi), 9) as hi from j group by all)
+       select rec_a, rec_b, temp_id, r.farm_id, r.score_date, hi from records r left join p on r.farm_id = p.farm_id and r.score_date = p.score_date""",
 )
 def _(t):
-    day = F.col("ts").cast("date")
+    day = F.date_sub(F.col("ts").cast("date"), 10227)  # the days of the events, moved into the years of the records
     w = t.events.groupBy((F.col("user_id") % 20).cast("double").alias("lat"), day.alias("value")).agg(F.avg("value").alias("apparent_high"))
     dates = t.records.select("farm_id", "score_date").distinct().withColumn("lat", F.substr("farm_id", F.lit(2)).cast("double"))
     weather = w.join(dates.drop("farm_id"), "lat").withColumns({"long": F.lit(1.0), "day_length": F.lit(12.0)})

@@ -45,10 +45,6 @@ def all_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
-def any_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds)
-
-
 def recode(c: ColumnLike, groups: dict[str | None, list], keep_other: bool = True) -> Column:
     """Standardise codes: ``{target: [spellings]}``; other values are kept or become null."""
     source = col(c)

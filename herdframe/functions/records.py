@@ -30,9 +30,8 @@ COLORS_ALLOWED = [
     "BLACK", "BLACK ROAN", "BLACK SPOTTED", "BLACK WHITE FACE", "BROWN", "BRINDLE", "RED", "RED ROAN",
     "RED SPOTTED", "RED WHITE FACE", "WHITE", "GREY", "YELLOW",
 ]
-# fixed values: breed code -> registry prefix, the two variants in use
+# fixed values: breed code -> registry prefix
 REGISTRY_KEEP = {"AAA": ["AN"], "RAN": ["ANR"], "BGR": ["BG"], "BSW": ["BRN"], "RDP": ["MAAN"], "HER": ["HFD"]}
-REGISTRY_STRICT = {"AAN": ["AN"], "RAN": ["ANR"], "BGR": ["BG"], "BSW": ["BRN"], "RDP": ["MAAN"]}
 # fixed values: herds with one calving season, herds on endophyte-infected fescue
 SEASON_BY_HERD = {"UMCT": "SPRING", "UMF": "FALL"}
 FESCUE_HERDS = ["BAT", "CRC"]
@@ -146,10 +145,6 @@ def f_to_c(c: ColumnLike) -> Column:
     return (col(c) - 32) * 5 / 9
 
 
-def hours_between(start: ColumnLike, end: ColumnLike) -> Column:
-    return (F.unix_timestamp(col(end)) - F.unix_timestamp(col(start))) / 3600.0
-
-
 def fraction_of(text: ColumnLike, code: str) -> Column:
     """Share of one breed in text such as ``3/4 AR 1/4 SM``, ``12.5% AR``, ``PB AR`` (whole)."""
     source = col(text)

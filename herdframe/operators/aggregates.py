@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from herdframe.functions.base import ColumnLike, all_of, col, n_distinct
@@ -137,12 +137,20 @@ def summary_of(df: DataFrame, by: list[str], value: str) -> DataFrame:
 def joined_list(
     df: DataFrame, by: list[str], order: list[ColumnLike], text: ColumnLike, out: str = "items", sep: str = "; "
 ) -> DataFrame:
-    """Distinct texts per group, in order, joined into one string."""
+    """Distinct texts per group, in order, joined into one string: for final, small reports; else see ``ordered_items``."""
     cell = F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(order)], col(text).alias("t"))
     cells = F.array_sort(F.collect_set(cell))
     return df.groupBy(*by).agg(F.array_join(F.transform(cells, lambda s: s["t"]), sep).alias(out))
 
 
+def ordered_items(df: DataFrame, by: list[str], order: list[str], item: ColumnLike, out: str = "item") -> DataFrame:
+    """Distinct items per group as rows with their place (1, 2, ...) in the order of ``order`` and the item: the long form of
+    ``joined_list``, for groups of any size. The place is a running count; no list is held."""
+    rows = df.select(*by, *order, col(item).alias(out)).distinct()
+    w = Window.partitionBy(*by).orderBy(*order, out)
+    return rows.withColumn("place", F.row_number().over(w)).select(*by, "place", out)
+
+
 def pass_fail(df: DataFrame, by: list[str], value: str, limit: float) -> DataFrame:
     """Passes below the limit, fails at or above it, and the share of fails."""
     out = df.groupBy(*by).agg(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from herdframe.functions.stats import with_hypergeom_sf
 from herdframe.functions.text import marker_label
-from herdframe.operators.aggregates import joined_list
+from herdframe.operators.aggregates import joined_list, ordered_items
 from herdframe.operators.gwas import bh_adjust
 from herdframe.operators.keys import null_safe_join
 from herdframe.session import cut_lineage
@@ -34,11 +34,22 @@ def term_enrichment(hits: DataFrame, terms: DataFrame, item: str, term: str, by:
 def intersecting_items(
     hits: DataFrame, terms: DataFrame, item: str, term: str, by: list[str], order: list[str], label: str
 ) -> DataFrame:
-    """The hit items of each term as one ordered list."""
-    rows = hits.select(*by, item, *[c for c in order if c != item], label).distinct().join(terms.select(item, term).distinct(), item)
+    """The hit items of each term as one ordered list, a final report; ``intersecting_rows`` is the long form."""
+    rows = _term_hits(hits, terms, item, term, by, order, label)
     return joined_list(rows, [*by, term], order, label, "intersecting_items")
 
 
+def intersecting_rows(
+    hits: DataFrame, terms: DataFrame, item: str, term: str, by: list[str], order: list[str], label: str
+) -> DataFrame:
+    """The hit items of each term, one row each with its place."""
+    return ordered_items(_term_hits(hits, terms, item, term, by, order, label), [*by, term], order, label)
+
+
+def _term_hits(hits: DataFrame, terms: DataFrame, item: str, term: str, by: list[str], order: list[str], label: str) -> DataFrame:
+    return hits.select(*by, item, *[c for c in order if c != item], label).distinct().join(terms.select(item, term).distinct(), item)
+
+
 def qtl_enrichment(hits: DataFrame, database: DataFrame, trait: str, record: str, by: list[str]) -> DataFrame:
     """Per trait: database records near hits against all records of the trait, adjusted inside a dataset.
 

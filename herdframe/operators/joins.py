@@ -177,7 +177,3 @@ def anti(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
 
 def semi(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return null_safe_join(left, right.select(*on).distinct(), on, "left_semi")
-
-
-def join_condition(left: DataFrame, right: DataFrame, pairs: dict[str, str]):
-    return all_of([left[a].eqNullSafe(right[b]) for a, b in pairs.items()])

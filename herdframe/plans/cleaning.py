@@ -62,9 +62,9 @@ def match_animals(keys: DataFrame, register: DataFrame, bulk: str = "RAAA|ASA|Te
     # the key table is far smaller than the records and is read many times below: stored once
     matched = cut_lineage(id_cascade(keyed, [(a, register, b) for a, b in order], "lab_id"))
     notes = register.select("lab_id", F.col("comment").rlike(bulk).alias("__bulk"))
-    noted = matched.join(notes, "lab_id", "left").withColumn("__bulk", F.coalesce("__bulk", F.lit(False)))
+    noted = left_join_known(matched, notes, "lab_id").withColumn("__bulk", F.coalesce("__bulk", F.lit(False)))
     single = resolve_multi_match(noted, ["farm_id", *IDS], "lab_id", "__bulk").drop("__bulk", "reg2")
-    text = text_key(*IDS, F.col("lab_id"), sep="|", missing="")
+    text = text_key(*IDS, F.col("lab_id"), F.col("breed_code"), sep="|", missing="")
     marked = single.withColumn("__digest", F.md5(text))
     ids = running(marked, ["farm_id"], hash_bins("__digest"), ["__digest"], {"temp_id": ("sum", F.lit(1))})
     return ids.withColumn("temp_id", F.col("temp_id").cast("bigint")).drop("__digest")

@@ -83,11 +83,12 @@ MODELS: dict[str, dict] = {
 
 
 def environment(records: DataFrame, weather: DataFrame, places: DataFrame, days: int = 30) -> DataFrame:
-    """Records with coordinates and the means of the latest days of weather before scoring.
+    """Records with coordinates and the means of the latest days of weather up to scoring.
 
     ``weather``: score_date, lat, long, value (day), apparent_high, day_length. ``places``: farm_id, lat, long.
     """
     keys = ["score_date", "lat", "long"]
+    weather = weather.filter(F.col("value") <= F.col("score_date"))
     means = trailing_mean(weather, keys, "value", days, {"mean_apparent_high": "apparent_high", "mean_day_length": "day_length"})
     placed = records.filter(F.col("score_date").isNotNull()).join(places.select("farm_id", "lat", "long"), "farm_id", "left")
     return placed.join(means, keys, "left")

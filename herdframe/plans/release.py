@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdframe.functions.base import text_key
-from herdframe.functions.text import extract
 from herdframe.operators.joins import anti
 from herdframe.operators.keys import null_safe_join
 from herdframe.operators.windows import fill_downup, keep_first
 
+# association, country, sex and number of a sample id; zeros before the number are filling
+_SAMPLE_ID = r"^([A-Z]{3})([A-Z]*?)([MF])(?:0+(?=[1-9]))?([0-9]+)"
+
 
 def rename_key(family: DataFrame, samples: DataFrame, ped: DataFrame) -> DataFrame:
     """Pedigree id per sample id; samples outside the pedigree get prefix + number taken from the sample id.
@@ -22,8 +24,8 @@ def rename_key(family: DataFrame, samples: DataFrame, ped: DataFrame) -> DataFra
     known = linked.filter(F.col("full_reg").isNotNull()).distinct()
     rest = family.select("international_id").distinct().join(known, "international_id", "left_anti")
     rows = known.unionByName(rest, allowMissingColumns=True)
-    short = F.regexp_replace("international_id", r"(?<=M|F)0+(?=[1-9])", "")
-    made = text_key(extract(short, r"^\p{Upper}{3}"), extract(short, r"(?<=M|F)\d+"))
+    part = lambda group: F.nullif(F.regexp_extract("international_id", _SAMPLE_ID, group), F.lit(""))
+    made = text_key(part(1), part(4))
     return rows.withColumn("full_reg", F.regexp_replace(F.coalesce("full_reg", made), "AAN", "AAA"))
 
 
@@ -56,11 +58,3 @@ def submission_samples(samples: DataFrame, released: DataFrame, assays: list[str
     """Genotype samples of released animals on accepted assays: (iid, id)."""
     ok = samples.filter(F.col("assay").isin(*assays)).select("iid", "lab_id")
     return ok.join(released.select("lab_id", "id").distinct(), "lab_id").select("iid", "id").distinct()
-
-
-def first_per_sample(df: DataFrame, order: list[str]) -> DataFrame:
-    return keep_first(df, ["international_id"], [F.asc_nulls_last(c) for c in order])
-
-
-def carry_metadata(df: DataFrame, meta: DataFrame, on: list[str]) -> DataFrame:
-    return null_safe_join(df, meta, on)

@@ -151,8 +151,3 @@ def read_tagged(spark: SparkSession, paths: dict[str, str], fields: Fields, head
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def tidy_sheet(df: DataFrame) -> DataFrame:
-    """Rows without any value go, names become snake case."""
-    return clean_names(remove_empty_rows(df), bare=["sold"])

@@ -35,7 +35,3 @@ def write_state(df: DataFrame, path: str, partition_by=()) -> None:
 def marker_info(markers: DataFrame) -> DataFrame:
     """(snp_id, chr, pos) plus the ``chr:pos`` name."""
     return markers.select("snp_id", "chr", "pos", F.concat_ws(":", F.col("chr").cast("string"), F.col("pos").cast("string")).alias("chrpos"))
-
-
-def right_aligned(value, width: int):
-    return pad_left(value, width, " ")

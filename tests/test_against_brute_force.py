@@ -248,3 +248,22 @@ def test_ids_are_dense(spark):
     codes = O.dense_code(d, "v").select("v", "code").distinct().collect()
     assert sorted(r.code for r in codes) == list(range(1, 84))
     assert sorted(r.row_id for r in O.row_ids(d, ["id"]).collect()) == list(range(1, 501))
+
+
+def test_smoother_weights_against_a_spline_basis():
+    """Natural cubic spline in truncated powers, its penalty by numeric integration, trace 3 by bisection."""
+    x = np.array(S.LAMBDA_GRID)
+    n = len(x)
+    cube = lambda t, k: (np.maximum(t - x[k], 0) ** 3 - np.maximum(t - x[-1], 0) ** 3) / (x[-1] - x[k])
+    basis = lambda t: np.stack([np.ones_like(t), t, *[cube(t, k) - cube(t, n - 2) for k in range(n - 2)]], 1)
+    second = lambda t, k: 6 * (np.maximum(t - x[k], 0) - np.maximum(t - x[-1], 0)) / (x[-1] - x[k])
+    t = np.linspace(x[0], x[-1], 200_001)
+    bend = np.stack([0 * t, 0 * t, *[second(t, k) - second(t, n - 2) for k in range(n - 2)]], 1)
+    penalty = np.trapezoid(bend[:, :, None] * bend[:, None, :], t, axis=0) if n < 5 else np.array([[np.trapezoid(bend[:, i] * bend[:, j], t) for j in range(n)] for i in range(n)])
+    b = basis(x)
+    low, high = -40.0, 40.0
+    for _ in range(120):
+        mid = (low + high) / 2
+        smoother = b @ np.linalg.solve(b.T @ b + math.exp(mid) * penalty, b.T)
+        low, high = (mid, high) if np.trace(smoother) > 3 else (low, mid)
+    assert np.allclose(S.smoother_weights(), smoother[-1], atol=1e-5)
