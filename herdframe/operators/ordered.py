@@ -92,11 +92,21 @@ def tail_bins(p: str, per_decade: int = 65_536) -> dict[str, Column]:
     return {"__coarse": F.floor(fine / 1024), "__fine": fine}
 
 
-def value_bins(x: str, per_unit: int = 4_096) -> dict[str, Column]:
-    """Two levels of bins that follow any real number: signed log scale."""
-    v = F.col(x).cast("double")
-    fine = F.floor(F.signum(v) * F.log1p(F.abs(v)) * per_unit).cast("bigint")
-    return {"__coarse": F.floor(fine / 1024), "__fine": fine}
+# shares of a group between which its bins lie: ever narrower towards the middle
+_MIDDLE_EDGES = [0.25, 0.4, 0.45, 0.48, 0.49, 0.495, 0.499, 0.4995, 0.5005, 0.501, 0.505, 0.51, 0.52, 0.55, 0.6, 0.75]
+
+
+def _edge_bins(counted: DataFrame, known: DataFrame, group: dict[str, Column], by: list[str], value: str) -> DataFrame:
+    """Mark each row of ``counted`` with a bin whose edges are approximate quantiles of its own group, whatever the scale of the values."""
+    edges = known.groupBy(*by).agg(F.percentile_approx(value, _MIDDLE_EDGES, 10_000).alias("__edges"))
+    if by:
+        marked = counted.withColumns(group).join(edges.withColumns(group).select(*group, "__edges"), list(group))
+    else:
+        marked = counted.withColumn("__edges", edges.scalar())
+    fine = F.lit(0)
+    for i in range(len(_MIDDLE_EDGES)):
+        fine = fine + (F.get("__edges", F.lit(i)) < F.col(value)).cast("int")
+    return marked.withColumn("__fine", fine).drop("__edges")
 
 
 def hash_bins(digest: str) -> dict[str, Column]:
@@ -125,7 +135,7 @@ def dense_code(df: DataFrame, value: str, by: list[str] | None = None, out: str
     return null_safe_join(df, codes, by + [value])
 
 
-def global_median(df: DataFrame, by: list[str], value: str, out: str = "median", levels=value_bins) -> DataFrame:
+def global_median(df: DataFrame, by: list[str], value: str, out: str = "median", levels=None) -> DataFrame:
     """Exact median per group: bin counts find the middle bin, only that bin is ranked.
 
     Even counts average the two middle values.
@@ -134,14 +144,17 @@ def global_median(df: DataFrame, by: list[str], value: str, out: str = "median",
     return middle.groupBy(*by).agg(F.avg(value).alias(out))
 
 
-def middle_values(df: DataFrame, by: list[str], value: str, levels=value_bins) -> DataFrame:
-    """The one or two middle values per group."""
+def middle_values(df: DataFrame, by: list[str], value: str, levels=None) -> DataFrame:
+    """The one or two middle values per group. Bins are quantiles of the group unless ``levels`` gives fixed ones."""
     group = _group_key(by)
     outer = list(group)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    marks = levels(value)
-    names = list(marks)
-    binned = counted.withColumns({**group, **marks}).drop(*by)
+    known = df.filter(F.col(value).isNotNull())
+    counted = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
+    if levels is None:
+        names, binned = ["__fine"], _edge_bins(counted, known, group, by, value).drop(*by)
+    else:
+        marks = levels(value)
+        names, binned = list(marks), counted.withColumns({**group, **marks}).drop(*by)
     bins = binned.groupBy(*outer, *names).agg(F.sum("__n").alias("__n"))
     totals = bins.groupBy(*outer).agg(F.sum("__n").alias("__m"))
     before = _carry(bins, outer, names, {"__n": "sum"}, reverse=False).withColumnRenamed("__n", "__before")
