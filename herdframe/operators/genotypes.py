@@ -172,7 +172,7 @@ def grm(geno: DataFrame, pairs: DataFrame, method: str = "standardised") -> Data
     return sums.select("animal_i", "animal_j", (F.col("s") / denominator.scalar()).alias("value"))
 
 
-def pca(geno: DataFrame, k: int = 2, tolerance: float = 1e-7, extra: int = 14, seed: int = 1) -> DataFrame:
+def pca(geno: DataFrame, k: int = 2, tolerance: float = 1e-6, extra: int = 14, seed: int = 1) -> DataFrame:
     """Leading principal components of standardised dosages: (animal, pc, score, eigenvalue, share).
 
     Subspace iteration: a tall matrix of k + extra columns, one row per animal, is multiplied by Z and Z' through joins
