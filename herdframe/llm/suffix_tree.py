@@ -130,25 +130,27 @@ def _word_keys(codes: np.ndarray, hashes: np.ndarray, starts: np.ndarray) -> np.
     return hashes.view(np.int64)[codes]
 
 
-def _contexts(tree: Tree, word: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """The number of the context of ``depth`` words that ends at each token, or -1; contexts do not cross texts."""
-    at = np.where(word >= 0, tree.context[word], -1)
-    at[starts[1:] - 1] = -1
-    for level in tree.levels[: depth - 1]:
+def _walk(tree: Tree, word: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For contexts of 1, 2, ... words: the context that ends before each token, and the entry of the token after it (-1: none). The
+    contexts of the next length follow from the entries; contexts do not cross texts. One length more than the tree has is given, without entries."""
+    at = np.where(word >= 0, tree.context[word], -1) if len(tree.context) else np.full(len(word), -1, np.int64)
+    for level in [*tree.levels, None]:
         before = np.append(-1, at[:-1])
         before[starts[:-1]] = -1
-        ok = np.flatnonzero((before >= 0) & (word >= 0))
-        entry = _find(level.keys, (before[ok] << 32) | word[ok])
-        at = np.full(len(word), -1, np.int64)
-        at[ok] = np.where(entry >= 0, level.child[entry], -1) if len(level.child) else -1
-    return at
+        entry = np.full(len(word), -1, np.int64)
+        if level is not None and len(level.keys):
+            ok = np.flatnonzero((before >= 0) & (word >= 0))
+            entry[ok] = _find(level.keys, (before[ok] << 32) | word[ok])
+            at = np.where(entry >= 0, level.child[entry], -1)
+        else:
+            at = entry
+        yield before, entry
 
 
-def _entry_keys(tree: Tree, depth: int):
+def _entry_keys(tree: Tree):
     def keys(codes: np.ndarray, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         word = _find(tree.hashes, hashes)[codes]
-        context = np.append(-1, _contexts(tree, word, starts, depth)[:-1])
-        context[starts[:-1]] = -1
+        *_, (context, _) = _walk(tree, word, starts)
         use = (context >= 0) & (word >= 0)
         return (context[use] << 32) | word[use]
 
@@ -163,15 +165,12 @@ def _test(tree: Tree, level: Level, kinds: np.ndarray, depth: int) -> None:
     context, word = level.keys >> 32, level.keys & 0xFFFFFFFF
     size = len(level.n)
     below = (tree.counts[word] + 1) / tree.spread
-    at = level.parent[context]
-    for k in range(depth - 2, -1, -1):
-        pass
-    chain = []
+    chain, at = [], level.parent[context]
     for k in range(depth - 2, -1, -1):
-        chain.append((k, at))
-        at = np.where(at >= 0, tree.levels[k].parent[at], -1) if k else at
-    for k, state in reversed(chain):
-        below = _step(tree.levels[k], state, word, below)
+        chain.append((tree.levels[k], at))
+        at = tree.levels[k].parent[at]
+    for longer, state in reversed(chain):
+        below = _step(longer, state, _find(longer.keys, (state << 32) | word), below)
     p = level.counts / level.n[context]
     known = np.bincount(context, level.counts, size)
     rest_p = np.clip(1 - known / np.maximum(level.n, 1), 0, 1)
@@ -185,14 +184,14 @@ def _test(tree: Tree, level: Level, kinds: np.ndarray, depth: int) -> None:
     level.mass = (level.n - known + spare) / level.total
 
 
-def _step(level: Level, state: np.ndarray, word: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """Probability of the word after a state, given that after its suffix; unchanged where there is no kept state."""
+def _step(level: Level, state: np.ndarray, entry: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Probability of a word after a state, given its entry there and its probability after the state's suffix; unchanged where there is no
+    kept state."""
     out = below.copy()
     ok = np.flatnonzero(state >= 0)
     ok = ok[level.kept[state[ok]]]
-    s, w = state[ok], word[ok]
-    entry = np.where(w >= 0, _find(level.keys, (s << 32) | w), -1)
-    seen = np.where(entry >= 0, level.counts[entry], 0) if len(level.counts) else 0
+    s, e = state[ok], entry[ok]
+    seen = np.where(e >= 0, level.counts[e], 0) if len(level.counts) else 0
     out[ok] = seen / level.total[s] + level.mass[s] * below[ok]
     return out
 
@@ -223,7 +222,7 @@ def learn(docs: DataFrame, depth: int = DEPTH, context_share: float = CONTEXT_SH
     for length in range(1, depth + 1):
         if not len(level.n):
             break
-        counted = cut_lineage(_counts(training, _entry_keys(tree, length)))
+        counted = cut_lineage(_counts(training, _entry_keys(tree)))
         kinds_of = counted.groupBy(F.shiftright("key", 32).alias("context")).agg(F.count(F.lit(1)).alias("kinds")).toArrow()
         distinct = np.zeros(len(level.n))
         distinct[kinds_of["context"].to_numpy()] = kinds_of["kinds"].to_numpy()
@@ -259,10 +258,8 @@ def _score_rows(docs: DataFrame, tree: Tree) -> DataFrame:
                 often = word >= 0
                 root = np.where(often, ((tree.counts[word] if len(tree.counts) else 0) + 1) / tree.spread, 1.0)
                 p = root
-                for k, level in enumerate(tree.levels):
-                    state = np.append(-1, _contexts(tree, word, starts, k + 1)[:-1])
-                    state[starts[:-1]] = -1
-                    p = _step(level, state, word, p)
+                for level, (state, entry) in zip(tree.levels, _walk(tree, word, starts), strict=False):
+                    p = _step(level, state, entry, p)
                 sums = lambda x, starts=starts: np.add.reduceat(x, starts[:-1])
                 known = often & ((tree.counts[word] if len(tree.counts) else np.zeros(len(word))) > 0)
                 owner = np.repeat(np.arange(piece.num_rows), np.diff(starts))[~often]

@@ -64,7 +64,8 @@ def test_probabilities_after_every_state_sum_to_one(docs_of, rows):
                 at = tree.levels[k].parent[at]
                 chain.append(at)
             for k, s in enumerate(reversed(chain)):
-                p = suffix_tree._step(tree.levels[k], np.full(len(known), s), known, p)
+                entry = suffix_tree._find(tree.levels[k].keys, (s << 32) | known)
+                p = suffix_tree._step(tree.levels[k], np.full(len(known), s), entry, p)
                 tail *= tree.levels[k].mass[s] if tree.levels[k].kept[s] else 1
             assert p.sum() + tail == pytest.approx(1)
 
