@@ -104,7 +104,7 @@ def test_interval_join_equals_nested_loop(spark):
     f = spark.createDataFrame(feats, "f int, chr int, start_pos int, end_pos int")
     for window in (0, 50, 700):
         want = {(a, b) for a, c, p in markers for b, k, s, e in feats if c == k and s - window <= p <= e + window}
-        got = V.interval_join(m, f, window, bin_width=256, hot_rows=5)
+        got = V.interval_join(m, f, window, bin_width=256)
         rows = [(r.m, r.f) for r in got.collect()]
         assert len(rows) == len(set(rows)) and set(rows) == want
         lone = {r.m for r in V.interval_join(m, f, window, bin_width=256, how="left_anti").collect()}
