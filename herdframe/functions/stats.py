@@ -103,9 +103,15 @@ def erfc(x: ColumnLike) -> Column:
     return (1 - side) + side * (F.exp(-y * y) * erfcx(F.abs(y)))
 
 
+def _not_below_zero(x: ColumnLike) -> Column:
+    """The value or zero; null stays null."""
+    value = col(x).cast("double")
+    return F.when(value < 0, 0.0).otherwise(value)
+
+
 def chi2_1_sf(x: ColumnLike) -> Column:
     """P(X > x) for chi-square with one degree of freedom."""
-    return erfc(F.sqrt(F.greatest(col(x).cast("double"), F.lit(0.0)) / 2))
+    return erfc(F.sqrt(_not_below_zero(x) / 2))
 
 
 def chi2_1_isf(p: ColumnLike) -> Column:
@@ -118,13 +124,13 @@ def chi2_1_isf(p: ColumnLike) -> Column:
 
 def chi2_1_neglog10_sf(x: ColumnLike) -> Column:
     """-log10 of the tail, taken in logs so that it stays finite where the tail underflows."""
-    y = F.sqrt(F.greatest(col(x).cast("double"), F.lit(0.0)) / 2)
+    y = F.sqrt(_not_below_zero(x) / 2)
     return (y * y) / math.log(10) - F.log10(erfcx(y))
 
 
 def chi2_sf(x: ColumnLike, df: ColumnLike) -> Column:
     """P(X > x) for a whole number of degrees of freedom (finite series)."""
-    h = F.greatest(col(x).cast("double"), F.lit(0.0)) / 2
+    h = _not_below_zero(x) / 2
     v = col(df).cast("int")
     steps = F.floor((v - 1) / 2).cast("int")
     odd = (v % 2) == 1
