@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare word runs seed candidate passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: shared word runs seed candidate passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -14,10 +14,11 @@ from herdframe.llm.words import bare_words, shingles, slices
 
 SEED_WORDS = 3
 SCORE = 0.5
-RARE_SHARE, RARE_LEAST = 1e-6, 50
 BLOCK_BYTES = 8 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 _CELLS = 1 << 20
+_PAIRS = 1 << 18
+_WORD_TABLE = 24
 
 
 @dataclass
@@ -39,17 +40,16 @@ class Items:
         order = np.argsort(runs, kind="stable")
         return cls(ids, words, starts, runs[order], owner[order], (np.arange(len(runs)) - at[owner])[order])
 
-    def rare(self, counts: dict[int | None, int]) -> Items:
-        """Without the seeds that are common in the corpus: those of more than ``RARE_LEAST`` occurrences and ``RARE_SHARE`` of all runs. The rarer half of
-        each item's seeds stays in any case, ties included, so an item that was copied very often keeps seeds."""
-        n = np.array([counts.get(int(r), 0) for r in self.runs.view(np.int64)], np.int64)
-        order = np.lexsort((n, self.owner))
-        begin = np.searchsorted(self.owner[order], np.arange(len(self.ids) + 1))
-        limit = np.zeros(len(self.ids))
-        full = np.flatnonzero(np.diff(begin))
-        limit[full] = n[order[(begin[full] + begin[full + 1] - 1) // 2]]
-        keep = n <= np.maximum(limit, max(RARE_LEAST, RARE_SHARE * counts.get(None, 0)))[self.owner]
-        return Items(self.ids, self.words, self.starts, self.runs[keep], self.owner[keep], self.place[keep])
+    def word_table(self) -> np.ndarray:
+        """Which bits of (item, word) are in use: a word that is not in the table is not in the item."""
+        table = np.zeros(1 << _WORD_TABLE, bool)
+        table[_word_spots(np.repeat(np.arange(len(self.ids)), np.diff(self.starts)), self.words)] = True
+        return table
+
+
+def _word_spots(item: np.ndarray, words: np.ndarray) -> np.ndarray:
+    mixed = (words ^ (item.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9))) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(64 - _WORD_TABLE)).astype(np.int64)
 
 
 def _filter_table(runs: np.ndarray) -> np.ndarray:
@@ -96,24 +96,54 @@ def _matrix(words: np.ndarray, begin: np.ndarray, length: np.ndarray, reverse: b
     return words[np.clip(at, 0, len(words) - 1)]
 
 
-def matches(items: Items, texts: pa.Array, size: int, least: float, table: np.ndarray) -> list[tuple[int, int, float, int, int]]:
+def _windows(items: Items, values: np.ndarray, at: np.ndarray, hit: np.ndarray) -> Iterator[np.ndarray]:
+    """(text, item, step of the place where the item would begin) of the seeds of ``hit``, as many pairs at once as memory allows."""
+    low, high = np.searchsorted(items.runs, values[hit], "left"), np.searchsorted(items.runs, values[hit], "right")
+    ends = np.cumsum(high - low)
+    first = 0
+    while first < len(hit):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _PAIRS, side="right")))
+        n = (high - low)[first:last]
+        seed = np.repeat(low[first:last] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        place = np.repeat(hit[first:last], n)
+        text = np.searchsorted(at, place, side="right") - 1
+        item = items.owner[seed]
+        length = np.diff(items.starts)[item]
+        # Passages are windows around the place where the item would begin; seeds of one step share a window.
+        step = np.maximum(1, np.maximum(4, length // 2) // 2)
+        yield np.unique(np.stack([text, item, np.floor_divide((place - at[text]) - items.place[seed], step)], 1), axis=0)
+        first = last
+
+
+def _enough_words(items: Items, words: np.ndarray, item: np.ndarray, begin: np.ndarray, span: np.ndarray, need: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Places of the windows with at least ``need`` words that are in their item. A passage's score is at most that number of matches, so the
+    others cannot reach the least score whatever their order."""
+    kept, at_once = [np.zeros(0, np.int64)], 0
+    ends = np.cumsum(span)
+    while at_once < len(span):
+        stop = max(at_once + 1, int(np.searchsorted(ends, (ends[at_once - 1] if at_once else 0) + _CELLS, side="right")))
+        n = span[at_once:stop]
+        from_ = np.cumsum(n) - n
+        at = np.repeat(begin[at_once:stop] - from_, n) + np.arange(n.sum())
+        shared = np.add.reduceat(known[_word_spots(np.repeat(item[at_once:stop], n), words[np.minimum(at, len(words) - 1)])], from_, dtype=np.int64)
+        kept.append(at_once + np.flatnonzero(shared >= need[at_once:stop]))
+        at_once = stop
+    return np.concatenate(kept)
+
+
+def matches(items: Items, texts: pa.Array, size: int, least: float, table: np.ndarray, known: np.ndarray | None = None) -> list[tuple[int, int, float, int, int]]:
     """(text, item, score, first word, word after the last) of the best passage of each text and item at or above ``least``."""
     words, starts = bare_words(texts)
     values, at = shingles(words, starts, size)
     hit = _seen(values, items.runs, table)
-    if not len(hit):
-        return []
-    low, high = np.searchsorted(items.runs, values[hit], "left"), np.searchsorted(items.runs, values[hit], "right")
-    seed = np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low) + np.arange((high - low).sum())
-    hit = np.repeat(hit, high - low)
-    text = np.searchsorted(at, hit, side="right") - 1
-    item = items.owner[seed]
-    length = np.diff(items.starts)[item]
-    slack = np.maximum(4, length // 2)
-    # Passages are windows around the place where the item would begin; seeds of one step share a window.
-    step = np.maximum(1, slack // 2)
-    shift = (hit - at[text]) - items.place[seed]
-    cells = np.unique(np.stack([text, item, np.floor_divide(shift, step)], 1), axis=0)
+    known = items.word_table() if known is None and len(hit) else known
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for cells in _windows(items, values, at, hit):
+        _align_cells(items, words, starts, cells, least, known, best)
+    return [(*k, *v) for k, v in sorted(best.items())]
+
+
+def _align_cells(items: Items, words: np.ndarray, starts: np.ndarray, cells: np.ndarray, least: float, known: np.ndarray, best: dict) -> None:
     text, item = cells[:, 0], cells[:, 1]
     length = np.diff(items.starts)[item]
     slack = np.maximum(4, length // 2)
@@ -121,7 +151,8 @@ def matches(items: Items, texts: pa.Array, size: int, least: float, table: np.nd
     begin = np.maximum(cells[:, 2] * step - slack, 0)
     stop = np.minimum(cells[:, 2] * step + step + length + slack, np.diff(starts)[text])
     span = np.maximum(stop - begin, 1)
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    chosen = _enough_words(items, words, item, starts[text] + begin, span, least * length - 1e-9, known)
+    text, item, length, begin, span = text[chosen], item[chosen], length[chosen], begin[chosen], span[chosen]
     order = np.argsort(length, kind="stable")
     at_once = 0
     while at_once < len(order):
@@ -143,7 +174,6 @@ def matches(items: Items, texts: pa.Array, size: int, least: float, table: np.nd
             value = float(s / (MATCH * length[r])), int(begin[r] + f), int(begin[r] + e)
             if key not in best or (-value[0], *value[1:]) < (-best[key][0], *best[key][1:]):
                 best[key] = value
-    return [(*k, *v) for k, v in sorted(best.items())]
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, pa.Array]]:
@@ -157,27 +187,10 @@ def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, pa.Array]]:
             yield block["item_id"].to_pylist(), block["text"].combine_chunks()
 
 
-def _prepared(docs: DataFrame, benchmark: DataFrame, size: int) -> Iterator[Items]:
-    """Blocks of items with their rare seeds. How often each seed stands in all texts is counted where they are read and summed."""
+def _prepared(benchmark: DataFrame, size: int) -> Iterator[Items]:
+    """Blocks of items with all their seeds."""
     for ids, texts in _blocks(benchmark):
-        items = Items.of(ids, texts, size)
-        runs = np.unique(items.runs)
-        table = _filter_table(runs)
-
-        def count(batches: Iterator[pa.RecordBatch], runs: np.ndarray = runs, table: np.ndarray = table) -> Iterator[pa.RecordBatch]:
-            total, all_runs = np.zeros(len(runs), np.int64), 0
-            for batch in batches:
-                for piece in slices(batch):
-                    values, _ = shingles(*bare_words(piece["text"]), size)
-                    all_runs += len(values)
-                    seen = values[_seen(values, runs, table)]
-                    total += np.bincount(np.searchsorted(runs, seen), minlength=len(runs))
-            some = np.flatnonzero(total)
-            keys = pa.array([*runs[some].view(np.int64).tolist(), None], pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, pa.array([*total[some], all_runs], pa.int64())], names=["run", "n"])
-
-        counted = docs.select("text").mapInArrow(_plain(count), "run long, n long").groupBy("run").agg(F.sum("n").alias("n")).toArrow()
-        yield items.rare(dict(zip(counted["run"].to_pylist(), counted["n"].to_pylist(), strict=True)))
+        yield Items.of(ids, texts, size)
 
 
 def _plain(fn):
@@ -190,20 +203,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, size
 
     The score is that of the best local alignment of words divided by that of an exact copy; one row per document row and item at or above
     ``score``. Words are lower-case without punctuation at their ends. Every passage that shares a run of
-    ``size`` words with an item that is not common in the corpus is aligned. Items are taken in blocks of bounded size against all texts; texts are not shuffled. An item of fewer
+    ``size`` words with an item, however common, and enough single words to reach ``score`` is aligned. Items are taken in blocks of bounded size against all texts; texts are not shuffled. An item of fewer
     words than a run matches only a text of the same words. Null and empty texts and items match nothing, null ids are
     returned as they are, repeated rows are each searched, empty tables give an empty result, other columns are ignored.
     """
     rows = docs.select("doc_id", "text")
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, score double, word_from long, word_to long"
     out = rows.sparkSession.createDataFrame([], schema)
-    for items in _prepared(docs, benchmark, size):
+    for items in _prepared(benchmark, size):
         table = _filter_table(items.runs)
 
         def search(batches: Iterator[pa.RecordBatch], items: Items = items, table: np.ndarray = table) -> Iterator[pa.RecordBatch]:
+            known = items.word_table()
             for batch in batches:
                 for piece in slices(batch):
-                    if found := matches(items, piece["text"], size, score, table):
+                    if found := matches(items, piece["text"], size, score, table, known):
                         text, item, share, a, b = zip(*found, strict=True)
                         yield pa.RecordBatch.from_arrays(
                             [piece["doc_id"].take(pa.array(text)), pa.array([items.ids[i] for i in item]), pa.array(share, pa.float64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
@@ -216,13 +230,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, size
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, size: int = SEED_WORDS) -> DataFrame:
     """The rows of ``docs`` (all columns) without a passage that ``find_leaks`` would report."""
-    for items in _prepared(docs, benchmark, size):
+    for items in _prepared(benchmark, size):
         table = _filter_table(items.runs)
 
         def clean(batches: Iterator[pa.RecordBatch], items: Items = items, table: np.ndarray = table) -> Iterator[pa.RecordBatch]:
+            known = items.word_table()
             for batch in batches:
                 for piece in slices(batch):
-                    bad = {t for t, *_ in matches(items, piece["text"], size, score, table)}
+                    bad = {t for t, *_ in matches(items, piece["text"], size, score, table, known)}
                     yield piece.filter(pa.array([i not in bad for i in range(piece.num_rows)]))
 
         docs = docs.mapInArrow(_plain(clean), docs.schema)

@@ -137,3 +137,17 @@ def test_blocks_of_items_and_empty_inputs(spark, docs_of, prose, monkeypatch):
     assert decontaminate.drop_leaks(docs_of(rows), none).count() == len(rows)
     assert decontaminate.find_leaks(docs_of([]), benchmark).count() == 0
     assert decontaminate.matches(decontaminate.Items.of([1], pa.array(["a b"]), 3), pa.array(["x y", "a b"]), 3, 0.5, np.ones(1 << 20, bool)) == [(1, 0, 1.0, 0, 2)]
+
+
+def test_an_edited_copy_that_stands_in_many_texts(spark, docs_of, prose):
+    """The runs that survive the edits are the most frequent of the corpus; most runs of the item stand in no text."""
+    item = [f"w{k}" for k in range(40)]
+    copy = " ".join(f"other{k}" if k % 5 == 4 else w for k, w in enumerate(item))
+    share = smith_waterman(item, words(copy)) / 80
+    rows = [(i, f"{prose(20, i)} {copy} {prose(10, 900 + i)}", "s") for i in range(400)]
+    rows += [(1000 + i, f"{prose(30, 2000 + i)} {' '.join(item[:3])}", "s") for i in range(50)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.find_leaks(docs_of(rows), benchmark).collect()}
+    assert set(got) == set(range(400)) and share > 0.65
+    assert all(abs(s - share) < 1e-9 for s in got.values())
+    assert {r.doc_id for r in decontaminate.drop_leaks(docs_of(rows), benchmark).collect()} == {1000 + i for i in range(50)}
