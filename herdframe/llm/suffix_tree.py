@@ -12,21 +12,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from herdframe.llm.words import list_column, slices, split_words, word_codes
+from herdframe.llm.words import mix, slices, split_words, word_codes
 from herdframe.session import cut_lineage
 
-DEPTH = 3
-CONTEXT_SHARE = 5e-6
-ENTRY_SHARE = 5e-7
+LEAST = 2
 _END = np.uint64(0xE17D5A1B9C3F0E27)
-_HELD_ENTRIES = 4 << 20
+_HELD_ENTRIES = 2 << 20
+_FILTER_BITS = 28
 
 
 @dataclass
 class Level:
     """Contexts of one length and their next words. ``keys``: context << 32 | word, sorted; ``counts``: how often the word follows.
 
-    ``kept`` marks the contexts that pass the divergence test; ``child`` is the number of the longer context that entry k spells, or -1;
+    ``kept`` marks the contexts that pass the divergence test; ``parent`` is the number of a context's suffix among those one shorter;
     ``mass`` over ``total`` is what a context leaves to its suffix.
     """
 
@@ -34,7 +33,6 @@ class Level:
     n: np.ndarray
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    child: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     kept: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
     mass: np.ndarray = field(default_factory=lambda: np.zeros(0))
     total: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -42,13 +40,12 @@ class Level:
 
 @dataclass
 class Tree:
-    """The words of at least ``ENTRY_SHARE`` of all tokens (sorted hashes, counts), which of them are contexts, and the longer contexts."""
+    """A gathered tree: all training words (sorted hashes, counts) and the kept contexts of each length."""
 
     hashes: np.ndarray
     counts: np.ndarray
     tokens: int
     kinds: int
-    context: np.ndarray
     levels: list[Level] = field(default_factory=list)
 
     @property
@@ -79,109 +76,153 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-class _Counter:
-    """Counts of keys, merged in memory up to a bound and handed on beyond it."""
+def _join_keys(context: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Key of a run of words, from that of the run without its last word and that of the run without its first word."""
+    return mix(context * np.uint64(0x9E3779B97F4A7C15) + mix(below))
+
+
+def _passes(held: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """Which contexts may be in the set that a filter was made of; all of the set are."""
+    bits = int(len(held) * 64).bit_length() - 1
+    at = contexts >> np.uint64(64 - bits)
+    return (held[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _filter_of(contexts: DataFrame, n: int) -> np.ndarray:
+    """Bits in use by the contexts' hashes: 16 bits a context, never more than 2 ** ``_FILTER_BITS``; a fuller filter only lets more pass."""
+    bits = min(_FILTER_BITS, max(10, (16 * n).bit_length()))
+    at = F.shiftrightunsigned("ctx", 64 - bits)
+    words = contexts.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(ctx, {64 - bits}) & 63 as int))")).alias("bits")).toArrow()
+    held = np.zeros(1 << (bits - 6), np.uint64)
+    held[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return held
+
+
+def _walk(words: np.ndarray, starts: np.ndarray, filters: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each token with a context as long as ``filters`` has sets, all of whose suffixes pass: its place, its context's key and the key of the run
+    that is one word shorter. Also, for every token, the key of the longest such run that ends in it. Contexts do not cross texts."""
+    last = words.copy()
+    place, context, below = np.arange(len(words)), words, words
+    full = words  # keys of the runs of this length, where there is one
+    depth = np.arange(len(words)) - np.repeat(starts[:-1], np.diff(starts))
+    for k, held in enumerate(filters, 1):
+        place = place[depth[place] >= k]
+        context = full[place - 1]
+        ok = _passes(held, context)
+        place, context = place[ok], context[ok]
+        below = full[place]
+        now = np.zeros(len(words), np.uint64)
+        every = np.flatnonzero(depth >= k)
+        now[every] = _join_keys(full[every - 1], full[every])
+        full = now
+        last[place] = full[place]
+    return place, context, below, last
+
+
+def _counts(rows: DataFrame, filters: list[np.ndarray]) -> DataFrame:
+    """(ctx, below, n): how often each context of ``len(filters)`` words is followed by a word in training; n is 0 if only held-out texts have it."""
 
-    def __init__(self):
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.size = 0
-
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch | None:
-        self.parts.append((keys, counts))
-        self.size += len(keys)
-        if self.size < _HELD_ENTRIES:
-            return None
-        keys, counts = self._merged()
-        if len(keys) < _HELD_ENTRIES // 2:
-            self.parts, self.size = [(keys, counts)], len(keys)
-            return None
-        self.parts, self.size = [], 0
-        return _counted(keys, counts)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for piece in slices(batch):
+                codes, hashes, starts = tokens(piece["text"])
+                place, context, below, _ = _walk(hashes[codes], starts, filters)
+                train = np.repeat(~piece["held_out"].to_numpy(zero_copy_only=False), np.diff(starts))[place]
+                parts.append((context, below, train))
+                size += len(place)
+                if size >= _HELD_ENTRIES:
+                    yield _summed(parts)
+                    parts, size = [], 0
+        if parts:
+            yield _summed(parts)
 
-    def rest(self) -> pa.RecordBatch | None:
-        return _counted(*self._merged()) if self.parts else None
+    return rows.select("text", "held_out").mapInArrow(count, "ctx long, below long, n long").groupBy("ctx", "below").agg(F.sum("n").alias("n"))
 
-    def _merged(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, at = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
-        return keys, np.bincount(at, np.concatenate([c for _, c in self.parts]), len(keys)).astype(np.int64)
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    context, below, train = (np.concatenate(x) for x in zip(*parts, strict=True))
+    _, first, at = np.unique(_join_keys(context, below), return_index=True, return_inverse=True)
+    n = np.bincount(at, train, len(first)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(context[first].view(np.int64)), pa.array(below[first].view(np.int64)), pa.array(n)], names=["ctx", "below", "n"])
 
-def _counted(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], names=["key", "n"])
 
+def _keyed(counted: DataFrame) -> DataFrame:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key = _join_keys(b["ctx"].to_numpy().view(np.uint64), b["below"].to_numpy().view(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b["ctx"], b["below"], b["n"], pa.array(key)], names=["ctx", "below", "n", "key"])
 
-def _counts(training: DataFrame, keys_of) -> DataFrame:
-    """(key, n) over all training texts; ``keys_of(codes, hashes, starts)`` gives the keys of a slice."""
+    return counted.mapInArrow(add, "ctx long, below long, n long, key long")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter()
-        for batch in batches:
-            for piece in slices(batch):
-                full = counter.add(*np.unique(keys_of(*tokens(piece["text"])), return_counts=True))
-                if full is not None:
-                    yield full
-        if (last := counter.rest()) is not None:
-            yield last
 
-    return training.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def _passing(entries: DataFrame, held: np.ndarray) -> DataFrame:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_passes(held, b["ctx"].to_numpy().view(np.uint64))))
 
+    return entries.mapInArrow(keep, entries.schema)
 
-def _word_keys(codes: np.ndarray, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return hashes.view(np.int64)[codes]
 
+def _test(entries: DataFrame) -> DataFrame:
+    """ctx, total, mass of the contexts to keep: those whose next words differ from those after their suffix. The bits saved, occurrences times
+    divergence, must exceed the bits needed to write the context's entries down, and the suffix must be kept.
 
-def _walk(tree: Tree, word: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For contexts of 1, 2, ... words: the context that ends before each token, and the entry of the token after it (-1: none). The
-    contexts of the next length follow from the entries; contexts do not cross texts. One length more than the tree has is given, without entries."""
-    at = np.where(word >= 0, tree.context[word], -1) if len(tree.context) else np.full(len(word), -1, np.int64)
-    for level in [*tree.levels, None]:
-        before = np.append(-1, at[:-1])
-        before[starts[:-1]] = -1
-        entry = np.full(len(word), -1, np.int64)
-        if level is not None and len(level.keys):
-            ok = np.flatnonzero((before >= 0) & (word >= 0))
-            entry[ok] = _find(level.keys, (before[ok] << 32) | word[ok])
-            at = np.where(entry >= 0, level.child[entry], -1)
-        else:
-            at = entry
-        yield before, entry
+    Smoothing is Witten-Bell's: a context leaves one part for each distinct next word, and all that has no entry, to its suffix."""
+    entry = F.col("n") >= LEAST
+    sums = entries.groupBy("ctx").agg(
+        F.sum("n").alias("n"), F.sum(F.when(entry, F.col("n")).otherwise(0)).alias("known"), F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("kinds"),
+        F.sum(entry.cast("int")).alias("entries"), F.sum(F.when(entry, F.col("p")).otherwise(0.0)).alias("q"),
+        F.sum(F.when(entry, F.col("n") * F.log2(F.col("n") / F.col("p"))).otherwise(0.0)).alias("x"), F.bool_and("kept").alias("kept"),
+    ).filter(f"kept and entries > 0 and n >= {LEAST}")
+    n, rest = F.col("n"), F.col("n") - F.col("known")
+    saved = F.col("x") - F.col("known") * F.log2("n") + F.when(rest > 0, rest * F.log2(rest / n / F.greatest(1 - F.col("q"), F.lit(1e-12)))).otherwise(0.0)
+    spare = F.col("kinds") + F.greatest(rest, F.lit(1))
+    return sums.filter(saved > 8 + 0.5 * F.log2(n + 1) * F.col("entries")).select("ctx", (n + spare).cast("double").alias("total"), ((rest + spare) / (n + spare)).alias("mass"))
 
 
-def _entry_keys(tree: Tree):
-    def keys(codes: np.ndarray, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        word = _find(tree.hashes, hashes)[codes]
-        *_, (context, _) = _walk(tree, word, starts)
-        use = (context >= 0) & (word >= 0)
-        return (context[use] << 32) | word[use]
+@dataclass
+class Grown:
+    """The stored tables of a tree. ``probabilities``: for each length of context, key, p, n0 (training count of the word), kept."""
 
-    return keys
+    tokens: int
+    kinds: int
+    words: DataFrame
+    filters: list[np.ndarray]
+    entries: list[DataFrame]
+    states: list[DataFrame]
+    probabilities: list[DataFrame]
 
 
-def _test(tree: Tree, level: Level, kinds: np.ndarray, depth: int) -> None:
-    """Keep the contexts whose next words differ from those after their suffix: the bits saved, occurrences times divergence,
-    must exceed the bits needed to write the context's entries down. Sets ``kept``, ``mass`` and ``total``.
+def grow(rows: DataFrame) -> Grown:
+    """Count and keep contexts one word longer at a time, until none is kept. ``rows``: text, held_out.
 
-    Smoothing is Witten-Bell's: a context leaves one part for each distinct next word, and all that has no entry, to its suffix."""
-    context, word = level.keys >> 32, level.keys & 0xFFFFFFFF
-    size = len(level.n)
-    below = (tree.counts[word] + 1) / tree.spread
-    chain, at = [], level.parent[context]
-    for k in range(depth - 2, -1, -1):
-        chain.append((tree.levels[k], at))
-        at = tree.levels[k].parent[at]
-    for longer, state in reversed(chain):
-        below = _step(longer, state, _find(longer.keys, (state << 32) | word), below)
-    p = level.counts / level.n[context]
-    known = np.bincount(context, level.counts, size)
-    rest_p = np.clip(1 - known / np.maximum(level.n, 1), 0, 1)
-    rest_q = np.clip(1 - np.bincount(context, below, size), 1e-12, 1)
-    bits = np.bincount(context, p * np.log2(p / below), size) + np.where(rest_p > 0, rest_p * np.log2(np.maximum(rest_p, 1e-300) / rest_q), 0)
-    entries = np.bincount(context, minlength=size)
-    parent_kept = np.ones(size, bool) if depth == 1 else tree.levels[depth - 2].kept[level.parent]
-    level.kept = parent_kept & (entries > 0) & (level.n * bits > 8 + 0.5 * np.log2(level.n + 1) * entries)
-    spare = kinds + np.maximum(level.n - known, 1)
-    level.total = level.n + spare
-    level.mass = (level.n - known + spare) / level.total
+    A context and an entry need ``LEAST`` occurrences, whatever the corpus. Counts, states and probabilities are tables keyed by hash; what
+    every task holds is a filter of each length's contexts, of bounded size, that only spares keys that cannot be kept.
+    """
+    words = cut_lineage(_counts(rows, []).select(F.col("below").alias("key"), "n"))
+    sums = words.agg(F.sum("n"), F.sum(F.when(F.col("n") > 0, 1).otherwise(0))).first()
+    total, kinds = int(sums[0] or 0), int(sums[1] or 0)
+    root = words.select("key", ((F.col("n") + 1) / F.lit(float(total + kinds + 1))).alias("p"), F.col("n").alias("n0"), F.lit(True).alias("kept"))
+    out = Grown(total, kinds, words.filter("n > 0"), [], [], [], [root])
+    candidates = cut_lineage(words.filter(F.col("n") >= LEAST).select(F.col("key").alias("ctx")))
+    while n := candidates.count():
+        counted = _keyed(_counts(rows, [*out.filters, _filter_of(candidates, n)]))
+        before = out.probabilities[-1].withColumnRenamed("key", "below")
+        entries = cut_lineage(counted.join(before, "below"))
+        states = cut_lineage(_test(entries).join(candidates, "ctx", "left_semi"))
+        if states.isEmpty():
+            break
+        out.filters.append(_filter_of(states, n))  # as long as the candidates' filter, so what passes it was counted
+        out.entries.append(entries)
+        out.states.append(states)
+        seen = F.when(F.col("n") >= LEAST, F.col("n")).otherwise(0)
+        p = F.coalesce(seen / F.col("total") + F.col("mass") * F.col("p"), F.col("p"))
+        after = _passing(entries, out.filters[-1]).join(states, "ctx", "left").select("key", p.alias("p"), "n0", F.col("total").isNotNull().alias("kept"))
+        out.probabilities.append(cut_lineage(after))
+        longer = entries.filter(F.col("n") >= LEAST).select(F.col("key").alias("long"), F.col("below").alias("ctx"))
+        candidates = cut_lineage(longer.join(states.select("ctx"), "ctx", "left_semi").select(F.col("long").alias("ctx")))
+    return out
 
 
 def _step(level: Level, state: np.ndarray, entry: np.ndarray, below: np.ndarray) -> np.ndarray:
@@ -196,104 +237,77 @@ def _step(level: Level, state: np.ndarray, entry: np.ndarray, below: np.ndarray)
     return out
 
 
-def learn(docs: DataFrame, depth: int = DEPTH, context_share: float = CONTEXT_SHARE, entry_share: float = ENTRY_SHARE) -> tuple[Tree, DataFrame]:
-    """The tree and the stored counts (key, n) of all training words. ``docs``: text, held_out.
-
-    Every training text is counted. A context needs at least ``context_share`` of all tokens and an entry ``entry_share``, as the method has
-    it, so there are at most depth / share of them whatever the corpus: the tree, and what reaches the driver, is bounded by these
-    parameters. Contexts grow by one word from those that were kept.
-    """
-    training = docs.filter("not held_out")
-    words = cut_lineage(_counts(training, _word_keys))
-    sums = words.agg(F.sum("n"), F.count(F.lit(1))).first()
-    total, kinds = sums[0] or 0, sums[1]
-    least = max(2, entry_share * total)
-    end = int(np.array([_END]).view(np.int64)[0])
-    often = words.filter((F.col("n") >= least) | (F.col("key") == end)).toArrow()
-    hashes, counts = often["key"].to_numpy().view(np.uint64), often["n"].to_numpy()
+def learn(docs: DataFrame) -> tuple[Tree, DataFrame]:
+    """The tree of ``grow`` gathered into memory, to look at small ones, and the counts (key, n) of all training words. Scoring does not use it."""
+    grown = grow(docs)
+    table = grown.words.toArrow()
+    hashes, counts = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy()
     order = np.argsort(hashes)
-    hashes, counts = hashes[order].copy(), counts[order].copy()
-    starters = np.flatnonzero((counts >= max(2, context_share * total)) & (hashes != _END))
-    context = np.full(len(hashes), -1, np.int64)
-    context[starters] = np.arange(len(starters))
-    tree = Tree(hashes, counts, int(total), int(kinds), context)
-    level = Level(np.full(len(starters), -1, np.int64), counts[starters])
-    end_word = int(_find(hashes, np.array([_END]))[0])
-    for length in range(1, depth + 1):
-        if not len(level.n):
-            break
-        counted = cut_lineage(_counts(training, _entry_keys(tree)))
-        kinds_of = counted.groupBy(F.shiftright("key", 32).alias("context")).agg(F.count(F.lit(1)).alias("kinds")).toArrow()
-        distinct = np.zeros(len(level.n))
-        distinct[kinds_of["context"].to_numpy()] = kinds_of["kinds"].to_numpy()
-        entries = counted.filter(F.col("n") >= least).orderBy("key").toArrow()
-        level.keys, level.counts = entries["key"].to_numpy().copy(), entries["n"].to_numpy().copy()
-        _test(tree, level, distinct, length)
-        word, own = level.keys & 0xFFFFFFFF, level.keys >> 32
-        if length == 1:
-            parent = context[word]
-        else:
-            above = tree.levels[-1]
-            entry = np.where(level.parent[own] >= 0, _find(above.keys, (level.parent[own] << 32) | word), -1)
-            parent = np.where(entry >= 0, above.child[entry], -1)
-        grows = (level.counts >= max(2, context_share * total)) & (word != end_word) & (parent >= 0)
-        grows &= level.kept[np.maximum(parent, 0)]
-        level.child = np.full(len(level.keys), -1, np.int64)
-        level.child[grows] = np.arange(int(grows.sum()))
-        tree.levels.append(level)
-        level = Level(parent[grows], level.counts[grows])
-    return tree, words
-
-
-def _score_rows(docs: DataFrame, tree: Tree) -> DataFrame:
-    """Per document row: what the tree's words give, and the hashes and counts of the other words, whose counts are looked up by a join."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tree = Tree(hashes[order].copy(), counts[order].copy(), grown.tokens, grown.kinds)
+    word_of = {int(h): i for i, h in enumerate(tree.hashes.view(np.int64))}
+    suffix, numbers = {}, {}
+    for entries, states in zip(grown.entries, grown.states, strict=True):
+        rows, kept = entries.collect(), states.orderBy("ctx").collect()
+        number = {r.ctx: i for i, r in enumerate(kept)}
+        word_of = {r.key: word_of[r.below] for r in rows if r.below in word_of}
+        own = sorted(((number[r.ctx] << 32) | word_of[r.key], r.n) for r in rows if r.ctx in number and r.n >= LEAST)
+        n = np.zeros(len(kept), np.int64)
+        for r in rows:
+            if r.ctx in number:
+                n[number[r.ctx]] += r.n
+        parent = np.array([numbers[suffix[r.ctx]] if suffix else -1 for r in kept], np.int64)
+        keys, seen = (np.array(x, np.int64) for x in zip(*own, strict=True))
+        tree.levels.append(Level(parent, n, keys, seen, np.ones(len(kept), bool), np.array([r.mass for r in kept]), np.array([r.total for r in kept])))
+        suffix, numbers = {r.key: r.below for r in rows}, number
+    return tree, grown.words
+
+
+def _token_rows(docs: DataFrame, filters: list[np.ndarray]) -> DataFrame:
+    """Per document row and key: how many tokens have this key, that of the longest run to look up. One more row of each document, of 0 tokens, has its facts."""
+    id_type = docs.schema["doc_id"].dataType
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
+        names = ["row", "key", "times", "doc_id", "held_out", "n_tokens"]
         for batch in batches:
             for piece in slices(batch):
                 codes, hashes, starts = tokens(piece["text"])
-                word = _find(tree.hashes, hashes)[codes]
-                often = word >= 0
-                root = np.where(often, ((tree.counts[word] if len(tree.counts) else 0) + 1) / tree.spread, 1.0)
-                p = root
-                for level, (state, entry) in zip(tree.levels, _walk(tree, word, starts), strict=False):
-                    p = _step(level, state, entry, p)
-                sums = lambda x, starts=starts: np.add.reduceat(x, starts[:-1])
-                known = often & ((tree.counts[word] if len(tree.counts) else np.zeros(len(word))) > 0)
-                owner = np.repeat(np.arange(piece.num_rows), np.diff(starts))[~often]
-                pair, n = np.unique(np.stack([owner, codes[~often]], 1), axis=0, return_counts=True) if len(owner) else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
-                rare = np.concatenate([[0], np.cumsum(np.bincount(pair[:, 0], minlength=piece.num_rows))])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row + np.arange(piece.num_rows)), piece["doc_id"], piece["held_out"], pa.array(np.diff(starts)), pa.array(sums(known.astype(np.int64))),
-                     pa.array(sums(np.log10(root))), pa.array(sums(np.log10(p))), list_column(hashes.view(np.int64)[pair[:, 1]], rare, pa.int64()), list_column(n, rare, pa.int32())],
-                    names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "words", "times"],
-                )
+                *_, last = _walk(hashes[codes], starts, filters)
+                own = row + np.arange(piece.num_rows)
+                owner = np.repeat(own, np.diff(starts))
+                facts = [pa.array(own), pa.array(mix(own.astype(np.uint64)).view(np.int64)), pa.array(np.zeros(len(own), np.int32)), piece["doc_id"], piece["held_out"], pa.array(np.diff(starts))]
+                yield pa.RecordBatch.from_arrays(facts, names=names)
+                order = np.lexsort((last, owner))
+                owner, last = owner[order], last[order]
+                new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (last[1:] != last[:-1])))
+                times = np.diff(np.append(new, len(last))).astype(np.int32)
+                none = [pa.nulls(len(new), x) for x in (piece["doc_id"].type, pa.bool_(), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(owner[new]), pa.array(last[new].view(np.int64)), pa.array(times), *none], names=names)
                 row += piece.num_rows
 
-    return docs.mapInArrow(score, f"row long, doc_id {id_type}, held_out boolean, n_tokens long, known long, base double, score double, words array<long>, times array<int>")
+    return docs.mapInArrow(rows, f"row long, key long, times int, doc_id {id_type.simpleString()}, held_out boolean, n_tokens long")
 
 
-def score_texts(docs: DataFrame, depth: int = DEPTH, context_share: float = CONTEXT_SHARE, entry_share: float = ENTRY_SHARE) -> DataFrame:
+def score_texts(docs: DataFrame) -> DataFrame:
     """Log10 probability of each whole text under a suffix tree learned from the rows that are not held out.
 
     Returns one row per input row: doc_id, held_out, n_tokens, n_known (tokens seen in training), train_tokens, base_score (add-one unigram) and score. A
     token's probability is that after the longest kept context that precedes it in the text, mixed down the shorter ones to the unigram;
-    probabilities after any state sum to one, one unknown word included. Words without a place in the tree are counted exactly as well: their
-    counts are joined by hash. Null and empty texts have one token, the end; a null id is not held out; repeated rows are scored
+    probabilities after any state sum to one, one unknown word included. Probabilities are joined by the hash of the context and the word.
+    Null and empty texts have one token, the end; a null id is not held out; repeated rows are scored
     and learned each; without training rows every probability is 1; an empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), held_out().alias("held_out"))
-    tree, words = learn(rows, depth, context_share, entry_share)
-    scored = cut_lineage(_score_rows(rows, tree))
-    rare = scored.select("row", F.arrays_zip("words", "times").alias("pairs")).select("row", F.explode("pairs").alias("pair")).select("row", F.col("pair.words").alias("key"), F.col("pair.times").alias("times"))
-    found = rare.join(words, "key", "left").select("row", "times", F.coalesce("n", F.lit(0)).alias("n")).repartition("row")
-    part = F.log10((F.col("n") + 1) / F.lit(float(tree.spread)))
-    sums = found.groupBy("row").agg(F.sum(F.col("times") * part).alias("rest"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("seen"))
-    done = scored.drop("words", "times").join(sums, "row", "left")
-    rest = F.coalesce("rest", F.lit(0.0))
-    return done.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("seen", F.lit(0))).alias("n_known"), F.lit(tree.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + rest).alias("base_score"), (F.col("score") + rest).alias("score"),
+    grown = grow(rows)
+    known = grown.probabilities[0]
+    for table in grown.probabilities[1:]:
+        known = known.unionByName(table)
+    spread = float(grown.tokens + grown.kinds + 1)
+    found = _token_rows(rows, grown.filters).join(known.drop("kept"), "key", "left")
+    times = F.col("times")
+    sums = found.groupBy("row").agg(
+        F.first("doc_id", ignorenulls=True).alias("doc_id"), F.first("held_out", ignorenulls=True).alias("held_out"), F.first("n_tokens", ignorenulls=True).alias("n_tokens"),
+        F.sum(F.when(F.col("n0") > 0, times).otherwise(0)).alias("n_known"), F.sum(F.when(times > 0, times * F.log10((F.col("n0") + 1) / F.lit(spread)))).alias("base_score"),
+        F.sum(F.when(times > 0, times * F.log10("p"))).alias("score"),
     )
+    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(grown.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -74,3 +74,60 @@ def test_empty_tables(docs_of):
     assert suffix_tree.score_texts(docs_of([])).count() == 0
     only = suffix_tree.score_texts(docs_of([(next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2), "a b", "s")])).collect()
     assert [(r.train_tokens, r.n_known, r.base_score, r.score) for r in only] == [(0, 0, 0.0, 0.0)]
+
+
+def direct_scores(rows):
+    """Scores from a tree that is held in dictionaries, whatever the size."""
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    train = [tokens(t) for i, t, _ in rows if not held(i)]
+    count = Counter(w for t in train for w in t)
+    spread = sum(count.values()) + len(count) + 1
+    kept = {}
+
+    def prob(context, w):
+        if not context:
+            return (count[w] + 1) / spread
+        below = prob(context[1:], w)
+        if context not in kept:
+            return below
+        follow, total, mass = kept[context]
+        return (follow[w] if follow[w] >= 2 else 0) / total + mass * below
+
+    candidates, length = {(w,) for w in count if count[w] >= 2 and w is not None}, 1
+    while candidates:
+        follow = {}
+        for t in train:
+            for i in range(length, len(t)):
+                if (c := tuple(t[i - length : i])) in candidates:
+                    follow.setdefault(c, Counter())[t[i]] += 1
+        new = {}
+        for c, f in follow.items():
+            n, entries = sum(f.values()), {w: k for w, k in f.items() if k >= 2}
+            rest = n - sum(entries.values())
+            q = {w: prob(c[1:], w) for w in entries}
+            saved = sum(k * math.log2(k / n / q[w]) for w, k in entries.items()) + (rest * math.log2(rest / n / max(1 - sum(q.values()), 1e-12)) if rest else 0)
+            if n >= 2 and entries and saved > 8 + 0.5 * math.log2(n + 1) * len(entries):
+                spare = len(f) + max(rest, 1)
+                new[c] = (f, n + spare, (rest + spare) / (n + spare))
+        kept |= new
+        candidates = {(*c, w) for c, f in follow.items() for w, k in f.items() if k >= 2 and w is not None and (*c, w)[1:] in new}
+        length += 1
+    best = lambda t, i: next((tuple(t[i - k : i]) for k in range(i, 0, -1) if tuple(t[i - k : i]) in kept), ())
+    scores = {(i, t): sum(math.log10(prob(best(x, k), x[k])) for k in range(len(x))) for i, t, _ in rows for x in [tokens(t)]}
+    return scores, max(map(len, kept))
+
+
+def test_scores_against_direct_ones_with_rare_and_long_contexts(docs_of, prose):
+    """Contexts that stand three times in a long corpus, and one of four words, count as well."""
+    made = [(i, prose(500, i), "a") for i in range(30)]
+    made += [(1000 + i, f"unusual pairing number{i % 6} follows{i % 6} " * 3, "a") for i in range(40)]
+    rng, line = np.random.default_rng(5), [0, 1, 0, 1]
+    for coin in rng.random(16_000):  # the next word leans on the last four
+        line.append(int(coin < 1 / (1 + math.exp(-sum(w * (2 * x - 1) for w, x in zip((1.5, -0.8, 0.8, -0.6), line[-4:], strict=True))))))
+    made += [(2000 + i, " ".join("ab"[x] for x in line[i * 800 : (i + 1) * 800]), "a") for i in range(20)]
+    want, longest = direct_scores(made)
+    got = suffix_tree.score_texts(docs_of(made)).collect()
+    text = {i: t for i, t, _ in made}
+    assert longest >= 4 and len(got) == len(made)
+    for r in got:
+        assert r.score == pytest.approx(want[(r.doc_id, text[r.doc_id])], rel=1e-9)
