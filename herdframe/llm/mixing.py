@@ -14,6 +14,7 @@ from herdframe.session import cut_lineage
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 ROWS_PER_GROUP = 2_000
+PARTS = 256
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -119,11 +120,12 @@ def _identity(df: DataFrame) -> DataFrame:
 
 
 def decide(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 11) -> DataFrame:
-    """How often the mix takes the rows of each (doc_id, source, text): rows (equal ones in the input), size, source_size, target, copies.
+    """How often the mix takes the rows of each (doc_id, source, text): rows (equal ones in the input), size, source_size, target, whole, extra.
 
     A source with target t and size s has t/s copies of each row on average: the whole part is given, the fraction is
-    rounded dependently, so a source misses its target by at most half of its largest row. Equal rows of one id and text
-    are decided as one. Rows without words have one copy and count nothing. ``copies`` is 0 to ``most``.
+    rounded dependently, so a source misses its target by at most half of its largest row. Of equal rows, each has ``whole``
+    copies and ``extra`` of them one more: the whole part of the fraction times rows, and what is left of one row is rounded. Rows without
+    words have one copy and count nothing. A row has 0 to ``most`` copies.
     """
     sized = _identity(docs).groupBy("doc_id", "source", F.col("__size").alias("size"), F.col("__hash").alias("text_hash")).agg(F.count(F.lit(1)).alias("rows"))
     sized = cut_lineage(sized)
@@ -133,15 +135,17 @@ def decide(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     facts = targets.select(keyed, "source_size", "target", rate.alias("rate"))
     rows = sized.select("doc_id", keyed, F.col("size").alias("each"), "text_hash", "rows").join(facts, "source_key")
     whole = F.floor("rate").cast("int")
+    part = (F.col("rate") - whole) * F.col("rows")
+    sure = F.floor(part).cast("long")
     rows = rows.select(
-        "doc_id", "source_key", "each", "text_hash", "rows", "source_size", "target", whole.alias("whole"), (F.col("rate") - whole).alias("share"),
-        (F.col("each") * F.col("rows")).alias("size"), F.xxhash64("doc_id", "text_hash", F.lit(seed)).alias("key"),
+        "doc_id", "source_key", "each", "text_hash", "rows", "source_size", "target", whole.alias("whole"), sure.alias("sure"), (part - sure).alias("share"),
+        F.col("each").alias("size"), F.xxhash64("doc_id", "text_hash", F.lit(seed)).alias("key"),
     )
-    empty = rows.filter("size = 0").withColumns({"whole": F.lit(1), "share": F.lit(0.0)})
+    empty = rows.filter("size = 0").withColumns({"whole": F.lit(1), "sure": F.lit(0).cast("long"), "share": F.lit(0.0)})
     mixed = round_shares(rows.filter("size > 0"), seed).unionByName(empty)
     return mixed.select(
         "doc_id", F.col("source_key.source").alias("source"), F.col("each").alias("size"), "text_hash", "rows", "source_size", "target",
-        (F.col("whole") + F.col("share").cast("int")).alias("copies"),
+        "whole", (F.col("sure") + F.col("share").cast("long")).alias("extra"),
     )
 
 
@@ -151,13 +155,28 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     The size is the number of runs of characters other than ASCII white space; a null text has none. Null ids and sources are
     values like any other, an empty table gives an empty result, other columns are ignored.
     """
-    each = decide(docs, weights, most, seed).withColumn("__i", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))))
+    each = decide(docs, weights, most, seed).withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+    each = each.withColumn("copies", F.col("whole") + (F.col("__i") <= F.col("extra")).cast("int"))
     return each.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 11) -> DataFrame:
     """The mixed table: each row as often as the mix takes it, with the columns of ``docs`` (any further ones as they are)."""
-    taken = decide(docs, weights, most, seed).filter("copies > 0").select(F.struct("doc_id", "source", "text_hash").alias("__key"), F.col("copies").alias("__copies"))
+    taken = decide(docs, weights, most, seed).filter("whole > 0 or extra > 0")
+    taken = taken.select(F.struct("doc_id", "source", "text_hash").alias("__key"), F.col("whole").alias("__whole"), F.col("extra").alias("__extra"), F.col("rows").alias("__rows"))
     keyed = _identity(docs).withColumn("__key", F.struct("doc_id", "source", F.col("__hash").alias("text_hash")))
-    mixed = keyed.join(taken, "__key").withColumn("__copies", F.explode(F.array_repeat(F.lit(0), F.col("__copies"))))
+    joined = keyed.join(taken, "__key")
+    some = (F.col("__extra") > 0) & (F.col("__extra") < F.col("__rows"))
+    alike = joined.filter(~some).withColumn("__copies", F.col("__whole") + (F.col("__extra") > 0).cast("int"))
+    # Equal rows of which some have one more are numbered in parts, so that no task sorts all rows of a key.
+    dealt = cut_lineage(joined.filter(some).withColumn("__part", F.monotonically_increasing_id() % PARTS))
+    counts = dealt.groupBy("__key", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(F.xxhash64("__key").alias("__of"), F.col("__key").alias("__same"), F.col("__part").alias("__in"), F.coalesce(before, F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__key", "__part").orderBy(F.lit(0)))
+    numbered = dealt.withColumn("__place", place).join(counts, (F.xxhash64("__key") == F.col("__of")) & (F.col("__part") == F.col("__in")) & F.col("__key").eqNullSafe(F.col("__same")))
+    each = numbered.withColumn("__copies", F.col("__whole") + (F.col("__place") + F.col("__before") <= F.col("__extra")).cast("int"))
+    columns = [*[F.col(f"`{c}`") for c in docs.columns], "__copies"]
+    mixed = alike.select(*columns).unionByName(each.select(*columns))
+    mixed = mixed.withColumn("__copies", F.explode(F.array_repeat(F.lit(0), F.col("__copies"))))
     return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -90,3 +90,14 @@ def test_mixed_rows(docs_of, rows):
 def test_empty_table(docs_of):
     assert mixing.copies(docs_of([])).count() == 0
     assert mixing.mix(docs_of([])).count() == 0
+
+
+def test_repeated_rows_are_dealt_one_by_one(docs_of):
+    made = [(7, "one two three", "a")] * 700 + [(i, "four five", "b") for i in range(1000, 1900)]
+    got = mixing.copies(docs_of(made)).collect()
+    taken, target = defaultdict(int), {r.source: r.target for r in got}
+    for r in got:
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - target[s]) <= 1.5 + 1e-6 for s in target)
+    mixed = mixing.mix(docs_of(made)).groupBy("source").count().collect()
+    assert {r["source"]: r["count"] * (3 if r["source"] == "a" else 2) for r in mixed} == dict(taken)
