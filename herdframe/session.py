@@ -58,4 +58,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, "stage")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stage_path = path
+    return stored
+
+
+def drop_stages(*stages: DataFrame) -> None:
+    """Delete tables made by ``cut_lineage`` that nothing reads any more: what was computed from them is stored itself."""
+    for stage in stages:
+        jvm = stage.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(stage.stage_path)
+        path.getFileSystem(stage.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
