@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdframe.llm import chat, decontaminate, embeddings, licenses, mixing, quality, sharding, similar, suffix_tree, warc
+from herdframe.llm import centroids, chat, decontaminate, embeddings, importance, licenses, mixing, quality, repeats, sharding, similar, suffix_tree, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -99,3 +99,85 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree.score_texts(table(spark, folder, "documents"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL["op11_importance_resampling"] = """
+    with recursive t(i, c) as (select i, i from range(256) r(i)),
+    bits(i, c, k) as (select i, c, 0 from t union all select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from bits where k < 8),
+    crc as materialized (select list(c order by i) as tab from bits where k = 8),
+    words as materialized (
+        select 'd' as src, doc_id as id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w from documents
+        union all
+        select 'b', item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) from benchmark),
+    kinds as materialized (
+        select w, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(0, octet_length(encode(w))::int), lambda j: ('0x' || substr(hex(encode(w)), (2 * j + 1)::int, 2))::bigint)),
+                 lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 10000 as bucket
+        from (select distinct w from words) cross join crc),
+    counts as materialized (select src, bucket, count(*) as n from words join kinds using (w) group by all),
+    total as (select count(*) filter (src = 'd') as s, count(*) filter (src = 'b') as t from words),
+    gain as materialized (
+        select b.i as bucket, floor(1000 * ln((coalesce(y.n, 0) + 1)::double * (s + 10000)::double / ((coalesce(x.n, 0) + 1)::double * (t + 10000)::double)))::bigint as g
+        from range(10000) b(i) cross join total left join counts x on x.src = 'd' and x.bucket = b.i left join counts y on y.src = 'b' and y.bucket = b.i),
+    sums as (select id, count(*) as n, sum(g)::bigint as g from words join kinds using (w) join gain using (bucket) where src = 'd' group by id),
+    scored as materialized (
+        select doc_id, coalesce(n, 0) as n_features, case when n > 0 then (g - ((g % n) + n) % n) // n else 0 end as weight,
+               floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5) / 4294967296::double)))::bigint as luck
+        from documents left join sums on doc_id = id),
+    ranked as (select *, row_number() over (partition by n_features >= 20 order by weight + luck desc, doc_id) as r, count(*) filter (n_features >= 20) over () as m from scored)
+    select doc_id, n_features::bigint as n_features, weight::bigint as weight, (weight + luck)::bigint as score,
+           case when n_features >= 20 and r <= 10 * m // 100 then r end as rank
+    from ranked"""
+
+
+@query
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+def _rounds(n: int) -> str:
+    """SQL of the centroids after each of n rounds, the assignments between them included."""
+    parts = ["c0 as materialized (select row_number() over (order by sha256('3:' || vec_id)) - 1 as c, v from kept order by sha256('3:' || vec_id) limit 8)"]
+    for i in range(n + 1):
+        near = "list_sum(list_transform(list_zip(kept.v, o.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint"
+        parts.append(f"a{i} as materialized (select vec_id, kept.v, c, {near} as d from kept cross join c{i} o qualify row_number() over (partition by vec_id order by d, c) = 1)")
+        if i < n:
+            cells = f"select c, j, sum(v[j])::bigint as s, count(*) as n from a{i}, range(1, 65) r(j) group by c, j"
+            mean = f"select c, list((s - ((s % n) + n) % n) // n order by j) as v from ({cells}) group by c"
+            parts.append(f"c{i + 1} as materialized (select o.c, coalesce(m.v, o.v) as v from c{i} o left join ({mean}) m on m.c = o.c)")
+    return ",\n    ".join(parts)
+
+
+SQL["op12_centroid_clustering"] = f"""
+    with kept as materialized (
+        select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+        where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    {_rounds(centroids.ROUNDS)}
+    select vec_id, a.c::int as cluster, d as distance, (sum(d) over (partition by a.c))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+           sha256(array_to_string(o.v, ',')) as centroid_sha256
+    from a{centroids.ROUNDS} a join c{centroids.ROUNDS} o on a.c = o.c"""
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+SQL["op13_substring_dedup"] = r"""
+    with w as materialized (select doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') as ws from documents),
+    spots as materialized (
+        select doc_id, i, md5(array_to_string(list_slice(ws, i, i + 49), ' ')) as h
+        from (select doc_id, ws, unnest(range(1, len(ws) - 48)) as i from w where len(ws) >= 50)),
+    least as (select h, min(doc_id) as first from spots group by h having min(doc_id) < max(doc_id)),
+    gone as (
+        select doc_id, list(distinct p) as places
+        from (select s.doc_id, unnest(range(s.i, s.i + 50)) as p from spots s join least l on s.h = l.h where s.doc_id > l.first) group by doc_id),
+    kept as (
+        select w.doc_id, len(ws) as n, coalesce(len(places), 0) as r,
+               case when places is null then ws else list_filter(list_transform(ws, lambda x, i: case when list_contains(places, i) then null else x end), lambda x: x is not null) end as k
+        from w left join gone on w.doc_id = gone.doc_id)
+    select doc_id, n::bigint as n_words, r::bigint as n_removed, sha256(array_to_string(k, ' ')) as kept_sha256 from kept"""
