@@ -20,6 +20,7 @@ BUCKETS = 10_000
 LEAST_WORDS = 20
 SHARE = 10
 SEED = "2024"
+_TREE = 64
 
 #: What each UTF-8 byte becomes: A-Z their lower case, all of ASCII but digits and letters a space; bytes of other characters stay.
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -113,7 +114,10 @@ def document_lines(docs: DataFrame, ngrams: int = 1, buckets: int = BUCKETS) ->
 
 
 def _histogram(features: DataFrame, listed: str, times: str | None, buckets: int) -> np.ndarray:
-    """How often each bucket occurs; ``times`` multiplies a row. Each task sends one row per bucket, the driver receives ``buckets`` sums."""
+    """How often each bucket occurs; ``times`` multiplies a row. ``features`` is a stored table.
+
+    Each task gives one list of sums; lists are added up in groups until few are left for the driver.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(buckets, np.int64)
@@ -125,14 +129,18 @@ def _histogram(features: DataFrame, listed: str, times: str | None, buckets: int
                 sums += np.bincount(values, minlength=buckets)
             else:
                 np.add.at(sums, values, np.repeat(batch[times].to_numpy(), sizes))
-        used = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], names=["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([list_column(sums, np.array([0, buckets]), pa.int64())], names=["sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = sum((b["sums"].flatten().to_numpy().reshape(-1, buckets).sum(0) for b in batches), np.zeros(buckets, np.int64))
+        yield pa.RecordBatch.from_arrays([list_column(sums, np.array([0, buckets]), pa.int64())], names=["sums"])
 
-    columns = [listed] if times is None else [listed, times]
-    table = features.select(*columns).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(buckets, np.int64)
-    out[table["bucket"].to_numpy()] = table["n"].to_numpy()
-    return out
+    parts = features.select(*([listed] if times is None else [listed, times])).mapInArrow(count, "sums array<long>")
+    tasks = parts.rdd.getNumPartitions()
+    while tasks > _TREE:
+        tasks = -(-tasks // _TREE)
+        parts = parts.repartition(tasks).mapInArrow(add, "sums array<long>")
+    return np.array([r.sums for r in parts.collect()], np.int64).reshape(-1, buckets).sum(0)
 
 
 def gains(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -176,7 +184,7 @@ def resample(
     """
     rows = document_lines(docs, ngrams, buckets)
     lines = cut_lineage(line_features(docs, ngrams, buckets))
-    own = line_features(target, ngrams, buckets)
+    own = cut_lineage(line_features(target, ngrams, buckets))
     s, t = _histogram(lines, "buckets", "n", buckets), _histogram(own, "buckets", "n", buckets)
     if ngrams > 1:
         s += _histogram(rows, "crossing", None, buckets)
