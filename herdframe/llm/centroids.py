@@ -54,12 +54,14 @@ class Frontier:
         In every dimension the list is walked outward from the vector's value, one centroid a step. A centroid not met yet is at least as far in each
         dimension as the last one met there; once the sum of the squares of these exceeds the best exact distance, none can be nearer or as near.
         """
+        if vectors.dtype == object and self.centroids.dtype != object:
+            return Frontier(self.centroids.astype(object)).nearest(vectors)
         n, (k, dim) = len(vectors), self.centroids.shape
         columns = np.arange(dim)
         high = np.stack([np.searchsorted(self.sorted[:, j], vectors[:, j]) for j in range(dim)], 1).astype(np.int64) + 1
         low = high - 1
         best = np.full(n, -1, np.int64)
-        least = np.zeros(n, vectors.dtype if vectors.dtype == object or self.centroids.dtype == object else np.int64)
+        least = np.zeros(n, self.centroids.dtype)
         seen = np.zeros((n, k), bool)
         active, computed = np.arange(n), 0
         for _ in range(k):
