@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from herdframe.catalog.base import query
 from herdframe.catalog.columns import ERFC
 from herdframe.functions import stats as S
+from herdframe.functions import tails as T
 from herdframe.functions.base import r6
 from herdframe.operators import enrichment as N
 from herdframe.operators import genotypes as Y
@@ -28,8 +29,8 @@ def sql_isf(p):
     """Chi-square (1 df) value of an upper tail p in (0, 1] as SQL: square of the AS241 normal quantile of p / 2."""
     half, q = f"({p} / 2)", f"({p} / 2 - 0.5::double)"
     r = f"sqrt(-ln({half}))"
-    inner = f"{q} * {sql_ratio(S.AS241_CENTRE, f'(0.180625::double - {q} * {q})')}"
-    far = f"case when {r} <= 5 then {sql_ratio(S.AS241_MIDDLE, f'({r} - 1.6::double)')} else {sql_ratio(S.AS241_TAIL, f'({r} - 5::double)')} end"
+    inner = f"{q} * {sql_ratio(T.AS241_CENTRE, f'(0.180625::double - {q} * {q})')}"
+    far = f"case when {r} <= 5 then {sql_ratio(T.AS241_MIDDLE, f'({r} - 1.6::double)')} else {sql_ratio(T.AS241_TAIL, f'({r} - 5::double)')} end"
     return f"(case when {p} = 1 then 0 else power(case when abs({q}) <= 0.425 then {inner} else -({far}) end, 2) end)"
 
 
@@ -41,7 +42,7 @@ MEDIAN = repr(S.CHI2_1_MEDIAN)
     f"""select study, snp, chr, pos, round({sql_isf("p")}, 6) as chi2, round(p, 6) as back from gwas""",
 )
 def _(t):
-    d = t.gwas.withColumn("chi2", S.chi2_1_isf("p")).withColumn("back", S.chi2_1_sf("chi2"))
+    d = t.gwas.withColumn("chi2", T.chi2_1_isf("p")).withColumn("back", T.chi2_1_sf("chi2"))
     return d.select("study", "snp", "chr", "pos", r6("chi2").alias("chi2"), r6("back").alias("back"))
 
 
@@ -52,7 +53,7 @@ def _(t):
 )
 def _(t):
     d = t.customer.select("c_custkey", ((F.col("c_custkey") % 200) / 20.0).alias("x"))
-    return d.select("c_custkey", r6(S.chi2_1_sf("x")).alias("p1"), r6(S.chi2_sf("x", F.lit(4))).alias("p4"))
+    return d.select("c_custkey", r6(T.chi2_1_sf("x")).alias("p1"), r6(T.chi2_sf("x", F.lit(4))).alias("p4"))
 
 
 @query(
@@ -281,19 +282,12 @@ def _(t):
         F.sum(F.col("score") * F.col("score")).alias("norm"), F.sqrt(F.sum(gap * gap)).alias("gap"), F.first("share").alias("share")
     )
     first = per_pc.agg(F.max(F.when(F.col("pc") == 1, F.col("share"))) >= F.max(F.when(F.col("pc") == 2, F.col("share"))))
-    near0 = lambda c, digits: F.when(F.abs(c) < 10.0**-digits, F.lit(0.0)).otherwise(c)
     return per_pc.select(
         "pc", *[total.select(c).scalar().alias(c) for c in ("animals", "markers")], r6(total.select("total").scalar(), 3).alias("total"), r6("norm").alias("norm"),
-        near0(product.scalar(), 6).alias("product"), near0(F.col("gap"), 2).alias("residual"), first.scalar().alias("ordered"),
+        r6(product.scalar()).alias("product"), r6("gap").alias("residual"), first.scalar().alias("ordered"),
     )
 
 
-@query("J12_vector_pca")
-def _(t):
-    out = Y.vector_pca(t.embeddings, "embedding", 2)
-    return out.select("vec_id", r6(F.abs(F.get("scores", 0)), 4).alias("pc1"), r6(F.abs(F.get("scores", 1)), 4).alias("pc2"))
-
-
 _EFFECT = """select snp, n, round(b, 10) as b, round(se, 10) as se, round(r2, 10) as r2, round(b / nullif(se, 0), 4) as t,
     round(case when se > 0 then case when abs(b / se) < 7 then """ + ERFC.format(x="abs(b / se) / sqrt(2)") + """ else 0 end end, 6) as p
     from (select snp, n, case when ok then gy / gg end as b, case when ok then sqrt(greatest(yy - gy * gy / gg, 0) / (n - k) / gg) end as se,
@@ -350,14 +344,14 @@ def clump_input(t):
     """with recursive c as (select m.snp, m.chr, m.pos, g.p from (select snp, min(p) as p from gwas group by snp) g join markers m on g.snp = m.snp where g.p <= 0.01),
        near as materialized (select a.snp as a, b.snp as b from c a join c b on a.chr = b.chr and a.snp <> b.snp and abs(a.pos - b.pos) <= 20000),
        linked as materialized (select a, b from near join genotypes x on x.snp = a join genotypes y on y.snp = b and x.animal = y.animal
-                  where x.dosage is not null and y.dosage is not null group by a, b having power(corr(x.dosage, y.dosage), 2) > 0.2003),
+                  where x.dosage is not null and y.dosage is not null group by a, b having not isnan(corr(x.dosage, y.dosage)) and round(power(corr(x.dosage, y.dosage), 2), 9) > 0.2),
        steps as (select 0 as i, snp, p, first_value(snp) over (order by p, snp) as lead from c
                  union all
                  select i + 1, snp, p, first_value(snp) over (order by p, snp) from (select s.* from steps s where s.snp <> s.lead and not exists (select 1 from linked where a = s.lead and b = s.snp)) q)
        select c.snp, c.chr, c.pos, round(c.p, 6) as p from c where c.snp in (select lead from steps)""",
 )
 def _(t):
-    out = Y.ld_clump(clump_input(t), t.genotypes, window=20_000, r2=0.2003, p_max=0.01)
+    out = Y.ld_clump(clump_input(t), t.genotypes, window=20_000, r2=0.2, p_max=0.01)
     return out.select("snp", "chr", "pos", r6("p").alias("p"))
 
 

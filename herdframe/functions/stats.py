@@ -1,155 +1,20 @@
-"""Distribution tails, genetic evaluation formulas and test statistics as native expressions.
-
-Plain arithmetic only, so that Spark compiles it; pass columns, not long expressions, where a value is used many times.
-Normal quantile: Wichura's AS241 (1988). Complementary error function: Cody (1969). Both about 1e-16 relative.
-"""
+"""Genetic evaluation formulas and test statistics as expressions; distribution tails are in ``tails``."""
 
 from __future__ import annotations
 
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from herdframe.functions.base import ColumnLike, col
+from herdframe.functions.tails import chi2_1_neglog10_sf
 
-# fixed values: AS241 numerators and denominators, highest power first (centre, middle, tail)
-AS241_CENTRE = (
-    (2.5090809287301226727e3, 3.3430575583588128105e4, 6.7265770927008700853e4, 4.5921953931549871457e4,
-     1.3731693765509461125e4, 1.9715909503065514427e3, 1.3314166789178437745e2, 3.3871328727963666080),
-    (5.2264952788528545610e3, 2.8729085735721942674e4, 3.9307895800092710610e4, 2.1213794301586595867e4,
-     5.3941960214247511077e3, 6.8718700749205790830e2, 4.2313330701600911252e1, 1.0),
-)
-AS241_MIDDLE = (
-    (7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258,
-     3.64784832476320460504, 5.76949722146069140550, 4.63033784615654529590, 1.42343711074968357734),
-    (1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
-     6.89767334985100004550e-1, 1.67638483018380384940, 2.05319162663775882187, 1.0),
-)
-AS241_TAIL = (
-    (2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
-     2.96560571828504891230e-1, 1.78482653991729133580, 5.46378491116411436990, 6.65790464350110377720),
-    (2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
-     1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0),
-)
-# fixed values: Cody's rational approximations, highest power first (small, medium, large argument)
-CODY_SMALL = (
-    (1.85777706184603153e-1, 3.16112374387056560, 1.13864154151050156e2, 3.77485237685302021e2,
-     3.20937758913846947e3),
-    (1.0, 2.36012909523441209e1, 2.44024637934444173e2, 1.28261652607737228e3, 2.84423683343917062e3),
-)
-CODY_MEDIUM = (
-    (2.15311535474403846e-8, 5.64188496988670089e-1, 8.88314979438837594, 6.61191906371416295e1,
-     2.98635138197400131e2, 8.81952221241769090e2, 1.71204761263407058e3, 2.05107837782607147e3,
-     1.23033935479799725e3),
-    (1.0, 1.57449261107098347e1, 1.17693950891312499e2, 5.37181101862009858e2, 1.62138957456669019e3,
-     3.29079923573345963e3, 4.36261909014324716e3, 3.43936767414372164e3, 1.23033935480374942e3),
-)
-CODY_LARGE = (
-    (1.63153871373020978e-2, 3.05326634961232344e-1, 3.60344899949804439e-1, 1.25781726111229246e-1,
-     1.60837851487422766e-2, 6.58749161529837803e-4),
-    (1.0, 2.56852019228982242, 1.87295284992346725, 5.27905102951428412e-1, 6.05183413124413191e-2,
-     2.33520497626869185e-3),
-)
 # median of the chi-square distribution with one degree of freedom
 CHI2_1_MEDIAN = 0.45493642311957283
 
 
-def _poly(conds: list[Column], tables: list[tuple], x: Column) -> Column:
-    """Horner's scheme in plain arithmetic. The table is chosen coefficient by coefficient, so nothing of the argument stands inside a
-    branch and Spark computes it once. Shorter tables are filled with leading zeros."""
-    width = max(len(t) for t in tables)
-    filled = [(0.0,) * (width - len(t)) + tuple(t) for t in tables]
-    out = None
-    for values in zip(*filled, strict=True):
-        c = F.lit(float(values[-1]))
-        for cond, value in reversed(list(zip(conds, values[:-1], strict=True))):
-            c = F.when(cond, F.lit(float(value))).otherwise(c)
-        out = c if out is None else out * x + c
-    return out
-
-
-def _ratio(conds: list[Column], pairs: list, x: Column) -> Column:
-    return _poly(conds, [p[0] for p in pairs], x) / _poly(conds, [p[1] for p in pairs], x)
-
-
-def norm_ppf(p: ColumnLike) -> Column:
-    """Standard normal quantile; null outside (0, 1)."""
-    prob = F.when((col(p) > 0) & (col(p) < 1), col(p).cast("double"))
-    q = prob - 0.5
-    r = F.sqrt(-F.log(F.least(prob, 1 - prob)))
-    conds = [F.abs(q) <= 0.425, r <= 5]
-    x = F.when(conds[0], 0.180625 - q * q).when(conds[1], r - 1.6).otherwise(r - 5)
-    return _ratio(conds, [AS241_CENTRE, AS241_MIDDLE, AS241_TAIL], x) * F.when(conds[0], q).otherwise(F.signum(q))
-
-
-def erfcx(x: ColumnLike) -> Column:
-    """exp(x^2) erfc(x) for x >= 0; does not underflow."""
-    y = F.when(col(x).cast("double") >= 0, col(x).cast("double"))
-    square = y * y
-    conds = [y <= 0.46875, y <= 4]
-    v = F.when(conds[0], square).when(conds[1], y).otherwise(1.0 / F.greatest(square, F.lit(16.0)))
-    ratio = _ratio(conds, [CODY_SMALL, CODY_MEDIUM, CODY_LARGE], v)
-    # exp(y^2) (1 - y ratio), ratio, (1/sqrt(pi) - ratio / y^2) / y: a constant part and a factor of the ratio
-    constant = F.when(conds[0], F.exp(square)).when(conds[1], 0.0).otherwise(1 / math.sqrt(math.pi) / y)
-    factor = F.when(conds[0], -F.exp(square) * y).when(conds[1], 1.0).otherwise(-1.0 / (square * y))
-    return constant + factor * ratio
-
-
-def erfc(x: ColumnLike) -> Column:
-    y = col(x).cast("double")
-    side = F.when(y >= 0, 1.0).otherwise(-1.0)
-    return (1 - side) + side * (F.exp(-y * y) * erfcx(F.abs(y)))
-
-
-def _not_below_zero(x: ColumnLike) -> Column:
-    """The value or zero; null stays null."""
-    value = col(x).cast("double")
-    return F.when(value < 0, 0.0).otherwise(value)
-
-
-def chi2_1_sf(x: ColumnLike) -> Column:
-    """P(X > x) for chi-square with one degree of freedom."""
-    return erfc(F.sqrt(_not_below_zero(x) / 2))
-
-
-def chi2_1_isf(p: ColumnLike) -> Column:
-    """Value with upper tail p; p = 1 gives 0, p = 0 gives infinity, outside gives null."""
-    prob = col(p).cast("double")
-    square = F.pow(norm_ppf(prob / 2), F.lit(2.0))
-    # adding nothing or null keeps the quantile outside of branches, where Spark computes its parts once
-    return F.coalesce(square, F.when(prob == 0, F.lit(float("inf")))) + F.when(prob <= 1, F.lit(0.0))
-
-
-def chi2_1_neglog10_sf(x: ColumnLike) -> Column:
-    """-log10 of the tail, taken in logs so that it stays finite where the tail underflows."""
-    y = F.sqrt(_not_below_zero(x) / 2)
-    return (y * y) / math.log(10) - F.log10(erfcx(y))
-
-
-def chi2_sf(x: ColumnLike, df: ColumnLike) -> Column:
-    """P(X > x) for a whole number of degrees of freedom (finite series)."""
-    h = _not_below_zero(x) / 2
-    v = col(df).cast("int")
-    steps = F.floor((v - 1) / 2).cast("int")
-    odd = (v % 2) == 1
-    first = F.when(odd, F.sqrt(h) / math.sqrt(math.pi / 4)).otherwise(F.lit(1.0))
-    series = F.aggregate(
-        F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")),
-        F.struct(first.alias("term"), F.when(odd, F.lit(0.0)).otherwise(F.lit(1.0)).alias("total")),
-        lambda acc, i: F.struct(
-            F.when(odd, acc["term"] * h / (i + 0.5)).otherwise(acc["term"] * h / i).alias("term"),
-            F.when(odd, acc["total"] + acc["term"])
-            .otherwise(acc["total"] + acc["term"] * h / i)
-            .alias("total"),
-        ),
-        lambda acc: acc["total"],
-    )
-    tail = F.when(odd, erfc(F.sqrt(h))).otherwise(F.lit(0.0)) + F.exp(-h) * series
-    return F.when(v >= 1, tail)
-
-
 def lrt_neglog10p(ll_null: ColumnLike, ll_test: ColumnLike, mode: str = "reference") -> Column:
     """-log10 p of the difference of two -2logL values, one degree of freedom.
 
@@ -192,57 +57,12 @@ def deregress(
     return {"drp": drp, "drp_r2": r2_drp, "drp_weight": weight}
 
 
-def log_factorial(n: ColumnLike) -> Column:
-    """ln n! : exact table below 10, Stirling series above (error under 1e-13)."""
-    table = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(10)])
-
-    x = col(n).cast("double")
-    series = lambda inv: inv * (1 / 12 - inv * inv * (1 / 360 - inv * inv * (1 / 1260 - inv * inv / 1680)))
-    stirling = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + series(1 / F.greatest(x, F.lit(1.0)))
-    return F.when(x < 10, F.try_element_at(table, (x + 1).cast("int"))).otherwise(stirling)
-
-
-def log_choose(n: ColumnLike, k: ColumnLike) -> Column:
-    return log_factorial(n) - log_factorial(k) - log_factorial(col(n) - col(k))
-
-
-def with_hypergeom_sf(df: DataFrame, hits: str, drawn: str, marked: str, total: str, out: str) -> DataFrame:
-    """Add P(X >= hits) when ``drawn`` of ``total`` are taken and ``marked`` of them carry the term.
-
-    The first term is taken in logs, the others by the ratio of neighbouring terms. The first term is a column of
-    its own, so that the expression is built and computed once.
-    """
-    k, n, m, t = (F.col(c).cast("double") for c in (hits, drawn, marked, total))
-    # ln of C(m, k) C(t-m, n-k) / C(t, n): signed log factorials
-    plus = [m, t - m, n, t - n]
-    minus = [k, m - k, n - k, t - m - n + k, t]
-    args = F.array(*[F.greatest(a, F.lit(0.0)) for a in plus + minus])
-    signs = F.array(*[F.lit(1.0)] * len(plus), *[F.lit(-1.0)] * len(minus))
-    logs = F.aggregate(F.zip_with(args, signs, lambda a, g: g * log_factorial(a)), F.lit(0.0), lambda acc, v: acc + v)
-    top = F.least(n, m)
-    steps = F.when(top > k, F.sequence(k.cast("int"), (top - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
-    first = F.col("__first")
-    ratio = lambda i: (m - i) * (n - i) / ((i + 1) * (t - m - n + i + 1))
-    tail = F.aggregate(
-        steps,
-        F.struct(first.alias("term"), first.alias("total")),
-        lambda acc, i: F.struct(
-            (acc["term"] * ratio(i)).alias("term"), (acc["total"] + acc["term"] * ratio(i)).alias("total")
-        ),
-        lambda acc: acc["total"],
-    )
-    # a hit count at or below the smallest possible one is certain
-    certain = (k <= 0) | (k <= n + m - t)
-    staged = df.withColumn("__first", F.exp(logs))
-    return staged.withColumn(out, F.when(certain, F.lit(1.0)).otherwise(F.least(tail, F.lit(1.0)))).drop("__first")
-
-
 def corr_or_null(x: ColumnLike, y: ColumnLike) -> Column:
     """Pearson correlation over pairs with both values; null when one side does not vary."""
     both = col(x).isNotNull() & col(y).isNotNull()
     a, b = F.when(both, col(x).cast("double")), F.when(both, col(y).cast("double"))
     r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 # fixed values: the lambda grid of the q-value method (Storey and Tibshirani 2003)

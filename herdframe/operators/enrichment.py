@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdframe.functions.stats import with_hypergeom_sf
+from herdframe.functions.tails import hypergeom_sf
 from herdframe.functions.text import marker_label
 from herdframe.operators.aggregates import joined_list, ordered_items
 from herdframe.operators.gwas import bh_adjust
@@ -24,9 +24,8 @@ def term_enrichment(hits: DataFrame, terms: DataFrame, item: str, term: str, by:
     drawn = hits.select(*by, item).distinct().join(universe, item, "left_semi")
     query = drawn.groupBy(*by).agg(F.count(F.lit(1)).alias("query_size"))
     both = drawn.join(pairs, item).groupBy(*by, term).agg(F.count(F.lit(1)).alias("intersection_size"))
-    total = universe.agg(F.count(F.lit(1)).alias("n"))
-    out = null_safe_join(both.join(sizes, term), query, by).withColumn("universe_size", total.scalar())
-    out = with_hypergeom_sf(out, "intersection_size", "query_size", "term_size", "universe_size", "p_value")
+    out = null_safe_join(both.join(sizes, term), query, by).withColumn("universe_size", F.lit(universe.count()))
+    out = out.withColumn("p_value", hypergeom_sf("intersection_size", "query_size", "term_size", "universe_size"))
     # one row per dataset and term: stored, so that the adjustment does not compute the hits again
     return bh_adjust(cut_lineage(out), "p_value", by, "p_adjusted")
 
@@ -60,9 +59,8 @@ def qtl_enrichment(hits: DataFrame, database: DataFrame, trait: str, record: str
     query = drawn.groupBy(*by).agg(F.count(F.lit(1)).alias("n_drawn"))
     entries = database.select(record, trait).distinct()
     sizes = entries.groupBy(trait).agg(F.count(F.lit(1)).alias("n_trait"))
-    total = entries.agg(F.count(F.lit(1)).alias("n"))
-    out = null_safe_join(found.join(sizes, trait), query, by).withColumn("n_database", total.scalar())
-    out = with_hypergeom_sf(out, "n_annotations", "n_drawn", "n_trait", "n_database", "p_value")
+    out = null_safe_join(found.join(sizes, trait), query, by).withColumn("n_database", F.lit(entries.count()))
+    out = out.withColumn("p_value", hypergeom_sf("n_annotations", "n_drawn", "n_trait", "n_database"))
     # one row per dataset and term: stored, so that the adjustment does not compute the hits again
     return bh_adjust(cut_lineage(out), "p_value", by, "p_adjusted")
 

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from herdframe.functions.stats import chi2_1_sf, corr_or_null
+from herdframe.functions.tails import chi2_1_sf
+from herdframe.operators import packed as P
+from herdframe.operators.keys import left_join_known
 from herdframe.session import cut_lineage
 
+#: Matrices of so many tasks are put together at a time.
+_TREE = 64
+
 
 def allele_stats(geno: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Counts per genotype, frequency of the counted allele, missing share and observed chromosomes per marker."""
@@ -49,7 +57,7 @@ def genotype_qc(
 def parent_conflicts(geno: DataFrame, ped: DataFrame) -> DataFrame:
     """Opposing homozygotes per animal-parent pair: markers compared, conflicts, percent.
 
-    ``ped``: full_reg, sire_reg, dam_reg. Work is one row per child, parent and marker.
+    ``ped``: full_reg, sire_reg, dam_reg. Only animals of pairs with calls on both sides are packed; work is one row per pair and 64 markers.
     """
     pairs = ped.select(
         "full_reg",
@@ -61,41 +69,56 @@ def parent_conflicts(geno: DataFrame, ped: DataFrame) -> DataFrame:
         ),
     )
     called = geno.filter(F.col("dosage").isNotNull())
-    # only pairs of genotyped animals are paired with markers
-    ids = called.select("animal").distinct()
+    ids = cut_lineage(called.select("animal").distinct())
     for c in ("full_reg", "parent_reg"):
         pairs = pairs.join(ids.select(F.col("animal").alias(c)), c, "left_semi")
-    child = called.select(F.col("animal").alias("full_reg"), "snp", F.col("dosage").alias("__c"))
-    parent = called.select(F.col("animal").alias("parent_reg"), "snp", F.col("dosage").alias("__p"))
-    both = pairs.join(child, "full_reg").join(parent, ["parent_reg", "snp"])
+    pairs = cut_lineage(pairs)
+    planes = _packed(called, pairs.select("full_reg").unionAll(pairs.select("parent_reg")).toDF("animal"))
+    both = pairs.join(P.side(planes, "animal", "full_reg", "_c"), "full_reg").join(P.side(planes, "animal", "parent_reg", "_p"), ["parent_reg", "chunk"])
     out = both.groupBy("comparison", "full_reg", "parent_reg").agg(
-        F.count(F.lit(1)).alias("n_snps"), F.count_if(F.abs(F.col("__c") - F.col("__p")) == 2).alias("n_conflicts")
+        F.sum(P.ones(P.all_called("_c", "_p"))).alias("n_snps"), F.sum(P.ones(P.opposing("_c", "_p"))).alias("n_conflicts")
     )
-    return out.withColumn("percent_conflicts", 100 * F.col("n_conflicts") / F.col("n_snps"))
+    return out.filter("n_snps > 0").withColumn("percent_conflicts", 100 * F.col("n_conflicts") / F.col("n_snps"))
+
+
+def _packed(called: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Calls of the wanted animals, 64 markers a row. A stored table."""
+    mine = called.join(wanted.distinct(), "animal", "left_semi")
+    return cut_lineage(P.pack(mine, "animal", P.bit_places(called, "snp")))
 
 
 def trio_conflicts(geno: DataFrame, ped: DataFrame) -> DataFrame:
     """Impossible trios per animal with both single-parent comparisons in the same row.
 
-    A trio is impossible when the child's dosage cannot come from one allele of each parent.
+    A trio is impossible when the child's dosage cannot come from one allele of each parent. Parents without a call are taken out of the pedigree rows
+    first, and rows without a parent left are not paired with markers.
     """
     called = geno.filter(F.col("dosage").isNotNull())
-    side = lambda key, d: called.select(F.col("animal").alias(key), "snp", F.col("dosage").alias(d))
-    trio = (
-        ped.select("full_reg", "sire_reg", "dam_reg")
-        .join(side("full_reg", "__c"), "full_reg")
-        .join(side("sire_reg", "__s"), ["sire_reg", "snp"], "left")
-        .join(side("dam_reg", "__d"), ["dam_reg", "snp"], "left")
-    )
-    c, s, d = F.col("__c"), F.col("__s"), F.col("__d")
-    low = F.floor(s / 2) + F.floor(d / 2)
-    high = F.ceil(s / 2) + F.ceil(d / 2)
-    out = trio.groupBy("full_reg", "sire_reg", "dam_reg").agg(
-        F.count(s + d).alias("n_trio"),
-        F.count_if((c < low) | (c > high)).alias("trio_conflicts"),
-        F.count(s).alias("n_sire"), F.count_if(F.abs(c - s) == 2).alias("sire_conflicts"),
-        F.count(d).alias("n_dam"), F.count_if(F.abs(c - d) == 2).alias("dam_conflicts"),
-    )
+    ids = cut_lineage(called.select("animal").distinct())
+    rows = ped.select("full_reg", "sire_reg", "dam_reg").join(ids.select(F.col("animal").alias("full_reg")), "full_reg", "left_semi")
+    for c in ("sire_reg", "dam_reg"):
+        rows = left_join_known(rows, ids.select(F.col("animal").alias(c), F.lit(True).alias(f"__has_{c}")), c)
+    rows = rows.withColumns({f"__{c}": F.when(F.col(f"__has_{c}"), F.col(c)) for c in ("sire_reg", "dam_reg")})
+    trios = cut_lineage(rows.select("full_reg", "sire_reg", "dam_reg", "__sire_reg", "__dam_reg"))
+    named = [trios.select(F.col(c).alias("animal")) for c in ("full_reg", "__sire_reg", "__dam_reg")]
+    planes = _packed(called, named[0].unionAll(named[1]).unionAll(named[2]).filter("animal is not null"))
+    keys = ["full_reg", "sire_reg", "dam_reg"]
+    with_parent = trios.filter("__sire_reg is not null or __dam_reg is not null").join(P.side(planes, "animal", "full_reg", "_c"), "full_reg")
+    for key, s in (("__sire_reg", "_s"), ("__dam_reg", "_d")):
+        parent = P.side(planes, "animal", "__id", s).withColumnRenamed("chunk", "__chunk")
+        # rows without this parent carry a key of their own, so they spread
+        apart = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("none "), F.col("full_reg").cast("string")))
+        on = (apart == F.col("__id").cast("string")) & (F.col("chunk") == F.col("__chunk")) & F.col(key).isNotNull()
+        with_parent = with_parent.join(parent, on, "left").drop("__id", "__chunk")
+    zero = F.lit(0).cast("long")
+    plane = with_parent.withColumns({f"{p}{s}": F.coalesce(f"{p}{s}", zero) for p in ("lo", "hi") for s in ("_s", "_d")})
+    counts = {
+        "n_trio": P.all_called("_c", "_s", "_d"), "trio_conflicts": P.impossible("_c", "_s", "_d"), "n_sire": P.all_called("_c", "_s"),
+        "sire_conflicts": P.opposing("_c", "_s"), "n_dam": P.all_called("_c", "_d"), "dam_conflicts": P.opposing("_c", "_d"),
+    }
+    found = plane.groupBy(*keys).agg(*[F.sum(P.ones(bits)).alias(c) for c, bits in counts.items()])
+    alone = trios.filter("__sire_reg is null and __dam_reg is null").select(*keys).distinct()
+    out = found.unionByName(alone.select(*keys, *[zero.alias(c) for c in counts]))
     for name in ("trio", "sire", "dam"):
         pct = F.try_divide(100 * F.col(f"{name}_conflicts"), F.col(f"n_{name}"))
         out = out.withColumn(f"percent_{name}_conflicts", pct)
@@ -172,68 +195,100 @@ def grm(geno: DataFrame, pairs: DataFrame, method: str = "standardised") -> Data
     return sums.select("animal_i", "animal_j", (F.col("s") / denominator.scalar()).alias("value"))
 
 
-def pca(geno: DataFrame, k: int = 2, tolerance: float = 1e-6, extra: int = 14, seed: int = 1) -> DataFrame:
+def _stacked_r(frame: DataFrame, names: list[str]) -> np.ndarray:
+    """R of the QR factorisation of a tall table. Each task factors its rows, the factors are stacked and factored again in groups until few are left."""
+    width = len(names)
+
+    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = np.zeros((0, width))
+        for batch in batches:
+            r = np.linalg.qr(np.vstack([r, np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])]), mode="r")
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in r.T], names=names)
+
+    schema = ", ".join(f"{n} double" for n in names)
+    parts = frame.select(*names).mapInArrow(factor, schema)
+    tasks = parts.rdd.getNumPartitions()
+    while tasks > _TREE:
+        tasks = -(-tasks // _TREE)
+        parts = parts.repartition(tasks).mapInArrow(factor, schema)
+    rows = parts.toArrow()
+    return np.linalg.qr(np.column_stack([c.to_numpy() for c in rows.columns]), mode="r") if rows.num_rows else np.zeros((0, width))
+
+
+def _products(frame: DataFrame, left: list[str], right: list[str]) -> np.ndarray:
+    """left' right over all rows."""
+    row = frame.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"s{i}_{j}") for i, a in enumerate(left) for j, b in enumerate(right)]).first()
+    return np.array([[row[f"s{i}_{j}"] or 0.0 for j in range(len(right))] for i in range(len(left))])
+
+
+def _combined(sources: list[str], m: np.ndarray, out: list[str]) -> list[Column]:
+    """Columns ``out`` = sources * m."""
+    return [sum((F.col(s) * float(m[i, j]) for i, s in enumerate(sources)), F.lit(0.0)).alias(o) for j, o in enumerate(out)]
+
+
+def pca(geno: DataFrame, k: int = 2, tolerance: float = 1e-7, extra: int = 14, degree: int = 4, seed: int = 1) -> DataFrame:
     """Leading principal components of standardised dosages: (animal, pc, score, eigenvalue, share).
 
-    Subspace iteration: a tall matrix of k + extra columns, one row per animal, is multiplied by Z and Z' through joins
-    and sums; only the small k + extra square Gram matrix reaches the driver. The last Gram matrix gives the rotation.
-    Rounds go on until the k leading eigenvalues change by less than ``tolerance`` of their size.
+    Subspace iteration: a tall table of k + extra columns, one row per animal, is multiplied by Z and Z' through joins and sums. Its
+    columns are made orthonormal by a tree of QR factors, so only matrices of k + extra rows reach the driver. Each round multiplies by a
+    Chebyshev polynomial of Z Z' that is small on the eigenvalues below the last column's.
+    Rounds go on until the largest principal angle between the k leading directions and their image has a sine below ``tolerance``.
     """
     z = cut_lineage(standardise(geno).select("animal", "snp", "z"))
     size = k + extra
-    total = z.agg(F.sum(F.col("z") * F.col("z")).alias("t")).first()["t"]
-    names = [f"q{i}" for i in range(size)]
-    start = [(F.pmod(F.xxhash64("animal", F.lit(seed + i)), F.lit(1_000_003)) / 1_000_003.0 - 0.5).alias(n) for i, n in enumerate(names)]
-    basis = z.select("animal").distinct().select("animal", *start)
-
-    def gram(frame: DataFrame) -> np.ndarray:
-        cells = [(i, j) for i in range(size) for j in range(i, size)]
-        row = frame.agg(*[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"g{i}_{j}") for i, j in cells]).first()
-        g = np.zeros((size, size))
-        for i, j in cells:
-            g[i, j] = g[j, i] = row[f"g{i}_{j}"]
-        return g
-
-    def rotate(frame: DataFrame, m: np.ndarray, out: list[str]) -> DataFrame:
-        cols = []
-        for j, name in enumerate(out):
-            cell = F.lit(0.0)
-            for i, source in enumerate(names):
-                cell = cell + F.col(source) * float(m[i, j])
-            cols.append(cell.alias(name))
-        return frame.select("animal", *cols)
-
-    before = np.full(k, np.inf)
+    total, n_snps = z.agg(F.sum(F.col("z") * F.col("z")), F.count_distinct("snp")).first()
+    x, y, w = ([f"{c}{i}" for i in range(size)] for c in "xyw")
+
+    def times(frame: DataFrame, names: list[str]) -> DataFrame:
+        down = z.join(frame, "animal").groupBy("snp").agg(*[F.sum(F.col("z") * F.col(n)).alias(n) for n in names])
+        up = z.join(down, "snp").groupBy("animal").agg(*[F.sum(F.col("z") * F.col(n)).alias(o) for n, o in zip(names, w, strict=True)])
+        return cut_lineage(frame.join(up, "animal"))
+
+    def orthonormal(frame: DataFrame, names: list[str]) -> DataFrame:
+        _, s, v = np.linalg.svd(_stacked_r(frame, names), full_matrices=False)
+        full = s > 1e-12 * s.max(initial=0)
+        m = np.zeros((size, size))
+        m[:, : full.sum()] = v[full].T / s[full]
+        return frame.select("animal", *_combined(names, m, y))
+
+    start = [(F.pmod(F.xxhash64("animal", F.lit(seed + i)), F.lit(1_000_003)) / 1_000_003.0 - 0.5).alias(n) for i, n in enumerate(y)]
+    if not n_snps:
+        return z.select("animal", F.lit(0).alias("pc"), *[F.lit(0.0).alias(c) for c in ("score", "eigenvalue", "share")]).limit(0)
+    basis = orthonormal(cut_lineage(z.select("animal").distinct().select("animal", *start)), y)
     while True:
-        down = z.join(basis, "animal").groupBy("snp").agg(*[F.sum(F.col("z") * F.col(n)).alias(n) for n in names])
-        up = z.join(down, "snp").groupBy("animal").agg(*[F.sum(F.col("z") * F.col(n)).alias(n) for n in names])
-        up = cut_lineage(up)
-        values, vectors = np.linalg.eigh(gram(up))
+        image = times(basis, y)  # y orthonormal, w = Z Z' y
+        values, vectors = np.linalg.eigh(_symmetric(_products(image, y, w)))
         values, vectors = np.maximum(values[::-1], 1e-12), vectors[:, ::-1]
-        basis = rotate(up, vectors / np.sqrt(values), names)
-        eigen = np.sqrt(values)
-        if np.all(np.abs(eigen[:k] - before) <= tolerance * eigen[:k]):
+        lead, moved = [f"u{i}" for i in range(k)], [f"m{i}" for i in range(k)]
+        turned = image.select("animal", *_combined(y, vectors[:, :k], lead), *_combined(w, vectors[:, :k], moved))
+        # what an image has outside of the old directions; its size against the image is the sine of the angle
+        off = turned.select(*moved, *[(F.col(m) - F.col(u) * float(v)).alias(f"o{i}") for i, (m, u, v) in enumerate(zip(moved, lead, values, strict=False))])
+        gram, rest = _symmetric(_products(off, moved, moved)), _symmetric(_products(off, *[[f"o{i}" for i in range(k)]] * 2))
+        inner, axes = np.linalg.eigh(gram)
+        whiten = axes / np.sqrt(np.maximum(inner, 1e-300))
+        if np.sqrt(max(np.linalg.eigvalsh(whiten.T @ rest @ whiten).max(), 0)) <= tolerance:
             break
-        before = eigen[:k]
-    n_snps = z.agg(F.count_distinct("snp").alias("n")).first()["n"]
+        # Chebyshev polynomial of this degree on [0, smallest value kept], by its recurrence
+        half = max(values[-1], 1e-6 * values[0]) / 2
+        frame = image.select("animal", *[F.col(b).alias(a) for a, b in zip(x, y, strict=True)], *[(F.col(c) / half - F.col(b)).alias(b) for b, c in zip(y, w, strict=True)])
+        for _ in range(degree - 1):
+            ahead = times(frame.select("animal", *y), y).select("animal", *w)
+            step = [(2 * (F.col(c) / half - F.col(b)) - F.col(a)).alias(b) for a, b, c in zip(x, y, w, strict=True)]
+            frame = cut_lineage(frame.join(ahead, "animal").select("animal", *[F.col(b).alias(a) for a, b in zip(x, y, strict=True)], *step))
+        basis = orthonormal(frame.select("animal", *y), y)
+    scores = turned.select("animal", *_combined(moved, axes @ np.diag(1 / np.sqrt(np.maximum(inner, 1e-300))) @ axes.T, lead))
     cells = [
         F.struct(
-            F.lit(i + 1).alias("pc"), F.col(names[i]).alias("score"),
-            F.lit(float(eigen[i] / n_snps)).alias("eigenvalue"), F.lit(float(eigen[i] / total)).alias("share"),
+            F.lit(i + 1).alias("pc"), F.col(lead[i]).alias("score"),
+            F.lit(float(values[i] / n_snps)).alias("eigenvalue"), F.lit(float(values[i] / total)).alias("share"),
         )
         for i in range(k)
     ]
-    return basis.select("animal", F.inline(F.array(*cells)))
+    return scores.select("animal", F.inline(F.array(*cells)))
 
 
-def vector_pca(df: DataFrame, vector: str, k: int = 2) -> DataFrame:
-    """Principal components of dense vectors with Spark ML; the width of the vector bounds the driver's share."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    rows = df.withColumn("__v", array_to_vector(F.col(vector).cast("array<double>")))
-    model = PCA(k=k, inputCol="__v", outputCol="__s").fit(rows)
-    return model.transform(rows).withColumn("scores", vector_to_array("__s")).drop("__v", "__s")
+def _symmetric(m: np.ndarray) -> np.ndarray:
+    return (m + m.T) / 2
 
 
 def _cross_products(names: list[str], weight) -> list:
@@ -316,14 +371,16 @@ def _centred(pheno: DataFrame, cols: list[str]) -> DataFrame:
     return pheno.withColumns({c: F.col(c).cast("double") - means.select(c).scalar() for c in cols})
 
 
-def pair_r2(pairs: DataFrame, geno: DataFrame, a: str, b: str) -> DataFrame:
-    """Squared correlation of dosages per marker pair over animals called for both."""
-    called = geno.filter(F.col("dosage").isNotNull())
-    left = called.select(F.col("snp").alias(a), "animal", F.col("dosage").cast("double").alias("__x"))
-    right = called.select(F.col("snp").alias(b), "animal", F.col("dosage").cast("double").alias("__y"))
-    both = pairs.join(left, a).join(right, [b, "animal"])
-    r = corr_or_null("__x", "__y")
-    return both.groupBy(a, b).agg((r * r).alias("r2"))
+def pair_r2(pairs: DataFrame, planes: DataFrame, a: str, b: str) -> DataFrame:
+    """Squared correlation of dosages per marker pair over animals called for both, from packed markers (snp, chunk, lo, hi).
+
+    Sums are whole numbers, so equal data give equal values. A marker of many pairs is spread over its chunks.
+    """
+    both = pairs.join(P.side(planes, "snp", a, "_a"), a).join(P.side(planes, "snp", b, "_b"), [b, "chunk"])
+    sums = both.groupBy(a, b).agg(*[c.cast("double").alias(f"__{name}") for name, c in P.dosage_sums("_a", "_b").items()])
+    n, x, y, xx, yy, xy = (F.col(f"__{c}") for c in ("n", "x", "y", "xx", "yy", "xy"))
+    top = n * xy - x * y
+    return sums.select(a, b, F.try_divide(top * top, (n * xx - x * x) * (n * yy - y * y)).alias("r2"))
 
 
 def ld_clump(
@@ -331,13 +388,15 @@ def ld_clump(
 ) -> DataFrame:
     """Independent lead markers: best p first, markers within the window and above the r2 limit go with it.
 
-    ``results``: snp, chr, pos, p. Each round takes every marker that has the best p of all that remain within the
+    ``results``: snp, chr, pos, p. r2 is compared after rounding to nine digits. Each round takes every marker that has the best p of all that remain within the
     window; these are exactly the markers a one-by-one pass would choose, because nothing left nearby is better.
     Only leads are paired with their neighbours, never all markers with each other.
     """
     w = int(window)
     start = results.filter(F.col("p") <= p_max).select("snp", "chr", "pos", "p").withColumn("__bin", F.floor(F.col("pos") / w))
     left = cut_lineage(start)
+    tested = geno.join(left.select("snp").distinct(), "snp", "left_semi")
+    planes = cut_lineage(P.pack(tested, "snp", P.bit_places(tested, "animal")))
     leads = None
     while not left.isEmpty():
         rank = F.struct("p", "snp")
@@ -350,7 +409,7 @@ def ld_clump(
         reach = chosen.withColumn("__bin", F.explode(F.array(F.col("__bin") - 1, F.col("__bin"), F.col("__bin") + 1)))
         near = reach.join(left, ["chr", "__bin"]).filter(F.abs(F.col("pos") - F.col("__pos")) <= w)
         pairs = near.filter("snp <> lead").select("lead", "snp")
-        gone = pair_r2(pairs, geno, "lead", "snp").filter(F.col("r2") > r2).select("snp")
+        gone = pair_r2(pairs, planes, "lead", "snp").filter(F.round("r2", 9) > r2).select("snp")
         gone = gone.unionByName(chosen.select(F.col("lead").alias("snp")))
         left = cut_lineage(left.join(gone.distinct(), "snp", "left_anti"))
         leads = chosen.select("lead") if leads is None else leads.unionByName(chosen.select("lead"))

@@ -7,15 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdframe.functions.stats import (
-    CHI2_1_MEDIAN,
-    LAMBDA_GRID,
-    chi2_1_isf,
-    chi2_1_sf,
-    chi2_sf,
-    erfc,
-    smoother_weights,
-)
+from herdframe.functions.stats import CHI2_1_MEDIAN, LAMBDA_GRID, smoother_weights
+from herdframe.functions.tails import chi2_1_isf, chi2_sf, erfc, scaled_tail
 from herdframe.operators.aggregates import tally
 from herdframe.operators.keys import null_safe_join
 from herdframe.operators.ordered import middle_values, running, tail_bins
@@ -29,7 +22,8 @@ def inflation_factor(df: DataFrame, p: str, by: list[str] | None = None) -> Data
     Chi-square falls as p rises, so the middle p-values are found first and only these are transformed.
     """
     middle = middle_values(df.filter(F.col(p).between(0, 1)), by or [], p, tail_bins)
-    return middle.groupBy(*(by or [])).agg((F.avg(chi2_1_isf(p)) / CHI2_1_MEDIAN).alias("lambda"))
+    values = middle.withColumn("__chi2", chi2_1_isf(p))
+    return values.groupBy(*(by or [])).agg((F.avg("__chi2") / CHI2_1_MEDIAN).alias("lambda"))
 
 
 def gc_adjust(df: DataFrame, p: str, by: list[str] | None = None, out: str = "adj_p") -> DataFrame:
@@ -40,9 +34,10 @@ def gc_adjust(df: DataFrame, p: str, by: list[str] | None = None, out: str = "ad
         # stored first: with the size of the factors known, the results need no shuffle for this join
         joined = null_safe_join(df, cut_lineage(factors.withColumnRenamed("lambda", "__lambda")), by)
     else:
-        joined = df.withColumn("__lambda", factors.scalar())
-    staged = joined.withColumn("__chi2", chi2_1_isf(p)).withColumn("__chi2", F.col("__chi2") / F.col("__lambda"))
-    return staged.withColumn(out, chi2_1_sf("__chi2")).drop("__lambda", "__chi2")
+        # a literal: a subquery may not be the argument of an Arrow function
+        row = factors.first()
+        joined = df.withColumn("__lambda", F.lit(row and row["lambda"]).cast("double"))
+    return joined.withColumn(out, scaled_tail(p, "__lambda")).drop("__lambda")
 
 
 def pi0_table(df: DataFrame, p: str, by: list[str]) -> DataFrame:
@@ -110,7 +105,6 @@ def meta_analysis(df: DataFrame, by: list[str], beta: str = "beta", se: str = "s
     wr = 1 / (F.col(se) * F.col(se) + F.col("__tau2"))
     random = spread.groupBy(*by).agg(F.sum(wr).alias("__wr"), F.sum(wr * F.col(beta)).alias("__wbr"))
     joined = null_safe_join(fixed, random, by)
-    # intermediate results become columns before the long tail expressions use them
     staged = joined.withColumns(
         {
             "beta_fe": beta_fe, "std_fe": F.sqrt(1 / F.col("__w")),

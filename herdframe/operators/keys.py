@@ -41,16 +41,6 @@ def left_join_known(left: DataFrame, right: DataFrame, key: str, unknown: tuple
     return spread_left_join(left, right, F.col(key), key, known)
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", slices: int = 16) -> DataFrame:
-    """Equi join in which every key of the left side is cut into ``slices`` by a hash of the row and the right side is repeated
-    once per slice: for a small right side whose keys are all crowded on the left."""
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError("salting repeats the right side: inner, left, left_semi and left_anti only")
-    probe = left.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(slices)).cast("int"))
-    build = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return probe.join(build, [*on, "__salt"], how).drop("__salt")
-
-
 def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Put per-group values back on the rows: a join instead of a whole-group window, so a group that holds
     a large part of all rows never has to fit into one task."""
