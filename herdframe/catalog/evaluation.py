@@ -52,6 +52,40 @@ def _(t):
     return D.inbreeding(t.geno_ped, 0).select("full_reg", r6("f").alias("f"))
 
 
+# As above with the generations each line has left (r of a, q of b).
+_BOUNDED = """with recursive w as (select full_reg as x, greatest(sire_reg, dam_reg) as a, least(sire_reg, dam_reg) as b, {depth} - 1 as r, {depth} - 1 as q, 1.0::double as w
+       from {ped} where sire_reg > 0 and dam_reg > 0
+       union all
+       select x, greatest(u, v), least(u, v), case when u >= v then r else q end, case when u >= v then q else r end, sum(w) / 2 from (
+         select x, case when a = b or i = 1 then p.sire_reg else p.dam_reg end as u, case when a = b then p.dam_reg else b end as v,
+                case when a = b then least(r, q) else r end - 1 as r, case when a = b then least(r, q) - 1 else q end as q, w
+         from w join {ped} p on p.full_reg = a join (values (1), (2)) k(i) on a <> b or i = 1 where r > 0 and (a <> b or q > 0)) where u > 0 and v > 0 group by 1, 2, 3, 4, 5)
+       select full_reg, round(coalesce(f, 0), 6)::double as f from {ped} left join (select x, sum(w) / 2 as f from w where a = b group by x) on full_reg = x"""
+
+
+@query("J17_inbreeding_depth", _BOUNDED.format(ped="pedigree", depth=4))
+def _(t):
+    return D.inbreeding(t.pedigree, 0, depth=4).select("full_reg", r6("f").alias("f"))
+
+
+@query(
+    "J17_pair_kinship",
+    """with recursive pairs as (select full_reg as i, full_reg - 1 as j from pedigree where full_reg > 1 union select full_reg, sire_reg from pedigree where sire_reg > 0),
+       w as (select i, j, greatest(i, j) as a, least(i, j) as b, 1.0::double as w from pairs
+       union all
+       select i, j, greatest(u, v), least(u, v), sum(w) / 2 from (
+         select i, j, case when a = b or k = 1 then p.sire_reg else p.dam_reg end as u, case when a = b then p.dam_reg else b end as v, w
+         from w join pedigree p on p.full_reg = a join (values (1), (2)) t(k) on a <> b or k = 1) where u > 0 and v > 0 group by 1, 2, 3, 4)
+       select pairs.i as animal_i, pairs.j as animal_j, round(coalesce(f, 0), 6)::double as kinship
+       from pairs left join (select i, j, sum(w) / 2 as f from w where a = b group by 1, 2) s on pairs.i = s.i and pairs.j = s.j""",
+)
+def _(t):
+    p = t.pedigree
+    pairs = p.filter("full_reg > 1").select("full_reg", F.col("full_reg") - 1).unionAll(p.filter("sire_reg > 0").select("full_reg", "sire_reg"))
+    out = D.kinship(p, pairs.toDF("animal_i", "animal_j"), 0)
+    return out.select("animal_i", "animal_j", r6("kinship").alias("kinship"))
+
+
 def aligned(t):
     e = t.evaluations
     full = e.select("full_reg", F.col("solution_full").alias("solution"))

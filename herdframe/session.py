@@ -69,3 +69,32 @@ def drop_stages(*stages: DataFrame) -> None:
         jvm = stage.sparkSession._jvm
         path = jvm.org.apache.hadoop.fs.Path(stage.stage_path)
         path.getFileSystem(stage.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+class StagedRows:
+    """Rows that later steps of a loop read, stored under the number of the step that will read them.
+
+    ``add`` appends rows with a column ``stage``; ``read`` gives the rows of one stage, whichever steps wrote them, and reads no others.
+    """
+
+    def __init__(self, spark: SparkSession, schema: str):
+        self.spark, self.schema = spark, schema
+        self.stage_path = self.path = fresh_path(spark, "rows")
+        self.sparkSession = spark
+
+    def add(self, rows: DataFrame) -> None:
+        # small stages become one file each, large ones are split evenly
+        rows.select(*[c.split()[0] for c in self.schema.split(", ")], "stage").hint("rebalance", "stage").write.mode("append").partitionBy("stage").parquet(self.path)
+
+    def has(self, stage: int) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/stage={stage}")
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+    def all(self) -> DataFrame:
+        """Rows of all stages, with their stage."""
+        return self.spark.read.schema(f"{self.schema}, stage int").parquet(self.path)
+
+    def read(self, stage: int) -> DataFrame:
+        if not self.has(stage):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/stage={stage}")

@@ -189,6 +189,47 @@ def test_inbreeding_equals_tabular_method(spark):
     assert got == pytest.approx(kinship(ped), abs=1e-12)
 
 
+def bounded_kinship(ped, a, b, ra, rb):
+    """The definition as it stands: the later born is replaced by its parents while its line has generations left. Ids rise with birth."""
+    if 0 in (a, b):
+        return 0.0
+    if a == b:
+        left = min(ra, rb)
+        return 0.5 * (1 + (bounded_kinship(ped, *ped[a], left - 1, left - 1) if left else 0))
+    if a < b:
+        a, b, ra, rb = b, a, rb, ra
+    return 0.5 * sum(bounded_kinship(ped, p, b, ra - 1, rb) for p in ped[a]) if ra else 0.0
+
+
+def test_kinship_of_pairs_with_and_without_bound(spark):
+    rng = random.Random(6)
+    ped = {1: (0, 0), 2: (0, 0), 3: (1, 2)}
+    for x in range(4, 30):
+        ped[x] = (rng.choice([0, *range(1, max(2, x - 5))]), rng.choice([0, *range(1, max(2, x - 5))]))
+    d = spark.createDataFrame([(k, s, m) for k, (s, m) in ped.items()], "full_reg long, sire_reg long, dam_reg long")
+    pairs = [(rng.randrange(1, 30), rng.randrange(1, 30)) for _ in range(80)] + [(5, 5), (29, 29), (0, 3), (None, 3), (3, 1), (3, 1), (77, 3)]
+    frame = spark.createDataFrame(pairs, "animal_i long, animal_j long")
+    for depth in (None, 2):
+        got = {(r.animal_i, r.animal_j): r.kinship for r in D.kinship(d, frame, 0, depth).collect()}
+        want = {(i, j): bounded_kinship(ped, i, j, *([99 if depth is None else depth] * 2)) for i, j in pairs if i and j and i != 77}
+        assert {k: v for k, v in got.items() if 77 not in k} == pytest.approx(want, abs=1e-12) and got.get((77, 3), 0) == 0
+    for depth in (0, 3):
+        got = {r.full_reg: r.f for r in D.inbreeding(d, 0, depth).collect()}
+        assert got == pytest.approx({x: bounded_kinship(ped, s, m, depth - 1, depth - 1) if depth else 0.0 for x, (s, m) in ped.items()}, abs=1e-12)
+
+
+def test_links_of_many_generations_are_read_once(spark):
+    rng = random.Random(7)
+    ped = {(g, k): [(g - 1, rng.randrange(5)), (g - 1, rng.randrange(5))] if g else None for g in range(11) for k in range(5)}
+    name = lambda x: "0" if x is None else f"g{x[0]:02d}k{x[1]}"
+    rows = [(name(x), name(p and p[0]), name(p and p[1])) for x, p in ped.items()]
+    d = spark.createDataFrame(rows, "full_reg string, sire_reg string, dam_reg string")
+    levelled, top = D.generations(d)
+    assert top == 10 and levelled.read(10).count() == 5
+    f = kinship({name(x): tuple(name(q) for q in p) if p else ("0", "0") for x, p in ped.items()})
+    assert {r.full_reg: r.f for r in D.inbreeding(d).collect()} == pytest.approx(f, abs=1e-12)
+
+
 def test_half_sib_mating_and_cycle(spark):
     ped = [("c", "x", "y"), ("x", "s", "d1"), ("y", "s", "d2")]
     d = spark.createDataFrame(ped, "full_reg string, sire_reg string, dam_reg string")
