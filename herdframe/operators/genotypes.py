@@ -72,7 +72,6 @@ def parent_conflicts(geno: DataFrame, ped: DataFrame) -> DataFrame:
     ids = cut_lineage(called.select("animal").distinct())
     for c in ("full_reg", "parent_reg"):
         pairs = pairs.join(ids.select(F.col("animal").alias(c)), c, "left_semi")
-    pairs = cut_lineage(pairs)
     planes = _packed(called, pairs.select("full_reg").unionAll(pairs.select("parent_reg")).toDF("animal"))
     both = pairs.join(P.side(planes, "animal", "full_reg", "_c"), "full_reg").join(P.side(planes, "animal", "parent_reg", "_p"), ["parent_reg", "chunk"])
     out = both.groupBy("comparison", "full_reg", "parent_reg").agg(

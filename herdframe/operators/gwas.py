@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from herdframe.functions.stats import CHI2_1_MEDIAN, LAMBDA_GRID, smoother_weights
 from herdframe.functions.tails import chi2_1_isf, chi2_sf, erfc, scaled_tail
-from herdframe.operators.aggregates import tally
+from herdframe.operators import ranks as R
 from herdframe.operators.keys import null_safe_join
-from herdframe.operators.ordered import middle_values, running, tail_bins
+from herdframe.operators.ordered import middle_values, tail_bins
 from herdframe.operators.shape import pivot_wider
 from herdframe.session import cut_lineage
 
@@ -53,23 +54,30 @@ def pi0_table(df: DataFrame, p: str, by: list[str]) -> DataFrame:
 
 
 def qvalue(df: DataFrame, p: str, by: list[str] | None = None, out: str = "q", pi0: float | None = None) -> DataFrame:
-    """Storey q-values; equal p-values share the largest rank. ``pi0`` fixes the share of true nulls."""
+    """Storey q-values; equal p-values share the largest rank. ``pi0`` fixes the share of true nulls.
+
+    The distinct p-values are sorted once, by range, and stored; ranks and minima are carried over the table of blocks."""
     by = by or []
     known = df.filter(F.col(p).isNotNull())
-    if pi0 is None:
-        stats = pi0_table(known, p, by)
-    else:
-        stats = known.groupBy(*by).agg(F.count(p).alias("__m"), F.lit(float(pi0)).alias("__pi0"))
-    counts = known.groupBy(*by, p).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = running(counts, by, tail_bins(p), [p], {"__rank": ("sum", "__n")})
-    if by:
-        ranked = null_safe_join(ranked, cut_lineage(stats), by)
+    blocks = R.value_blocks(known, by, p)
+    info = R.placed(blocks, by)
+    if pi0 is not None:
+        info = info.withColumn("pi0", F.lit(float(pi0)))
+    elif by:
+        info = null_safe_join(info, pi0_table(known, p, by).drop("__m").withColumnRenamed("__pi0", "pi0"), by)
     else:
-        ranked = ranked.withColumns({"__m": stats.select("__m").scalar(), "__pi0": stats.select("__pi0").scalar()})
-    # one row per distinct p: read twice by the second pass, so it is stored once
-    raw = cut_lineage(ranked.withColumn("__raw", F.col(p) * F.col("__m") / F.col("__rank")))
-    steps = running(raw, by, tail_bins(p), [p], {"__low": ("min", "__raw")}, reverse=True)
-    q = steps.select(*by, p, (F.col("__pi0") * F.least(F.col("__low"), F.lit(1.0))).alias(out))
+        info = info.withColumn("pi0", pi0_table(known, p, by).select("__pi0").scalar())
+    # each value times all values over its rank, the largest of equal ones; a q-value is the least of these from the value on
+    raw = lambda row: row["v"] * row["total"] / (row["before"] + np.cumsum(row["n"]))
+    located = blocks.join(info.drop(*by), "block")
+    least = R.spread(located, [*by, "block"], "low double", lambda row: {"low": raw(row).min(keepdims=True)})
+    later = R.carried(least, by, F.col("low"), F.min, "later", reverse=True)
+
+    def values(row: dict) -> dict[str, np.ndarray]:
+        low = np.minimum.accumulate(np.append(np.inf if row["later"] is None else row["later"], raw(row)[::-1]))[:0:-1]
+        return {p: row["v"], out: row["pi0"] * np.minimum(low, 1)}
+
+    q = R.spread(located.join(later, "block"), by, f"`{p}` double, `{out}` double", values)
     return null_safe_join(df, q, [*by, p])
 
 
@@ -187,10 +195,12 @@ def qq_points(df: DataFrame, p: str, by: list[str] | None = None) -> DataFrame:
     """Observed and expected -log10 p; values outside (0, 1) are left out. Ties take consecutive ranks."""
     by = by or []
     ok = df.filter((F.col(p) > 0) & (F.col(p) < 1))
-    counts = ok.groupBy(*by, p).agg(F.count(F.lit(1)).alias("__n"))
-    ranked = running(counts, by, tail_bins(p), [p], {"__to": ("sum", "__n")})
-    totals = tally(ok, by, "__m")
-    ranked = null_safe_join(ranked, cut_lineage(totals), by) if by else ranked.withColumn("__m", totals.scalar())
+    blocks = R.value_blocks(ok, by, p)
+    to = lambda row: row["before"] + np.cumsum(row["n"])
+    ranked = R.spread(
+        blocks.join(R.placed(blocks, by).drop(*by), "block"), by, f"`{p}` double, __to long, __n long, __m long",
+        lambda row: {p: row["v"], "__to": to(row), "__n": row["n"], "__m": np.full(len(row["v"]), row["total"])},
+    )
     rows = ranked.withColumn("rank", F.explode(F.sequence(F.col("__to") - F.col("__n") + 1, F.col("__to"))))
     a = F.when(F.col("__m") <= 10, F.lit(0.375)).otherwise(F.lit(0.5))
     expected = (F.col("rank") - a) / (F.col("__m") + 1 - 2 * a)

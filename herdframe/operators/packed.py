@@ -16,7 +16,7 @@ _FILL = 48
 
 
 def bit_places(geno: DataFrame, along: str) -> DataFrame:
-    """(along, chunk, bit): a place for every distinct value of ``along``, the same for all rows packed with it. A stored table.
+    """(along, chunk, bit): a place for every distinct value of ``along``, the same for all rows packed with it.
 
     Values are dealt by hash to chunks of about ``_FILL`` and numbered there, so no window sees more than a few dozen; a chunk that got more than fits
     goes on in a further one.
@@ -26,7 +26,7 @@ def bit_places(geno: DataFrame, along: str) -> DataFrame:
     dealt = values.withColumn("__part", F.pmod(F.xxhash64(along), F.lit(parts)))
     at = F.row_number().over(Window.partitionBy("__part").orderBy(along)) - 1
     placed = dealt.withColumn("__at", at)
-    return cut_lineage(placed.select(along, (F.col("__part") + parts * F.floor(F.col("__at") / BITS)).cast("long").alias("chunk"), (F.col("__at") % BITS).cast("int").alias("bit")))
+    return placed.select(along, (F.col("__part") + parts * F.floor(F.col("__at") / BITS)).cast("long").alias("chunk"), (F.col("__at") % BITS).cast("int").alias("bit"))
 
 
 def pack(geno: DataFrame, by: str, places: DataFrame) -> DataFrame:
