@@ -167,6 +167,31 @@ def test_interval_join_equals_nested_loop(spark):
         assert lone == {a for a, _, _ in markers} - {a for a, _ in want}
 
 
+def test_nearest_feature_equals_nested_loop(spark):
+    rng = random.Random(14)
+    markers = [(i, rng.randrange(1, 4), rng.randrange(-50, 6000)) for i in range(200)] + [(500, None, 5), (501, 1, None), (502, 9, 10)]
+    feats = [(i, rng.randrange(1, 4), s, s + rng.choice([0, 5, 40, 900, 4000])) for i in range(50) for s in [rng.randrange(-20, 5000)]]
+    feats += [(70, 1, 100, 300), (71, 1, 100, 300), (72, 1, 300, 300), (73, 2, 400, 200)]
+    m = spark.createDataFrame(markers, "m int, chr int, pos int")
+    f = spark.createDataFrame(feats, "f int, chr int, start_pos int, end_pos int")
+    for reach in (0, 30, 700):
+        want = {}
+        for a, c, p in markers:
+            near = [(min(abs(p - s), abs(p - e)), s, e, b) for b, k, s, e in feats if c == k and p is not None and s <= e and s - reach <= p <= e + reach]
+            if near:
+                want[a] = min(near)[1:]
+        got = V.nearest_feature(m, f, ["m"], reach, "f", bin_width=128).collect()
+        assert len(got) == len(want) and {r.m: (r.start_pos, r.end_pos, r.f) for r in got} == want
+
+
+def test_a_long_feature_is_one_row(spark):
+    f = spark.createDataFrame([(1, 1, 0, 250_000_000), (2, 1, 5, 9), (3, 1, -5, 9)], "f int, chr int, start_pos long, end_pos long")
+    m = spark.range(0, 250_000_000, 5_000_000).select(F.lit(1).alias("chr"), F.col("id").alias("pos"))
+    out = V.interval_join(m, f)
+    assert {(r.f, r.n) for r in out.groupBy("f").agg(F.count(F.lit(1)).alias("n")).collect()} == {(1, 50), (3, 1)}
+    assert "sequence" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def kinship(ped):
     """Tabular method; parents come before children in ``ped``."""
     ids = list(ped)
