@@ -133,33 +133,33 @@ def _(t):
     return R.read_annotation(t.spark, path, "gff").select("chr", "start_pos", "QTL_ID", "Name")
 
 
+RUN = r"^run (\S+)$"
+
+
 def put_logs(t, label, text):
-    """One log file per supplier: the log text is built from its row."""
+    """Logs of all suppliers, many in each file: a line with the run's name, then the log's lines."""
     path = fresh_path(t.spark, label)
-    rows = t.supplier.select(F.concat(F.lit("m"), "s_suppkey").alias("model"), F.split(text, "\n").alias("ls"))
-    lines = rows.select("model", F.posexplode("ls").alias("i", "value"))
-    # all lines of one log go to one file, in order
-    lines.repartition("model").sortWithinPartitions("model", "i").select("model", "value").write.partitionBy("model").text(path)
+    t.supplier.select(F.concat(F.lit("run m"), "s_suppkey", F.lit("\n"), text).alias("value")).repartition(3).write.text(path)
     return path
 
 
 @query(
     "A12_fit_metrics",
-    "select round(s_acctbal + 2, 6) as aic, round(s_acctbal, 6) as neg2logl from supplier",
+    "select 'm' || s_suppkey as run, round(s_acctbal + 2, 6) as aic, round(s_acctbal, 6) as neg2logl from supplier",
 )
 def _(t):
     v = F.col("s_acctbal").cast("decimal(12,2)")
     text = F.concat(F.lit(" start\n   -2logL =    "), F.lit(""), v.cast("string"), F.lit(" : AIC = "), (v + 2).cast("string"), F.lit("\n end"))
     text = F.regexp_replace(text, r"=\s+", "= ")
     path = put_logs(t, "fit", text)
-    return L.extract_fit_metrics(t.spark, path).select(r6("aic").alias("aic"), r6("neg2logl").alias("neg2logl"))
+    return L.extract_fit_metrics(t.spark, path, RUN).select("run", r6("aic").alias("aic"), r6("neg2logl").alias("neg2logl"))
 
 
 @query(
     "A13_var_blocks",
-    """with d as (select s_acctbal as v, s_nationkey as w from supplier) select 'hs_dir' as val1, 'hs_dir' as val2, round(v, 6) as var_cov from d union all
-       select 'hs_dir', 'hs_mat', w::double from d union all select 'hs_mat', 'hs_dir', w::double from d union all select 'hs_mat', 'hs_mat', round(v + 1, 6) from d
-       union all select 'hs_res', 'hs_res', round(v + 2, 6) from d""",
+    """with d as (select 'm' || s_suppkey as run, s_acctbal as v, s_nationkey as w from supplier) select run, 'hs_dir' as val1, 'hs_dir' as val2, round(v, 6) as var_cov from d union all
+       select run, 'hs_dir', 'hs_mat', w::double from d union all select run, 'hs_mat', 'hs_dir', w::double from d union all select run, 'hs_mat', 'hs_mat', round(v + 1, 6) from d
+       union all select run, 'hs_res', 'hs_res', round(v + 2, 6) from d""",
 )
 def _(t):
     v = F.col("s_acctbal").cast("decimal(12,2)")
@@ -169,14 +169,14 @@ def _(t):
         F.lit("\n correlations\n Residual variance(s)\n  "), (v + 2).cast("string"), F.lit("\n"),
     )
     path = put_logs(t, "var", text)
-    out = L.extract_var_blocks(t.spark, path, {"2": ["hs_dir", "hs_mat"], "residual": ["hs_res"], "5": ["none"]})
-    return out.select("val1", "val2", r6("var_cov").alias("var_cov"))
+    out = L.extract_var_blocks(t.spark, path, {"2": ["hs_dir", "hs_mat"], "residual": ["hs_res"], "5": ["none"]}, RUN)
+    return out.select("run", "val1", "val2", r6("var_cov").alias("var_cov"))
 
 
 @query(
     "A14_level_tables",
-    """select 1 as effect, 'L' || s_suppkey as id_original, s_nationkey as n, s_suppkey::varchar as id_renamed from supplier
-       union all select 1, 'K' || s_suppkey, 7, '2' from supplier""",
+    """select 'm' || s_suppkey as run, 1 as effect, 'L' || s_suppkey as id_original, s_nationkey as n, s_suppkey::varchar as id_renamed from supplier
+       union all select 'm' || s_suppkey, 1, 'K' || s_suppkey, 7, '2' from supplier""",
 )
 def _(t):
     k = F.col("s_suppkey").cast("string")
@@ -184,7 +184,7 @@ def _(t):
         F.lit(" Effect group 1 of column 1 with 2 levels\n Value  # consecutive number\n L"), k, F.lit("  "), F.col("s_nationkey"), F.lit("  "), k,
         F.lit("\n K"), k, F.lit("  7  2\n Effect group 12 of column 2 with 1 levels\n Value # n\n Z 1 1"),
     )
-    return L.extract_level_tables(t.spark, put_logs(t, "lev", text), [1]).drop("run")
+    return L.extract_level_tables(t.spark, put_logs(t, "lev", text), [1], RUN)
 
 
 @query("A15_scores", "select 'A' || c_custkey as full_reg, round(c_acctbal / 1000, 6) as pc1, round(c_nationkey / 10, 6) as pc2 from customer")

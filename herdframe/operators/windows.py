@@ -84,6 +84,43 @@ def trailing_mean(df: DataFrame, keys: list[str], day: str, n: int, means: dict[
     )
 
 
+def trailing_lookup(
+    dates: DataFrame, series: DataFrame, keys: list[str], date: str, day: str, n: int, means: dict[str, Column | str], within: int | None = None
+) -> DataFrame:
+    """(keys, date, means): for each distinct date of a key, the mean of each measure over the latest ``n`` rows of the key's series up to the date.
+
+    All rows of the earliest day that counts are kept. With ``within`` only days less than so many days before the date count; null without any.
+    Sums run along the days of a key; a date looks up the last day up to it and, for the bound, the last day before the window. Work is dates and days: no row is
+    made for the days of a window. Sums are decimals, so the difference of two is exact.
+    """
+    sums, totals = [], []
+    for out, c in means.items():
+        c = F.col(c) if isinstance(c, str) else c
+        sums += [F.sum(c.cast("decimal(38,18)")).alias(f"__s_{out}"), F.count(c).alias(f"__c_{out}")]
+        totals += [f"__s_{out}", f"__c_{out}"]
+    known = lambda df, c: df.filter(" and ".join(f"`{x}` is not null" for x in [*keys, c]))
+    days = known(series, day).groupBy(*keys, day).agg(F.count(F.lit(1)).alias("__n"), *sums)
+    place = Window.partitionBy(*keys)
+    along = place.orderBy(day).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = days.select(*keys, F.col(day).alias("__t"), *[F.coalesce(F.sum(c).over(along), F.lit(0)).alias(c) for c in ("__n", *totals)])
+    # sums up to the last day that has n or more rows after it
+    low = F.max(F.struct("__n", *totals)).over(place.orderBy("__n").rangeBetween(Window.unboundedPreceding, -n))
+    run = run.withColumn("__p", F.struct("__n", *totals, low.alias("low"))).select(*keys, "__t", F.lit(0).alias("__kind"), "__p")
+    wanted = known(dates.select(*keys, F.col(date).cast("date").alias(date)), date).distinct()
+    looks = [F.struct(F.col(date).alias("__t"), F.lit(1).alias("__kind"))]
+    if within is not None:
+        looks.append(F.struct(F.date_sub(date, within).alias("__t"), F.lit(2).alias("__kind")))
+    marks = wanted.select(*keys, date, F.inline(F.array(*looks)))
+    both = run.unionByName(marks, allowMissingColumns=True)
+    last = F.last("__p", ignorenulls=True).over(place.orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seen = both.withColumn("__p", last).filter("__kind > 0").groupBy(*keys, date)
+    found = seen.agg(F.max(F.when(F.col("__kind") == 1, F.col("__p"))).alias("__p"), F.max(F.when(F.col("__kind") == 2, F.col("__p"))).alias("__q"))
+    before = F.struct(*[F.col(f"__q.{c}").alias(c) for c in ("__n", *totals)])
+    found = found.withColumn("__b", F.greatest(F.col("__p.low"), F.when(F.col("__q").isNotNull(), before)))
+    part = lambda c: F.col(f"__p.{c}") - F.coalesce(F.col(f"__b.{c}"), F.lit(0))
+    return found.select(*keys, date, *[F.try_divide(part(f"__s_{o}").cast("double"), part(f"__c_{o}")).alias(o) for o in means])
+
+
 def date_window(df: DataFrame, day: str, days: int = 60, out: str = "value") -> DataFrame:
     """One row per day of the window that ends at ``day``."""
     span = F.sequence(F.date_sub(F.col(day), days - 1), F.col(day))

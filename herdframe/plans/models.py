@@ -13,7 +13,7 @@ from herdframe.operators.aggregates import keep_group_size
 from herdframe.operators.checks import verify
 from herdframe.operators.joins import lookup_with_default, semi
 from herdframe.operators.ordered import dense_code, hash_bins, running
-from herdframe.operators.windows import fill_downup, keep_first, nearest_in_time, random_one, trailing_mean
+from herdframe.operators.windows import fill_downup, keep_first, nearest_in_time, random_one, trailing_lookup
 
 
 @dataclass(frozen=True)
@@ -82,15 +82,16 @@ MODELS: dict[str, dict] = {
 }
 
 
-def environment(records: DataFrame, weather: DataFrame, places: DataFrame, days: int = 30) -> DataFrame:
-    """Records with coordinates and the means of the latest days of weather up to scoring.
+def environment(records: DataFrame, weather: DataFrame, places: DataFrame, days: int = 30, within: int | None = 60) -> DataFrame:
+    """Records with coordinates and the means of the latest ``days`` days of weather up to scoring, of the last ``within`` days.
 
-    ``weather``: score_date, lat, long, value (day), apparent_high, day_length. ``places``: farm_id, lat, long.
+    ``weather``: lat, long, value (day), apparent_high, day_length; days may be repeated for several dates of scoring. ``places``: farm_id, lat, long.
     """
     keys = ["score_date", "lat", "long"]
-    weather = weather.filter(F.col("value") <= F.col("score_date"))
-    means = trailing_mean(weather, keys, "value", days, {"mean_apparent_high": "apparent_high", "mean_day_length": "day_length"})
     placed = records.filter(F.col("score_date").isNotNull()).join(places.select("farm_id", "lat", "long"), "farm_id", "left")
+    daily = weather.groupBy("lat", "long", "value").agg(F.avg("apparent_high").alias("apparent_high"), F.avg("day_length").alias("day_length"))
+    measures = {"mean_apparent_high": "apparent_high", "mean_day_length": "day_length"}
+    means = trailing_lookup(placed, daily, ["lat", "long"], "score_date", "value", days, measures, within)
     return placed.join(means, keys, "left")
 
 

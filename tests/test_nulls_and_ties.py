@@ -154,3 +154,48 @@ def test_nest_slices_large_groups(spark):
     assert out.count() > 3 and out.agg(F.sum(F.size("data"))).first()[0] == 100
     assert rows(unnest(out), "k", "id") == rows(d, "k", "id")
     assert nest(d, ["k"], ["id", "t"], slices=1).count() == 3
+
+
+def test_logs_in_one_file_or_many_and_in_parts(spark, tmp_path):
+    from herdframe.sources import logs as L
+
+    body = lambda k: ["", f" Genetic variance(s) for effect   2", f"  {k}   0.5", f" 0.5  {k + 1}", "x" * 50, f" -2logL = {k} : AIC = {k + 2}", " -2logL =  1 : AIC = 9"]
+    (tmp_path / "one").mkdir()
+    for k in range(3):
+        (tmp_path / "one" / f"model{k}.log").write_text("\n".join(body(k)) + "\n")
+    (tmp_path / "many").mkdir()
+    for f in range(2):
+        text = ["before any run"] + [x for k in range(40) for x in [f"run f{f}k{k}", *body(k)]] + [" Genetic variance(s) for effect 2"]
+        (tmp_path / "many" / f"all{f}.txt").write_text("\n".join(text))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        for path, marker, runs in (("one", None, {f"model{k}": k for k in range(3)}), ("many", r"^run (\w+)$", {f"f{f}k{k}": k for f in range(2) for k in range(40)})):
+            folder = str(tmp_path / path)
+            lines = L.log_lines(spark, folder, marker)
+            assert lines.groupBy("file").agg((F.max("at") == F.count("at")).alias("x")).filter("not x").isEmpty()
+            assert {r.run: (r.aic, r.neg2logl) for r in L.extract_fit_metrics(spark, folder, marker).collect()} == {r: (9.0, 1.0) for r in runs}
+            cells = {(r.run, r.val1, r.val2): r.var_cov for r in L.extract_var_blocks(spark, folder, {"2": ["a", "b"]}, marker).collect()}
+            assert cells == {(r, x, y): (0.5 if x != y else k + (x == "b")) for r, k in runs.items() for x in "ab" for y in "ab"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_trailing_means_by_lookup(spark):
+    import random
+
+    rng = random.Random(3)
+    day = lambda k: dt.date(2020, 1, 1) + dt.timedelta(days=k)
+    series = [(rng.choice("abc"), day(rng.randrange(0, 90)), rng.choice([None, -1.5, 2.25, 7.125])) for _ in range(300)] + [(None, day(3), 9.0), ("a", None, 9.0)]
+    dates = [(k, day(x)) for k in "abd" for x in range(-3, 130, 4)] * 2 + [(None, day(5)), ("a", None)]
+    s = spark.createDataFrame(series, "k string, day date, v double")
+    d = spark.createDataFrame(dates, "k string, date date")
+    for n, within in ((1, None), (6, None), (6, 10), (50, 30)):
+        got = {(r.k, r.date): r.m for r in W.trailing_lookup(d, s, ["k"], "date", "day", n, {"m": "v"}, within).collect()}
+        want = {}
+        for k, at in dates:
+            if k is None or at is None:
+                continue
+            rows = sorted((x[1] for x in series if x[0] == k and x[1] and x[1] <= at and (within is None or x[1] > at - dt.timedelta(days=within))), reverse=True)
+            kept = [x[2] for x in series if x[0] == k and x[1] and rows and rows[min(n, len(rows)) - 1] <= x[1] <= at and x[2] is not None]
+            want[k, at] = sum(kept) / len(kept) if kept else None
+        assert got == pytest.approx(want)
