@@ -75,9 +75,21 @@ def _(t):
        select temp_id, arg_min(s, year) as s from m group by temp_id""",
 )
 def _(t):
-    years = [r.year for r in t.records.select("year").distinct().orderBy("year").collect()]  # a column per year of the data set
-    pick = lambda year: t.records.filter(F.col("year") == year).groupBy("temp_id").agg(F.min("score").alias("s"))
-    return J.reduce_join([pick(year) for year in years], ["temp_id"])
+    return J.reduce_pieces(t.records.filter("temp_id is not null"), ["temp_id"], "year", ["score"]).withColumnRenamed("score", "s")
+
+
+@query(
+    "C7_reduce_join_tables",
+    """with a as (select c_custkey as k, case when c_custkey % 2 = 0 then c_mktsegment end as seg from customer where c_acctbal > 0),
+       b as (select o_custkey as k, max(o_orderpriority) as seg, count(*) as n from orders group by 1), c as (select c_custkey as k, c_name as seg, c_acctbal as bal from customer)
+       select coalesce(a.k, b.k, c.k) as k, coalesce(a.seg, b.seg, c.seg) as seg, n, bal from a full join b on a.k = b.k full join c on coalesce(a.k, b.k) = c.k""",
+)
+def _(t):
+    k = F.col("c_custkey").alias("k")
+    a = t.customer.filter("c_acctbal > 0").select(k, F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("seg"))
+    b = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderpriority").alias("seg"), F.count(F.lit(1)).alias("n"))
+    c = t.customer.select(k, F.col("c_name").alias("seg"), F.col("c_acctbal").alias("bal"))
+    return J.reduce_join([a, b, c], ["k"])
 
 
 @query(

@@ -380,7 +380,7 @@ def _(t):
 @query(
     "H8_environment",
     """with w as (select user_id % 20 as site, ts::date - 10227 as day, avg(value) as hi from events group by all), d as (select distinct farm_id, score_date from records),
-       j as (select d.farm_id, d.score_date, hi from d join w on farm_id = 'F' || site and day <= score_date and day > score_date - 60 qualify rank() over (partition by d.farm_id, d.score_date order by day desc) <= 5),
+       j as (select d.farm_id, d.score_date, hi from d join w on farm_id = 'F' || site and day <= score_date qualify rank() over (partition by d.farm_id, d.score_date order by day desc) <= 5),
        p as (select farm_id, score_date, round(avg(hi), 9) as hi from j group by all)
        select rec_a, rec_b, temp_id, r.farm_id, r.score_date, hi from records r left join p on r.farm_id = p.farm_id and r.score_date = p.score_date""",
 )
@@ -389,7 +389,7 @@ def _(t):
     weather = t.events.groupBy((F.col("user_id") % 20).cast("double").alias("lat"), day.alias("value")).agg(F.avg("value").alias("apparent_high"))
     weather = weather.withColumns({"long": F.lit(1.0), "day_length": F.lit(12.0)})
     places = t.records.select("farm_id").distinct().withColumns({"lat": F.substr("farm_id", F.lit(2)).cast("double"), "long": F.lit(1.0)})
-    out = M.environment(t.records, weather, places, 5)
+    out = M.environment(t.records, weather, places, 5, within=None)
     return out.select(*ROW, r6("mean_apparent_high", 9).alias("hi"))
 
 

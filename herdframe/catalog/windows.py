@@ -204,14 +204,14 @@ def _(t):
 
 @query(
     "F14_trailing_lookup",
-    """with d as (select distinct c_custkey % 50 as user_id, date '2022-01-01' + (c_custkey % 900)::int as date from customer), s as (select user_id % 50 as user_id, cast(ts as date) as day, value from events),
-       j as (select d.user_id, d.date, value from d join s on d.user_id = s.user_id and day <= date and day > date - 45 qualify rank() over (partition by d.user_id, d.date order by day desc) <= 7)
+    """with d as (select distinct c_custkey % 50 as user_id, date '2023-12-25' + (c_custkey % 61)::int as date from customer), s as (select user_id % 50 as user_id, cast(ts as date) as day, value from events),
+       j as (select d.user_id, d.date, value from d join s on d.user_id = s.user_id and day <= date and day > date - 12 qualify rank() over (partition by d.user_id, d.date order by day desc) <= 7)
        select user_id, d.date, round(avg(value), 6) as mean_value from d left join j using (user_id, date) group by all""",
 )
 def _(t):
-    dates = t.customer.select((F.col("c_custkey") % 50).alias("user_id"), F.date_add(F.lit("2022-01-01").cast("date"), (F.col("c_custkey") % 900).cast("int")).alias("date"))
+    dates = t.customer.select((F.col("c_custkey") % 50).alias("user_id"), F.date_add(F.lit("2023-12-25").cast("date"), (F.col("c_custkey") % 61).cast("int")).alias("date"))
     series = t.events.select((F.col("user_id") % 50).alias("user_id"), F.col("ts").cast("date").alias("day"), "value")
-    out = W.trailing_lookup(dates, series, ["user_id"], "date", "day", 7, {"mean_value": "value"}, 45)
+    out = W.trailing_lookup(dates, series, ["user_id"], "date", "day", 7, {"mean_value": "value"}, 12)
     return out.select("user_id", "date", r6("mean_value").alias("mean_value"))
 
 

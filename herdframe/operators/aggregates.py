@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdframe.functions.base import ColumnLike, all_of, col, n_distinct
 from herdframe.functions.stats import corr_or_null
 from herdframe.operators.keys import attach, null_safe_join
 from herdframe.operators.ordered import global_median
+from herdframe.operators.ranks import numbered
 
 
 def tally(df: DataFrame, by: list[str], out: str = "n") -> DataFrame:
@@ -145,10 +146,10 @@ def joined_list(
 
 def ordered_items(df: DataFrame, by: list[str], order: list[str], item: ColumnLike, out: str = "item") -> DataFrame:
     """Distinct items per group as rows with their place (1, 2, ...) in the order of ``order`` and the item: the long form of
-    ``joined_list``, for groups of any size. The place is a running count; no list is held."""
+    ``joined_list``, for groups of any size. Rows are sorted by range, so neither a list is held nor a group numbered in one task."""
     rows = df.select(*by, *order, col(item).alias(out)).distinct()
-    w = Window.partitionBy(*by).orderBy(*order, out)
-    return rows.withColumn("place", F.row_number().over(w)).select(*by, "place", out)
+    places = numbered(rows, by, [*order, out], "place")
+    return places.select(*by, F.col("place").cast("int").alias("place"), out)
 
 
 def pass_fail(df: DataFrame, by: list[str], value: str, limit: float) -> DataFrame:

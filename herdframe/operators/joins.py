@@ -34,6 +34,15 @@ def reduce_join(dfs: list[DataFrame], by: list[str], how: str = "full", coalesce
     return reduce(step, dfs)
 
 
+def reduce_pieces(df: DataFrame, by: list[str], piece: str, cols: list[str]) -> DataFrame:
+    """The coalescing full join of all pieces of one table, such as its years, in the order of ``piece``: each column has its first known value.
+
+    One aggregation, however many pieces there are; of several rows of a key in a piece the smallest value counts.
+    """
+    first = [F.min(F.when(F.col(c).isNotNull(), F.struct(piece, c)))[c].alias(c) for c in cols]
+    return df.filter(F.col(piece).isNotNull()).groupBy(*by).agg(*first)
+
+
 def id_search(
     source: DataFrame, source_col: str, search: DataFrame, search_col: str, key: str, match_source: str | None = None
 ) -> DataFrame:
@@ -132,9 +141,11 @@ def lookup_with_default(df: DataFrame, lookup: DataFrame, on: list[str], value:
 def year_grid(df: DataFrame, year: str) -> DataFrame:
     """All ordered pairs of different years with their distance, from the set of years.
 
-    The set of years is folded into one row by an aggregate, then unfolded twice; no join is made.
+    The set of years is folded into one row by an aggregate, then unfolded twice; no join is made. For calendar years, of which there are a few hundred at
+    most; more than 10,000 different values are an error.
     """
     years = df.agg(F.array_sort(F.collect_set(F.col(year))).alias("ys"))
+    years = years.select(F.when(F.size("ys") <= 10_000, F.col("ys")).otherwise(F.raise_error(F.lit("not a column of years"))).alias("ys"))
     first = years.select("ys", F.explode("ys").alias("year1"))
     pairs = first.select("year1", F.explode("ys").alias("year2"))
     return pairs.filter("year1 <> year2").withColumn("dist", F.col("year1") - F.col("year2"))

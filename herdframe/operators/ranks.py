@@ -80,3 +80,41 @@ def spread(blocks: DataFrame, by: list[str], schema: str, fn: Callable[[dict], d
                 yield pa.RecordBatch.from_arrays([*[batch[c].take(pa.array(np.full(size, i))) for c in by], *[pa.array(made[c]) for c in names]], names=[*by, *names])
 
     return blocks.mapInArrow(each, ", ".join([*[f"`{c}` {kinds[c]}" for c in by], schema]))
+
+
+def numbered(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
+    """Add the place (1, 2, ...) of each row in its group along ``order``; rows that are equal in ``order`` take places in turn.
+
+    Rows are dealt by range and counted in their task; what a group has in earlier tasks is added. At most one group runs over from a task into the next, so
+    what is added is one row per task at most, and that is broadcast.
+    """
+    dealt = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema], "__task int, __at long"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, last, had = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            for c in by:
+                codes = pc.fill_null(batch[c].dictionary_encode().indices, -1).to_numpy()
+                new[1:] |= codes[1:] != codes[:-1]
+            head = tuple(batch[c][0].as_py() for c in by)
+            begins = np.append(0, np.flatnonzero(new))
+            at = np.arange(batch.num_rows) - np.repeat(begins, np.diff(np.append(begins, batch.num_rows))) + 1
+            if head == last:
+                at[: begins[1] if len(begins) > 1 else None] += had
+            last, had = tuple(batch[c][-1].as_py() for c in by), int(at[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, task, np.int32)), pa.array(at)], names=[*batch.schema.names, "__task", "__at"])
+
+    rows = cut_lineage(dealt.mapInArrow(count, schema))
+    sizes = rows.groupBy(*by, "__task").agg(F.max("__at").alias("__n"))
+    w = Window.partitionBy(*by).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    over = sizes.withColumn("__before", F.sum("__n").over(w)).filter("__before > 0")
+    over = over.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], F.col("__task").alias("__t"), "__before")
+    same = F.col("__task") == F.col("__t")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    joined = rows.join(F.broadcast(over), same, "left")
+    return joined.select(*df.columns, (F.col("__at") + F.coalesce("__before", F.lit(0))).alias(out))

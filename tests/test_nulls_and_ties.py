@@ -199,3 +199,16 @@ def test_trailing_means_by_lookup(spark):
             kept = [x[2] for x in series if x[0] == k and x[1] and rows and rows[min(n, len(rows)) - 1] <= x[1] <= at and x[2] is not None]
             want[k, at] = sum(kept) / len(kept) if kept else None
         assert got == pytest.approx(want)
+
+
+def test_places_in_groups_that_run_over_tasks(spark):
+    from herdframe.operators.ranks import numbered
+
+    d = spark.range(3000).select(F.when(F.col("id") < 2000, "a").when(F.col("id") % 2 == 0, "b").alias("k"), (F.col("id") * 37 % 500).alias("v"), "id")
+    out = numbered(d, ["k"], ["v"], "place")
+    assert out.columns == ["k", "v", "id", "place"] and out.count() == 3000
+    for k in ("a", "b", None):
+        got = [(r.place, r.v) for r in out.filter(F.col("k").eqNullSafe(F.lit(k))).orderBy("place").collect()]
+        assert [p for p, _ in got] == list(range(1, len(got) + 1)) and [v for _, v in got] == sorted(v for _, v in got)
+    whole = numbered(d, [], ["v", "id"], "place").collect()
+    assert [(r.v, r.id) for r in sorted(whole, key=lambda r: r.place)] == sorted((r.v, r.id) for r in whole)
