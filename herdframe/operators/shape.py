@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from herdframe.functions.base import all_of
 from herdframe.operators.keys import attach
+from herdframe.operators.ranks import numbered
 
 
 def add_missing_columns(df: DataFrame, cols: dict[str, str]) -> DataFrame:
@@ -131,25 +132,37 @@ def split_rows(df: DataFrame, source: str, out: str, sep: str = "; ") -> DataFra
     return df.withColumn(out, F.explode(F.split(F.col(source), re.escape(sep))))
 
 
-def nest(df: DataFrame, by: list[str], cols: list[str], out: str = "data", slices: int = 16) -> DataFrame:
+def nest(df: DataFrame, by: list[str], cols: list[str], out: str = "data", rows: int = 10_000) -> DataFrame:
     """One row per group and ``slice`` with its rows as a sorted list column.
 
-    The key of the result is the group and the slice, a hash of the row modulo ``slices``, for every group alike. Raise
-    ``slices`` with the size of the largest group so that a list fits into a cell.
+    A group of up to ``rows`` rows has one slice, 0; a larger one has as many as give lists of about that length, by a hash of the row.
     """
-    part = F.pmod(F.xxhash64(*cols), F.lit(slices)).cast("int").alias("slice")
-    return df.select(*by, *cols).groupBy(*by, part).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(out))
+    sizes = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows).alias("__slices"))
+    sliced = attach(df.select(*by, *cols), sizes, by).withColumn("slice", F.pmod(F.xxhash64(*cols), F.col("__slices")).cast("int"))
+    return sliced.groupBy(*by, "slice").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(out))
 
 
 def unnest(df: DataFrame, source: str = "data") -> DataFrame:
     return df.select(*[c for c in df.columns if c not in (source, "slice")], F.inline(F.col(source)))
 
 
-def dosage_to_string(df: DataFrame, animal: str = "animal", snp: str = "snp", dosage: str = "dosage") -> DataFrame:
-    """One digit per marker in marker order, 5 for a missing call."""
+def dosage_chunks(df: DataFrame, animal: str = "animal", snp: str = "snp", dosage: str = "dosage", size: int = 65_536) -> DataFrame:
+    """(animal, chunk, genotype): one digit per marker in marker order, 5 for a missing call, cut at every ``size`` markers of the table.
+
+    However many markers there are, a cell holds ``size`` of them at most (more if an animal has several rows of a marker).
+    """
+    markers = numbered(df.select(snp).distinct(), [], [snp], "__at").select(F.col(snp).alias("__snp"), F.floor((F.col("__at") - 1) / size).alias("chunk"))
+    rows = df.join(markers, F.col(snp).eqNullSafe(F.col("__snp"))).drop("__snp")
     cells = F.array_sort(F.collect_list(F.struct(F.col(snp), F.coalesce(F.col(dosage), F.lit(5)).alias("d"))))
     digits = F.array_join(F.transform(cells, lambda s: s["d"].cast("string")), "")
-    return df.groupBy(animal).agg(digits.alias("genotype"))
+    return rows.groupBy(animal, "chunk").agg(digits.alias("genotype"))
+
+
+def dosage_to_string(df: DataFrame, animal: str = "animal", snp: str = "snp", dosage: str = "dosage", size: int = 65_536) -> DataFrame:
+    """The chunks of ``dosage_chunks`` put together: one text per animal, a byte per marker. For texts that fit into a cell; files need the chunks only."""
+    chunks = dosage_chunks(df, animal, snp, dosage, size)
+    parts = F.array_sort(F.collect_list(F.struct("chunk", "genotype")))
+    return chunks.groupBy(animal).agg(F.array_join(F.transform(parts, lambda s: s["genotype"]), "").alias("genotype"))
 
 
 def string_to_dosage(df: DataFrame, animal: str = "animal", genotype: str = "genotype") -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdframe.functions.text import pad_left
-from herdframe.operators.shape import dosage_to_string
+from herdframe.operators.shape import dosage_chunks
+from herdframe.sources.fixed_width import write_chunks
 
 
 def write_delim(df: DataFrame, path: str, sep: str = " ", header: bool = False, na: str = "NA", partition_by=()) -> None:
@@ -16,16 +16,9 @@ def write_delim(df: DataFrame, path: str, sep: str = " ", header: bool = False,
     ).csv(path)
 
 
-def fixed_width_genotypes(df: DataFrame, width: int = 20) -> DataFrame:
-    """Text lines: id padded to a width, a blank, one digit per marker. A longer id is never cut."""
-    rows = dosage_to_string(df)
-    text = F.col("animal").cast("string")
-    padded = F.when(F.length(text) >= width, text).otherwise(F.rpad(text, width, " "))
-    return rows.select(F.concat(padded, F.lit(" "), F.col("genotype")).alias("value"))
-
-
 def write_fixed_width(df: DataFrame, path: str, width: int = 20) -> None:
-    fixed_width_genotypes(df, width).write.text(path)
+    """Text lines: id padded to a width, a blank, one digit per marker. A longer id is never cut. A line is written in chunks of markers."""
+    write_chunks(dosage_chunks(df), "animal", "chunk", "genotype", path, width)
 
 
 def write_state(df: DataFrame, path: str, partition_by=()) -> None:

@@ -150,10 +150,10 @@ def test_nest_slices_large_groups(spark):
     from herdframe.operators.shape import nest, unnest
 
     d = spark.range(100).select((F.col("id") % 3).alias("k"), "id", F.lit("x").alias("t"))
-    out = nest(d, ["k"], ["id", "t"], slices=10)
+    out = nest(d, ["k"], ["id", "t"], rows=7)
     assert out.count() > 3 and out.agg(F.sum(F.size("data"))).first()[0] == 100
     assert rows(unnest(out), "k", "id") == rows(d, "k", "id")
-    assert nest(d, ["k"], ["id", "t"], slices=1).count() == 3
+    assert nest(d, ["k"], ["id", "t"]).count() == 3
 
 
 def test_logs_in_one_file_or_many_and_in_parts(spark, tmp_path):
@@ -212,3 +212,20 @@ def test_places_in_groups_that_run_over_tasks(spark):
         assert [p for p, _ in got] == list(range(1, len(got) + 1)) and [v for _, v in got] == sorted(v for _, v in got)
     whole = numbered(d, [], ["v", "id"], "place").collect()
     assert [(r.v, r.id) for r in sorted(whole, key=lambda r: r.place)] == sorted((r.v, r.id) for r in whole)
+
+
+def test_genotype_lines_are_written_in_chunks(spark, tmp_path):
+    from herdframe.operators.shape import dosage_chunks, dosage_to_string
+    from herdframe.sources.writers import write_fixed_width
+
+    calls = [(a, s, None if (a + s) % 7 == 0 else (a * s) % 3) for a in range(30) for s in range(500) if (a * s) % 11]
+    d = spark.createDataFrame(calls, "animal long, snp long, dosage int")
+    want = {a: "".join(str(5 if x is None else x) for _, _, x in sorted(c for c in calls if c[0] == a)) for a in {c[0] for c in calls}}
+    chunks = dosage_chunks(d, size=64)
+    assert chunks.agg(F.max(F.length("genotype"))).first()[0] <= 64 and chunks.groupBy("animal").count().filter("count < 2").isEmpty()
+    assert {r.animal: r.genotype for r in dosage_to_string(d, size=64).collect()} == want
+    path = str(tmp_path / "fixed")
+    write_fixed_width(d, path, 12)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert sorted(lines) == sorted(f"{a:<12} {g}" for a, g in want.items())
+    assert not [f for f in (tmp_path / "fixed").iterdir() if f.name.startswith(".") and f.suffix == ".txt"]
