@@ -172,8 +172,8 @@ def _(t):
 @query(
     "E13_regression",
     """select iter, grp, regr_count(solution_full, solution_reduced) as n,
-       round(regr_slope(solution_full, solution_reduced), 6) as slope,
-       round(regr_intercept(solution_full, solution_reduced), 6) as intercept,
+       case when regr_sxx(solution_full, solution_reduced) > 0 then round(regr_slope(solution_full, solution_reduced), 6) end as slope,
+       case when regr_sxx(solution_full, solution_reduced) > 0 then round(regr_intercept(solution_full, solution_reduced), 6) end as intercept,
        round(regr_r2(solution_full, solution_reduced), 6) as r2,
        case when count(*) > 2 then round(sqrt((regr_syy(solution_full, solution_reduced) - regr_sxy(solution_full, solution_reduced)
          * regr_sxy(solution_full, solution_reduced) / regr_sxx(solution_full, solution_reduced))

@@ -17,7 +17,7 @@ def names_of(module: str) -> list[str]:
     return [name for name, (fn, _) in REGISTRY.items() if fn.__module__ == f"herdframe.catalog.{module}"]
 
 
-def tests_of(module: str):
+def comparison_of(module: str):
     @pytest.mark.parametrize("name", names_of(module))
     def test_query(spark, name):
         sql = REGISTRY[name][1]

@@ -1,5 +1,5 @@
 """Registered queries of ``catalog/columns.py`` against their SQL."""
 
-from registered import tests_of
+from registered import comparison_of
 
-test_query = tests_of("columns")
+test_query = comparison_of("columns")

@@ -1,5 +1,5 @@
 """Registered queries of ``catalog/genome.py`` against their SQL."""
 
-from registered import tests_of
+from registered import comparison_of
 
-test_query = tests_of("genome")
+test_query = comparison_of("genome")
