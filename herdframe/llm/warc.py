@@ -67,6 +67,16 @@ def plan_records(pages: DataFrame, least: int = LEAST_REVISIT_BYTES) -> DataFram
     return joined.withColumn("original", F.when(large & F.col("page_id").isNotNull(), F.coalesce("original", "page_id")).otherwise(F.col("page_id")))
 
 
+def _joined(parts: Column) -> Column:
+    """The bytes of a list put together in one pass; strings of Spark hold any bytes."""
+    return F.array_join(F.transform(parts, lambda x: x.cast("string")), "").cast("binary")
+
+
+def _cut(data: Column, last: Column, size: int) -> Column:
+    """Pieces 0 to ``last`` of ``size`` bytes. The data are bound once: a piece costs its own bytes, not those of the whole."""
+    return F.transform(F.array(data), lambda d: F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(d, k * size + 1, F.lit(size))))[0]
+
+
 def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, least: int = LEAST_REVISIT_BYTES) -> None:
     """Write gzipped WARC files with one record per page; blocks over ``segment_bytes`` continue in further records.
 
@@ -77,18 +87,19 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     rows = plan_records(pages, least)
     revisit = F.col("page_id") != F.col("original")
     count = F.ceil(F.octet_length("payload") / CHUNK_BYTES).cast("int")
-    piece = lambda i: F.substring(F.col("payload"), i * CHUNK_BYTES + 1, F.lit(CHUNK_BYTES))
-    chunk = lambda i: _bytes(_raw(F.lower(F.hex(F.octet_length(piece(i))))), _raw(CRLF), piece(i), _raw(CRLF))
-    chunks = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), chunk)).otherwise(F.array().cast("array<binary>"))
-    body = F.aggregate(chunks, _raw(""), lambda a, x: F.concat(a, x))
+    chunk = lambda x: _bytes(_raw(F.lower(F.hex(F.octet_length(x)))), _raw(CRLF), x, _raw(CRLF))
+    chunks = F.when(count > 0, F.transform(_cut(F.col("payload"), count - 1, CHUNK_BYTES), chunk)).otherwise(F.array().cast("array<binary>"))
+    body = _joined(chunks)
     block = F.when(revisit, _raw(f"HTTP/1.1 200 OK{CRLF}{CRLF}")).otherwise(_bytes(_raw(_HTTP_HEAD), body, _raw(f"0{CRLF}{CRLF}")))
     whole = rows.select(
         _identity(F.col("page_id"), F.col("digest")).alias("id"), "page_id", "digest", "original", revisit.alias("revisit"),
         F.regexp_replace("url", r"[\x00-\x20\x7f]", "%20").alias("url"), block.alias("block"),
     )
     last = F.greatest(F.ceil(F.octet_length("block") / segment_bytes), F.lit(1)).cast("int") - 1
-    parts = whole.select("*", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("k"))
-    part = F.substring(F.col("block"), F.col("k") * segment_bytes + 1, F.lit(segment_bytes))
+    # a segment's row has its own bytes only
+    sized = whole.select("*", last.alias("last"), F.octet_length("block").alias("total"), _cut(F.col("block"), last, segment_bytes).alias("cut")).drop("block")
+    parts = sized.select(*[c for c in sized.columns if c != "cut"], F.posexplode("cut").alias("k", "part"))
+    part = F.col("part")
     first, several = F.col("k") == 0, F.col("last") > 0
     head = _head(
         ("WARC-Type", F.when(~first, "continuation").when(F.col("revisit"), "revisit").otherwise("response")),
@@ -101,7 +112,7 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
         ("WARC-Refers-To", F.when(first & F.col("revisit"), _identity(F.col("original"), F.col("digest")))),
         ("WARC-Segment-Number", F.when(several, F.col("k") + 1)),
         ("WARC-Segment-Origin-ID", F.when(~first, F.col("id"))),
-        ("WARC-Segment-Total-Length", F.when(several & (F.col("k") == F.col("last")), F.octet_length("block"))),
+        ("WARC-Segment-Total-Length", F.when(several & (F.col("k") == F.col("last")), F.col("total"))),
         ("Content-Type", F.when(first, F.lit("application/http;msgtype=response"))),
         ("Content-Length", F.octet_length(part)),
     )
@@ -202,7 +213,7 @@ def reassemble(records: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts"), F.max("total").alias("total"), F.max("segment").alias("n"),
         *[own(c) for c in ("warc_type", "page_id", "refers_to", "digest", "copies")],
     )
-    block = F.aggregate(F.col("parts")["block"], _raw(""), lambda a, x: F.concat(a, x))
+    block = _joined(F.col("parts")["block"])
     whole = whole.select(F.col("origin").alias("record_id"), "warc_type", "page_id", "refers_to", "digest", block.alias("block"), "total", "copies", (F.size("parts") == F.col("n")).alias("full"))
     ok = F.col("full") & (F.octet_length("block") == F.col("total")) & F.col("copies").isNotNull()
     checked = F.when(ok, F.col("block")).otherwise(F.raise_error(F.concat(F.lit("segments missing or of wrong length: "), F.col("record_id"))).cast("binary"))

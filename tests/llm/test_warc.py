@@ -79,3 +79,9 @@ def test_chunks():
     assert warc.decode_chunks(b"3;x=1\r\nabc\r\n0\r\nTrailer: 1\r\n\r\n") == b"abc"
     with pytest.raises(ValueError, match="broken"):
         warc.decode_chunks(b"3\r\nab\r\n0\r\n\r\n")
+
+
+def test_a_large_page_of_many_segments(spark):
+    big = "".join(f"<p>{i}é</p>" for i in range(400_000))
+    got = warc.archive_pages(make(spark, [(1, "u", big), (2, "u", big)])).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type) for r in got) == [(1, len(big.encode()), "revisit"), (2, len(big.encode()), "response")]
