@@ -16,7 +16,7 @@ CONTAINMENT = 0.8
 RECALL = 0.9999
 TEMPLATES_PER_PASS = 2_000
 
-# Public license notices.
+# Public license notices and complete texts.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
@@ -32,10 +32,41 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "ISC-full": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, "
+        "DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "MIT-full": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without "
+        "restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+        "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "BSD-3-Clause-full": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must "
+        "retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+        "CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, "
+        "OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
 
+def _multiplier(k: int) -> np.uint64:
+    """Odd factor of the band's hash; there are as many as the bands need."""
+    if k < len(_MULTIPLIERS):
+        return _MULTIPLIERS[k]
+    return np.uint64(np.random.default_rng([20240, k]).integers(1 << 62, 1 << 63) | 1)
+
+
 class Scanner:
     """Bands of a set of templates. Templates of up to L shingles are looked for in windows of two blocks of L shingles that begin at
     every block, so any L+1 shingles in a row lie in one window.
@@ -57,7 +88,7 @@ class Scanner:
         for width in sorted({1 << max(1, int(n).bit_length()) for n in count if n}):
             mine = np.flatnonzero((count > 0) & (np.array([1 << max(1, int(n).bit_length()) for n in count]) == width))
             similarity = (self.need[mine] / (2 * width + count[mine] - self.need[mine])).min()
-            self.classes[width] = mine, min(len(_MULTIPLIERS), math.ceil(math.log(1 - recall) / math.log(1 - similarity)))
+            self.classes[width] = mine, math.ceil(math.log(1 - recall) / math.log(1 - similarity))
 
     def scan(self, texts: pa.Array) -> list[tuple[int, int, float, int, int]]:
         """(text, template, containment, first word, word after the last) of each occurrence."""
@@ -75,9 +106,9 @@ class Scanner:
             follows = np.append(owner[1:] == owner[:-1], False)
             hits: set[tuple[int, int]] = set()
             for k in range(bands):
-                least = np.minimum.reduceat(values * _MULTIPLIERS[k], begin)
+                least = np.minimum.reduceat(values * _multiplier(k), begin)
                 least = np.where(follows, np.minimum(least, np.append(least[1:], least[-1])), least)
-                wanted = np.array([(self.values[self.at[t] : self.at[t + 1]] * _MULTIPLIERS[k]).min() for t in mine])
+                wanted = np.array([(self.values[self.at[t] : self.at[t + 1]] * _multiplier(k)).min() for t in mine])
                 maybe = np.zeros(1 << 16, bool)
                 maybe[(wanted >> np.uint64(48)).astype(np.int64)] = True
                 rows = np.flatnonzero(maybe[(least >> np.uint64(48)).astype(np.int64)])

@@ -55,6 +55,32 @@ def test_licenses_against_direct_search(docs_of, prose):
     assert sum(r.doc_id == 3 for r in got) == 2 * len(licensed(rows[3][1], TEMPLATES))
 
 
+def test_complete_texts_with_a_tenth_rewritten(docs_of, prose):
+    """Texts far longer than a notice, of which a tenth in a row is other words, deep inside long texts; with a fifth rewritten they are no longer found."""
+    rows, want = [], set()
+    for k, name in enumerate(n for n in TEMPLATES if n.endswith("-full")):
+        notice = TEMPLATES[name].split()
+        for j, share in enumerate((0, 0.1, 0.25)):
+            cut = int(len(notice) * share)
+            at = len(notice) // 3
+            edited = notice[:at] + prose(cut, 900 + k).split() + notice[at + cut :] if cut else notice
+            rows.append((10 * k + j, f"{prose(700 + 77 * j, k)} {' '.join(edited)} {prose(300, 50 + k)}", "s"))
+            want |= {(10 * k + j, name)} if share < 0.2 else set()
+    got = {(r.doc_id, r.license) for r in licenses.scan(docs_of(rows)).collect() if r.license.endswith("-full")}
+    assert got == want and got == {(i, n) for i, t, _ in rows for n in licensed(t, {k: v for k, v in TEMPLATES.items() if k.endswith("-full")})}
+
+
+def test_bands_follow_the_least_similarity():
+    """However little of a template has to be there, the bands are as many as its collision probability needs."""
+    text = " ".join(f"w{i}" for i in range(130))
+    scanner = licenses.Scanner({"long": text}, 0.01, 0.9999)
+    (width, (_, bands)), = scanner.classes.items()
+    similarity = 2 / (2 * width + 126 - 2)
+    assert bands > 1500 and 1 - (1 - similarity) ** bands >= 0.9999
+    factors = {int(licenses._multiplier(k)) for k in range(4000, 4300)}
+    assert len(factors) == 300 and all(f % 2 for f in factors)
+
+
 def test_license_places_and_empty_inputs(docs_of):
     twice = f"a b c {TEMPLATES['MIT']} {' x y z' * 20} {TEMPLATES['MIT']}"
     got = licenses.scan(docs_of([(1, twice, "s")])).collect()
