@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from herdframe.functions.base import ColumnLike, all_of, col, n_distinct
 from herdframe.functions.stats import corr_or_null
 from herdframe.operators.keys import attach, null_safe_join
-from herdframe.operators.ordered import global_median
+from herdframe.operators.ranks import median as exact_median
 from herdframe.operators.ranks import numbered
 
 
@@ -31,7 +31,7 @@ def summarise(df: DataFrame, by: list[str], value: str, median: bool = True) ->
     )
     if not median:
         return basic
-    middle = global_median(df, by, value)
+    middle = exact_median(df, by, value)
     if not by:
         return basic.withColumn("median", middle.scalar())
     return null_safe_join(basic, middle, by)

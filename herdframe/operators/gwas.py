@@ -12,7 +12,6 @@ from herdframe.functions.stats import CHI2_1_MEDIAN, LAMBDA_GRID, smoother_weigh
 from herdframe.functions.tails import chi2_1_isf, chi2_sf, erfc, scaled_tail
 from herdframe.operators import ranks as R
 from herdframe.operators.keys import null_safe_join
-from herdframe.operators.ordered import middle_values, tail_bins
 from herdframe.operators.shape import pivot_wider
 from herdframe.session import cut_lineage
 
@@ -22,9 +21,11 @@ def inflation_factor(df: DataFrame, p: str, by: list[str] | None = None) -> Data
 
     Chi-square falls as p rises, so the middle p-values are found first and only these are transformed.
     """
-    middle = middle_values(df.filter(F.col(p).between(0, 1)), by or [], p, tail_bins)
-    values = middle.withColumn("__chi2", chi2_1_isf(p))
-    return values.groupBy(*(by or [])).agg((F.avg("__chi2") / CHI2_1_MEDIAN).alias("lambda"))
+    by = by or []
+    middle = R.quantile_ends(df.filter(F.col(p).between(0, 1)), by, p, [0.5])
+    # of an even number the chi-squares of both middle values are averaged
+    values = middle.withColumn("__chi2", (chi2_1_isf("low") + chi2_1_isf("high")) / 2)
+    return values.select(*by, (F.col("__chi2") / CHI2_1_MEDIAN).alias("lambda"))
 
 
 def gc_adjust(df: DataFrame, p: str, by: list[str] | None = None, out: str = "adj_p") -> DataFrame:

@@ -83,32 +83,6 @@ def position_bins(pos: str, width: int = 100_000) -> dict[str, Column]:
     return {"__bin": F.floor(F.col(pos) / width)}
 
 
-def tail_bins(p: str, per_decade: int = 65_536) -> dict[str, Column]:
-    """Two levels of bins that follow a p-value in (0, 1]; zero falls below all others.
-
-    Width is relative, so the crowded upper end and a long lower tail are both cut finely.
-    """
-    fine = F.floor(F.coalesce(F.log10(F.col(p)), F.lit(-400.0)) * per_decade).cast("bigint")
-    return {"__coarse": F.floor(fine / 1024), "__fine": fine}
-
-
-# shares of a group between which its bins lie: ever narrower towards the middle
-_MIDDLE_EDGES = [0.25, 0.4, 0.45, 0.48, 0.49, 0.495, 0.499, 0.4995, 0.5005, 0.501, 0.505, 0.51, 0.52, 0.55, 0.6, 0.75]
-
-
-def _edge_bins(counted: DataFrame, known: DataFrame, group: dict[str, Column], by: list[str], value: str) -> DataFrame:
-    """Mark each row of ``counted`` with a bin whose edges are approximate quantiles of its own group, whatever the scale of the values."""
-    edges = known.groupBy(*by).agg(F.percentile_approx(value, _MIDDLE_EDGES, 10_000).alias("__edges"))
-    if by:
-        marked = counted.withColumns(group).join(edges.withColumns(group).select(*group, "__edges"), list(group))
-    else:
-        marked = counted.withColumn("__edges", edges.scalar())
-    fine = F.lit(0)
-    for i in range(len(_MIDDLE_EDGES)):
-        fine = fine + (F.get("__edges", F.lit(i)) < F.col(value)).cast("int")
-    return marked.withColumn("__fine", fine).drop("__edges")
-
-
 def hash_bins(digest: str) -> dict[str, Column]:
     """Two levels of bins of a hexadecimal digest: evenly filled whatever the data."""
     return {"__coarse": F.substring(F.col(digest), 1, 3), "__fine": F.substring(F.col(digest), 1, 5)}
@@ -133,41 +107,3 @@ def dense_code(df: DataFrame, value: str, by: list[str] | None = None, out: str
     codes = running(levels, by, hash_bins("__digest"), ["__digest", value], {out: ("sum", F.lit(1))})
     codes = codes.select(*by, value, F.col(out).cast("bigint").alias(out))
     return null_safe_join(df, codes, by + [value])
-
-
-def global_median(df: DataFrame, by: list[str], value: str, out: str = "median", levels=None) -> DataFrame:
-    """Exact median per group: bin counts find the middle bin, only that bin is ranked.
-
-    Even counts average the two middle values.
-    """
-    middle = middle_values(df, by, value, levels)
-    return middle.groupBy(*by).agg(F.avg(value).alias(out))
-
-
-def middle_values(df: DataFrame, by: list[str], value: str, levels=None) -> DataFrame:
-    """The one or two middle values per group. Bins are quantiles of the group unless ``levels`` gives fixed ones."""
-    group = _group_key(by)
-    outer = list(group)
-    known = df.filter(F.col(value).isNotNull())
-    counted = known.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    if levels is None:
-        names, binned = ["__fine"], _edge_bins(counted, known, group, by, value).drop(*by)
-    else:
-        marks = levels(value)
-        names, binned = list(marks), counted.withColumns({**group, **marks}).drop(*by)
-    bins = binned.groupBy(*outer, *names).agg(F.sum("__n").alias("__n"))
-    totals = bins.groupBy(*outer).agg(F.sum("__n").alias("__m"))
-    before = _carry(bins, outer, names, {"__n": "sum"}, reverse=False).withColumnRenamed("__n", "__before")
-    low, high = F.floor((F.col("__m") + 1) / 2), F.floor((F.col("__m") + 2) / 2)
-    start = F.coalesce(F.col("__before"), F.lit(0))
-    spans = bins.join(before, outer + names, "left")
-    spans = spans.join(totals, outer, "left") if by else spans.withColumn("__m", totals.scalar())
-    wanted = spans.filter((start < high) & (start + F.col("__n") >= low)).drop("__n")
-    rows = binned.join(wanted, outer + names)
-    w = Window.partitionBy(*outer, *names).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.withColumn("__to", start + F.sum("__n").over(w)).withColumn("__from", F.col("__to") - F.col("__n") + 1)
-    holds = lambda rank: ((F.col("__from") <= rank) & (F.col("__to") >= rank)).cast("int")
-    picked = ranked.withColumn("__copies", holds(low) + holds(high)).filter(F.col("__copies") > 0)
-    return picked.select(
-        *[F.col(f"__by.{c}").alias(c) for c in by], F.explode(F.array_repeat(F.col(value), F.col("__copies"))).alias(value)
-    )

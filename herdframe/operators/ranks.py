@@ -82,6 +82,39 @@ def spread(blocks: DataFrame, by: list[str], schema: str, fn: Callable[[dict], d
     return blocks.mapInArrow(each, ", ".join([*[f"`{c}` {kinds[c]}" for c in by], schema]))
 
 
+def quantile_ends(df: DataFrame, by: list[str], value: str, shares: list[float]) -> DataFrame:
+    """(by..., share, low, high, part): the values at the ranks below and above (n - 1) * share, counted from 0, and how far it lies between them.
+
+    Values are sorted once, by range; of each group only the blocks that hold a wanted rank are looked into. Groups without a known value have no row.
+    """
+    blocks = value_blocks(df, by, value)
+    sizes = F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)
+    info = placed(blocks, by).join(blocks.select("block", sizes.alias("own")), "block")
+    place = (F.col("total") - 1) * F.col("share")
+    wanted = info.withColumn("share", F.explode(F.array(*[F.lit(float(q)) for q in shares])))
+    wanted = wanted.select("block", "before", "own", "share", F.inline(F.array(*[F.struct(F.lit(w).alias("which"), f(place).cast("long").alias("rank")) for w, f in ((0, F.floor), (1, F.ceil))])), (place - F.floor(place)).alias("part"))
+    wanted = wanted.filter("rank >= before and rank < before + own").drop("own")
+
+    def at(row: dict) -> dict[str, np.ndarray]:
+        k = int(np.searchsorted(row["before"] + np.cumsum(row["n"]), row["rank"], side="right"))
+        return {"share": np.array([row["share"]]), "which": np.array([row["which"]], np.int32), "x": row["v"][k : k + 1], "part": np.array([row["part"]])}
+
+    found = spread(blocks.join(wanted, "block"), by, "share double, which int, x double, part double", at)
+    ends = [F.max(F.when(F.col("which") == w, F.col("x"))).alias(c) for w, c in ((0, "low"), (1, "high"))]
+    return found.groupBy(*by, "share").agg(*ends, F.max("part").alias("part"))
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], out: str = "quantile") -> DataFrame:
+    """Exact quantiles per group, interpolated between the two nearest values: (by..., share, out)."""
+    ends = quantile_ends(df, by, value, shares)
+    between = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") * (1 - F.col("part")) + F.col("high") * F.col("part"))
+    return ends.select(*by, "share", between.alias(out))
+
+
+def median(df: DataFrame, by: list[str], value: str, out: str = "median") -> DataFrame:
+    return quantiles(df, by, value, [0.5], out).drop("share")
+
+
 def numbered(df: DataFrame, by: list[str], order: list[str], out: str) -> DataFrame:
     """Add the place (1, 2, ...) of each row in its group along ``order``; rows that are equal in ``order`` take places in turn.
 

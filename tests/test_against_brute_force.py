@@ -16,6 +16,7 @@ from herdframe.operators import gwas as G
 from herdframe.operators import intervals as V
 from herdframe.operators import ordered as O
 from herdframe.operators import pedigree as D
+from herdframe.operators import ranks as R
 
 
 def test_distribution_functions(spark):
@@ -131,10 +132,22 @@ def test_qvalue_with_missing_p(spark):
 def test_median_of_even_odd_and_repeated(spark):
     groups = {"a": [3.0, 1.0, 2.0], "b": [1.0, 1.0, 5.0, 9.0], "c": [-2.5], "d": [7.0] * 6 + [-1e9], None: [2.0, 4.0]}
     d = spark.createDataFrame([(k, x) for k, v in groups.items() for x in v], "k string, x double")
-    got = {r.k: r["median"] for r in O.global_median(d, ["k"], "x").collect()}
+    got = {r.k: r["median"] for r in R.median(d, ["k"], "x").collect()}
     assert got == {k: statistics.median(v) for k, v in groups.items()}
 
 
+def test_quantiles_of_long_groups_and_small_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    groups = {"a": [rng.gauss(0, 1) for _ in range(4000)], "b": [float(rng.randrange(4)) for _ in range(1000)], "c": [-1e300, 5e-324, 0.0]}
+    d = spark.createDataFrame([(k, x) for k, v in groups.items() for x in v] + [("d", None)], "k string, x double").repartition(6)
+    monkeypatch.setattr(R.value_blocks, "__defaults__", (64,))
+    shares = [0.0, 0.1, 0.5, 0.99, 1.0]
+    got = {(r.k, r.share): r["quantile"] for r in R.quantiles(d, ["k"], "x", shares).collect()}
+    assert got == pytest.approx({(k, q): float(np.quantile(v, q)) for k, v in groups.items() for q in shares}, rel=1e-12)
+    whole = R.quantiles(d, [], "x", [0.25]).first()["quantile"]
+    assert whole == pytest.approx(float(np.quantile(sum(groups.values(), []), 0.25)))
+
+
 def test_running_values_cross_bins(spark):
     rng = random.Random(3)
     data = sorted({(c, rng.randrange(0, 900_000)) for c in (1, 2, None) for _ in range(200)}, key=str)
