@@ -229,7 +229,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, size
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, size: int = SEED_WORDS) -> DataFrame:
-    """The rows of ``docs`` (all columns) without a passage that ``find_leaks`` would report."""
+    """The rows of ``docs`` without a passage that ``find_leaks`` would report.
+
+    All columns stay as they are, whatever their names. Null and empty texts hold no passage and stay; a null id is no reason to go; each of several equal
+    rows is judged alike; texts of any length are searched whole; without items, or with null or empty ones only, all rows stay; an empty table gives an empty one.
+    """
     for items in _prepared(benchmark, size):
         table = _filter_table(items.runs)
 

@@ -132,7 +132,7 @@ def near_duplicates(
     one class, whose copies link with each other without being paired. ``bits`` follows the number of classes if not given. A pair of classes at the threshold shares a bucket with
     probability ``recall``; pairs in a bucket are always verified, in blocks of bounded size. Null labels and vectors that are null, empty, zero or
     hold null or non-finite components link with nothing; vectors of different length neither. Repeated vec_ids are
-    rows of their own that share a component; an empty table gives an empty result.
+    rows of their own that share a component; an empty table gives an empty result; other columns are ignored, whatever their names.
     """
     vec = F.col("embedding").cast("array<double>")
     norm = F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x)

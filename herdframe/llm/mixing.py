@@ -161,7 +161,12 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, seed: int = 11) -> DataFrame:
-    """The mixed table: each row as often as the mix takes it, with the columns of ``docs`` (any further ones as they are)."""
+    """The mixed table: each row as often as the mix takes it, with the columns of ``docs``, further ones as they are.
+
+    Rows of no words have size 0 and are taken once; a null source is a source of its own, after the others; rows with a null id or text take part like others;
+    rows equal in id, source and text are dealt their copies one by one; a text of any length is one row, so its source may miss its target by half
+    of it; an empty table gives an empty one. Column names that begin with two underscores are reserved.
+    """
     taken = decide(docs, weights, most, seed).filter("whole > 0 or extra > 0")
     taken = taken.select(F.struct("doc_id", "source", "text_hash").alias("__key"), F.col("whole").alias("__whole"), F.col("extra").alias("__extra"), F.col("rows").alias("__rows"))
     keyed = _identity(docs).withColumn("__key", F.struct("doc_id", "source", F.col("__hash").alias("text_hash")))

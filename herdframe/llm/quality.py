@@ -178,8 +178,12 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, t
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, training_rows: int = TRAINING_ROWS) -> DataFrame:
-    """The rows of ``docs`` (all columns) that the classifier does not reject. The texts are scored where they are read; only the
-    training sample is moved."""
+    """The rows of ``docs`` that the classifier does not reject. The texts are scored where they are read; only the training sample is moved.
+
+    All columns stay as they are, whatever their names; only text and doc_id are read. Null and empty texts are scored as empty ones; a row with a null id has
+    no label and is scored like others; equal rows are kept or rejected alike; texts of any length are read whole; without labels every score is
+    the same; an empty table gives an empty one.
+    """
     chosen = docs.select("doc_id", "text", held_out().alias("held_out")).filter("not held_out")
     known = labels.filter("quality is not null").select("doc_id").distinct()
     chosen = cut_lineage(with_statistics(chosen.join(known, "doc_id", "left_semi"), ["doc_id", "held_out"]))
