@@ -69,10 +69,10 @@ def parent_conflicts(geno: DataFrame, ped: DataFrame) -> DataFrame:
         ),
     )
     called = geno.filter(F.col("dosage").isNotNull())
-    ids = cut_lineage(called.select("animal").distinct())
+    planes = _packed(called, pairs.select("full_reg").unionAll(pairs.select("parent_reg")).toDF("animal"))
+    ids = planes.select("animal").distinct()
     for c in ("full_reg", "parent_reg"):
         pairs = pairs.join(ids.select(F.col("animal").alias(c)), c, "left_semi")
-    planes = _packed(called, pairs.select("full_reg").unionAll(pairs.select("parent_reg")).toDF("animal"))
     both = pairs.join(P.side(planes, "animal", "full_reg", "_c"), "full_reg").join(P.side(planes, "animal", "parent_reg", "_p"), ["parent_reg", "chunk"])
     out = both.groupBy("comparison", "full_reg", "parent_reg").agg(
         F.sum(P.ones(P.all_called("_c", "_p"))).alias("n_snps"), F.sum(P.ones(P.opposing("_c", "_p"))).alias("n_conflicts")
@@ -93,14 +93,14 @@ def trio_conflicts(geno: DataFrame, ped: DataFrame) -> DataFrame:
     first, and rows without a parent left are not paired with markers.
     """
     called = geno.filter(F.col("dosage").isNotNull())
-    ids = cut_lineage(called.select("animal").distinct())
-    rows = ped.select("full_reg", "sire_reg", "dam_reg").join(ids.select(F.col("animal").alias("full_reg")), "full_reg", "left_semi")
+    rows = ped.select("full_reg", "sire_reg", "dam_reg")
+    planes = _packed(called, rows.select(F.explode(F.array("full_reg", "sire_reg", "dam_reg")).alias("animal")).filter("animal is not null"))
+    ids = planes.select("animal").distinct()
+    rows = rows.join(ids.select(F.col("animal").alias("full_reg")), "full_reg", "left_semi")
     for c in ("sire_reg", "dam_reg"):
         rows = left_join_known(rows, ids.select(F.col("animal").alias(c), F.lit(True).alias(f"__has_{c}")), c)
     rows = rows.withColumns({f"__{c}": F.when(F.col(f"__has_{c}"), F.col(c)) for c in ("sire_reg", "dam_reg")})
     trios = cut_lineage(rows.select("full_reg", "sire_reg", "dam_reg", "__sire_reg", "__dam_reg"))
-    named = [trios.select(F.col(c).alias("animal")) for c in ("full_reg", "__sire_reg", "__dam_reg")]
-    planes = _packed(called, named[0].unionAll(named[1]).unionAll(named[2]).filter("animal is not null"))
     keys = ["full_reg", "sire_reg", "dam_reg"]
     with_parent = trios.filter("__sire_reg is not null or __dam_reg is not null").join(P.side(planes, "animal", "full_reg", "_c"), "full_reg")
     for key, s in (("__sire_reg", "_s"), ("__dam_reg", "_d")):
