@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from herdframe.functions.base import all_of
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """A join side that grows with the data: both sides are sorted in the executors. Without the hint the size of compressed files, a small
+    part of the rows' size, may have the side gathered in the driver for a broadcast."""
+    return side.hint("merge")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Equi join on equal column names where null matches null; one copy of the key columns is kept."""
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdframe.operators.keys import left_join_known, null_safe_join
+from herdframe.operators.keys import left_join_known, null_safe_join, shuffled
 from herdframe.session import StagedRows, cut_lineage
 
 ANIMAL, SIRE, DAM = "full_reg", "sire_reg", "dam_reg"
@@ -93,12 +93,12 @@ def generations(ped: DataFrame, unknown="0") -> tuple[StagedRows, int]:
     """Pedigree rows with the levels of animal and parents, stored by the animal's level, and the highest level.
 
     Animals without known parents have level 0, others one more than the higher of their parents. Parents without a row get one. A round stores the
-    animals left, those with a parent among the ones of the round before. Rows: full_reg, sire_reg, dam_reg, level, sire_level, dam_level.
+    animals left with a mark on those with a parent among them, which are left for the next round. Rows: full_reg, sire_reg, dam_reg, level, sire_level, dam_level.
     """
     known = lambda c: F.when(F.col(c) != F.lit(unknown), F.col(c))
     rows = ped.filter(F.col(ANIMAL).isNotNull()).select(ANIMAL, known(SIRE).alias(SIRE), known(DAM).alias(DAM)).dropDuplicates([ANIMAL])
     parents = rows.select(F.explode(F.array(SIRE, DAM)).alias(ANIMAL)).filter(F.col(ANIMAL).isNotNull()).distinct()
-    base = parents.join(rows.select(ANIMAL), ANIMAL, "left_anti")
+    base = parents.join(shuffled(rows.select(ANIMAL)), ANIMAL, "left_anti")
     none = [F.lit(None).cast(dict(rows.dtypes)[c]).alias(c) for c in (SIRE, DAM)]
     rows = cut_lineage(rows.unionByName(base.select(ANIMAL, *none)))
     kind = rows.schema[ANIMAL].dataType.simpleString()
@@ -106,21 +106,23 @@ def generations(ped: DataFrame, unknown="0") -> tuple[StagedRows, int]:
     todo, left, levels = rows, rows.count(), []
     while left:
         links = todo.select(ANIMAL, F.explode(F.array(SIRE, DAM)).alias("__p")).filter("__p is not null")
-        below = links.join(todo.select(F.col(ANIMAL).alias("__p")), "__p", "left_semi").select(ANIMAL).distinct()
-        later = cut_lineage(todo.join(below, ANIMAL, "left_semi"))
+        below = links.join(shuffled(todo.select(F.col(ANIMAL).alias("__p"))), "__p", "left_semi").select(ANIMAL).distinct()
+        marked = todo.join(shuffled(below.withColumn("__later", F.lit(True))), ANIMAL, "left")
+        marked = cut_lineage(marked.withColumn("__later", F.coalesce("__later", F.lit(False))))
+        later = marked.filter("__later").drop("__later")
         rest = later.count()
         if rest == left:
             raise ValueError("the pedigree holds a cycle")
-        levels.append(todo.select(ANIMAL).join(later.select(ANIMAL), ANIMAL, "left_anti").withColumn("level", F.lit(len(levels))))
+        levels.append(marked.filter("not __later").select(ANIMAL, F.lit(len(levels)).alias("level")))
         todo, left = later, rest
     if levels:
         level_of = levels[0]
         for part in levels[1:]:
             level_of = level_of.unionByName(part)
         level_of = cut_lineage(level_of)
-        placed = rows.join(level_of, ANIMAL)
+        placed = rows.join(shuffled(level_of), ANIMAL)
         for c, name in ((SIRE, "sire_level"), (DAM, "dam_level")):
-            placed = left_join_known(placed, level_of.select(F.col(ANIMAL).alias(c), F.col("level").alias(name)), c)
+            placed = left_join_known(placed, shuffled(level_of.select(F.col(ANIMAL).alias(c), F.col("level").alias(name))), c)
         out.add(placed.select(*[F.col(c).cast(kind).alias(c) for c in (ANIMAL, SIRE, DAM)], "level", "sire_level", "dam_level", F.col("level").alias("stage")))
     return out, len(levels) - 1
 
@@ -140,7 +142,7 @@ def inbreeding(ped: DataFrame, unknown="0", depth: int | None = None) -> DataFra
         if depth < 1:
             return rows.select(ANIMAL, F.lit(0.0).alias("f"))
         f = kinship(ped, rows.select(F.col(SIRE).alias("animal_i"), F.col(DAM).alias("animal_j")), unknown, depth - 1)
-        both = rows.join(f.select(F.col("animal_i").alias(SIRE), F.col("animal_j").alias(DAM), "kinship"), [SIRE, DAM], "left")
+        both = rows.join(shuffled(f.select(F.col("animal_i").alias(SIRE), F.col("animal_j").alias(DAM), "kinship")), [SIRE, DAM], "left")
         return both.select(ANIMAL, F.coalesce("kinship", F.lit(0.0)).alias("f"))
     levelled, top = generations(ped, unknown)
     kind = ped.schema[ANIMAL].dataType.simpleString()
@@ -156,17 +158,17 @@ def inbreeding(ped: DataFrame, unknown="0", depth: int | None = None) -> DataFra
     for level in range(top + 1):
         rows = levelled.read(level)
         edges = rows.select(ANIMAL, F.explode(F.array(SIRE, DAM)).alias("__parent")).filter("__parent is not null")
-        passed = edges.join(links.read(level).withColumnRenamed(ANIMAL, "__parent"), "__parent")
+        passed = edges.join(shuffled(links.read(level).withColumnRenamed(ANIMAL, "__parent")), "__parent")
         # the parent's own link, of share one, tells its coefficient; each known parent takes a quarter of 1 + F from the sampling variance
         own = passed.filter("__parent = anc").groupBy(ANIMAL).agg((1 - F.sum(0.25 * (1 + F.col("f")))).alias("d"))
-        itself = rows.select(ANIMAL).join(own, ANIMAL, "left").select(ANIMAL, F.col(ANIMAL).alias("anc"), F.lit(1.0).alias("share"), F.coalesce("d", F.lit(1.0)).alias("d"))
+        itself = rows.select(ANIMAL).join(shuffled(own), ANIMAL, "left").select(ANIMAL, F.col(ANIMAL).alias("anc"), F.lit(1.0).alias("share"), F.coalesce("d", F.lit(1.0)).alias("d"))
         older = passed.groupBy(ANIMAL, "anc").agg((F.sum("share") / 2).alias("share"), F.first("d").alias("d"))
         fresh = itself.unionByName(older)
         f = fresh.groupBy(ANIMAL).agg((F.sum(F.col("share") * F.col("share") * F.col("d")) - 1).alias("f"))
-        needed = offspring.read(level).join(f, ANIMAL)
-        kept = fresh.join(needed, ANIMAL).filter((F.col("need") >= 0) | (F.col("anc") == F.col(ANIMAL)))
+        needed = offspring.read(level).join(shuffled(f), ANIMAL)
+        kept = fresh.join(shuffled(needed), ANIMAL).filter((F.col("need") >= 0) | (F.col("anc") == F.col(ANIMAL)))
         links.add(kept.withColumnRenamed("need", "stage"))
-    return links.read(-1).select(ANIMAL, "f").join(ped.select(ANIMAL).distinct(), ANIMAL, "left_semi")
+    return links.read(-1).select(ANIMAL, "f").join(shuffled(ped.select(ANIMAL).distinct()), ANIMAL, "left_semi")
 
 
 def kinship(ped: DataFrame, pairs: DataFrame, unknown="0", depth: int | None = None) -> DataFrame:
@@ -201,7 +203,7 @@ def kinship(ped: DataFrame, pairs: DataFrame, unknown="0", depth: int | None = N
         return spark.createDataFrame([], f"animal_i {kind}, animal_j {kind}, kinship double")
     first, level_of = wanted, levelled.all().select(ANIMAL, "level")
     for c, g in (("animal_i", "__gi"), ("animal_j", "__gj")):
-        first = first.join(level_of.select(F.col(ANIMAL).alias(c), F.col("level").alias(g)), c)
+        first = first.join(shuffled(level_of.select(F.col(ANIMAL).alias(c), F.col("level").alias(g))), c)
     reach = lambda g: F.col(g) if depth is None else F.lit(depth)
     first = first.select("animal_i", "animal_j", *[end(F.col(f"animal_{k}"), F.col(f"__g{k}"), reach(f"__g{k}")).alias(n) for k, n in (("i", "u"), ("j", "w"))])
     first = ordered(first, ["animal_i", "animal_j"])
@@ -216,10 +218,10 @@ def kinship(ped: DataFrame, pairs: DataFrame, unknown="0", depth: int | None = N
         lowered = lambda p, r: F.struct(F.col(f"{p}.x").alias("x"), F.col(f"{p}.g").alias("g"), F.least(F.col(r) - 1, F.col(f"{p}.g")).alias("r"))
         whole = F.struct(F.col("b").alias("x"), F.col("gb").alias("g"), F.col("rb").alias("r"))
         pair = lambda u, w, weight: F.struct(u.alias("u"), w.alias("w"), F.lit(weight).alias("weight"))
-        up = open_.join(mine("a", "s"), "a")
+        up = open_.join(shuffled(mine("a", "s")), "a")
         same = up.filter("a = b").select(*state, F.array(pair(lowered("s0", "ra"), lowered("s1", "ra"), 0.5)).alias("e"))
         one = up.filter("ga > gb").select(*state, F.array(*[pair(lowered(f"s{k}", "ra"), whole, 0.5) for k in (0, 1)]).alias("e"))
-        two = up.filter("ga = gb and a <> b").join(mine("b", "t"), "b")
+        two = up.filter("ga = gb and a <> b").join(shuffled(mine("b", "t")), "b")
         two = two.select(*state, F.array(*[pair(lowered(f"s{i}", "ra"), lowered(f"t{j}", "rb"), 0.25) for i in (0, 1) for j in (0, 1)]).alias("e"))
         edges = same.unionByName(one).unionByName(two).select(*[F.col(c).alias(n) for c, n in zip(state, ("pa", "pb", "pra", "prb"), strict=True)], F.inline("e"))
         edges = ordered(edges.filter("u.x is not null and w.x is not null"), ["pa", "pb", "pra", "prb", "weight"]).withColumn("level", F.lit(level))
@@ -229,9 +231,9 @@ def kinship(ped: DataFrame, pairs: DataFrame, unknown="0", depth: int | None = N
             continue
         sums = parts.read(level).groupBy(*state).agg(F.sum("v").alias("v"))
         own = F.when(F.col("a") == F.col("b"), 0.5).otherwise(0.0)
-        solved = needed.read(level).select(*state).distinct().join(sums, state, "left").select(*state, (F.coalesce("v", F.lit(0.0)) + own).alias("v")).filter("v <> 0")
-        given = needed.read(level).join(solved, state)
+        solved = needed.read(level).select(*state).distinct().join(shuffled(sums), state, "left").select(*state, (F.coalesce("v", F.lit(0.0)) + own).alias("v")).filter("v <> 0")
+        given = needed.read(level).join(shuffled(solved), state)
         given = given.select(F.col("pa").alias("a"), F.col("pb").alias("b"), F.col("pra").alias("ra"), F.col("prb").alias("rb"), (F.col("weight") * F.col("v")).alias("v"), F.col("level").alias("stage"))
         parts.add(given)
     value = parts.read(-1).groupBy(F.col("a").alias("animal_i"), F.col("b").alias("animal_j")).agg(F.sum("v").alias("kinship"))
-    return wanted.join(value, ["animal_i", "animal_j"], "left").select("animal_i", "animal_j", F.coalesce("kinship", F.lit(0.0)).alias("kinship"))
+    return wanted.join(shuffled(value), ["animal_i", "animal_j"], "left").select("animal_i", "animal_j", F.coalesce("kinship", F.lit(0.0)).alias("kinship"))
