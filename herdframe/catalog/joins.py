@@ -17,7 +17,8 @@ _SEASONS = "(select coalesce(season, '?') as s, season, count(*) as n_season fro
 )
 def _(t):
     sizes = t.records.groupBy("season").agg(F.count(F.lit(1)).alias("n_season"))
-    return J.natural_join(t.records, sizes).select("rec_a", "rec_b", "temp_id", "farm_id", "score_date", "season", "n_season")
+    # one row a season: the records stay where they are, as a season would be one large group of a shuffle
+    return J.natural_join(t.records, F.broadcast(sizes)).select("rec_a", "rec_b", "temp_id", "farm_id", "score_date", "season", "n_season")
 
 
 @query(
