@@ -11,6 +11,7 @@ from herdframe.operators import enrichment as N
 from herdframe.operators import genotypes as Y
 from herdframe.operators import gwas as G
 from herdframe.operators import intervals as V
+from herdframe.operators.keys import shuffled
 from herdframe.session import cut_lineage
 
 
@@ -336,7 +337,7 @@ def _(t):
 
 def clump_input(t):
     best = t.gwas.groupBy("snp").agg(F.min("p").alias("p"))
-    return best.join(t.markers, "snp")
+    return best.join(shuffled(t.markers), "snp")
 
 
 @query(
@@ -361,8 +362,8 @@ _HYPER = """least(1, list_sum(list_transform(range(k, least(n, m) + 1), lambda i
 
 
 def gene_hits(t):
-    pairs = V.interval_join(t.gwas.filter("p < 0.02"), t.genes, 50)
-    return pairs.select("study", "gene_id").distinct()
+    found = V.interval_join(t.gwas.filter("p < 0.02"), t.genes, 50, how="right_semi", by=["study"])
+    return found.select("study", "gene_id").distinct()
 
 
 @query(
@@ -386,7 +387,7 @@ def _(t):
 )
 def _(t):
     info = t.genes.select("gene_id", "chr", "start_pos", F.concat(F.lit("G"), "gene_id").alias("label"))
-    rows = gene_hits(t).join(info, "gene_id")
+    rows = gene_hits(t).join(shuffled(info), "gene_id")
     terms = t.genes.select("gene_id", "term")
     return N.intersecting_items(rows, terms, "gene_id", "term", ["study"], ["chr", "start_pos"], "label")
 
@@ -398,7 +399,7 @@ def _(t):
 )
 def _(t):
     info = t.genes.select("gene_id", "chr", "start_pos", F.concat(F.lit("G"), "gene_id").alias("label"))
-    return N.intersecting_rows(gene_hits(t).join(info, "gene_id"), t.genes.select("gene_id", "term"), "gene_id", "term", ["study"], ["chr", "start_pos"], "label")
+    return N.intersecting_rows(gene_hits(t).join(shuffled(info), "gene_id"), t.genes.select("gene_id", "term"), "gene_id", "term", ["study"], ["chr", "start_pos"], "label")
 
 
 @query(
@@ -412,8 +413,11 @@ def _(t):
        select a.study, a.term, round(p_adj, 6) as p_adjusted, k as n_annotations, n_snps, snps from a join s on a.study = s.study and a.term = s.term where p_adj < 1 and k > 1""",
 )
 def _(t):
-    near = V.interval_join(t.gwas.filter("p < 0.02"), t.genes, 50).select("study", "chr", "pos", "gene_id", "term").distinct()
-    enriched = N.qtl_enrichment(near, t.genes.select("gene_id", "term"), "term", "gene_id", ["study"])
+    hits = t.gwas.filter("p < 0.02").select("study", "chr", "pos").distinct()
+    records = V.interval_join(hits, t.genes, 50, how="right_semi", by=["study"])
+    enriched = N.qtl_enrichment(records, t.genes.select("gene_id", "term"), "term", "gene_id", ["study"])
+    # a term's genes as stretches without overlap: one pair of marker and term instead of one of marker and gene
+    near = V.interval_join(hits, V.merged(t.genes, ["term"], 50))
     out = N.enriched_trait_report(enriched, near, "term", ["study"], limit=1.0)
     return out.withColumn("p_adjusted", r6("p_adjusted"))
 

@@ -9,7 +9,7 @@ from herdframe.functions.tails import hypergeom_sf
 from herdframe.functions.text import marker_label
 from herdframe.operators.aggregates import joined_list, ordered_items
 from herdframe.operators.gwas import bh_adjust
-from herdframe.operators.keys import null_safe_join
+from herdframe.operators.keys import null_safe_join, shuffled
 from herdframe.session import cut_lineage
 
 
@@ -21,9 +21,9 @@ def term_enrichment(hits: DataFrame, terms: DataFrame, item: str, term: str, by:
     pairs = terms.select(item, term).distinct()
     universe = pairs.select(item).distinct()
     sizes = pairs.groupBy(term).agg(F.count(F.lit(1)).alias("term_size"))
-    drawn = hits.select(*by, item).distinct().join(universe, item, "left_semi")
+    drawn = hits.select(*by, item).distinct().join(shuffled(universe), item, "left_semi")
     query = drawn.groupBy(*by).agg(F.count(F.lit(1)).alias("query_size"))
-    both = drawn.join(pairs, item).groupBy(*by, term).agg(F.count(F.lit(1)).alias("intersection_size"))
+    both = drawn.join(shuffled(pairs), item).groupBy(*by, term).agg(F.count(F.lit(1)).alias("intersection_size"))
     out = null_safe_join(both.join(sizes, term), query, by).withColumn("universe_size", F.lit(universe.count()))
     out = out.withColumn("p_value", hypergeom_sf("intersection_size", "query_size", "term_size", "universe_size"))
     # one row per dataset and term: stored, so that the adjustment does not compute the hits again
@@ -46,7 +46,7 @@ def intersecting_rows(
 
 
 def _term_hits(hits: DataFrame, terms: DataFrame, item: str, term: str, by: list[str], order: list[str], label: str) -> DataFrame:
-    return hits.select(*by, item, *[c for c in order if c != item], label).distinct().join(terms.select(item, term).distinct(), item)
+    return hits.select(*by, item, *[c for c in order if c != item], label).distinct().join(shuffled(terms.select(item, term).distinct()), item)
 
 
 def qtl_enrichment(hits: DataFrame, database: DataFrame, trait: str, record: str, by: list[str]) -> DataFrame:
@@ -71,7 +71,7 @@ def enriched_trait_report(
 ) -> DataFrame:
     """Significant traits with several annotations, the number of distinct markers and their ordered list."""
     kept = enriched.filter((F.col("p_adjusted") < limit) & (F.col("n_annotations") >= min_annotations))
-    spots = hits.select(*by, trait, chrom, pos).distinct()
+    spots = cut_lineage(hits.select(*by, trait, chrom, pos).distinct())
     lists = joined_list(spots, [*by, trait], [chrom, pos], marker_label(chrom, pos), "snps")
     counts = spots.groupBy(*by, trait).agg(F.count(F.lit(1)).alias("n_snps"))
     detail = null_safe_join(counts.filter(F.col("n_snps") >= min_snps), lists, [*by, trait])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from herdframe.functions.tails import chi2_1_sf
 from herdframe.operators import packed as P
-from herdframe.operators.keys import left_join_known
+from herdframe.operators.keys import left_join_known, shuffled
 from herdframe.session import cut_lineage
 
 #: Matrices of so many tasks are put together at a time.
@@ -370,16 +370,34 @@ def _centred(pheno: DataFrame, cols: list[str]) -> DataFrame:
     return pheno.withColumns({c: F.col(c).cast("double") - means.select(c).scalar() for c in cols})
 
 
+def _squared_correlation(both: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b, r2) from the planes of both sides in the chunks they share. Sums are whole numbers, so equal data give equal values."""
+    sums = both.groupBy(a, b).agg(*[c.cast("double").alias(f"__{name}") for name, c in P.dosage_sums("_a", "_b").items()])
+    n, x, y, xx, yy, xy = (F.col(f"__{c}") for c in ("n", "x", "y", "xx", "yy", "xy"))
+    top = n * xy - x * y
+    return sums.select(a, b, F.try_divide(top * top, (n * xx - x * x) * (n * yy - y * y)).alias("r2"))
+
+
 def pair_r2(pairs: DataFrame, planes: DataFrame, a: str, b: str) -> DataFrame:
     """Squared correlation of dosages per marker pair over animals called for both, from packed markers (snp, chunk, lo, hi).
 
-    Sums are whole numbers, so equal data give equal values. A marker of many pairs is spread over its chunks.
+    A marker of many pairs is spread over its chunks.
     """
     both = pairs.join(P.side(planes, "snp", a, "_a"), a).join(P.side(planes, "snp", b, "_b"), [b, "chunk"])
-    sums = both.groupBy(a, b).agg(*[c.cast("double").alias(f"__{name}") for name, c in P.dosage_sums("_a", "_b").items()])
-    n, x, y, xx, yy, xy = (F.col(f"__{c}") for c in ("n", "x", "y", "xx", "yy", "xy"))
-    top = n * xy - x * y
-    return sums.select(a, b, F.try_divide(top * top, (n * xx - x * x) * (n * yy - y * y)).alias("r2"))
+    return _squared_correlation(both, a, b)
+
+
+def _linked(tested: DataFrame, planes: DataFrame, window: int, r2: float) -> DataFrame:
+    """(lead, snp): pairs of tested markers within the window and above the r2 limit, the one of better p first.
+
+    Markers meet by stretch of the chromosome and chunk of animals, so pairs without an animal called for both are not made.
+    """
+    here = planes.join(shuffled(tested.withColumn("__bin", F.floor(F.col("pos") / window))), "snp")
+    side = lambda name, s: here.select(F.col("snp").alias(name), "chr", "__bin", "chunk", F.col("pos").alias(f"__pos{s}"), F.col("p").alias(f"__p{s}"), F.col("lo").alias(f"lo{s}"), F.col("hi").alias(f"hi{s}"))
+    other = side("snp", "_b").withColumn("__bin", F.explode(F.array(F.col("__bin") - 1, F.col("__bin"), F.col("__bin") + 1)))
+    both = side("lead", "_a").join(shuffled(other), ["chr", "__bin", "chunk"])
+    both = both.filter((F.struct("__p_a", "lead") < F.struct("__p_b", "snp")) & (F.abs(F.col("__pos_a") - F.col("__pos_b")) <= window) & (P.all_called("_a", "_b") != 0))
+    return _squared_correlation(both, "lead", "snp").filter(F.round("r2", 9) > r2).select("lead", "snp")
 
 
 def ld_clump(
@@ -387,32 +405,22 @@ def ld_clump(
 ) -> DataFrame:
     """Independent lead markers: best p first, markers within the window and above the r2 limit go with it.
 
-    ``results``: snp, chr, pos, p. r2 is compared after rounding to nine digits. Each round takes every marker that has the best p of all that remain within the
-    window; these are exactly the markers a one-by-one pass would choose, because nothing left nearby is better.
-    Only leads are paired with their neighbours, never all markers with each other.
+    ``results``: snp, chr, pos, p; of several rows of a marker the best p counts. r2 is compared after rounding to nine digits. Links of tested markers are found in one
+    job. A round takes every marker without a better linked one left and removes those linked to it; these are exactly the markers a one-by-one pass would
+    choose. Markers without links need no round, and rounds follow chains of links, not the number of markers in a window.
     """
-    w = int(window)
-    start = results.filter(F.col("p") <= p_max).select("snp", "chr", "pos", "p").withColumn("__bin", F.floor(F.col("pos") / w))
-    left = cut_lineage(start)
-    tested = geno.join(left.select("snp").distinct(), "snp", "left_semi")
-    planes = cut_lineage(P.pack(tested, "snp", P.bit_places(tested, "animal")))
-    leads = None
-    while not left.isEmpty():
-        rank = F.struct("p", "snp")
-        tops = left.groupBy("chr", "__bin").agg(F.min_by(F.struct("snp", "pos", "p"), rank).alias("t"))
-        tops = tops.select("chr", F.col("t.snp").alias("lead"), F.col("t.pos").alias("__pos"), F.col("t.p").alias("__p"), "__bin")
-        reach = tops.withColumn("__bin", F.explode(F.array(F.col("__bin") - 1, F.col("__bin"), F.col("__bin") + 1)))
-        near = reach.join(left, ["chr", "__bin"]).filter(F.abs(F.col("pos") - F.col("__pos")) <= w)
-        beaten = near.filter(F.struct("p", "snp") < F.struct("__p", "lead")).select("lead").distinct()
-        chosen = cut_lineage(tops.join(beaten, "lead", "left_anti").select("lead", "chr", "__pos", "__bin"))
-        reach = chosen.withColumn("__bin", F.explode(F.array(F.col("__bin") - 1, F.col("__bin"), F.col("__bin") + 1)))
-        near = reach.join(left, ["chr", "__bin"]).filter(F.abs(F.col("pos") - F.col("__pos")) <= w)
-        pairs = near.filter("snp <> lead").select("lead", "snp")
-        gone = pair_r2(pairs, planes, "lead", "snp").filter(F.round("r2", 9) > r2).select("snp")
-        gone = gone.unionByName(chosen.select(F.col("lead").alias("snp")))
-        left = cut_lineage(left.join(gone.distinct(), "snp", "left_anti"))
-        leads = chosen.select("lead") if leads is None else leads.unionByName(chosen.select("lead"))
-    if leads is None:
-        return results.select("snp", "chr", "pos", "p").limit(0)
-    return results.join(leads.withColumnRenamed("lead", "snp"), "snp", "left_semi").select("snp", "chr", "pos", "p")
-
+    tested = results.filter(F.col("p") <= p_max).filter("snp is not null").select("snp", "chr", "pos", "p")
+    best = tested.groupBy("snp").agg(F.min("p").alias("p"))
+    tested = cut_lineage(tested.select("snp", "chr", "pos").distinct().join(shuffled(best), "snp"))
+    calls = geno.join(shuffled(tested.select("snp").distinct()), "snp", "left_semi")
+    planes = cut_lineage(P.pack(calls, "snp", P.bit_places(calls, "animal")))
+    links = cut_lineage(_linked(tested, planes, int(window), r2))
+    gone = None
+    while not links.isEmpty():
+        tops = links.select("lead").distinct().join(shuffled(links.select(F.col("snp").alias("lead"))), "lead", "left_anti")
+        out = cut_lineage(links.join(shuffled(tops), "lead", "left_semi").select("snp").distinct())
+        left = links.join(shuffled(out), "snp", "left_anti")
+        links = cut_lineage(left.join(shuffled(out.withColumnRenamed("snp", "lead")), "lead", "left_anti").select("lead", "snp"))
+        gone = out if gone is None else gone.unionByName(out)
+    leads = tested.select("snp") if gone is None else tested.select("snp").join(shuffled(gone), "snp", "left_anti")
+    return results.join(shuffled(leads.distinct()), "snp", "left_semi").select("snp", "chr", "pos", "p")

@@ -1,7 +1,11 @@
-"""What keeps operators within bounds on large inputs: plans without broadcasts."""
+"""What keeps operators within bounds on large inputs: plans without broadcasts, joins without needless rows."""
+
+import random
 
 import pytest
 
+from herdframe.operators import genotypes as Y
+from herdframe.operators import intervals as V
 from herdframe.operators import pedigree as D
 
 
@@ -31,3 +35,62 @@ def test_pedigree_joins_send_nothing_to_the_driver(spark, written, depth):
     plans = [*written, out._jdf.queryExecution().executedPlan().toString()]
     assert len(plans) > 6 and any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
     assert {r.full_reg: r.f for r in out.collect()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0.25, 6: 0.375}
+
+
+def crowd(spark):
+    """Narrow features, many of them in 16,384 places."""
+    rng = random.Random(9)
+    feats = [(i, 1, s, s + rng.randrange(10, 500), f"t{i % 3}") for i in range(500) for s in [rng.randrange(0, 80_000)]] + [(900, 1, 50, 40, "t0"), (901, None, 1, 9, "t0")]
+    marks = [(rng.randrange(3), 1, rng.randrange(-100, 81_000)) for _ in range(400)] + [(1, None, 5), (1, 1, None), (None, 1, 40_000), (2, 2, 10)]
+    return spark.createDataFrame(marks, "study int, chr int, pos long"), spark.createDataFrame(feats, "f int, chr int, start_pos long, end_pos long, term string")
+
+
+@pytest.mark.parametrize("window", [0, 500, 20_000])
+def test_markers_meet_few_features_beside_their_own(spark, window):
+    m, f = crowd(spark)
+    pairs = V.interval_join(m, f, window).count()
+    assert 0 < V._candidates(m, f, window, None, "chr", "pos", "start_pos", "end_pos").count() < 4 * pairs
+
+
+@pytest.mark.parametrize("window", [0, 50, 3000])
+def test_features_with_a_marker_of_a_group(spark, window):
+    m, f = crowd(spark)
+    markers, feats = m.collect(), f.collect()
+    want = {(a.study, b.f) for a in markers for b in feats if a.chr == b.chr and None not in (a.chr, a.pos) and b.start_pos <= b.end_pos and b.start_pos - window <= a.pos <= b.end_pos + window}
+    got = V.interval_join(m, f, window, how="right_semi", by=["study"])
+    rows = [(r.study, r.f) for r in got.collect()]
+    assert got.columns == ["study", *f.columns] and len(rows) == len(set(rows)) and set(rows) == want
+    alone = [r.f for r in V.interval_join(m, f, window, how="right_semi").collect()]
+    assert len(alone) == len(set(alone)) and set(alone) == {b for _, b in want}
+
+
+def test_points_with_a_marker(spark):
+    f = spark.createDataFrame([(i, 1, i, i) for i in range(20)], "f int, chr int, start_pos long, end_pos long")
+    m = spark.createDataFrame([(1, 3), (1, 3), (1, 7)], "chr int, pos long")
+    assert sorted(r.f for r in V.interval_join(m, f, how="right_semi").collect()) == [3, 7]
+    assert sorted(r.f for r in V.interval_join(m, f, 1, how="right_semi").collect()) == [2, 3, 4, 6, 7, 8]
+
+
+def test_stretches_cover_what_features_cover(spark):
+    _, f = crowd(spark)
+    covered = {}
+    for r in f.filter("start_pos <= end_pos and chr is not null").collect():
+        covered.setdefault(r.term, set()).update(range(r.start_pos - 5, r.end_pos + 6))
+    rows = V.merged(f, ["term"], 5, bin_width=1_000).collect()
+    for term, places in covered.items():
+        parts = [set(range(r.start_pos, r.end_pos + 1)) for r in rows if r.term == term]
+        assert sum(map(len, parts)) == len(places) and set().union(*parts) == places
+
+
+def test_clumping_needs_no_round_for_markers_without_links(spark, monkeypatch):
+    """Forty markers in one window, of which only the last two are linked."""
+    rng = random.Random(2)
+    calls = {s: [rng.randrange(3) for _ in range(60)] for s in range(40)}
+    calls[39] = calls[38]
+    geno = spark.createDataFrame([(a, s, d) for s, c in calls.items() for a, d in enumerate(c)], "animal int, snp int, dosage int")
+    results = spark.createDataFrame([(s, 1, 100 + s, (s + 1) / 1000) for s in calls], "snp int, chr int, pos int, p double")
+    stored = []
+    store = Y.cut_lineage
+    monkeypatch.setattr(Y, "cut_lineage", lambda df: stored.append(1) or store(df))
+    got = {r.snp for r in Y.ld_clump(results, geno, 1_000, 0.9, 1.0).collect()}
+    assert got == set(range(39)) and len(stored) < 10
