@@ -15,6 +15,8 @@ from herdframe.operators.joins import lookup_with_default, semi
 from herdframe.operators.ordered import dense_code, hash_bins, running
 from herdframe.operators.windows import fill_downup, keep_first, nearest_in_time, random_one, trailing_lookup
 
+from herdframe.session import cut_lineage
+
 
 @dataclass(frozen=True)
 class GroupRules:
@@ -115,7 +117,8 @@ def model_dataset(
     else:
         needed = GroupRules(bins="twothree", season_by_herd=rules.season_by_herd, fescue_herds=rules.fescue_herds,
                             require=("season", "fescue", "age_group"))
-        rows = keep_group_size(prepare_females(records, needed, score_groups), ["age_group"], min_level)
+        # stored: group sizes, means and rows are read from it
+        rows = keep_group_size(cut_lineage(prepare_females(records, needed, score_groups)), ["age_group"], min_level)
         effects = ["year", "season", "fescue", "age_group"]
     env = list(spec.get("env", []))
     if spec.get("interaction"):
