@@ -30,11 +30,12 @@ def spread_left_join(left: DataFrame, right: DataFrame, left_key: Column, right_
     """Left join in which rows that cannot match are spread over all partitions.
 
     A null key would send every unmatched row to one task; here such rows carry a hash of the row as a second key the right
-    side never has, so they fall apart, stay unmatched and are all kept.
+    side never has, so they fall apart, stay unmatched and are all kept. The right side's second key is 0 as well, but made from its rows: a
+    constant would be folded into the condition and the rows be dealt by the first key alone, all nulls to one task.
     """
     salt = F.when(can_match, F.lit(0)).otherwise(F.xxhash64(*[F.col(c) for c in left.columns], F.lit("apart")))
     probe = left.withColumns({"__k": F.when(can_match, left_key), "__salt": salt.cast("bigint")})
-    build = right.withColumnRenamed(right_key, "__rk").withColumn("__rsalt", F.lit(0).cast("bigint"))
+    build = right.withColumnRenamed(right_key, "__rk").withColumn("__rsalt", F.pmod(F.xxhash64("__rk"), F.lit(1).cast("bigint")))
     cond = (F.col("__salt") == F.col("__rsalt")) & (F.col("__k") == F.col("__rk"))
     return probe.join(build, cond, "left").drop("__k", "__salt", "__rk", "__rsalt")
 

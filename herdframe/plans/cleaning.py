@@ -113,7 +113,8 @@ def clean_joined(
     rows = left_join_known(rows, born, "lab_id")
     rows = rows.withColumn("__days", R.age_in_days("score_date", "dob", "age", "year"))
     rows = rows.withColumn("age", R.age_in_years("age", R.age_class("__days")))
-    rows = rows.filter((F.col("__days") >= 274) | F.col("__days").isNull()).drop("__days")
+    # each step below reads its rows more than once: stored, or every step would double the work of those before it
+    rows = cut_lineage(rows.filter((F.col("__days") >= 274) | F.col("__days").isNull()).drop("__days"))
     rows = fill_downup(rows, [*animal, "year"], ["score_date"], ["age"])
     rows = ensure(rows, F.col("age").isNull() | F.col("age").between(1, 22), "age")
     rows = rows.filter(F.col("score").isNotNull()).withColumn("score", clean_numeric("score"))
@@ -124,12 +125,12 @@ def clean_joined(
     rows = ensure(rows, maybe("sex", ["F", "M"]), "sex")
     rows = ensure(rows.withColumn("breed_code", R.breed_code("breed_code")), maybe("breed_code", R.BREEDS_ALLOWED), "breed")
     rows = ensure(rows, maybe("color", R.COLORS_ALLOWED), "color")
-    rows = one_sex(rows, animal)
+    rows = cut_lineage(one_sex(cut_lineage(rows), animal))
     rows = fill_downup(rows, animal, ["year", "score_date"], ["color"])
     rows = ensure(rows, F.col("score_date").isNull() | (F.year("score_date") == F.col("year")), "year of score date")
     rows = rows.withColumn("season", R.season_code("season", "sex")).withColumn("fescue", R.fescue_code("fescue"))
     rows = ensure(rows, maybe("fescue", ["YES", "NO"]), "fescue").distinct()
-    return impute_age(rows, animal)
+    return impute_age(cut_lineage(rows), animal)
 
 
 def one_sex(rows: DataFrame, animal: list[str]) -> DataFrame:
