@@ -432,10 +432,10 @@ def _(t):
 def _(t):
     from herdframe.plans.reports import hit_table
 
-    stats = t.gwas.groupBy("chr", "pos").agg(F.min("p").alias("p"), F.avg("beta").alias("beta"))
-    near = V.interval_join(t.gwas.filter("p < 0.02").select("chr", "pos").distinct(), t.genes, 200)
-    out = hit_table(near.withColumn("gene", F.concat(F.lit("G"), "gene_id")), stats, ["p", "beta"])
-    return out.select("snp", "gene", "start_text", "distance", r6("p", 9).alias("p"), r6("beta").alias("beta"), "n")
+    stats = t.gwas.groupBy("chr", "pos").agg(r6(F.min("p"), 9).alias("p"), r6(F.avg("beta")).alias("beta"))
+    genes = t.genes.withColumn("gene", F.concat(F.lit("G"), "gene_id"))
+    out = hit_table(t.gwas.filter("p < 0.02").select("chr", "pos").distinct(), genes, 200, stats, ["p", "beta"])
+    return out.select("snp", "gene", "start_text", "distance", "p", "beta", "n")
 
 
 @query(

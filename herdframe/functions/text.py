@@ -133,7 +133,9 @@ def known_registration(c: ColumnLike) -> Column:
 
 
 def with_thousands(c: ColumnLike) -> Column:
-    return F.format_number(col(c).cast("bigint"), 0)
+    whole = col(c).cast("bigint")
+    # small numbers have no mark and need no formatting, which costs more than making the pairs they stand for
+    return F.when(whole.between(-999, 999), whole.cast("string")).otherwise(F.format_number(whole, 0))
 
 
 def percent(c: ColumnLike, digits: int = 1) -> Column:

@@ -7,17 +7,23 @@ from pyspark.sql import functions as F
 
 from herdframe.functions.text import marker_label, with_thousands
 from herdframe.operators.aggregates import add_count
-from herdframe.operators.intervals import feature_distance, window_or_nearest
+from herdframe.operators.intervals import feature_distance, interval_join, markers_inside, window_or_nearest
+from herdframe.operators.keys import null_safe_join, shuffled
 
 
-def hit_table(hits: DataFrame, stats: DataFrame, values: list[str]) -> DataFrame:
-    """Marker-gene hits with marker statistics, display labels, distance and rows per gene."""
-    joined = hits.join(stats.select("chr", "pos", *values), ["chr", "pos"], "left")
-    shown = joined.select(
-        marker_label("chr", "pos").alias("snp"), "gene", with_thousands("start_pos").alias("start_text"),
-        with_thousands("end_pos").alias("end_text"), with_thousands(feature_distance()).alias("distance"), *values,
-    )
-    return add_count(shown, ["gene"])
+def hit_table(markers: DataFrame, features: DataFrame, window: int, stats: DataFrame, values: list[str]) -> DataFrame:
+    """Marker-gene hits with marker statistics, display labels, distance and rows per gene.
+
+    ``markers``: chr, pos. ``features``: chr, start_pos, end_pos, gene. Hits grow with the product of both, so all that depends on one side is put on that side: statistics and
+    labels before the pairs are made, and the rows per gene from ``markers_inside``. Pairs are never moved.
+    """
+    places = markers.select("chr", "pos").join(shuffled(stats.select("chr", "pos", *values)), ["chr", "pos"], "left")
+    spots = places.withColumn("snp", marker_label("chr", "pos"))
+    counts = markers_inside(places, features, ["gene"], window)
+    texts = {"start_text": with_thousands("start_pos"), "end_text": with_thousands("end_pos")}
+    genes = null_safe_join(features.select("chr", "start_pos", "end_pos", "gene"), shuffled(counts), ["gene"]).withColumns(texts)
+    hits = interval_join(spots, genes, window)
+    return hits.select("snp", "gene", "start_text", "end_text", with_thousands(feature_distance()).alias("distance"), *values, "n")
 
 
 def region_table(markers: DataFrame, features: DataFrame, peaks: list[tuple[int, int, int, int]], window: int, max_dist: int) -> DataFrame:

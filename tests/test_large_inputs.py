@@ -12,6 +12,7 @@ from herdframe.operators import pedigree as D
 from herdframe.operators.keys import left_join_known
 from herdframe.plans import cleaning as C
 from herdframe.plans import models as M
+from herdframe.plans import reports as RP
 
 
 @pytest.fixture
@@ -138,3 +139,21 @@ def test_joined_records_are_stored_before_they_are_read_again(spark, monkeypatch
     out = C.clean_joined(joined, register)
     assert len(stored) == 4 and out.count() == 20 and {r.age for r in out.collect()} == {5}
     assert out._jdf.queryExecution().analyzed().toString().count("LogicalRDD") == 0
+
+
+def test_hits_are_not_moved_and_counted_without_pairs(spark):
+    m, f = crowd(spark)
+    m, f = m.drop("study"), f.withColumn("gene", F.when(F.col("f") % 7 > 0, F.col("f") % 50))
+    stats = m.filter("pos % 3 > 0").groupBy("chr", "pos").agg(F.count("pos").alias("p"))
+    for window in (0, 3000):
+        want = {}
+        for r in V.interval_join(m, f, window).groupBy("gene").count().collect():
+            want[r.gene] = r["count"]
+        got = V.markers_inside(m, f, ["gene"], window, bin_width=1_000).collect()
+        assert {r.gene: r.n for r in got} == want and len(got) == len(want)
+        out = RP.hit_table(m, f, window, stats, ["p"])
+        rows = out.collect()
+        assert len(rows) == sum(want.values()) and all(r.n == want[r.gene] for r in rows)
+        assert {r.distance for r in rows} == {f"{r.d:,}" for r in V.interval_join(m, f, window).select(V.feature_distance().alias("d")).collect()}
+    top = out._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Aggregate" not in top and "Window" not in top
