@@ -16,6 +16,12 @@ from herdframe.session import cut_lineage
 
 #: Matrices of so many tasks are put together at a time.
 _TREE = 64
+#: Genotypes a task multiplies, unless there are more tasks anyway.
+_BLOCK = 8 << 20
+#: Bytes of a table of vectors that may be sent to every task.
+_SENT = 64 << 20
+#: Growth of the leading direction that ends a polynomial, and the least that the longest one has to reach.
+_GROWTH, _LEAST_GROWTH = 1e3, 1e2
 
 
 def allele_stats(geno: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -225,23 +231,60 @@ def _combined(sources: list[str], m: np.ndarray, out: list[str]) -> list[Column]
     return [sum((F.col(s) * float(m[i, j]) for i, s in enumerate(sources)), F.lit(0.0)).alias(o) for j, o in enumerate(out)]
 
 
+def _dealt(z: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows kept by marker, in as many parts as tasks run at a time, or more if a part would hold over ``_BLOCK`` rows."""
+    parts = max(z.sparkSession.sparkContext.defaultParallelism, n // _BLOCK + 1)
+    return z.repartition(parts, "snp").sortWithinPartitions("snp").persist()
+
+
+def _multiplied(z: DataFrame, vectors: DataFrame, names: list[str], out: list[str]) -> DataFrame:
+    """Z Z' times the columns ``names`` of ``vectors``: (animal, out)."""
+    down = z.join(vectors, "animal").groupBy("snp").agg(*[F.sum(F.col("z") * F.col(n)).alias(n) for n in names])
+    return z.join(shuffled(down), "snp").groupBy("animal").agg(*[F.sum(F.col("z") * F.col(n)).alias(o) for n, o in zip(names, out, strict=True)])
+
+
+def _polynomial(values: np.ndarray, degree: int, wanted: float) -> tuple[float, int]:
+    """Half of the interval on which a Chebyshev polynomial stays small, and its degree, from falling eigenvalues.
+
+    The degree rises from ``degree`` to eight times that, until the first direction grows by ``_GROWTH`` (more would cost digits) or by ``wanted`` times.
+    If the values are too close even for the highest degree, the interval ends below them, or values inside of it might not be damped at all.
+    """
+    cut = max(values[-1], 1e-6 * values[0])
+    rate = np.arccosh(max(2 * values[0] / cut - 1, 1.0))
+    steps = int(np.clip(np.ceil(np.arccosh(np.clip(wanted, 1.0, _GROWTH)) / max(rate, 1e-12)), degree, 8 * degree))
+    if 8 * degree * rate < np.arccosh(_LEAST_GROWTH):
+        steps = 8 * degree
+        cut = 2 * values[0] / (1 + np.cosh(np.arccosh(_LEAST_GROWTH) / steps))
+    return float(cut / 2), steps
+
+
 def pca(geno: DataFrame, k: int = 2, tolerance: float = 1e-7, extra: int = 14, degree: int = 4, seed: int = 1) -> DataFrame:
     """Leading principal components of standardised dosages: (animal, pc, score, eigenvalue, share).
 
     Subspace iteration: a tall table of k + extra columns, one row per animal, is multiplied by Z and Z' through joins and sums. Its
     columns are made orthonormal by a tree of QR factors, so only matrices of k + extra rows reach the driver. Each round multiplies by a
-    Chebyshev polynomial of Z Z' that is small on the eigenvalues below the last column's.
+    Chebyshev polynomial of Z Z' that is small on the eigenvalues below the last column's. Its degree is at least ``degree`` and, where the eigenvalues
+    are close, up to eight times as high: one polynomial parts them far better than several of low degree.
     Rounds go on until the largest principal angle between the k leading directions and their image has a sine below ``tolerance``.
+
+    Genotypes are dealt by marker once and kept so: sums by marker, and their products with the genotypes, are made where the marker is. What is moved in a
+    multiplication is one row per animal and task. The table of vectors is sent to all tasks up to ``_SENT`` bytes and joined by a shuffle beyond.
     """
     z = cut_lineage(standardise(geno).select("animal", "snp", "z"))
     size = k + extra
-    total, n_snps = z.agg(F.sum(F.col("z") * F.col("z")), F.count_distinct("snp")).first()
+    total, n_snps, n = z.agg(F.sum(F.col("z") * F.col("z")), F.count_distinct("snp"), F.count(F.lit(1))).first()
     x, y, w = ([f"{c}{i}" for i in range(size)] for c in "xyw")
+    if not n_snps:
+        return z.select("animal", F.lit(0).alias("pc"), *[F.lit(0.0).alias(c) for c in ("score", "eigenvalue", "share")]).limit(0)
+    start = [(F.pmod(F.xxhash64("animal", F.lit(seed + i)), F.lit(1_000_003)) / 1_000_003.0 - 0.5).alias(n) for i, n in enumerate(y)]
+    frame = cut_lineage(z.select("animal").distinct().select("animal", *start))
+    small = frame.count() * (size + 1) * 8 <= _SENT
+    z = _dealt(z, n)
 
-    def times(frame: DataFrame, names: list[str]) -> DataFrame:
-        down = z.join(frame, "animal").groupBy("snp").agg(*[F.sum(F.col("z") * F.col(n)).alias(n) for n in names])
-        up = z.join(down, "snp").groupBy("animal").agg(*[F.sum(F.col("z") * F.col(n)).alias(o) for n, o in zip(names, w, strict=True)])
-        return cut_lineage(frame.join(up, "animal"))
+    def times(frame: DataFrame) -> DataFrame:
+        vectors = frame.select("animal", *y)
+        up = _multiplied(z, vectors.hint("broadcast") if small else vectors, y, w)
+        return frame.join(up, "animal")
 
     def orthonormal(frame: DataFrame, names: list[str]) -> DataFrame:
         _, s, v = np.linalg.svd(_stacked_r(frame, names), full_matrices=False)
@@ -250,12 +293,9 @@ def pca(geno: DataFrame, k: int = 2, tolerance: float = 1e-7, extra: int = 14, d
         m[:, : full.sum()] = v[full].T / s[full]
         return frame.select("animal", *_combined(names, m, y))
 
-    start = [(F.pmod(F.xxhash64("animal", F.lit(seed + i)), F.lit(1_000_003)) / 1_000_003.0 - 0.5).alias(n) for i, n in enumerate(y)]
-    if not n_snps:
-        return z.select("animal", F.lit(0).alias("pc"), *[F.lit(0.0).alias(c) for c in ("score", "eigenvalue", "share")]).limit(0)
-    basis = orthonormal(cut_lineage(z.select("animal").distinct().select("animal", *start)), y)
+    basis = orthonormal(frame, y)
     while True:
-        image = times(basis, y)  # y orthonormal, w = Z Z' y
+        image = cut_lineage(times(basis))  # y orthonormal, w = Z Z' y
         values, vectors = np.linalg.eigh(_symmetric(_products(image, y, w)))
         values, vectors = np.maximum(values[::-1], 1e-12), vectors[:, ::-1]
         lead, moved = [f"u{i}" for i in range(k)], [f"m{i}" for i in range(k)]
@@ -265,16 +305,17 @@ def pca(geno: DataFrame, k: int = 2, tolerance: float = 1e-7, extra: int = 14, d
         gram, rest = _symmetric(_products(off, moved, moved)), _symmetric(_products(off, *[[f"o{i}" for i in range(k)]] * 2))
         inner, axes = np.linalg.eigh(gram)
         whiten = axes / np.sqrt(np.maximum(inner, 1e-300))
-        if np.sqrt(max(np.linalg.eigvalsh(whiten.T @ rest @ whiten).max(), 0)) <= tolerance:
+        sine = np.sqrt(max(np.linalg.eigvalsh(whiten.T @ rest @ whiten).max(), 0))
+        if sine <= tolerance:
             break
-        # Chebyshev polynomial of this degree on [0, smallest value kept], by its recurrence
-        half = max(values[-1], 1e-6 * values[0]) / 2
+        # Chebyshev polynomial on [0, smallest value kept], by its recurrence
+        half, steps = _polynomial(values, degree, 10 * sine / tolerance)
         frame = image.select("animal", *[F.col(b).alias(a) for a, b in zip(x, y, strict=True)], *[(F.col(c) / half - F.col(b)).alias(b) for b, c in zip(y, w, strict=True)])
-        for _ in range(degree - 1):
-            ahead = times(frame.select("animal", *y), y).select("animal", *w)
+        for _ in range(steps - 1):
             step = [(2 * (F.col(c) / half - F.col(b)) - F.col(a)).alias(b) for a, b, c in zip(x, y, w, strict=True)]
-            frame = cut_lineage(frame.join(ahead, "animal").select("animal", *[F.col(b).alias(a) for a, b in zip(x, y, strict=True)], *step))
+            frame = cut_lineage(times(frame).select("animal", *[F.col(b).alias(a) for a, b in zip(x, y, strict=True)], *step))
         basis = orthonormal(frame.select("animal", *y), y)
+    z.unpersist()
     scores = turned.select("animal", *_combined(moved, axes @ np.diag(1 / np.sqrt(np.maximum(inner, 1e-300))) @ axes.T, lead))
     cells = [
         F.struct(

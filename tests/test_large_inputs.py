@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,27 @@ def test_hits_are_not_moved_and_counted_without_pairs(spark):
         assert {r.distance for r in rows} == {f"{r.d:,}" for r in V.interval_join(m, f, window).select(V.feature_distance().alias("d")).collect()}
     top = out._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     assert "Aggregate" not in top and "Window" not in top
+
+
+def test_polynomials_part_close_eigenvalues():
+    """Against the first direction every direction whose value is 2 percent smaller shrinks, however many values are as large as the first."""
+    grown = lambda v, half, steps: np.cosh(steps * np.arccosh(np.maximum(v / half - 1, 1))) * np.where(v > 2 * half, 1, np.cos(steps * np.arccos(np.clip(v / half - 1, -1, 1))))
+    smaller = np.linspace(0, 0.98, 4000)
+    for last in (1.0, 0.99, 0.9, 0.3):
+        half, steps = Y._polynomial(np.linspace(1, last, 16), 4, 1e7)
+        assert 4 <= steps <= 32
+        assert abs(grown(smaller[smaller <= last], half, steps)).max() < 0.1 * grown(np.array([1.0]), half, steps)[0]
+    assert Y._polynomial(np.linspace(1, 0.9, 16), 4, 5.0)[1] == 4
+
+
+def test_multiplication_moves_one_row_per_animal_and_task(spark):
+    """Genotypes stay where their markers are: only sums by animal and the vectors are moved."""
+    z = Y._dealt(spark.range(4000).selectExpr("id % 50 as animal", "id div 50 as snp", "cast(id % 7 - 3 as double) as z"), 4000)
+    vectors = spark.range(50).selectExpr("id as animal", "cast(id as double) as y0")
+    out = Y._multiplied(z, vectors.hint("broadcast"), ["y0"], ["w0"])
+    got = {r.animal: r.w0 for r in out.collect()}
+    dense = np.array([[(s * 50 + a) % 7 - 3.0 for s in range(80)] for a in range(50)])
+    assert [got[a] for a in range(50)] == pytest.approx(list(dense @ (dense.T @ np.arange(50.0))))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert plan.count("hashpartitioning(animal") >= 1 and plan.count("hashpartitioning(snp") == 0
+    z.unpersist()
