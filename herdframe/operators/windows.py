@@ -5,39 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from herdframe.functions.base import all_of
 from herdframe.operators.keys import attach, null_safe_join
 from herdframe.operators.ordered import position_bins, row_ids, running
+from herdframe.session import cut_lineage
 
 
-def fill_downup(df: DataFrame, keys: list[str], order: list[str], cols: list[str]) -> DataFrame:
+def fill_downup(df: DataFrame, keys: list[str], order: list[str], cols: list[str], store: bool = False) -> DataFrame:
     """Fill nulls with the last known value before the row, else the first known value after it, inside ``keys``.
 
     Rows follow each other by all ``order`` columns, nulls of the first (usually a day) last, of the others first. Rows that
     are equal in all of them share what is known among them (the largest value before, the smallest after). Days are bins of a key:
     what earlier and later days know is carried over the table of days, and each day is scanned on its own, so the rows of a
-    hot key are spread over tasks.
+    hot key are spread over tasks. With ``store``, for results that are read several times, the rows that have a null are filled once and stored;
+    of the others only what they know is moved, and only the days of rows with a null are scanned.
     """
     moment, ties = order[0], order[1:]
     first = F.struct(F.col(moment).isNull().alias("late"), F.col(moment).alias("at"))
     rows = df.withColumns({"__by": F.struct(*keys), "__bin": first, "__row": F.struct(*[F.col(t) for t in ties]) if ties else F.lit(0)})
     marks = {c: F.when(F.col(c).isNotNull(), F.struct("__bin", "__row", F.col(c).alias("v"))) for c in cols}
-    days = rows.groupBy("__by", "__bin").agg(*[x for c in cols for x in (F.max(marks[c]).alias(f"__max_{c}"), F.min(marks[c]).alias(f"__min_{c}"))])
+    full_row = all_of([F.col(c).isNotNull() for c in cols])
+    ends = [x for c in cols for x in (F.max(marks[c]).alias(f"__max_{c}"), F.min(marks[c]).alias(f"__min_{c}"))]
+    days = rows.groupBy("__by", "__bin").agg(*ends, F.bool_and(full_row).alias("__full"))
     w = Window.partitionBy("__by").orderBy("__bin")
     past, future = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
     carried = days.select(
-        "__by", "__bin", *[x for c in cols for x in (F.max(f"__max_{c}").over(past).alias(f"__past_{c}"), F.min(f"__min_{c}").over(future).alias(f"__next_{c}"))]
+        "__by", "__bin", "__full", *[x for c in cols for x in (F.max(f"__max_{c}").over(past).alias(f"__past_{c}"), F.min(f"__min_{c}").over(future).alias(f"__next_{c}"))]
     )
     day = Window.partitionBy("__by", "__bin").orderBy("__row")
     back = day.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ahead = day.rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    joined = rows.join(carried, ["__by", "__bin"], "left")
+    if store:
+        others = [c for c in df.columns if c not in cols]
+        known = rows.select("__by", "__bin", "__row", *cols, F.when(~full_row, F.struct(*others)).alias("__rest"))
+        joined = known.join(carried.filter("not __full"), ["__by", "__bin"])
+    else:
+        joined = rows.join(carried, ["__by", "__bin"], "left")
     filled = {
         c: F.coalesce(
             F.col(c), F.coalesce(F.max(marks[c]).over(back), F.col(f"__past_{c}"))["v"], F.coalesce(F.min(marks[c]).over(ahead), F.col(f"__next_{c}"))["v"]
         )
         for c in cols
     }
-    return joined.select(*[filled[c].alias(c) if c in cols else F.col(c) for c in df.columns])
+    if not store:
+        return joined.select(*[filled[c].alias(c) if c in cols else F.col(c) for c in df.columns])
+    made = joined.select("__rest", *[filled[c].alias(c) for c in cols]).filter("__rest is not null")
+    made = cut_lineage(made.select(*[F.col(c) if c in cols else F.col("__rest")[c].alias(c) for c in df.columns]))
+    return df.filter(full_row).unionAll(made)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -12,7 +12,8 @@ from herdframe.functions.base import text_key
 from herdframe.operators.aggregates import keep_group_size
 from herdframe.operators.checks import verify
 from herdframe.operators.joins import lookup_with_default, semi
-from herdframe.operators.ordered import dense_code, hash_bins, running
+from herdframe.operators.keys import null_safe_join
+from herdframe.operators.ordered import dense_codes, hash_bins, running
 from herdframe.operators.windows import fill_downup, keep_first, nearest_in_time, random_one, trailing_lookup
 
 from herdframe.session import cut_lineage
@@ -39,7 +40,8 @@ def prepare_females(records: DataFrame, rules: GroupRules, score_groups: DataFra
     elif "score_group" not in rows.columns:
         rows = rows.withColumn("score_group", F.lit(1))
     ties = [c for c in ("rec_a", "rec_b") if c in rows.columns]
-    rows = fill_downup(rows, ["farm_id", "temp_id"], ["score_date", *ties], ["season"])
+    # stored: groups are counted or numbered on the same rows that are kept
+    rows = fill_downup(rows, ["farm_id", "temp_id"], ["score_date", *ties], ["season"], store=True)
     dob = "dob" if "dob" in rows.columns else F.lit(None).cast("date")
     rows = rows.withColumn("season", R.season_default("farm_id", dob, "season", rules.season_by_herd))
     rows = rows.withColumn("age_group", R.age_group("age", rules.bins))
@@ -65,8 +67,9 @@ def contemporary_groups(records: DataFrame, rules: GroupRules | None = None, sco
     return rows.join(facts.filter(keep).select("cg"), "cg", "left_semi")
 
 
-def number_groups(df: DataFrame) -> DataFrame:
-    return dense_code(df, "cg", out="cg_num")
+def number_groups(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with the number of their group among those of ``groups``."""
+    return null_safe_join(df, dense_codes(groups, "cg", [], "cg_num"), ["cg"])
 
 
 # fixed values: effects of the environment models, besides season, fescue and age group
@@ -149,7 +152,7 @@ def year_files(
     All years come from one job; ``year`` keeps one. ``genotyped``: full_reg, iid.
     """
     loose = GroupRules(bins="growing", min_size=1, varying=False) if rules is None else rules
-    rows = number_groups(contemporary_groups(records, loose, score_groups))
+    rows = groups = contemporary_groups(records, loose, score_groups)
     if year is not None:
         rows = rows.filter(F.col("year") == year)
     order = [F.asc_nulls_last(c) for c in ties]
@@ -157,7 +160,9 @@ def year_files(
     linked = near.join(ped.select("farm_id", "temp_id", "full_reg").distinct(), ["farm_id", "temp_id"], "left")
     full = R.full_registration("full_reg", "breed_code", "registration_number", "farm_id", "animal_id", "temp_id")
     single = keep_first(linked.withColumn("full_reg", full), ["full_reg", "year"], [F.asc_nulls_last("score_date"), *order])
-    return single.join(genotyped.select("full_reg", "iid"), "full_reg").select("year", "full_reg", "iid", "score", "cg_num")
+    # all groups are numbered, but only the rows of the files are joined with their number
+    files = single.join(genotyped.select("full_reg", "iid"), "full_reg")
+    return number_groups(files, groups).select("year", "full_reg", "iid", "score", "cg_num")
 
 
 def adjusted_phenotype(records: DataFrame, levels: DataFrame, solutions: DataFrame, effect: int = 1) -> DataFrame:

@@ -6,14 +6,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from herdframe.functions import records as R
 from herdframe.operators import genotypes as Y
 from herdframe.operators import intervals as V
 from herdframe.operators import ordered as O
 from herdframe.operators import pedigree as D
+from herdframe.operators import windows as W
 from herdframe.operators.keys import left_join_known
 from herdframe.plans import cleaning as C
 from herdframe.plans import models as M
 from herdframe.plans import reports as RP
+from herdframe.session import cut_lineage
 
 
 @pytest.fixture
@@ -182,3 +185,28 @@ def test_multiplication_moves_one_row_per_animal_and_task(spark):
     plan = out._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
     assert plan.count("hashpartitioning(animal") >= 1 and plan.count("hashpartitioning(snp") == 0
     z.unpersist()
+
+
+def test_year_files_fill_once_and_number_only_their_rows(spark, monkeypatch):
+    """Rows with a known season are not moved to be filled, the others are filled once and stored; rows that no file has are not joined with numbers."""
+    records = spark.range(600).selectExpr(
+        "id as rec_a", "id % 3 as rec_b", "concat('F', id % 2) as farm_id", "if(id % 50 = 0, null, id % 40) as temp_id", "2000 + id % 3 as year",
+        "if(id % 31 = 0, null, date_add(date'2000-01-01', cast(id % 90 as int))) as score_date", "id % 5 as score",
+        "case when id % 7 = 0 then null when id % 2 = 0 then 'SPRING' else 'FALL' end as season", "if(id % 11 = 0, null, id % 12) as age", "if(id % 9 = 0, 'M', 'F') as sex",
+        "'AN' as breed_code", "'R' as registration_number", "'A' as animal_id",
+    )
+    stored = []
+    monkeypatch.setattr(W, "cut_lineage", lambda df: stored.append(df.count()) or cut_lineage(df))
+    rows = M.prepare_females(records, M.GroupRules())
+    females = records.filter("sex = 'F'")
+    assert stored == [females.filter("season is null").count()]
+    want = W.fill_downup(females, ["farm_id", "temp_id"], ["score_date", "rec_a", "rec_b"], ["season"])
+    want = want.withColumn("season", R.season_default("farm_id", F.lit(None).cast("date"), "season", M.GroupRules().season_by_herd))
+    assert sorted(map(str, rows.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    ped = records.selectExpr("farm_id", "temp_id", "concat('P', farm_id, temp_id) as full_reg").filter("temp_id is not null").distinct()
+    out = M.year_files(records, ped, ped.filter("temp_id < 9").selectExpr("full_reg", "temp_id as iid"), ["score_date", "rec_a", "rec_b", "farm_id"])
+    codes = {r.cg: r.code for r in O.dense_code(M.contemporary_groups(records, M.GroupRules(min_size=1, varying=False)).select("cg").distinct(), "cg").collect()}
+    got = out.collect()
+    assert got and {r.cg_num for r in got} <= set(codes.values()) and len({(r.full_reg, r.year) for r in got}) == len(got)
+    top = out._jdf.queryExecution().optimizedPlan().toString()
+    assert top.index("cg_num") < top.index("Window")
