@@ -131,3 +131,41 @@ def test_scores_against_direct_ones_with_rare_and_long_contexts(docs_of, prose):
     assert longest >= 4 and len(got) == len(made)
     for r in got:
         assert r.score == pytest.approx(want[(r.doc_id, text[r.doc_id])], rel=1e-9)
+
+
+@pytest.mark.parametrize("tail_rows", [0, 400_000])
+def test_scores_with_contexts_of_all_lengths_one_by_one_and_together(docs_of, prose, monkeypatch, tail_rows):
+    """Short contexts are tested length by length in tables; the last ones, long in texts that repeat themselves, in one task."""
+    monkeypatch.setattr(suffix_tree, "_TAIL_ROWS", tail_rows)
+    monkeypatch.setattr(suffix_tree, "_TAIL_LENGTHS", 2)
+    monkeypatch.setattr(suffix_tree, "_BLOCK_TOKENS", 5000)
+    made = [(i, prose(700, i % 25), "a") for i in range(30)]
+    rng, line = np.random.default_rng(5), [0, 1, 0, 1]
+    for coin in rng.random(16_000):
+        line.append(int(coin < 1 / (1 + math.exp(-sum(w * (2 * x - 1) for w, x in zip((1.5, -0.8, 0.8, -0.6), line[-4:], strict=True))))))
+    made += [(100 + i, " ".join("ab"[x] for x in line[i * 800 : (i + 1) * 800]), "a") for i in range(20)]
+    want, longest = direct_scores(made)
+    got = suffix_tree.score_texts(docs_of(made)).collect()
+    text = {i: t for i, t, _ in made}
+    assert longest >= 4 and len(got) == len(made)
+    for r in got:
+        assert r.score == pytest.approx(want[(r.doc_id, text[r.doc_id])], rel=1e-9)
+
+
+def test_runs_that_occur_once_are_never_stored(docs_of, prose, monkeypatch):
+    """Beside the words, tables hold rows for runs of two occurrences only; what is single is known from the context's count."""
+    made = [(i, prose(4000, i), "a") for i in range(10)]
+    train = [tokens(t) for i, t, _ in made if zlib.crc32(str(i).encode()) % 7 != 2]
+    pairs = Counter(p for t in train for p in zip(t, t[1:], strict=False))
+    longer = Counter(p for t in train for p in zip(t, t[1:], t[2:], strict=False))
+    twice = max(sum(n >= 2 for n in c.values()) for c in (pairs, longer))
+    rows, store = [], suffix_tree.cut_lineage
+
+    def counted(df):
+        rows.append((stored := store(df)).count())
+        return stored
+
+    monkeypatch.setattr(suffix_tree, "cut_lineage", counted)
+    monkeypatch.setattr(suffix_tree, "_TAIL_ROWS", 0, raising=False)
+    assert suffix_tree.score_texts(docs_of(made)).count() == 10
+    assert twice + 1000 < len(longer) and max(rows) <= twice + len({w for t in train for w in t})
