@@ -172,3 +172,31 @@ def test_runs_that_occur_once_are_never_stored(docs_of, monkeypatch):
     monkeypatch.setattr(suffix_tree, "_TAIL_ROWS", 0, raising=False)
     assert suffix_tree.score_texts(docs_of(made)).count() == 10
     assert len(rows) > 1 and most < len(pairs) / 2 and max(rows) <= most
+
+
+def test_bins_batches_and_look_ups_stay_small_whatever_the_corpus(docs_of, spark, monkeypatch):
+    """A task's share: there are as many bins as the tokens need, batches are bounded by bytes, and a part of the blocks looks its runs up at a time."""
+    rng = np.random.default_rng(2)
+    made = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 500), "a") for i in range(400)]
+    bins, asked, limits, blocks, store = [], [], set(), [], suffix_tree.cut_lineage
+
+    def watched(df, **options):
+        limits.add((spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"), spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")))
+        stored = store(df, **options)
+        if {"bin", "key"} <= set(stored.columns):
+            bins.append(stored.select("bin").distinct().count())
+        if {"block", "codes"} <= set(stored.columns):
+            blocks.append(stored.count())
+        if {"block", "bin", "v"} <= set(stored.columns):
+            asked.append(stored.select("block").distinct().count())
+        return stored
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    for name, value in (("_BIN_TOKENS", 600), ("_BLOCK_TOKENS", 2000), ("cut_lineage", watched)):
+        monkeypatch.setattr(suffix_tree, name, value, raising=False)
+    want, _ = direct_scores(made)
+    got = suffix_tree.score_texts(docs_of(made)).collect()
+    text = {i: t for i, t, _ in made}
+    assert len(got) == 400 and all(r.score == pytest.approx(want[(r.doc_id, text[r.doc_id])], rel=1e-9) for r in got)
+    assert max(bins) >= 30 and blocks[0] >= 8 and 0 < max(asked) < blocks[0]
+    assert limits == {("4m", "16")} and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
